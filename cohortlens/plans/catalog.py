@@ -23,7 +23,8 @@ RULES = R.Rules(house_org=td.HOUSE_ORG, allowed_tenants=td.TENANTS)
 def export(df: DataFrame) -> DataFrame:
     """Drop the time zone of every timestamp column."""
     return df.select([
-        F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, TimestampType) else F.col(f.name)
+        F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, TimestampType)
+        else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ])
 
@@ -38,12 +39,23 @@ class Ctx:
 
 
 REGISTRY: dict = {}
+_CTX: dict = {}
+
+
+def context(spark: SparkSession, sf_dir: str) -> Ctx:
+    """One lazy model per (session, scale factor); its frames are immutable plans."""
+    key = (id(spark), sf_dir)
+    if key not in _CTX:
+        _CTX[key] = Ctx(spark, sf_dir)
+    else:
+        configure(spark)
+    return _CTX[key]
 
 
 def query(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return export(fn(Ctx(spark, sf_dir)))
+            return export(fn(context(spark, sf_dir)))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         REGISTRY[name] = run
@@ -178,3 +190,92 @@ def _category_pass_rate(c: Ctx):
 @query("annual_evolution")
 def _annual_evolution(c: Ctx):
     return rep.annual_evolution(c.model)
+
+
+# --- compliance (J11-J14, A13-A16, W2, U1) ------------------------------------
+COURSE_PATTERN = "governance"
+
+
+def _compliance(c: Ctx):
+    from cohortlens.operators.compliance import Compliance
+    if not hasattr(c, "_compliance"):
+        c._compliance = Compliance(c.snap, RULES, COURSE_PATTERN, td.HOUSE_ORG, td.employees(c.t))
+    return c._compliance
+
+
+@query("enrolled_union")
+def _enrolled_union(c: Ctx):
+    return _compliance(c).enrolled_union
+
+
+@query("course_enrolled")
+def _course_enrolled(c: Ctx):
+    return _compliance(c).enrolled
+
+
+@query("course_completed")
+def _course_completed(c: Ctx):
+    return _compliance(c).completed
+
+
+@query("compliance_status")
+def _compliance_status(c: Ctx):
+    return _compliance(c).status
+
+
+@query("compliance_not_enrolled")
+def _compliance_not_enrolled(c: Ctx):
+    return _compliance(c).not_enrolled()
+
+
+@query("compliance_by_group")
+def _compliance_by_group(c: Ctx):
+    return _compliance(c).by_group("rol")
+
+
+@query("compliance_by_department")
+def _compliance_by_department(c: Ctx):
+    return _compliance(c).by_group("departamento")
+
+
+@query("status_share")
+def _status_share(c: Ctx):
+    return _compliance(c).status_share()
+
+
+@query("compliance_headline")
+def _compliance_headline(c: Ctx):
+    return _compliance(c).headline()
+
+
+@query("compliance_detail")
+def _compliance_detail(c: Ctx):
+    return _compliance(c).detail()
+
+
+@query("compliance_course_summary")
+def _compliance_course_summary(c: Ctx):
+    return _compliance(c).course_summary()
+
+
+# --- legacy corpus (A21-A28, J15-J20, W1) ---------------------------------------
+USERS_COHORTS_PARTNER = "nation_7"
+
+
+def _legacy(c: Ctx):
+    from cohortlens.operators.legacy import Legacy
+    if not hasattr(c, "_legacy"):
+        c._legacy = Legacy(c.snap, RULES, td.user_enrolments(c.t))
+    return c._legacy
+
+
+for _name in ["users_partner_cohort", "users_month_partner", "hours_month_partner", "active_month_partner",
+              "enrolments_month", "enrolments_by_type", "cohort_month_crosstab", "first_enrolment",
+              "cumulative_dedication", "passes_by_cohort", "passes_by_category", "certified_users",
+              "passed_listing", "student_grade_status", "enrolled_approved"]:
+    query(_name)(lambda c, _m=_name: getattr(_legacy(c), _m)())
+
+
+@query("users_cohorts")
+def _users_cohorts(c: Ctx):
+    return _legacy(c).users_cohorts(USERS_COHORTS_PARTNER)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortlens.plans.oracle import (CENTI, HOURS2, PCT1, TS, category_sql, cert_sql, language_sql,
+from cohortlens.plans.oracle import (CENTI, EPOCH, HOURS2, PCT1, TS, category_sql, cert_sql, language_sql,
                                      partner_sql, version_sql, with_ctes)
 
 ALTAS_YEARS = ["1995", "1996", "1997", "1998", "1999", "2000", "2001"]
@@ -135,3 +135,153 @@ with c as (select strftime(fecha_nota, '%Y') as anio, count(*) filter (where apr
 h as (select left(mes, 4) as anio, cast(round(sum({CENTI('horas')}) / 100.0::DOUBLE) as bigint) as horas from f_dedicacion group by 1)
 select coalesce(c.anio, h.anio) as anio, coalesce(c.aprobados, 0) as aprobados, coalesce(h.horas, 0) as horas
 from c full outer join h on c.anio is not distinct from h.anio""")
+
+
+# --- compliance ------------------------------------------------------------------
+MATCH = "(select id, fullname from tr_courses where lower(fullname) like '%governance%')"
+PCOND = "(lower(u.email) like '%house%' or lower(u.username) like '%house%')"
+COMPLIANCE = {
+    "enrolled_u": f"""select userid, courseid from tr_user_courses where courseid in (select id from {MATCH})
+ union select userid, courseid from tr_course_completions where courseid in (select id from {MATCH})""",
+    "t_enrolled": f"""select distinct lower(u.email) as email, u.id as moodle_userid, u.username
+ from enrolled_u e join tr_users u on u.id = e.userid where {PCOND}""",
+    "t_completed": f"""select lower(u.email) as email,
+ min(case when g.gradedategraded > 0 then {TS('g.gradedategraded')} end) as fecha_completado,
+ max(cast(g.graderaw as double)) as nota
+ from tr_user_grades g join tr_users u on u.id = g.userid
+ where g.courseid in (select id from {MATCH}) and g.graderaw is not null and {PCOND} group by lower(u.email)""",
+    "emp": """select coalesce(id_vp,'') as id_vp, coalesce(nombre,'') as nombre, coalesce(apellidos,'') as apellidos,
+ coalesce(lugar_trabajo,'') as lugar_trabajo, lower(trim(coalesce(email,''))) as email, coalesce(departamento,'') as departamento,
+ coalesce(manager,'') as manager, coalesce(rol,'') as rol from tr_employees where lower(trim(coalesce(email,''))) <> ''""",
+    "emp_status": """select emp.nombre, emp.apellidos, emp.email, emp.rol, emp.departamento, emp.manager,
+ coalesce(en.username, '') as username_moodle,
+ case when co.email is not null then 'completado' when en.email is not null then 'pendiente' else 'sin_inscribir' end as estado,
+ co.fecha_completado, co.nota
+ from emp left join t_enrolled en on en.email = emp.email left join t_completed co on co.email = emp.email""",
+    "comp_pair": f"""select userid, courseid, case when timecompleted > 0 then {TS('timecompleted')} end as fecha_completado
+ from tr_course_completions where courseid in (select id from {MATCH}) and completed = 1""",
+}
+
+sql("enrolled_union", "select * from enrolled_u", COMPLIANCE)
+sql("course_enrolled", "select * from t_enrolled", COMPLIANCE)
+sql("course_completed", "select * from t_completed", COMPLIANCE)
+sql("compliance_status", "select * from emp_status", COMPLIANCE)
+sql("compliance_not_enrolled", """select nombre, apellidos, email, rol, departamento, manager from emp_status
+ where estado = 'sin_inscribir'""", COMPLIANCE)
+for _key, _col in [("compliance_by_group", "rol"), ("compliance_by_department", "departamento")]:
+    sql(_key, f"""select {_col}, total, completados, pendientes, sin_inscribir, {PCT1('completados', 'total')} as pct_completado from (
+ select {_col}, count(*) as total, count(*) filter (where estado = 'completado') as completados,
+ count(*) filter (where estado = 'pendiente') as pendientes, count(*) filter (where estado = 'sin_inscribir') as sin_inscribir
+ from emp_status group by {_col})""", COMPLIANCE)
+sql("status_share", f"""select estado, empleados, {PCT1('empleados', 'sum(empleados) over ()')} as pct_total from (
+ select estado, count(*) as empleados from emp_status group by estado)""", COMPLIANCE)
+sql("compliance_headline", f"""select completados, pendientes, sin_inscribir, total_empleados,
+ coalesce({PCT1('completados', 'total_empleados')}, 0.0::DOUBLE) as tasa_completado from (
+ select (select count(*) from emp_status where estado = 'completado') as completados,
+ (select count(*) from emp_status where estado = 'pendiente') as pendientes,
+ (select count(*) from emp_status where estado = 'sin_inscribir') as sin_inscribir,
+ (select count(*) from emp) as total_empleados)""", COMPLIANCE)
+sql("compliance_detail", f"""select u.id, u.username, u.email, u.firstname || ' ' || u.lastname as nombre_completo,
+ rc.fullname as curso, comp.fecha_completado, (comp.userid is not null) as completado, (u.suspended = 0) as activo
+ from enrolled_u e join tr_users u on u.id = e.userid join tr_courses rc on rc.id = e.courseid
+ left join comp_pair comp on comp.userid = e.userid and comp.courseid = e.courseid where {PCOND}""", COMPLIANCE)
+sql("compliance_course_summary", f"""select curso, total_inscritos, completados, pendientes,
+ {PCT1('completados', 'total_inscritos')} as pct_completado from (
+ select rc.fullname as curso, count(distinct e.userid) as total_inscritos,
+ count(distinct case when comp.userid is not null then e.userid end) as completados,
+ count(distinct case when comp.userid is null then e.userid end) as pendientes
+ from enrolled_u e join tr_users u on u.id = e.userid join tr_courses rc on rc.id = e.courseid
+ left join comp_pair comp on comp.userid = e.userid and comp.courseid = e.courseid where {PCOND} group by rc.fullname)""",
+    COMPLIANCE)
+
+
+# --- legacy corpus ------------------------------------------------------------------
+P1 = partner_sql("u.email", "u.username")
+P2 = partner_sql("u.email", "u.username", check_username=False)
+VERS = "(lower(coh.name) like '%14.1%' or lower(coh.name) like '%14.6%' or lower(coh.name) like '%14.8%')"
+CATS = ("(lower(coh.name) like '%governance%' or lower(coh.name) like '%data processing%' "
+        "or lower(coh.name) like '%intelligence%' or lower(coh.name) like '%operaciones%')")
+LEG = {
+    "user_partner": f"select u.id as userid, u.username, u.email, u.timecreated, {P1} as partner from tr_users u",
+    "curso_aprobados": "select userid, courseid, graderaw as finalgrade, gradedategraded as timemodified from tr_user_grades where graderaw is not null and graderaw >= 60",
+    "curso_notas": "select userid, courseid, graderaw as finalgrade, gradedategraded as timemodified from tr_user_grades where graderaw is not null",
+    "passes": """select ca.*, up.username, up.email, up.partner, coh.id as cohortid, coh.name as cohort_name
+ from curso_aprobados ca join tr_courses c on c.id = ca.courseid join user_partner up on up.userid = ca.userid
+ join tr_cohort_members cm on cm.userid = ca.userid join tr_cohorts coh on coh.id = cm.cohortid
+ join tr_enrol_cohort_course e on e.cohortid = coh.id and e.courseid = ca.courseid""",
+}
+LEG["tr_user_enrolments"] = f"select o.o_custkey as userid, l.l_partkey as courseid, {EPOCH('o.o_orderdate')} as timecreated from lineitem l join orders o on o.o_orderkey = l.l_orderkey where l.l_linenumber <= 5"
+
+sql("users_partner_cohort", """select up.partner, c.name as cohort_name, count(*) as total_altas
+ from user_partner up join tr_cohort_members cm on cm.userid = up.userid join tr_cohorts c on c.id = cm.cohortid
+ group by up.partner, c.name""", LEG)
+sql("users_month_partner", f"""select strftime({TS('timecreated')}, '%Y-%m') as mes, partner, count(*) as total_altas
+ from user_partner group by 1, 2""", LEG)
+sql("hours_month_partner", f"""select d.mes, up.partner, sum(d.horas) as total_horas from (
+ select userid, courseid, strftime({TS('login')}, '%Y-%m') as mes, round(sum(duration)::DOUBLE / 3600.0::DOUBLE) as horas
+ from tr_attendance_sessions group by 1, 2, 3) d join user_partner up on up.userid = d.userid group by up.partner, d.mes""", LEG)
+sql("active_month_partner", f"""select d.mes, up.partner, count(distinct d.userid) as usuarios_unicos from (
+ select distinct userid, strftime({TS('login')}, '%Y-%m') as mes from tr_attendance_sessions) d
+ join user_partner up on up.userid = d.userid group by up.partner, d.mes""", LEG)
+sql("enrolments_month", f"""select {P2} as partner, c.name as cohorte, strftime({TS('cm.timeadded')}, '%Y-%m') as mes,
+ count(*) as num_apuntados from tr_users u join tr_cohort_members_ext cm on cm.userid = u.id join tr_cohorts c on c.id = cm.cohortid
+ where u.suspended = 0 and c.visible = 1 group by 1, 2, 3""", LEG)
+sql("enrolments_by_type", f"""select {P2} as partner, strftime({TS('cm.timeadded')}, '%Y-%m') as mes,
+ case when lower(c.name) like '%certificación%' then 'Certificados' else 'Training' end as tipo,
+ count(distinct u.email) as num_apuntados
+ from tr_users u join tr_cohort_members_ext cm on cm.userid = u.id join tr_cohorts c on c.id = cm.cohortid
+ where u.suspended = 0 and c.visible = 1 and c.name like '%14.6%' and (c.name like '%14.6%' or c.name like '%Operaciones%')
+ group by 1, 2, 3""", LEG)
+sql("cohort_month_crosstab", f"""pivot (select {P2} as partner, c.name || '_' || strftime({TS('cm.timeadded')}, '%Y_%m') as cohorte_mes,
+ count(*) as n from tr_users u join tr_cohort_members_ext cm on cm.userid = u.id join tr_cohorts c on c.id = cm.cohortid
+ where u.suspended = 0 group by 1, 2) on cohorte_mes using first(n) group by partner""", LEG)
+sql("first_enrolment", "select userid, courseid, min(timecreated) as enrol_time_unix from tr_user_enrolments group by 1, 2", LEG)
+sql("cumulative_dedication", f"""
+with ded as (select userid, courseid, date_trunc('month', {TS('login')}) as mes, sum(duration) as secs
+             from tr_attendance_sessions group by 1, 2, 3),
+up as (select userid, partner, date_trunc('month', {TS('timecreated')}) as alta_mes from user_partner),
+res as (select up.partner, c.name as cohort_name, d.mes,
+  count(distinct case when up.alta_mes = d.mes then up.userid end) as num_altas, sum(d.secs) as secs,
+  count(distinct d.userid) as usuarios_unicos
+  from ded d join up on up.userid = d.userid join tr_enrol_cohort_course cc on cc.courseid = d.courseid
+  join tr_cohort_members cm on cm.userid = d.userid and cm.cohortid = cc.cohortid join tr_cohorts c on c.id = cm.cohortid
+  group by up.partner, c.name, d.mes)
+select mes, partner, cohort_name, num_altas, secs::DOUBLE / 3600.0::DOUBLE as horas_dedicadas, usuarios_unicos,
+ cast(sum(num_altas) over w as bigint) as acumulado_altas,
+ cast(sum(secs) over w as BIGINT)::DOUBLE / 3600.0::DOUBLE as acumulado_horas,
+ cast(sum(usuarios_unicos) over w as bigint) as acumulado_usuarios
+from res window w as (partition by partner, cohort_name order by mes)""", LEG)
+sql("passes_by_cohort", """select partner, cohort_name, count(distinct userid) as total_aprobados from passes
+ group by partner, cohort_name""", LEG)
+sql("passes_by_category", f"""select partner, {category_sql('coh.name')} as cohort_group, count(distinct userid) as total_aprobados
+ from passes p join tr_cohorts coh on coh.id = p.cohortid where {VERS} group by 1, 2""", LEG)
+sql("certified_users", f"""select partner, count(distinct userid) as estudiantes_certificados
+ from passes p join tr_cohorts coh on coh.id = p.cohortid where {VERS} and {CATS} group by 1""", LEG)
+sql("passed_listing", f"""select userid, username, email, partner, cohort_name, {category_sql('coh.name')} as cohort_group,
+ finalgrade, {TS('timemodified')} as fecha_aprobado from passes p join tr_cohorts coh on coh.id = p.cohortid
+ where {VERS} and {CATS}""", LEG)
+sql("student_grade_status", f"""
+with base as (select distinct up.userid, up.username, up.email, up.partner, coh.id as cohortid, coh.name as cohort_name, e.courseid
+  from user_partner up join tr_cohort_members cm on cm.userid = up.userid join tr_cohorts coh on coh.id = cm.cohortid
+  join tr_enrol_cohort_course e on e.cohortid = coh.id where {VERS} and {CATS})
+select b.userid, b.username, b.email, b.partner, b.cohort_name, {category_sql('b.cohort_name')} as cohort_group,
+ c.id as courseid, c.fullname as course_name, cn.finalgrade, {TS('cn.timemodified')} as fecha_nota,
+ case when cn.finalgrade is null then 'Sin nota' when cn.finalgrade >= 60 then 'Aprobado' else 'No aprobado' end as estado_aprobacion
+from base b join tr_courses c on c.id = b.courseid left join curso_notas cn on cn.userid = b.userid and cn.courseid = b.courseid""", LEG)
+sql("enrolled_approved", f"""
+with fc as (select coh.id as cohortid, coh.name as cohort_name, {category_sql('coh.name')} as cohort_group from tr_cohorts coh where {VERS}),
+uce as (select distinct cm.userid, fc.cohortid, fc.cohort_name, fc.cohort_group, e.courseid
+  from tr_cohort_members cm join fc on fc.cohortid = cm.cohortid join tr_enrol_cohort_course e on e.cohortid = fc.cohortid),
+mc as (select userid, courseid, min(timecreated) as enrol_time_unix from tr_user_enrolments group by 1, 2)
+select up.partner, uce.userid, uce.cohort_name, uce.cohort_group, uce.courseid, c.fullname as course_fullname,
+ case when ca.userid is not null then 1 else 0 end as aprobado, ca.finalgrade,
+ case when ca.userid is not null then {TS('ca.timemodified')} end as fecha_aprobado,
+ {TS('greatest(up.timecreated, coalesce(mc.enrol_time_unix, 0))')} as fecha_alta_o_matricula_mas_actual
+from uce join user_partner up on up.userid = uce.userid join tr_courses c on c.id = uce.courseid
+left join curso_aprobados ca on ca.userid = uce.userid and ca.courseid = uce.courseid
+left join mc on mc.userid = uce.userid and mc.courseid = uce.courseid""", LEG)
+sql("users_cohorts", f"""select u.id, u.username as login, u.firstname || ' ' || u.lastname as nombre_completo, u.email,
+ strftime({TS('u.timecreated')}, '%d/%m/%Y %H:%M') as fecha_alta, strftime({TS('u.lastaccess')}, '%d/%m/%Y %H:%M') as ultimo_acceso,
+ {P2} as partner, c.name as cohorte, strftime({TS('cm.timeadded')}, '%d/%m/%Y %H:%M') as fecha_alta_cohorte
+ from tr_users u left join tr_cohort_members_ext cm on cm.userid = u.id left join tr_cohorts c on c.id = cm.cohortid
+ where u.suspended = 0 and list_last(string_split(u.username, '-')) = 'nation_7' and c.name like '%14.6%'""", LEG)

@@ -41,15 +41,18 @@ def _title(key: F.Column) -> F.Column:
 
 
 class TestTables:
-    """Lazy access to the parquet test tables of one scale factor."""
+    """Lazy access to the parquet test tables of one scale factor (one read per table)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self._cache = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._cache:
+            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._cache[name]
 
 
 def users(t: TestTables) -> DataFrame:
@@ -103,6 +106,13 @@ def user_courses(t: TestTables) -> DataFrame:
             .select(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("courseid")).distinct())
 
 
+def user_enrolments(t: TestTables) -> DataFrame:
+    """Enrolment rows with their creation time (several per user and course)."""
+    return (_lines(t).where(F.col("l_linenumber") <= 5)
+            .select(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("courseid"),
+                    _epoch(F.col("o_orderdate")).alias("timecreated")))
+
+
 def user_grades(t: TestTables) -> DataFrame:
     return (_lines(t).where(F.col("l_linenumber") <= 3)
             .groupBy(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("courseid"))
