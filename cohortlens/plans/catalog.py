@@ -279,3 +279,143 @@ for _name in ["users_partner_cohort", "users_month_partner", "hours_month_partne
 @query("users_cohorts")
 def _users_cohorts(c: Ctx):
     return _legacy(c).users_cohorts(USERS_COHORTS_PARTNER)
+
+
+# --- practice sessions from proxy logs (L1-L4, J21, J22, W3, A17, A29-A33, B22-B27) ---
+DOMAIN_MAP = {"d0.example": "PartnerZero", "d1.example": "partnerone"}
+
+
+def _proxy_log(c: Ctx):
+    """The derived log, written once to the checkpoint folder.
+
+    Read back, ``value`` is a stored column, so the regex parse works on a
+    column (as with real log files) instead of the generating expression.
+    """
+    if not hasattr(c, "_log"):
+        from cohortlens.session import checkpoint_dir
+        checkpoint_dir(c.spark)
+        c._log = td.proxy_log(c.t).checkpoint(eager=True)
+    return c._log
+
+
+def _sessionizer(c: Ctx):
+    from cohortlens.operators.sessions import Sessionizer
+    if not hasattr(c, "_sess"):
+        c._sess = Sessionizer(_proxy_log(c), RULES, DOMAIN_MAP)
+        c._docs = c._sess.documents()
+    return c._sess
+
+
+def _docs(c: Ctx):
+    _sessionizer(c)
+    return c._docs
+
+
+def _ts_sessions(c: Ctx):
+    from cohortlens.operators.sessions import TS_FMT
+    d = _docs(c)
+    return d.select("email", "user", "partner", "tenant",
+                    *[F.try_to_timestamp(F.col(x), F.lit(TS_FMT)).alias(x) for x in ("fecha_inicio", "fecha_fin", "last_seen")],
+                    "certificacion", "groups")
+
+
+@query("log_events")
+def _log_events(c: Ctx):
+    from cohortlens.operators.sessions import log_events
+    return log_events(_proxy_log(c), RULES)
+
+
+@query("practice_sessions")
+def _practice_sessions(c: Ctx):
+    s = _ts_sessions(c)
+    return s.withColumn("groups", F.array_join("groups", " "))
+
+
+@query("session_signout")
+def _session_signout(c: Ctx):
+    s = _sessionizer(c)
+    ps = s.pod_sessions().join(s.signouts(), ["pod", "email", "created"])
+    return ps.where(F.col("out_line") > F.col("login_line")).select(
+        "pod", "email", F.col("created").alias("fecha_inicio"), F.col("out_ts").alias("fecha_fin"))
+
+
+@query("session_last_seen")
+def _session_last_seen(c: Ctx):
+    return _sessionizer(c).ip_last_seen()
+
+
+@query("session_dedupe")
+def _session_dedupe(c: Ctx):
+    return _docs(c).select("email", "fecha_inicio", "pod", "n_pods")
+
+
+@query("practice_detail")
+def _practice_detail(c: Ctx):
+    from cohortlens.operators.sessions import detail
+    return detail(_docs(c))
+
+
+@query("session_duration")
+def _session_duration(c: Ctx):
+    return _docs(c).select("email", "fecha_inicio", R.session_hours("fecha_inicio", "last_seen").alias("duracion_h"))
+
+
+@query("practice_summary")
+def _practice_summary(c: Ctx):
+    from cohortlens.operators.sessions import detail, practice_summary
+    return practice_summary(detail(_docs(c)))
+
+
+@query("sessions_histogram")
+def _sessions_histogram(c: Ctx):
+    from cohortlens.operators.sessions import histogram
+    return histogram(_ts_sessions(c), "day")
+
+
+@query("sessions_top_partners")
+def _sessions_top_partners(c: Ctx):
+    from cohortlens.operators.sessions import top_terms
+    return top_terms(_ts_sessions(c), "partner", 10)
+
+
+@query("sessions_tenant")
+def _sessions_tenant(c: Ctx):
+    from cohortlens.operators.sessions import top_terms
+    return top_terms(_ts_sessions(c), "tenant", 5)
+
+
+@query("sessions_certification")
+def _sessions_certification(c: Ctx):
+    from cohortlens.operators.sessions import top_terms
+    return top_terms(_ts_sessions(c), "certificacion", 10, R.MISSING_CERT_LABEL)
+
+
+@query("sessions_cardinality")
+def _sessions_cardinality(c: Ctx):
+    from cohortlens.operators.sessions import partner_cardinality
+    return partner_cardinality(_ts_sessions(c), 20)
+
+
+@query("sessions_cardinality_approx")
+def _sessions_cardinality_approx(c: Ctx):
+    from cohortlens.operators.sessions import partner_cardinality
+    return partner_cardinality(_ts_sessions(c), 20, approx=True)
+
+
+@query("sessions_last_30d")
+def _sessions_last_30d(c: Ctx):
+    from cohortlens.operators.sessions import last_days
+    return last_days(_ts_sessions(c), td.AS_OF_SESSIONS).select("email", "partner", "fecha_inicio")
+
+
+@query("email_domain_partner")
+def _email_domain_partner(c: Ctx):
+    from cohortlens.operators.sessions import email_partner, parse_lines
+    e = parse_lines(_proxy_log(c), RULES).where(F.col("email").isNotNull()).select("email").distinct()
+    return e.select("email", R.email_domain("email").alias("domain"), email_partner(F.col("email"), DOMAIN_MAP).alias("partner"))
+
+
+@query("path_certification")
+def _path_certification(c: Ctx):
+    from cohortlens.operators.sessions import path_certifications
+    return path_certifications(_proxy_log(c), RULES)

@@ -285,3 +285,89 @@ sql("users_cohorts", f"""select u.id, u.username as login, u.firstname || ' ' ||
  {P2} as partner, c.name as cohorte, strftime({TS('cm.timeadded')}, '%d/%m/%Y %H:%M') as fecha_alta_cohorte
  from tr_users u left join tr_cohort_members_ext cm on cm.userid = u.id left join tr_cohorts c on c.id = cm.cohortid
  where u.suspended = 0 and list_last(string_split(u.username, '-')) = 'nation_7' and c.name like '%14.6%'""", LEG)
+
+
+# --- practice sessions ------------------------------------------------------------------
+def _rx(p: str) -> str:
+    return f"nullif(regexp_extract(value, '{p}', 1), '')"
+
+
+DMAP = "(CASE dom WHEN 'd0.example' THEN 'PartnerZero' WHEN 'd1.example' THEN 'partnerone' ELSE split_part(dom, '.', 1) END)"
+SES = {
+    "parsed0": f"""select pod, line_no,
+ case when contains(value, '[AuthSuccess]') then 'login' when contains(value, '/oauth2/auth') and contains(value, ' 202 ') then 'activity'
+      when contains(value, 'sign_out') then 'logout' end as kind,
+ {_rx(r'^(\d+\.\d+\.\d+\.\d+):')} as ip, {_rx(r'\[(\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})\]')} as ts_raw,
+ {_rx(r'(\S+@\S+) \[\d{4}/\d{2}/\d{2}')} as email, {_rx(r'\btenant:(\w+)')} as tenant, {_rx(r'\buser:(\S+)')} as user_raw,
+ {_rx(r'\bcreated:(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})')} as created, {_rx(r'\bgroups:\[([^\]]+)\]')} as groups_raw,
+ {_rx(r'\b(?:GET|POST|PUT|PATCH|DELETE|HEAD|OPTIONS) (\S+)')} as path
+ from tr_proxy_log""",
+    "parsed": """select pod, line_no, kind, ip,
+ coalesce(strftime(try_strptime(ts_raw, '%Y/%m/%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S'), ts_raw) as ts,
+ email, tenant, coalesce(user_raw, split_part(email, '@', 1)) as "user", created,
+ case when groups_raw is null then [] else list_filter(string_split_regex(trim(groups_raw), '\\s+'), lambda x: x <> '') end as groups,
+ path, ts_raw,
+ case when kind = 'login' then coalesce(email is not null and tenant is not null and created is not null and tenant in ('students'), false)
+      else (ip is not null and ts_raw is not null) end as accepted
+ from parsed0 where kind is not null""",
+    "acc": "select * from parsed where accepted",
+    "pod_sessions": """select pod, email, created, line_no as login_line, ip as src_ip, "user", tenant, groups, path from (
+ select *, row_number() over (partition by pod, email, created order by line_no desc) as rn from acc where kind = 'login') where rn = 1""",
+    "ptr": """select pod, ip, line_no, kind, ts,
+ last_value(case when kind = 'login' then email end ignore nulls) over w as p_email,
+ last_value(case when kind = 'login' then created end ignore nulls) over w as p_created
+ from acc where (kind = 'login' and ip is not null) or kind = 'logout'
+ window w as (partition by pod, ip order by line_no rows between unbounded preceding and current row)""",
+    "so": """select pod, p_email as email, p_created as created, max(line_no) as out_line, arg_max(ts, line_no) as out_ts
+ from ptr where kind = 'logout' and p_email is not null group by 1, 2, 3""",
+    "act": "select pod, ip, max(ts) as last_activity from acc where kind = 'activity' group by 1, 2",
+    "pod_docs": """select s.pod, s.email, s."user", s.tenant, s.created as fecha_inicio,
+ case when so.out_line > s.login_line then so.out_ts
+      else coalesce(strftime(try_strptime(s.created, '%Y-%m-%d %H:%M:%S') + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S'), s.created) end as fecha_fin,
+ case when a.last_activity is not null then greatest(s.created, a.last_activity) else s.created end as last_seen,
+ CAST(NULL AS VARCHAR) as certificacion, s.groups, s.login_line, so.out_line, so.out_ts
+ from pod_sessions s left join so on so.pod = s.pod and so.email = s.email and so.created = s.created
+ left join act a on a.pod = s.pod and a.ip = s.src_ip""",
+    "docs": f"""select email, fecha_inicio, pod, "user", tenant, fecha_fin, last_seen, certificacion, groups, n_pods,
+ {DMAP.replace('dom', "list_last(string_split(email, '@'))")} as partner from (
+ select *, row_number() over (partition by email, fecha_inicio order by pod) as rn,
+ count(*) over (partition by email, fecha_inicio) as n_pods from pod_docs) where rn = 1""",
+    "ts_sessions": """select email, "user", partner, tenant, try_strptime(fecha_inicio, '%Y-%m-%d %H:%M:%S') as fecha_inicio,
+ try_strptime(fecha_fin, '%Y-%m-%d %H:%M:%S') as fecha_fin, try_strptime(last_seen, '%Y-%m-%d %H:%M:%S') as last_seen,
+ certificacion, groups from docs""",
+    "det": f"""select partner, email, "user", tenant, fecha_inicio, fecha_fin, last_seen,
+ {HOURS2("greatest(epoch(try_strptime(last_seen, '%Y-%m-%d %H:%M:%S')) - epoch(try_strptime(fecha_inicio, '%Y-%m-%d %H:%M:%S')), 0)")} as duracion_h
+ from docs""",
+}
+sql("log_events", """select pod, line_no, kind, ip, ts, email, tenant, "user", created, array_to_string(groups, ' ') as groups, accepted
+ from parsed""", SES)
+sql("practice_sessions", """select email, "user", partner, tenant, fecha_inicio, fecha_fin, last_seen, certificacion,
+ array_to_string(groups, ' ') as groups from ts_sessions""", SES)
+sql("session_signout", """select s.pod, s.email, s.created as fecha_inicio, so.out_ts as fecha_fin
+ from pod_sessions s join so on so.pod = s.pod and so.email = s.email and so.created = s.created where so.out_line > s.login_line""", SES)
+sql("session_last_seen", "select * from act", SES)
+sql("session_dedupe", "select email, fecha_inicio, pod, n_pods from docs", SES)
+sql("practice_detail", "select * from det", SES)
+sql("session_duration", "select email, fecha_inicio, duracion_h from det", SES)
+sql("practice_summary", f"""select partner, count(*) as sesiones, count(distinct email) as alumnos,
+ round(coalesce(sum({CENTI('duracion_h')}), 0)::DOUBLE / 10.0::DOUBLE) / 10.0::DOUBLE as horas_totales,
+ coalesce(max(fecha_inicio), '') as ultima_sesion from det group by partner""", SES)
+sql("sessions_histogram", "select date_trunc('day', fecha_inicio) as bucket, count(*) as sesiones from ts_sessions group by 1", SES)
+sql("sessions_top_partners", """select partner, count(*) as sesiones from ts_sessions where partner is not null group by 1
+ order by sesiones desc, partner asc limit 10""", SES)
+sql("sessions_tenant", """select tenant, count(*) as sesiones from ts_sessions where tenant is not null group by 1
+ order by sesiones desc, tenant asc limit 5""", SES)
+sql("sessions_certification", """select coalesce(certificacion, 'Sin certificación detectada') as certificacion, count(*) as sesiones
+ from ts_sessions group by 1 order by sesiones desc, certificacion asc limit 10""", SES)
+sql("sessions_cardinality", """select partner, count(*) as sesiones, count(distinct email) as alumnos from ts_sessions
+ where partner is not null group by 1 order by sesiones desc, partner asc limit 20""", SES)
+sql("sessions_last_30d", """select email, partner, fecha_inicio from ts_sessions
+ where fecha_inicio >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 30 DAY""", SES)
+sql("email_domain_partner", f"""select email, dom as domain, {DMAP} as partner from (
+ select distinct email, case when contains(email, '@') then list_last(string_split(email, '@')) else email end as dom
+ from parsed where email is not null)""", SES)
+sql("path_certification", """select pod, line_no, path,
+ case when lower(path) like '%governance%' then 'Governance' when lower(path) like '%intelligence%' then 'Intelligence'
+      when lower(path) like '%discovery%' then 'Data Processing' when lower(path) like '%virtualizer%' then 'Data Processing'
+      when lower(path) like '%rocket%' then 'Operaciones' when lower(path) like '%genai%' then 'AI' end as certificacion
+ from parsed0 where path is not null""", SES)
