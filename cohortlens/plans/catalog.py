@@ -419,3 +419,240 @@ def _email_domain_partner(c: Ctx):
 def _path_certification(c: Ctx):
     from cohortlens.operators.sessions import path_certifications
     return path_certifications(_proxy_log(c), RULES)
+
+
+# --- rule B9 ----------------------------------------------------------------------
+@query("approval_status")
+def _approval_status(c: Ctx):
+    g = c.snap["user_grades"]
+    grade = F.when(F.col("userid") % 17 == 0, F.lit(None).cast("double")).otherwise(F.col("graderaw"))
+    g = g.select("userid", "courseid", grade.alias("graderaw"))
+    return g.select("*", R.approval_status("graderaw", RULES.legacy_pass_mark).alias("estado_aprobacion"),
+                    R.passed("graderaw", RULES.pass_mark).alias("aprobado"))
+
+
+# --- quality (Q2, Q4, Q5, J24, A18-A20, B29) -----------------------------------------
+from cohortlens.operators import quality as qa  # noqa: E402
+
+SNAPSHOT_CUTOFF = "1999-01-01"
+COMPARE_DATASETS = ["users", "courses", "cohorts", "user_grades", "attendance_sessions"]
+
+
+@query("snapshot_counts")
+def _snapshot_counts(c: Ctx):
+    return qa.snapshot_counts(c.snap, RULES)
+
+
+@query("profile_partners")
+def _profile_partners(c: Ctx):
+    return qa.users_profile(c.snap, RULES)
+
+
+@query("profile_cohort_category")
+def _profile_cohort_category(c: Ctx):
+    return qa.cohort_category_profile(c.snap, RULES)
+
+
+@query("profile_cohort_version")
+def _profile_cohort_version(c: Ctx):
+    return qa.cohort_version_profile(c.snap, RULES)
+
+
+@query("profile_course_category")
+def _profile_course_category(c: Ctx):
+    return qa.course_category_profile(c.snap, RULES)
+
+
+@query("profile_grades")
+def _profile_grades(c: Ctx):
+    return qa.grades_profile(c.snap, RULES)
+
+
+@query("profile_kpis")
+def _profile_kpis(c: Ctx):
+    return qa.profile_kpis(c.snap, RULES)
+
+
+@query("recent_joins")
+def _recent_joins(c: Ctx):
+    return qa.recent_joins(c.snap)
+
+
+@query("dq_no_partner")
+def _dq_no_partner(c: Ctx):
+    return qa.no_partner_count(c.snap, RULES)
+
+
+@query("business_alerts")
+def _business_alerts(c: Ctx):
+    return qa.business_alerts(c.snap, RULES, td.partner_meta(c.t))
+
+
+@query("threshold_checks")
+def _threshold_checks(c: Ctx):
+    return qa.threshold_checks(c.snap, RULES)
+
+
+def _base_snapshot(c: Ctx):
+    """The same platform seen on an earlier day: rows created before the cutoff."""
+    cut = F.unix_seconds(F.lit(SNAPSHOT_CUTOFF).cast("timestamp"))
+    s = c.snap
+    return s.with_frames(users=s["users"].where(F.col("timecreated") < cut),
+                         user_grades=s["user_grades"].where(F.col("gradedategraded") < cut),
+                         attendance_sessions=None)
+
+
+@query("snapshot_compare")
+def _snapshot_compare(c: Ctx):
+    return qa.compare_snapshots(_base_snapshot(c), c.snap, COMPARE_DATASETS)
+
+
+@query("snapshot_fingerprint")
+def _snapshot_fingerprint(c: Ctx):
+    return qa.snapshot_fingerprints(c.snap, list(c.snap.present))
+
+
+# --- payload flattening and source projections (N1-N9, P1-P7) --------------------------
+from cohortlens.operators import payload as pl  # noqa: E402
+
+CHUNK = 512  # ids per nested list: payload documents are bounded
+
+
+def _nest(df, key, item_cols, list_name, chunk_col):
+    """Fixture payload: rows nested per (key, id chunk) so every list has <= CHUNK items."""
+    item = F.struct(*item_cols) if isinstance(item_cols, list) else item_cols
+    return df.groupBy(key, F.floor(F.col(chunk_col) / CHUNK).alias("_chunk")).agg(F.collect_list(item).alias(list_name))
+
+
+@query("n1_cohort_members")
+def _n1(c: Ctx):
+    cm = c.snap["cohort_members"]
+    return pl.explode_members(_nest(cm, "cohortid", F.col("userid"), "userids", "userid"))
+
+
+@query("n2_user_courses")
+def _n2(c: Ctx):
+    uc = c.snap["user_courses"].join(c.snap["courses"], F.col("courseid") == F.col("id"))
+    nested = _nest(uc, "userid", [F.col("id"), F.col("fullname")], "courses", "courseid")
+    return pl.flatten_user_courses(nested).select("userid", F.col("id").alias("courseid"), "fullname")
+
+
+@query("n3_grade_items")
+def _n3(c: Ctx):
+    g = c.snap["user_grades"]
+    item = F.struct(F.col("courseid").alias("id"), F.lit("course").alias("itemtype"),
+                    F.lit(None).cast("string").alias("itemname"),
+                    F.when(F.col("userid") % 17 == 0, F.lit(None).cast("double")).otherwise(F.col("graderaw")).alias("graderaw"),
+                    F.lit(None).cast("string").alias("gradeformatted"), F.lit(None).cast("long").alias("gradedatesubmitted"),
+                    F.col("gradedategraded"))
+    per_pair = g.select("userid", "courseid", F.array(item).alias("gradeitems"))
+    payload = per_pair.select(F.array(F.struct("userid", "courseid", "gradeitems")).alias("usergrades"))
+    return pl.flatten_grades(payload)
+
+
+@query("n4_completion_status")
+def _n4(c: Ctx):
+    cc = c.snap["course_completions"]
+    status = F.struct(F.when(F.col("completed") == 1, F.lit(True)).alias("completed"),
+                      F.col("timecompleted").alias("timecompleted"))
+    return pl.flatten_completion(cc.select("userid", "courseid", status.alias("completionstatus")))
+
+
+@query("n5_roster_users")
+def _n5(c: Ctx):
+    u = c.snap["users"]
+    uc = c.snap["user_courses"]
+    r = uc.join(u, uc.userid == u.id)
+    item = F.struct("id", "username", "email", "firstname", "lastname")
+    payload = (r.groupBy(F.col("courseid").alias("position"), F.floor(F.col("id") / CHUNK).alias("_chunk"))
+               .agg(F.collect_list(item).alias("users")))
+    return pl.users_from_rosters(payload)
+
+
+@query("n6_pair_keys")
+def _n6(c: Ctx):
+    uc = c.snap["user_courses"]
+    raw = uc.select("userid", F.when(F.col("courseid") % 7 == 0, 0).otherwise(F.col("courseid")).alias("courseid"),
+                    F.when(F.col("courseid") % 11 == 0, 0).otherwise(F.col("courseid")).alias("id"))
+    return pl.normalise_pairs(raw)
+
+
+@query("n7_source_fallback")
+def _n7(c: Ctx):
+    bulk = None  # bulk export not available in this snapshot
+    return pl.coalesce_sources([bulk, c.snap["cohort_members_ext"].select("cohortid", "userid"),
+                                c.snap["cohort_members"]])
+
+
+@query("n8_synth_cohorts")
+def _n8(c: Ctx):
+    return pl.synth_cohorts(c.snap["cohort_members"])
+
+
+@query("n9_pages")
+def _n9(c: Ctx):
+    u = c.snap["users"]
+    pages = u.select("*", F.floor((F.col("id") - 1) / 500).alias("page"))
+    return pl.page_check(pages, 500)
+
+
+@query("p1_cohort_members")
+def _p1(c: Ctx):
+    return pl.p1_cohort_members(c.snap["cohort_members_ext"])
+
+
+@query("p2_attendance_register")
+def _p2(c: Ctx):
+    e = c.t.events
+    sessions = e.select(F.col("event_id").alias("id"), F.col("user_id").alias("userid"),
+                        (F.col("event_id") % 200).alias("register"),
+                        F.unix_seconds(F.col("ts").cast("timestamp")).alias("login"),
+                        F.floor(F.col("value") * 60).cast("long").alias("duration"))
+    register = sessions.select(F.col("register").alias("id")).distinct().select(
+        "id", ((F.col("id") * 7) % 200).alias("course"))
+    return pl.p2_attendance(sessions, register)
+
+
+def _enrol_table(c: Ctx):
+    k = F.col("p_partkey")
+    return c.t.part.select(k.alias("id"), F.when(k % 10 == 9, "manual").otherwise("cohort").alias("enrol"),
+                           F.when(k % 10 == 8, F.lit(None)).otherwise(k % 25).alias("customint1"),
+                           k.alias("courseid"), F.when(F.col("p_size") > 45, 1).otherwise(0).alias("status"))
+
+
+@query("p3_cohort_bridge")
+def _p3(c: Ctx):
+    return pl.p3_cohort_bridge(_enrol_table(c))
+
+
+@query("p4_users")
+def _p4(c: Ctx):
+    u = c.snap["users"]
+    return pl.p4_users(u.withColumn("deleted", F.when(F.col("id") % 13 == 0, 1).otherwise(0)))
+
+
+@query("p5_active_enrolments")
+def _p5(c: Ctx):
+    l, o = c.t.lineitem, c.t.orders
+    ue = (l.join(o, o.o_orderkey == l.l_orderkey).where(F.col("l_linenumber") <= 5)
+          .select(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("enrolid"),
+                  F.when(F.col("l_linestatus") == "O", 0).otherwise(1).alias("status")))
+    return pl.p5_active_enrolments(ue, _enrol_table(c))
+
+
+@query("p6_completions")
+def _p6(c: Ctx):
+    cc = c.snap["course_completions"]
+    return pl.p6_completions(cc.select("userid", "courseid", F.nullif(F.col("timecompleted"), F.lit(0)).alias("timecompleted")))
+
+
+@query("p7_final_grades")
+def _p7(c: Ctx):
+    g = c.snap["user_grades"]
+    grades = g.select("userid", F.col("courseid").alias("itemid"),
+                      F.when(F.col("userid") % 17 == 0, F.lit(None).cast("double")).otherwise(F.col("graderaw")).alias("finalgrade"),
+                      F.col("gradedategraded").alias("timemodified"))
+    k = F.col("p_partkey")
+    items = c.t.part.select(k.alias("id"), k.alias("courseid"),
+                            F.when(k % 3 == 0, "mod").otherwise("course").alias("itemtype"))
+    return pl.p7_final_grades(grades, items)

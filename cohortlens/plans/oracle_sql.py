@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortlens.plans.oracle import (CENTI, EPOCH, HOURS2, PCT1, TS, category_sql, cert_sql, language_sql,
+from cohortlens.plans.oracle import (CENTI, EPOCH, HOURS2, HOUSE, PCT1, TS, category_sql, cert_sql, language_sql,
                                      partner_sql, version_sql, with_ctes)
 
 ALTAS_YEARS = ["1995", "1996", "1997", "1998", "1999", "2000", "2001"]
@@ -371,3 +371,97 @@ sql("path_certification", """select pod, line_no, path,
       when lower(path) like '%discovery%' then 'Data Processing' when lower(path) like '%virtualizer%' then 'Data Processing'
       when lower(path) like '%rocket%' then 'Operaciones' when lower(path) like '%genai%' then 'AI' end as certificacion
  from parsed0 where path is not null""", SES)
+
+
+# --- rule B9 ---------------------------------------------------------------------------
+sql("approval_status", """select userid, courseid, graderaw,
+ case when graderaw is null then 'Sin nota' when graderaw >= 60 then 'Aprobado' else 'No aprobado' end as estado_aprobacion,
+ graderaw >= 70 as aprobado
+ from (select userid, courseid, case when userid % 17 = 0 then null else graderaw end as graderaw from tr_user_grades)""")
+
+# --- quality ------------------------------------------------------------------------------
+PU = partner_sql()
+sql("snapshot_counts", f"""select (select count(*) from tr_users) as total_users,
+ (select count(distinct {PU}) from tr_users) as n_partners, (select count(*) from tr_courses) as total_courses,
+ (select count(*) from tr_cohorts) as total_cohorts, (select count(*) from tr_user_grades) as total_user_grades""")
+sql("profile_partners", f"""select {PU} as partner, count(*) as n_usuarios from tr_users group by 1
+ order by n_usuarios desc, partner asc nulls last limit 15""")
+sql("profile_cohort_category", f"select {category_sql('name')} as categoria, count(*) as n from tr_cohorts group by 1")
+sql("profile_cohort_version", f"""select coalesce({version_sql('name')}, '(sin versión)') as version, count(*) as n
+ from tr_cohorts group by 1""")
+sql("profile_course_category", f"select {category_sql('fullname')} as categoria, count(*) as n from tr_courses group by 1")
+sql("profile_grades", "select graderaw >= 70 as aprobado, count(*) as n from tr_user_grades where graderaw is not null group by 1")
+KPIS = f"""select (select count(*) from tr_users) as total_users, (select count(distinct {PU}) from tr_users) as n_partners,
+ (select count(*) from tr_users where suspended = 0 or suspended is null) as usuarios_activos,
+ (select count(*) from tr_cohorts) as total_cohorts, (select count(*) from tr_courses) as total_courses,
+ (select count(*) from tr_courses where {cert_sql('fullname')}) as cursos_certificacion,
+ (select count(*) from tr_cohort_members_ext) as total_inscripciones,
+ (select count(distinct userid) from tr_cohort_members_ext) as usuarios_inscritos,
+ (select count(distinct cohortid) from tr_cohort_members_ext) as cohortes_inscritas,
+ (select count(*) from tr_user_grades) as total_grades,
+ (select count(*) from tr_user_grades where graderaw >= 70) as certificaciones_aprobadas"""
+NOPART = f"""(select count(*) from tr_users where not (lower(email) like '%{HOUSE}%' or lower(username) like '%{HOUSE}%')
+ and not contains(username, '-'))"""
+sql("profile_kpis", KPIS)
+sql("recent_joins", f"""select strftime({TS('timeadded')}, '%Y-%m') as mes, count(*) as altas from tr_cohort_members_ext
+ where timeadded is not null group by 1 order by mes desc limit 6""")
+sql("dq_no_partner", f"select {NOPART} as usuarios_sin_partner")
+sql("business_alerts", f"""with k as ({KPIS}, {NOPART} as usuarios_sin_partner,
+ (select count(*) from (select partner from tr_partner_meta group by partner having count(*) > 1)) as meta_duplicados)
+select 'sin_usuarios' as alerta, total_users as valor, total_users = 0 as disparada from k
+union all select 'sin_partners', n_partners, n_partners = 0 from k
+union all select 'sin_cursos', total_courses, total_courses = 0 from k
+union all select 'sin_cursos_certificacion', cursos_certificacion, cursos_certificacion = 0 and total_courses > 0 from k
+union all select 'sin_cohortes', total_cohorts, total_cohorts = 0 from k
+union all select 'usuarios_sin_partner', usuarios_sin_partner, usuarios_sin_partner > 0 from k
+union all select 'partner_meta_duplicado', meta_duplicados, meta_duplicados > 0 from k""")
+sql("threshold_checks", f"""with k as ({KPIS})
+select 'min_users' as regla, total_users::DOUBLE as valor, 100.0::DOUBLE as umbral, total_users >= 100 as ok from k
+union all select 'min_partners', n_partners::DOUBLE, 1.0::DOUBLE, n_partners >= 1 from k
+union all select 'max_cert_ratio', certificaciones_aprobadas::DOUBLE / nullif(usuarios_activos::DOUBLE, 0.0::DOUBLE), 1.0::DOUBLE,
+ coalesce(certificaciones_aprobadas::DOUBLE / nullif(usuarios_activos::DOUBLE, 0.0::DOUBLE) <= 1.0, true) from k
+union all select 'expected_datasets', 10.0::DOUBLE, 10.0::DOUBLE, true from k""")
+CUT = "cast(floor(epoch(TIMESTAMP '1999-01-01 00:00:00')) as bigint)"
+sql("snapshot_compare", f"""
+select dataset, base, target, target - base as delta from (
+ select 'users' as dataset, (select count(*) from tr_users where timecreated < {CUT}) as base, (select count(*) from tr_users) as target
+ union all select 'courses', (select count(*) from tr_courses), (select count(*) from tr_courses)
+ union all select 'cohorts', (select count(*) from tr_cohorts), (select count(*) from tr_cohorts)
+ union all select 'user_grades', (select count(*) from tr_user_grades where gradedategraded < {CUT}), (select count(*) from tr_user_grades)
+ union all select 'attendance_sessions', cast(null as bigint), (select count(*) from tr_attendance_sessions))""")
+
+# --- payload flattening and projections ----------------------------------------------------
+sql("n1_cohort_members", "select cohortid, userid from tr_cohort_members")
+sql("n2_user_courses", "select uc.userid, c.id as courseid, c.fullname from tr_user_courses uc join tr_courses c on c.id = uc.courseid")
+sql("n3_grade_items", """select userid, courseid, courseid as itemid, 'course' as itemtype, cast(null as varchar) as itemname, graderaw,
+ cast(null as varchar) as gradeformatted, cast(null as bigint) as gradedatesubmitted, gradedategraded
+ from (select userid, courseid, case when userid % 17 = 0 then null else graderaw end as graderaw, gradedategraded from tr_user_grades)
+ where graderaw is not null""")
+sql("n4_completion_status", """select userid, courseid, coalesce(case when completed = 1 then true end, false) as completed, timecompleted
+ from tr_course_completions""")
+sql("n5_roster_users", """select id, username, email, firstname, lastname from tr_users
+ where id <> 0 and id in (select userid from tr_user_courses)""")
+sql("n6_pair_keys", """select userid, coalesce(nullif(cid, 0), nullif(id, 0)) as courseid from (
+ select userid, case when courseid % 7 = 0 then 0 else courseid end as cid, case when courseid % 11 = 0 then 0 else courseid end as id
+ from tr_user_courses) where coalesce(nullif(cid, 0), nullif(id, 0)) is not null""")
+sql("n7_source_fallback", "select cohortid, userid from tr_cohort_members_ext")
+sql("n8_synth_cohorts", """select id, 'cohort_' || cast(id as varchar) as name, 1 as visible, true as fallback
+ from (select distinct cohortid as id from tr_cohort_members where cohortid is not null)""")
+sql("n9_pages", """select page, n_rows, page = max(page) over () as last_page,
+ (page = max(page) over ()) or n_rows = 500 as ok from (
+ select cast(floor((id - 1) / 500) as bigint) as page, count(*) as n_rows from tr_users group by 1)""")
+sql("p1_cohort_members", """select cast(cohortid as varchar) || '_' || cast(userid as varchar) as id, cohortid, userid, timeadded
+ from tr_cohort_members_ext""")
+sql("p2_attendance_register", f"""select event_id as id, user_id as userid, ((event_id % 200) * 7) % 200 as courseid,
+ {EPOCH('ts')} as login, cast(floor(value * 60) as bigint) as duration from events""")
+ENROL = """(select p_partkey as id, case when p_partkey % 10 = 9 then 'manual' else 'cohort' end as enrol,
+ case when p_partkey % 10 = 8 then null else p_partkey % 25 end as customint1, p_partkey as courseid,
+ case when p_size > 45 then 1 else 0 end as status from part)"""
+sql("p3_cohort_bridge", f"select id, customint1 as cohortid, courseid from {ENROL} where enrol = 'cohort' and customint1 is not null")
+sql("p4_users", "select * from tr_users where id % 13 <> 0 and id > 1")
+sql("p5_active_enrolments", f"""select distinct o.o_custkey as userid, e.courseid from lineitem l join orders o on o.o_orderkey = l.l_orderkey
+ join {ENROL} e on e.id = l.l_partkey where l.l_linenumber <= 5 and l.l_linestatus = 'O' and e.status = 0""")
+sql("p6_completions", """select userid, courseid, cast(coalesce(nullif(timecompleted, 0), 0) > 0 as integer) as completed,
+ coalesce(nullif(timecompleted, 0), 0) as timecompleted from tr_course_completions""")
+sql("p7_final_grades", """select g.userid, g.courseid, g.graderaw, g.gradedategraded from tr_user_grades g
+ where g.userid % 17 <> 0 and g.courseid % 3 <> 0 and g.graderaw is not null""")
