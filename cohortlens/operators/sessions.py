@@ -116,72 +116,101 @@ class Sessionizer:
                         F.col("l.groups").alias("groups"), F.col("l.path").alias("path"))
 
     # Pointer of each sign-out (segmented forward fill) --------------------
-    def signout_pointers(self) -> DataFrame:
-        ev = self.lines.where(((F.col("kind") == "login") & F.col("ip").isNotNull()) | (F.col("kind") == "logout"))
-        is_login = F.col("kind") == "login"
-        key = F.when(is_login, F.struct("email", "created"))
-        ev = ev.select("pod", "ip", "line_no", "kind", "ts", key.alias("key"),
-                       F.floor(F.col("line_no") / F.lit(self.block)).alias("blk"))
-        # per-block summary: the last login key of the block (null if none)
-        summ = ev.groupBy("pod", "ip", "blk").agg(
-            F.max_by(F.col("key"), F.when(F.col("key").isNotNull(), F.col("line_no"))).alias("blk_last"))
-        wb = Window.partitionBy("pod", "ip").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-        carry = summ.select("pod", "ip", "blk", F.last("blk_last", ignorenulls=True).over(wb).alias("carry"))
-        wl = Window.partitionBy("pod", "ip", "blk").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-        filled = ev.select("pod", "ip", "blk", "line_no", "kind", "ts",
-                           F.last("key", ignorenulls=True).over(wl).alias("in_blk"))
-        outs = filled.where(F.col("kind") == "logout").join(carry, ["pod", "ip", "blk"], "left")
-        ptr = F.coalesce("in_blk", "carry")
-        return outs.select("pod", "ip", "line_no", "ts", ptr.getField("email").alias("email"),
-                           ptr.getField("created").alias("created")).where(F.col("email").isNotNull())
+    def signout_pointers(self, lines: DataFrame | None = None, initial: DataFrame | None = None) -> DataFrame:
+        return signout_pointers(self.lines if lines is None else lines, self.block, initial)
 
     def signouts(self) -> DataFrame:
         """Per session key: the last sign-out that points to it (any IP), pre-aggregated."""
-        p = self.signout_pointers()
-        return p.groupBy("pod", "email", "created").agg(F.max("line_no").alias("out_line"),
-                                                        F.max_by("ts", "line_no").alias("out_ts"))
+        return aggregate_signouts(self.signout_pointers())
 
     # J22 -----------------------------------------------------------------------
     def ip_last_seen(self) -> DataFrame:
-        a = self.lines.where(F.col("kind") == "activity")
-        return a.groupBy("pod", "ip").agg(F.max("ts").alias("last_activity"))
+        return activity_max(self.lines)
 
     # per-pod documents ---------------------------------------------------------
     def pod_documents(self) -> DataFrame:
-        s = self.pod_sessions()
-        so = self.signouts()
-        act = self.ip_last_seen().withColumnRenamed("ip", "src_ip")
-        j = s.join(so, ["pod", "email", "created"], "left").join(act, ["pod", "src_ip"], "left")
-        closed = F.col("out_line") > F.col("login_line")
-        end = F.when(closed, F.col("out_ts")).otherwise(R.default_end("created", self.rules.session_minutes))
-        last_seen = F.when(F.col("last_activity").isNotNull(), F.greatest("created", "last_activity")).otherwise(
-            F.col("created"))
-        return j.select("pod", "email", "user", "tenant", F.col("created").alias("fecha_inicio"),
-                        end.alias("fecha_fin"), last_seen.alias("last_seen"),
-                        R.path_certification("path", self.rules.path_cert_map).alias("certificacion"), "groups",
-                        "login_line")
+        s = self.pod_sessions().join(self.signouts(), ["pod", "email", "created"], "left")
+        return pod_documents(s, self.ip_last_seen(), self.rules)
 
     # W3 ------------------------------------------------------------------------
     def documents(self) -> DataFrame:
         """Deduplicated documents with text dates (first pod in pod order wins)."""
-        d = self.pod_documents()
-        if self.pod_order is not None:
-            d = d.join(F.broadcast(self.pod_order), "pod", "left")
-            rank = F.struct(F.col("pod_rank"), F.col("pod"))
-        else:
-            rank = F.col("pod")
-        cols = ["pod", "user", "tenant", "fecha_fin", "last_seen", "certificacion", "groups"]
-        w = d.groupBy("email", "fecha_inicio").agg(
-            F.min_by(F.struct(*cols), rank).alias("d"), F.count("*").alias("n_pods"))
-        out = w.select("email", "fecha_inicio", *[F.col(f"d.{c}").alias(c) for c in cols], "n_pods")
-        return with_email_partner(out, "email", self.domain_map)
+        return dedupe_documents(self.pod_documents(), self.domain_map, self.pod_order)
 
     def sessions(self) -> DataFrame:
         """K6 document: dates as timestamps (unparsable text -> null)."""
-        d = self.documents()
-        ts = lambda c: F.try_to_timestamp(F.col(c), F.lit(TS_FMT)).alias(c)
-        return d.select("email", "user", "partner", "tenant", ts("fecha_inicio"), ts("fecha_fin"), ts("last_seen"),
-                        "certificacion", "groups")
+        return as_timestamps(self.documents())
+
+
+def signout_pointers(lines: DataFrame, block: int, initial: DataFrame | None = None) -> DataFrame:
+    """Key of the latest accepted login on the same (pod, ip) before each sign-out line.
+
+    ``initial`` (pod, ip, key) is the pointer state before these lines (streaming).
+    """
+    ev = lines.where(((F.col("kind") == "login") & F.col("ip").isNotNull()) | (F.col("kind") == "logout"))
+    is_login = F.col("kind") == "login"
+    key = F.when(is_login, F.struct("email", "created"))
+    ev = ev.select("pod", "ip", "line_no", "kind", "ts", key.alias("key"),
+                   F.floor(F.col("line_no") / F.lit(block)).alias("blk"))
+    # per-block summary: the last login key of the block (null if none)
+    summ = ev.groupBy("pod", "ip", "blk").agg(
+        F.max_by(F.col("key"), F.when(F.col("key").isNotNull(), F.col("line_no"))).alias("blk_last"))
+    wb = Window.partitionBy("pod", "ip").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = summ.select("pod", "ip", "blk", F.last("blk_last", ignorenulls=True).over(wb).alias("carry"))
+    if initial is not None:
+        carry = (carry.join(initial.select("pod", "ip", F.col("key").alias("init")), ["pod", "ip"], "left")
+                 .select("pod", "ip", "blk", F.coalesce("carry", "init").alias("carry")))
+    wl = Window.partitionBy("pod", "ip", "blk").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    filled = ev.select("pod", "ip", "blk", "line_no", "kind", "ts",
+                       F.last("key", ignorenulls=True).over(wl).alias("in_blk"))
+    outs = filled.where(F.col("kind") == "logout").join(carry, ["pod", "ip", "blk"], "left")
+    ptr = F.coalesce("in_blk", "carry")
+    return outs.select("pod", "ip", "line_no", "ts", ptr.getField("email").alias("email"),
+                       ptr.getField("created").alias("created")).where(F.col("email").isNotNull())
+
+
+def aggregate_signouts(pointers: DataFrame) -> DataFrame:
+    return pointers.groupBy("pod", "email", "created").agg(F.max("line_no").alias("out_line"),
+                                                           F.max_by("ts", "line_no").alias("out_ts"))
+
+
+def activity_max(lines: DataFrame) -> DataFrame:
+    a = lines.where(F.col("kind") == "activity")
+    return a.groupBy("pod", "ip").agg(F.max("ts").alias("last_activity"))
+
+
+def pod_documents(sessions: DataFrame, activity: DataFrame, rules: R.Rules) -> DataFrame:
+    """Sessions (with their last sign-out) -> per-pod documents."""
+    act = activity.withColumnRenamed("ip", "src_ip")
+    j = sessions.join(act, ["pod", "src_ip"], "left")
+    closed = F.col("out_line") > F.col("login_line")
+    end = F.when(closed, F.col("out_ts")).otherwise(R.default_end("created", rules.session_minutes))
+    last_seen = F.when(F.col("last_activity").isNotNull(), F.greatest("created", "last_activity")).otherwise(
+        F.col("created"))
+    return j.select("pod", "email", "user", "tenant", F.col("created").alias("fecha_inicio"),
+                    end.alias("fecha_fin"), last_seen.alias("last_seen"),
+                    R.path_certification("path", rules.path_cert_map).alias("certificacion"), "groups",
+                    "login_line")
+
+
+def dedupe_documents(docs: DataFrame, domain_map=None, pod_order: DataFrame | None = None) -> DataFrame:
+    d = docs
+    if pod_order is not None:
+        d = d.join(F.broadcast(pod_order), "pod", "left")
+        rank = F.struct(F.col("pod_rank"), F.col("pod"))
+    else:
+        rank = F.col("pod")
+    cols = ["pod", "user", "tenant", "fecha_fin", "last_seen", "certificacion", "groups"]
+    w = d.groupBy("email", "fecha_inicio").agg(
+        F.min_by(F.struct(*cols), rank).alias("d"), F.count("*").alias("n_pods"))
+    out = w.select("email", "fecha_inicio", *[F.col(f"d.{c}").alias(c) for c in cols], "n_pods")
+    return with_email_partner(out, "email", domain_map)
+
+
+def as_timestamps(docs: DataFrame) -> DataFrame:
+    ts = lambda c: F.try_to_timestamp(F.col(c), F.lit(TS_FMT)).alias(c)
+    return docs.select("email", "user", "partner", "tenant", ts("fecha_inicio"), ts("fecha_fin"), ts("last_seen"),
+                       "certificacion", "groups")
 
 
 # L4, B26 ------------------------------------------------------------------------

@@ -656,3 +656,29 @@ def _p7(c: Ctx):
     items = c.t.part.select(k.alias("id"), k.alias("courseid"),
                             F.when(k % 3 == 0, "mod").otherwise("course").alias("itemtype"))
     return pl.p7_final_grades(grades, items)
+
+
+# --- L3: the same sessions as a stream ------------------------------------------------------
+STREAM_CHUNKS = 4
+
+
+@query("practice_sessions_stream")
+def _practice_sessions_stream(c: Ctx):
+    """Log lines land as STREAM_CHUNKS files in line order; one micro-batch per file."""
+    import uuid
+
+    from cohortlens.operators.sessions import as_timestamps
+    from cohortlens.session import checkpoint_dir
+    from cohortlens.streaming.sessions import StreamingSessions, read_log_stream
+
+    base = f"{checkpoint_dir(c.spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    log = _proxy_log(c)
+    lo, hi = log.agg(F.min("line_no"), F.max("line_no")).first()
+    step = (hi - lo) // STREAM_CHUNKS + 1
+    for i in range(STREAM_CHUNKS):  # a landing log file per line range, oldest first
+        part = log.where((F.col("line_no") >= lo + i * step) & (F.col("line_no") < lo + (i + 1) * step))
+        part.coalesce(1).write.mode("append").parquet(f"{base}/landing")
+    ss = StreamingSessions(c.spark, f"{base}/state", RULES, DOMAIN_MAP)
+    q = ss.run(read_log_stream(c.spark, f"{base}/landing"), f"{base}/checkpoint")
+    q.awaitTermination()
+    return as_timestamps(ss.documents()).withColumn("groups", F.array_join("groups", " "))

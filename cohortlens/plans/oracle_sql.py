@@ -465,3 +465,5 @@ sql("p6_completions", """select userid, courseid, cast(coalesce(nullif(timecompl
  coalesce(nullif(timecompleted, 0), 0) as timecompleted from tr_course_completions""")
 sql("p7_final_grades", """select g.userid, g.courseid, g.graderaw, g.gradedategraded from tr_user_grades g
  where g.userid % 17 <> 0 and g.courseid % 3 <> 0 and g.graderaw is not null""")
+
+SQL["practice_sessions_stream"] = SQL["practice_sessions"]
