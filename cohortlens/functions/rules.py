@@ -263,7 +263,8 @@ def session_hours(start_text, last_seen_text) -> Column:
     fmt = F.lit("yyyy-MM-dd HH:mm:ss")
     a = F.unix_timestamp(F.try_to_timestamp(_c(start_text), fmt))
     b = F.unix_timestamp(F.try_to_timestamp(_c(last_seen_text), fmt))
-    return hours2(F.greatest(b - a, F.lit(0)))
+    diff = b - a  # null when either side is unparsable (greatest would turn it into 0)
+    return F.when(diff.isNotNull(), hours2(F.greatest(diff, F.lit(0))))
 
 
 def log_time(text) -> Column:

@@ -231,3 +231,12 @@ def annual_evolution(m: Model) -> DataFrame:
     u = cert.unionByName(horas, allowMissingColumns=True)
     return u.groupBy("anio").agg(F.coalesce(F.max("aprobados"), F.lit(0)).alias("aprobados"),
                                  F.coalesce(F.max("horas"), F.lit(0)).alias("horas"))
+
+
+# B33 --------------------------------------------------------------------------
+def partner_kpi(m: Model, partner: str) -> DataFrame:
+    """Users of one partner: one row, 0 when the partner is unknown."""
+    spark = m.snap.spark
+    want = spark.range(1).select(F.lit(partner).alias("partner"))
+    got = users_per_partner(m).where(F.col("partner") == F.lit(partner))
+    return want.join(got, "partner", "left").select("partner", F.coalesce("users", F.lit(0)).cast("long").alias("users"))

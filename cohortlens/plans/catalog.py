@@ -682,3 +682,8 @@ def _practice_sessions_stream(c: Ctx):
     q = ss.run(read_log_stream(c.spark, f"{base}/landing"), f"{base}/checkpoint")
     q.awaitTermination()
     return as_timestamps(ss.documents()).withColumn("groups", F.array_join("groups", " "))
+
+
+@query("partner_kpi")
+def _partner_kpi(c: Ctx):
+    return rep.partner_kpi(c.model, "nation_3")
