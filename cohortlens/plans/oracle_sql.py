@@ -58,17 +58,37 @@ left join cert on cert.partner = base.partner left join ded on ded.partner = bas
 left join ins on ins.partner = base.partner"""
 
 
-sql("partner_summary", _summary(None, ALTAS_YEARS, HORAS_YEARS))
+def pivot_sqls(altas_years, horas_years, house_altas_years) -> dict:
+    """The year-pivot statements for a given set of data years (columns are discovered from data)."""
+    out = {
+        "partner_summary": _summary(None, altas_years, horas_years),
+        "partner_filtered_summary": _summary("house", house_altas_years, horas_years),
+        "users_by_year_pivot": "select partner" + "".join(
+            f", count(distinct case when strftime(fecha_alta, '%Y') = '{y}' then userid end) as altas_{y}"
+            for y in altas_years) + " from f_usuarios group by partner",
+        "hours_by_year_pivot": "select partner" + "".join(
+            f", sum(case when left(mes, 4) = '{y}' then {CENTI('horas')} else 0 end) / 100.0::DOUBLE as horas_{y}"
+            for y in horas_years) + " from f_dedicacion group by partner",
+    }
+    return {k: with_ctes(v) for k, v in out.items()}
+
+
+# Years present in the sf0.01 test tables.
 HOUSE_ALTAS_YEARS = ["1995", "1996", "2001"]
-sql("partner_filtered_summary", _summary("house", HOUSE_ALTAS_YEARS, HORAS_YEARS))
+SQL.update(pivot_sqls(ALTAS_YEARS, HORAS_YEARS, HOUSE_ALTAS_YEARS))
 
-sql("users_by_year_pivot", "select partner" + "".join(
-    f", count(distinct case when strftime(fecha_alta, '%Y') = '{y}' then userid end) as altas_{y}" for y in ALTAS_YEARS)
-    + " from f_usuarios group by partner")
+YEAR_DISCOVERY = {
+    "altas": "select distinct strftime(fecha_alta, '%Y') from f_usuarios where fecha_alta is not null order by 1",
+    "horas": "select distinct left(mes, 4) from f_dedicacion order by 1",
+    "house": "select distinct strftime(fecha_alta, '%Y') from f_usuarios where fecha_alta is not null and lower(partner) = 'house' order by 1",
+}
+
+
+def discovered_pivot_sqls(con) -> dict:
+    """Pivot statements with the years of whatever tables ``con`` has registered (tests on other scales)."""
+    ys = {k: [r[0] for r in con.execute(with_ctes(v)).fetchall()] for k, v in YEAR_DISCOVERY.items()}
+    return pivot_sqls(ys["altas"], ys["horas"], ys["house"])
 
-sql("hours_by_year_pivot", "select partner" + "".join(
-    f", sum(case when left(mes, 4) = '{y}' then {CENTI('horas')} else 0 end) / 100.0::DOUBLE as horas_{y}" for y in HORAS_YEARS)
-    + " from f_dedicacion group by partner")
 
 sql("monthly_evolution", f"""
 with altas as (select partner, strftime(fecha_alta, '%Y-%m') as mes, count(*) as altas from f_usuarios group by 1, 2),

@@ -12,7 +12,11 @@ SQL = E.oracle_sql()
 
 @pytest.fixture(scope="module")
 def con():
-    return duck(SF_SMALL)
+    c = duck(SF_SMALL)
+    # pivot columns are discovered from data: regenerate those statements for this scale
+    from cohortlens.plans.oracle_sql import discovered_pivot_sqls
+    SQL.update(discovered_pivot_sqls(c))
+    return c
 
 
 def test_every_sql_key_is_a_query():
