@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions import rules as R
+from cohortlens.operators.joins import bounded_broadcast
 from cohortlens.sources.snapshot import Snapshot
 
 LISTING_VERSIONS = ("14.1", "14.6", "14.8")
@@ -179,39 +180,58 @@ class Legacy:
         return j.select("userid", "username", "email", "partner", "cohort_name", "cohort_group", "finalgrade",
                         R.epoch_ts("timemodified").alias("fecha_aprobado"))
 
-    # J18 -------------------------------------------------------------------------
+    # (user, cohort, course) rows ---------------------------------------
+    def _user_cohort_courses(self, cohorts: DataFrame) -> DataFrame:
+        """Distinct (userid, cohortid, courseid) of the chosen cohorts, narrow rows.
+
+        Memberships are deduplicated per (user, cohort) and the bridge per
+        (cohort, course) *before* the expansion, so the product is distinct by
+        construction (no DISTINCT over the expanded rows). The bridge side is
+        dimension-sized and broadcast behind a row-count check, so the
+        expansion runs map-side and a cohort holding a third of all members
+        causes no shuffle skew. Names are attached after the fact joins, so
+        the one shuffle of the expanded rows moves three longs per row.
+        """
+        ids = cohorts.select("cohortid")
+        br = bounded_broadcast(self.bridge().join(F.broadcast(ids), "cohortid", "left_semi")
+                               .select("cohortid", "courseid").distinct())
+        mem = (self.members().select("cohortid", "userid")
+               .join(F.broadcast(ids), "cohortid", "left_semi").distinct())
+        return mem.join(br, "cohortid")
+
     def student_grade_status(self, email_filter: str | None = None) -> DataFrame:
         up = self.user_partner().select("userid", "username", "email", "partner")
         if email_filter is not None:  # B21: predicate only when the parameter is given
             up = up.where(F.lower("email").contains(email_filter.lower()))
-        lc = self.listing_cohorts()
-        base = (up.join(self.members().select("cohortid", "userid"), "userid")
-                .join(lc, "cohortid")
-                .join(self.bridge(), "cohortid")
-                .select("userid", "username", "email", "partner", "cohortid", "cohort_name", "cohort_group",
-                        "courseid").distinct())
-        c = self.snap["courses"].select(F.col("id").alias("courseid"), F.col("fullname").alias("course_name"))
+        cohorts = self.listing_cohorts()
+        c = bounded_broadcast(self.snap["courses"].select(F.col("id").alias("courseid"),
+                                                          F.col("fullname").alias("course_name")))
         notas = self.course_grades()
-        j = base.join(c, "courseid").join(notas, ["userid", "courseid"], "left")
+        j = (self._user_cohort_courses(cohorts)
+             .join(notas, ["userid", "courseid"], "left")
+             .join(bounded_broadcast(up), "userid")
+             .join(F.broadcast(cohorts), "cohortid")
+             .join(c, "courseid"))
         return j.select("userid", "username", "email", "partner", "cohort_name", "cohort_group", "courseid",
                         "course_name", "finalgrade", R.epoch_ts("timemodified").alias("fecha_nota"),
                         R.approval_status("finalgrade", self.mark).alias("estado_aprobacion"))
 
-    # J19 -------------------------------------------------------------------------
     def enrolled_approved(self) -> DataFrame:
-        fc = self.listing_cohorts(categories=False)
-        uce = (self.members().select("cohortid", "userid").join(fc, "cohortid")
-               .join(self.bridge(), "cohortid")
-               .select("userid", "cohortid", "cohort_name", "cohort_group", "courseid").distinct())
-        up = self.user_partner().select("userid", "partner", "timecreated")
-        c = self.snap["courses"].select(F.col("id").alias("courseid"), F.col("fullname").alias("course_fullname"))
+        cohorts = self.listing_cohorts(categories=False)
+        up = bounded_broadcast(self.user_partner().select("userid", "partner", "timecreated"))
+        c = bounded_broadcast(self.snap["courses"].select(F.col("id").alias("courseid"),
+                                                          F.col("fullname").alias("course_fullname")))
         ca = self.course_grades(self.mark).select("userid", "courseid", "finalgrade",
                                                    F.col("timemodified").alias("approved_time_unix"),
                                                    F.lit(True).alias("_ok"))
         mc = self.first_enrolment()
-        j = (uce.join(up, "userid").join(c, "courseid")
+        # both facts join on (user, course): the expanded side is shuffled once for the two joins
+        j = (self._user_cohort_courses(cohorts)
              .join(ca, ["userid", "courseid"], "left")
-             .join(mc, ["userid", "courseid"], "left"))
+             .join(mc, ["userid", "courseid"], "left")
+             .join(up, "userid")
+             .join(F.broadcast(cohorts), "cohortid")
+             .join(c, "courseid"))
         return j.select(
             "partner", "userid", "cohort_name", "cohort_group", "courseid", "course_fullname",
             F.when(F.col("_ok").isNotNull(), 1).otherwise(0).alias("aprobado"), "finalgrade",
