@@ -134,9 +134,9 @@ class Compliance:
 
     # W2 ----------------------------------------------------------------------
     def status_share(self) -> DataFrame:
-        """Share of each status; the window runs over the 3 aggregated rows only."""
+        """Share of each status; the total is a scalar subquery (no single-partition window)."""
         agg = self.status.groupBy("estado").agg(F.count("*").alias("empleados"))
-        total = F.sum("empleados").over(Window.partitionBy())
+        total = self.status.agg(F.count("*")).scalar()
         return agg.select("estado", "empleados", R.pct1(F.col("empleados"), total).alias("pct_total"))
 
     # A16 ---------------------------------------------------------------------

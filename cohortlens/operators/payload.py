@@ -90,10 +90,9 @@ def synth_cohorts(members: DataFrame) -> DataFrame:
 # N9 -------------------------------------------------------------------------
 def page_check(pages: DataFrame, page_size: int) -> DataFrame:
     """Rows per landed page; only the last page may be short (``ok``)."""
-    from pyspark.sql import Window
     per = pages.groupBy("page").agg(F.count("*").alias("n_rows"))
-    # one row per page: the window over all pages is small
-    j = per.withColumn("last", F.max("page").over(Window.partitionBy()))
+    # the last page number as a scalar subquery (a global partial aggregate)
+    j = per.withColumn("last", pages.agg(F.max("page")).scalar())
     return j.select("page", "n_rows", (F.col("page") == F.col("last")).alias("last_page"),
                     ((F.col("page") == F.col("last")) | (F.col("n_rows") == page_size)).alias("ok"))
 
