@@ -30,11 +30,18 @@ def export(df: DataFrame) -> DataFrame:
 
 
 class Ctx:
+    """Inputs of one scale factor: the derived snapshot is written once (to the
+    checkpoint folder) and read back, lookups stay lazy."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
+        import uuid
+
+        from cohortlens.session import checkpoint_dir
         self.spark = configure(spark)
         self.sf_dir = sf_dir
         self.t = td.TestTables(spark, sf_dir)
-        self.snap = td.snapshot(spark, sf_dir)
+        base = f"{checkpoint_dir(spark).rstrip('/')}/snapshot-{uuid.uuid4().hex}"
+        self.snap = td.materialised_snapshot(spark, sf_dir, base)
         self.model = Model(self.snap, RULES, td.partner_meta(self.t))
 
 

@@ -60,8 +60,11 @@ def from_frames(spark: SparkSession, **frames) -> Snapshot:
     return Snapshot(spark).with_frames(**frames)
 
 
-def _exists(path: str) -> bool:
-    return os.path.exists(path)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system of the path (local, HDFS, object stores)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def load_snapshot(spark: SparkSession, base: str, date: str | None = None,
@@ -76,15 +79,15 @@ def load_snapshot(spark: SparkSession, base: str, date: str | None = None,
     for ds in datasets:
         part_dir = os.path.join(base, ds)
         flat = os.path.join(base, f"{ds}.parquet")
-        if date is not None and _exists(os.path.join(part_dir, f"ingest_date={date}")):
+        if date is not None and path_exists(spark, os.path.join(part_dir, f"ingest_date={date}")):
             df = spark.read.schema(SCHEMAS[ds]).parquet(os.path.join(part_dir, f"ingest_date={date}"))
-        elif date is None and _exists(part_dir):
+        elif date is None and path_exists(spark, part_dir):
             df = spark.read.parquet(part_dir)
             last = latest_date_of(df)
             if last is None:
                 continue
             df = conform(df.where(F.col("ingest_date") == F.lit(last)), SCHEMAS[ds])
-        elif _exists(flat):
+        elif path_exists(spark, flat):
             df = spark.read.schema(SCHEMAS[ds]).parquet(flat)
         else:
             continue
@@ -103,7 +106,7 @@ def snapshot_inventory(spark: SparkSession, base: str, datasets=SNAPSHOT_DATASET
     parts = []
     for ds in datasets:
         p = os.path.join(base, ds)
-        if not _exists(p):
+        if not path_exists(spark, p):
             continue
         df = spark.read.parquet(p).select(
             F.lit(ds).alias("dataset"),
@@ -126,7 +129,7 @@ def snapshot_inventory(spark: SparkSession, base: str, datasets=SNAPSHOT_DATASET
 
 def read_partner_meta(spark: SparkSession, path: str) -> DataFrame | None:
     """Optional metadata CSV, header, all-string schema."""
-    if not _exists(path):
+    if not path_exists(spark, path):
         return None
     return spark.read.schema(SCHEMAS["partner_meta"]).option("header", True).csv(path)
 

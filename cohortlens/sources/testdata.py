@@ -198,3 +198,16 @@ def snapshot(spark: SparkSession, sf_dir: str) -> Snapshot:
         user_grades=user_grades(t), course_completions=course_completions(t),
         attendance_sessions=attendance_sessions(t),
     )
+
+
+def materialised_snapshot(spark: SparkSession, sf_dir: str, base: str) -> Snapshot:
+    """Derive the datasets once, write them as a snapshot under ``base``, read them back.
+
+    Reports then start from stored Parquet, as in production, instead of
+    re-deriving every dataset inside every plan.
+    """
+    from cohortlens.sources.snapshot import load_snapshot
+    snap = snapshot(spark, sf_dir)
+    for ds in sorted(snap.present):
+        snap[ds].write.mode("overwrite").parquet(f"{base}/{ds}.parquet")
+    return load_snapshot(spark, base)
