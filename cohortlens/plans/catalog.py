@@ -671,7 +671,10 @@ STREAM_CHUNKS = 4
 
 @query("practice_sessions_stream")
 def _practice_sessions_stream(c: Ctx):
-    """Log lines land as STREAM_CHUNKS files in line order; one micro-batch per file."""
+    """Log lines land in STREAM_CHUNKS line ranges, oldest first, as a daily job
+    would see them: each range is written by a parallel job (many files), then
+    the stream runs with ``availableNow`` and restarts from its checkpoint, so
+    every landing is one micro-batch holding one whole line range."""
     import uuid
 
     from cohortlens.operators.sessions import as_timestamps
@@ -682,12 +685,12 @@ def _practice_sessions_stream(c: Ctx):
     log = _proxy_log(c)
     lo, hi = log.agg(F.min("line_no"), F.max("line_no")).first()
     step = (hi - lo) // STREAM_CHUNKS + 1
-    for i in range(STREAM_CHUNKS):  # a landing log file per line range, oldest first
-        part = log.where((F.col("line_no") >= lo + i * step) & (F.col("line_no") < lo + (i + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(f"{base}/landing")
     ss = StreamingSessions(c.spark, f"{base}/state", RULES, DOMAIN_MAP)
-    q = ss.run(read_log_stream(c.spark, f"{base}/landing"), f"{base}/checkpoint")
-    q.awaitTermination()
+    for i in range(STREAM_CHUNKS):
+        part = log.where((F.col("line_no") >= lo + i * step) & (F.col("line_no") < lo + (i + 1) * step))
+        part.write.mode("append").parquet(f"{base}/landing")
+        q = ss.run(read_log_stream(c.spark, f"{base}/landing", files_per_trigger=None), f"{base}/checkpoint")
+        q.awaitTermination()
     return as_timestamps(ss.documents()).withColumn("groups", F.array_join("groups", " "))
 
 

@@ -88,8 +88,25 @@ class StreamingSessions:
         finally:
             lines.unpersist()
 
+    def latest_version(self) -> int:
+        """Newest complete state version on storage (-1 if none).
+
+        A version is complete once its last part (activity) committed, so a
+        batch that failed half-way is ignored until its replay rewrites it.
+        """
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.state_dir)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return -1
+        done = [int(st.getPath().getName()[2:]) for st in fs.listStatus(root)
+                if st.getPath().getName().startswith("v=")
+                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "activity/_SUCCESS"))]
+        return max(done, default=-1)
+
     def documents(self, version: int | None = None) -> DataFrame:
-        v = self.last_version if version is None else version
+        v = version if version is not None else (
+            self.last_version if self.last_version is not None else self.latest_version())
         sess = self._read(v, "sessions", self.SESS_SCHEMA)
         act = self._read(v, "activity", self.ACT_SCHEMA)
         return S.dedupe_documents(S.pod_documents(sess, act, self.rules), self.domain_map)
@@ -101,6 +118,15 @@ class StreamingSessions:
         return w.start()
 
 
-def read_log_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """Landed log lines (pod, line_no, value) as a file stream."""
-    return spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def read_log_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 1) -> DataFrame:
+    """Landed log lines (pod, line_no, value) as a file stream.
+
+    Batches must arrive in line order (a batch's sign-outs take their carry-in
+    pointer from the state of the earlier batches). With ``files_per_trigger``
+    each file holds a line range (one landing per file); with ``None`` a run
+    takes everything landed so far as one batch (one landing per run).
+    """
+    r = spark.readStream.schema(LOG_SCHEMA)
+    if files_per_trigger:
+        r = r.option("maxFilesPerTrigger", files_per_trigger)
+    return r.parquet(path)
