@@ -21,6 +21,18 @@ from cohortlens.sources.snapshot import Snapshot
 LISTING_VERSIONS = ("14.1", "14.6", "14.8")
 
 
+def fact_side(df: DataFrame) -> DataFrame:
+    """Build side of a join with the expanded (user, cohort, course) rows.
+
+    The expansion multiplies memberships by courses, so it is always the
+    bigger side. Hashing the fact partition (``shuffle_hash``) instead of a
+    sort-merge join means the expanded rows are shuffled once on
+    (userid, courseid) and never sorted; a fact small enough is still
+    broadcast by AQE from its measured size.
+    """
+    return df.hint("shuffle_hash")
+
+
 class Legacy:
     def __init__(self, snap: Snapshot, rules: R.Rules, user_enrolments: DataFrame | None = None):
         self.snap, self.rules = snap, rules
@@ -208,7 +220,7 @@ class Legacy:
                                                           F.col("fullname").alias("course_name")))
         notas = self.course_grades()
         j = (self._user_cohort_courses(cohorts)
-             .join(notas, ["userid", "courseid"], "left")
+             .join(fact_side(notas), ["userid", "courseid"], "left")
              .join(bounded_broadcast(up), "userid")
              .join(F.broadcast(cohorts), "cohortid")
              .join(c, "courseid"))
@@ -227,8 +239,8 @@ class Legacy:
         mc = self.first_enrolment()
         # both facts join on (user, course): the expanded side is shuffled once for the two joins
         j = (self._user_cohort_courses(cohorts)
-             .join(ca, ["userid", "courseid"], "left")
-             .join(mc, ["userid", "courseid"], "left")
+             .join(fact_side(ca), ["userid", "courseid"], "left")
+             .join(fact_side(mc), ["userid", "courseid"], "left")
              .join(up, "userid")
              .join(F.broadcast(cohorts), "cohortid")
              .join(c, "courseid"))

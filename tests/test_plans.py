@@ -41,9 +41,12 @@ def test_listing_shuffles_expanded_rows_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     # the (user, cohort, course) expansion is map-side (broadcast bridge); the expanded
-    # rows are hash-partitioned once on (userid, courseid) for both fact joins
-    joins = re.findall(r"SortMergeJoin \[userid#\d+L, courseid#\d+L\]", plan)
-    assert len(joins) == 2
+    # rows are hash-partitioned once on (userid, courseid) for both fact joins, which
+    # hash the fact side (no sort of the expanded rows)
+    joins = re.findall(r"ShuffledHashJoin \[userid#\d+L, courseid#\d+L\], \[userid#\d+L, courseid#\d+L\], "
+                       r"LeftOuter, BuildRight", plan)
+    assert len(joins) == 2, plan
+    assert not re.search(r"SortMergeJoin \[userid#\d+L, courseid", plan)
     assert "BroadcastHashJoin [cohortid" in plan
 
 
