@@ -99,11 +99,20 @@ def with_email_partner(df: DataFrame, email_col: str, domain_map=None, out: str
 
 class Sessionizer:
     def __init__(self, log: DataFrame, rules: R.Rules, domain_map=None, block_lines: int = DEFAULT_BLOCK_LINES,
-                 pod_order: DataFrame | None = None):
+                 pod_order: DataFrame | None = None, materialise: bool = False):
+        """``materialise``: parse the log once. The accepted, classified lines
+        (narrow rows, no raw text) are checkpointed to the shared checkpoint
+        folder, so the four branches of the rebuild (sessions, sign-out
+        pointers, activity, dedupe) do not each re-run the regexes over the
+        raw log."""
         self.rules = rules
         self.domain_map = domain_map
         self.block = int(block_lines)
         self.lines = parse_lines(log, rules).where(F.col("accepted"))
+        if materialise:
+            from cohortlens.session import checkpoint_dir
+            checkpoint_dir(log.sparkSession)
+            self.lines = self.lines.checkpoint(eager=True)
         self.pod_order = pod_order  # (pod, pod_rank); default: pod name order
 
     # sessions per pod: last login line of each key --------------------------

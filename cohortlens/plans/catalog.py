@@ -301,26 +301,36 @@ def _proxy_log(c: Ctx):
     if not hasattr(c, "_log"):
         from cohortlens.session import checkpoint_dir
         checkpoint_dir(c.spark)
-        c._log = td.proxy_log(c.t).checkpoint(eager=True)
+        c._log = td.landed(td.proxy_log(c.t)).checkpoint(eager=True)
     return c._log
 
 
 def _sessionizer(c: Ctx):
     from cohortlens.operators.sessions import Sessionizer
     if not hasattr(c, "_sess"):
-        c._sess = Sessionizer(_proxy_log(c), RULES, DOMAIN_MAP)
+        c._sess = Sessionizer(_proxy_log(c), RULES, DOMAIN_MAP, materialise=True)
         c._docs = c._sess.documents()
     return c._sess
 
 
 def _docs(c: Ctx):
+    """Session documents rebuilt from the (parsed) log: the L2 plan itself."""
     _sessionizer(c)
     return c._docs
 
 
-def _ts_sessions(c: Ctx):
+def _stored_docs(c: Ctx):
+    """The session store the dashboards read (A17, A29-A33, L4): the rebuilt
+    documents written once to the shared checkpoint folder, as the original
+    indexes its sessions and aggregates the index."""
+    if not hasattr(c, "_stored"):
+        c._stored = _docs(c).checkpoint(eager=True)
+    return c._stored
+
+
+def _ts_sessions(c: Ctx, stored: bool = True):
     from cohortlens.operators.sessions import TS_FMT
-    d = _docs(c)
+    d = _stored_docs(c) if stored else _docs(c)
     return d.select("email", "user", "partner", "tenant",
                     *[F.try_to_timestamp(F.col(x), F.lit(TS_FMT)).alias(x) for x in ("fecha_inicio", "fecha_fin", "last_seen")],
                     "certificacion", "groups")
@@ -334,7 +344,7 @@ def _log_events(c: Ctx):
 
 @query("practice_sessions")
 def _practice_sessions(c: Ctx):
-    s = _ts_sessions(c)
+    s = _ts_sessions(c, stored=False)
     return s.withColumn("groups", F.array_join("groups", " "))
 
 
@@ -359,18 +369,18 @@ def _session_dedupe(c: Ctx):
 @query("practice_detail")
 def _practice_detail(c: Ctx):
     from cohortlens.operators.sessions import detail
-    return detail(_docs(c))
+    return detail(_stored_docs(c))
 
 
 @query("session_duration")
 def _session_duration(c: Ctx):
-    return _docs(c).select("email", "fecha_inicio", R.session_hours("fecha_inicio", "last_seen").alias("duracion_h"))
+    return _stored_docs(c).select("email", "fecha_inicio", R.session_hours("fecha_inicio", "last_seen").alias("duracion_h"))
 
 
 @query("practice_summary")
 def _practice_summary(c: Ctx):
     from cohortlens.operators.sessions import detail, practice_summary
-    return practice_summary(detail(_docs(c)))
+    return practice_summary(detail(_stored_docs(c)))
 
 
 @query("sessions_histogram")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators.quality import fingerprint
 from cohortlens.session import checkpoint_dir
-from cohortlens.sources.snapshot import Snapshot
+from cohortlens.sources.snapshot import Snapshot, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -111,7 +111,7 @@ def upsert_sessions(spark: SparkSession, new_docs: DataFrame, table: str, batch_
     """
     day = F.substring(F.col("fecha_inicio").cast("string"), 1, 10)
     new = new_docs.withColumn("_seq", F.lit(batch_seq).cast("long")).withColumn("dia", day)
-    if os.path.exists(table):
+    if path_exists(spark, table):
         old = spark.read.parquet(table)
         days = new.select("dia").distinct()
         old = old.join(days, "dia", "left_semi")

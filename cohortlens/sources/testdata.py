@@ -209,5 +209,15 @@ def materialised_snapshot(spark: SparkSession, sf_dir: str, base: str) -> Snapsh
     from cohortlens.sources.snapshot import load_snapshot
     snap = snapshot(spark, sf_dir)
     for ds in sorted(snap.present):
-        snap[ds].write.mode("overwrite").parquet(f"{base}/{ds}.parquet")
+        landed(snap[ds]).write.mode("overwrite").parquet(f"{base}/{ds}.parquet")
     return load_snapshot(spark, base)
+
+
+def landed(df: DataFrame) -> DataFrame:
+    """A derived dataset as an extract lands it: several files, not one.
+
+    Datasets projected from one small generator file would otherwise be a
+    single file, i.e. a single-task scan; real landings (one file per
+    extract task or per pod) are read in parallel.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
