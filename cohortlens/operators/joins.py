@@ -10,12 +10,19 @@ from pyspark.sql import functions as F
 LOOKUP_MAX_ROWS = 100_000
 
 
+def fits(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> bool:
+    """True when the frame provably has <= ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (a LIMIT job that stops
+    early), so it costs little even on a fact table.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
     """Hint a broadcast only when the frame provably has <= ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (a LIMIT job that stops
-    early); beyond the bound the frame is returned unhinted and Spark plans a
-    shuffle join (AQE may still switch to a broadcast from measured sizes).
+    Beyond the bound the frame is returned unhinted and Spark plans a shuffle
+    join (AQE may still switch to a broadcast from measured sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df

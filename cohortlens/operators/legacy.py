@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions import rules as R
-from cohortlens.operators.joins import bounded_broadcast
+from cohortlens.operators.joins import LOOKUP_MAX_ROWS, bounded_broadcast, fits
 from cohortlens.sources.snapshot import Snapshot
 
 LISTING_VERSIONS = ("14.1", "14.6", "14.8")
@@ -38,6 +38,8 @@ class Legacy:
         self.snap, self.rules = snap, rules
         self.user_enrolments = user_enrolments  # (userid, courseid, timecreated), any method
         self.mark = rules.legacy_pass_mark
+        # users up to this many rows are broadcast after the listing's fact joins
+        self.user_broadcast_rows = LOOKUP_MAX_ROWS
 
     # shared pieces -------------------------------------------------------------
     def user_partner(self, email_only: bool = False) -> DataFrame:
@@ -193,59 +195,66 @@ class Legacy:
                         R.epoch_ts("timemodified").alias("fecha_aprobado"))
 
     # (user, cohort, course) rows ---------------------------------------
-    def _user_cohort_courses(self, cohorts: DataFrame) -> DataFrame:
-        """Distinct (userid, cohortid, courseid) of the chosen cohorts, narrow rows.
+    def _user_cohort_courses(self, cohorts: DataFrame, users: DataFrame | None = None) -> DataFrame:
+        """Distinct (userid, cohortid, courseid) of the chosen cohorts.
 
         Memberships are deduplicated per (user, cohort) and the bridge per
         (cohort, course) *before* the expansion, so the product is distinct by
         construction (no DISTINCT over the expanded rows). The bridge side is
         dimension-sized and broadcast behind a row-count check, so the
         expansion runs map-side and a cohort holding a third of all members
-        causes no shuffle skew. Names are attached after the fact joins, so
-        the one shuffle of the expanded rows moves three longs per row.
+        causes no shuffle skew. ``users`` (keyed by userid), when given, is
+        joined to the memberships before the expansion: a user table too big
+        to broadcast then costs a shuffle of memberships, not a second
+        shuffle of the expanded rows.
         """
-        ids = cohorts.select("cohortid")
-        br = bounded_broadcast(self.bridge().join(F.broadcast(ids), "cohortid", "left_semi")
+        ids = bounded_broadcast(cohorts.select("cohortid"))
+        br = bounded_broadcast(self.bridge().join(ids, "cohortid", "left_semi")
                                .select("cohortid", "courseid").distinct())
         mem = (self.members().select("cohortid", "userid")
-               .join(F.broadcast(ids), "cohortid", "left_semi").distinct())
+               .join(ids, "cohortid", "left_semi").distinct())
+        if users is not None:
+            mem = mem.join(users, "userid")
         return mem.join(br, "cohortid")
 
+    def _listing(self, cohorts: DataFrame, users: DataFrame, facts: list) -> DataFrame:
+        """Expanded rows + left joins of the (userid, courseid) facts + user,
+        cohort and course fields.
+
+        The expanded rows are hash-partitioned once on (userid, courseid) and
+        every fact hashes its side (no sort of the expanded rows). Users that
+        fit a broadcast are joined after the facts, so that one shuffle moves
+        three longs per row; otherwise they join the memberships before the
+        expansion.
+        """
+        small_users = fits(users, self.user_broadcast_rows)
+        j = self._user_cohort_courses(cohorts, None if small_users else users)
+        for f in facts:
+            j = j.join(fact_side(f), ["userid", "courseid"], "left")
+        if small_users:
+            j = j.join(F.broadcast(users), "userid")
+        c = bounded_broadcast(self.snap["courses"].select(F.col("id").alias("courseid"),
+                                                          F.col("fullname").alias("course_name")))
+        return j.join(bounded_broadcast(cohorts), "cohortid").join(c, "courseid")
+
     def student_grade_status(self, email_filter: str | None = None) -> DataFrame:
         up = self.user_partner().select("userid", "username", "email", "partner")
         if email_filter is not None:  # B21: predicate only when the parameter is given
             up = up.where(F.lower("email").contains(email_filter.lower()))
-        cohorts = self.listing_cohorts()
-        c = bounded_broadcast(self.snap["courses"].select(F.col("id").alias("courseid"),
-                                                          F.col("fullname").alias("course_name")))
-        notas = self.course_grades()
-        j = (self._user_cohort_courses(cohorts)
-             .join(fact_side(notas), ["userid", "courseid"], "left")
-             .join(bounded_broadcast(up), "userid")
-             .join(F.broadcast(cohorts), "cohortid")
-             .join(c, "courseid"))
+        j = self._listing(self.listing_cohorts(), up, [self.course_grades()])
         return j.select("userid", "username", "email", "partner", "cohort_name", "cohort_group", "courseid",
                         "course_name", "finalgrade", R.epoch_ts("timemodified").alias("fecha_nota"),
                         R.approval_status("finalgrade", self.mark).alias("estado_aprobacion"))
 
     def enrolled_approved(self) -> DataFrame:
-        cohorts = self.listing_cohorts(categories=False)
-        up = bounded_broadcast(self.user_partner().select("userid", "partner", "timecreated"))
-        c = bounded_broadcast(self.snap["courses"].select(F.col("id").alias("courseid"),
-                                                          F.col("fullname").alias("course_fullname")))
+        up = self.user_partner().select("userid", "partner", "timecreated")
         ca = self.course_grades(self.mark).select("userid", "courseid", "finalgrade",
                                                    F.col("timemodified").alias("approved_time_unix"),
                                                    F.lit(True).alias("_ok"))
-        mc = self.first_enrolment()
-        # both facts join on (user, course): the expanded side is shuffled once for the two joins
-        j = (self._user_cohort_courses(cohorts)
-             .join(fact_side(ca), ["userid", "courseid"], "left")
-             .join(fact_side(mc), ["userid", "courseid"], "left")
-             .join(up, "userid")
-             .join(F.broadcast(cohorts), "cohortid")
-             .join(c, "courseid"))
+        j = self._listing(self.listing_cohorts(categories=False), up, [ca, self.first_enrolment()])
         return j.select(
-            "partner", "userid", "cohort_name", "cohort_group", "courseid", "course_fullname",
+            "partner", "userid", "cohort_name", "cohort_group", "courseid",
+            F.col("course_name").alias("course_fullname"),
             F.when(F.col("_ok").isNotNull(), 1).otherwise(0).alias("aprobado"), "finalgrade",
             F.when(F.col("_ok").isNotNull(), R.epoch_ts("approved_time_unix")).alias("fecha_aprobado"),
             R.latest_epoch_ts("timecreated", "enrol_time_unix").alias("fecha_alta_o_matricula_mas_actual"))

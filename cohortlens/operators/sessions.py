@@ -205,7 +205,7 @@ def pod_documents(sessions: DataFrame, activity: DataFrame, rules: R.Rules) -> D
 def dedupe_documents(docs: DataFrame, domain_map=None, pod_order: DataFrame | None = None) -> DataFrame:
     d = docs
     if pod_order is not None:
-        d = d.join(F.broadcast(pod_order), "pod", "left")
+        d = d.join(bounded_broadcast(pod_order), "pod", "left")
         rank = F.struct(F.col("pod_rank"), F.col("pod"))
     else:
         rank = F.col("pod")

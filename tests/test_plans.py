@@ -85,3 +85,23 @@ def test_every_plan_stays_distributed_and_jvm_side(spark):
                 if not any(a in child for a in PARTIAL_AGG):
                     problems.append(f"{key}: single-partition exchange over {child.strip()[:80]}")
     assert not problems, problems
+
+
+def test_listing_with_users_too_big_to_broadcast(spark):
+    """Above the user bound the users join the memberships before the expansion:
+    same rows, and still one shuffle of the expanded rows (no join on userid alone
+    above the fact joins)."""
+    from cohortlens.operators.legacy import Legacy
+    from cohortlens.plans import catalog as C
+    c = C.context(spark, SF_SMALL)
+    small = Legacy(c.snap, C.RULES, C.td.user_enrolments(c.t))
+    big = Legacy(c.snap, C.RULES, C.td.user_enrolments(c.t))
+    big.user_broadcast_rows = 0
+    for name in ("student_grade_status", "enrolled_approved"):
+        a, b = getattr(small, name)(), getattr(big, name)()
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() == b.count() > 0
+        plan = b._jdf.queryExecution().sparkPlan().toString()
+        first_fact = re.search(r"ShuffledHashJoin \[userid#\d+L, courseid#\d+L\]", plan)
+        assert first_fact, plan
+        above = plan[:first_fact.start()]
+        assert not re.search(r"Join \[userid#\d+L\], \[userid", above), above
