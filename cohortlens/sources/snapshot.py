@@ -82,11 +82,10 @@ def load_snapshot(spark: SparkSession, base: str, date: str | None = None,
         if date is not None and path_exists(spark, os.path.join(part_dir, f"ingest_date={date}")):
             df = spark.read.schema(SCHEMAS[ds]).parquet(os.path.join(part_dir, f"ingest_date={date}"))
         elif date is None and path_exists(spark, part_dir):
-            df = spark.read.parquet(part_dir)
-            last = latest_date_of(df)
+            last = latest_partition(spark, part_dir, "ingest_date")
             if last is None:
                 continue
-            df = conform(df.where(F.col("ingest_date") == F.lit(last)), SCHEMAS[ds])
+            df = spark.read.schema(SCHEMAS[ds]).parquet(os.path.join(part_dir, f"ingest_date={last}"))
         elif path_exists(spark, flat):
             df = spark.read.schema(SCHEMAS[ds]).parquet(flat)
         else:
@@ -95,8 +94,24 @@ def load_snapshot(spark: SparkSession, base: str, date: str | None = None,
     return from_frames(spark, **frames)
 
 
+def latest_partition(spark: SparkSession, path: str, column: str = "ingest_date") -> str | None:
+    """S3: newest ``<column>=<value>`` directory (values sort as text: ISO dates).
+
+    A listing of one directory level through the Hadoop file system: no file
+    footer is opened, whatever the number of files per date. Staging folders
+    of an overwrite in progress are hidden (leading dot) and not matched.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = f"{column}="
+    names = [st.getPath().getName()[len(prefix):] for st in fs.listStatus(root)
+             if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+    return max(names, default=None)
+
+
 def latest_date_of(df: DataFrame):
-    """S3: max partition value; the aggregate runs on partition metadata only."""
+    """S3 over a DataFrame already read: max partition value (scans the files)."""
     row = df.select(F.max(F.col("ingest_date").cast("string")).alias("d")).first()
     return row["d"] if row else None
 

@@ -17,6 +17,11 @@ def test_ingest_roundtrip(spark, tmp):
     rows = {r["dataset"]: r for r in m.collect()}
     assert set(rows) == set(snap.present)
     assert all(r["ok"] and r["rows_written"] == r["rows_read"] for r in rows.values())
+    # the one-pass reconciliation fingerprint is the dataset fingerprint of the written rows
+    from cohortlens.operators.quality import fingerprint
+    back_users = spark.read.parquet(f"{tmp}/users/ingest_date=2024-05-01")
+    assert rows["users"]["fingerprint"] == fingerprint(back_users).first()["fingerprint"]
+    assert rows["users"]["files"] >= 1 and rows["users"]["bytes"] > 0
     # a second day, then the loader picks the latest date by default and exact names
     sinks.ingest_snapshot(snap.with_frames(users=snap["users"].limit(10)), tmp, "2024-05-02")
     back = S.load_snapshot(spark, tmp)
