@@ -178,14 +178,42 @@ def signout_pointers(lines: DataFrame, block: int, initial: DataFrame | None = N
                        ptr.getField("created").alias("created")).where(F.col("email").isNotNull())
 
 
+# Log times are text: 'YYYY-MM-DD HH:MM:SS', or the raw 'YYYY/MM/DD HH:MM:SS'
+# when unparsable (B27). A max over text runs as a sort-based aggregate; the
+# key below orders exactly as the text does (year, then the separator, '-'
+# before '/', then the remaining digits), so max/max_by run on a long buffer
+# (hash aggregate, no sort of the lines) and the text is rebuilt afterwards.
+_TEN10 = 10 ** 10
+
+
+def time_key(text) -> Column:
+    t = F.col(text) if isinstance(text, str) else text
+    digits = F.concat(*[F.substring(t, p, 2) for p in (6, 9, 12, 15, 18)])
+    slash = F.when(F.substring(t, 5, 1) == "/", 1).otherwise(0)
+    return (F.substring(t, 1, 4).cast("long") * 2 + slash) * F.lit(_TEN10) + digits.cast("long")
+
+
+def key_time(key) -> Column:
+    k = F.col(key) if isinstance(key, str) else key
+    head = F.floor(k / F.lit(_TEN10))
+    sep = F.when(head % 2 == 1, F.lit("/")).otherwise(F.lit("-"))
+    rest = F.lpad((k % F.lit(_TEN10)).cast("string"), 10, "0")
+    part = lambda i: F.substring(rest, i, 2)
+    return F.when(k.isNotNull(), F.concat(
+        F.lpad(F.floor(head / 2).cast("string"), 4, "0"), sep, part(1), sep, part(3), F.lit(" "),
+        part(5), F.lit(":"), part(7), F.lit(":"), part(9)))
+
+
 def aggregate_signouts(pointers: DataFrame) -> DataFrame:
-    return pointers.groupBy("pod", "email", "created").agg(F.max("line_no").alias("out_line"),
-                                                           F.max_by("ts", "line_no").alias("out_ts"))
+    g = pointers.groupBy("pod", "email", "created").agg(F.max("line_no").alias("out_line"),
+                                                        F.max_by(time_key("ts"), "line_no").alias("_k"))
+    return g.select("pod", "email", "created", "out_line", key_time("_k").alias("out_ts"))
 
 
 def activity_max(lines: DataFrame) -> DataFrame:
     a = lines.where(F.col("kind") == "activity")
-    return a.groupBy("pod", "ip").agg(F.max("ts").alias("last_activity"))
+    g = a.groupBy("pod", "ip").agg(F.max(time_key("ts")).alias("_k"))
+    return g.select("pod", "ip", key_time("_k").alias("last_activity"))
 
 
 def pod_documents(sessions: DataFrame, activity: DataFrame, rules: R.Rules) -> DataFrame:
