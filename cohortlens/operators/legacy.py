@@ -120,20 +120,32 @@ class Legacy:
             F.count_distinct("email").alias("num_apuntados"))
 
     # A27 -------------------------------------------------------------------------
+    def cohort_month_cells(self) -> DataFrame:
+        """Long form of the crosstab: (partner, cohorte_mes, n), one row per counted cell."""
+        up = self.user_partner(email_only=True).where(F.col("suspended") == 0)
+        j = up.join(self.members(), "userid").join(self.cohorts(), "cohortid")
+        key = F.concat(F.col("cohort_name"), F.lit("_"), F.date_format(R.epoch_ts("timeadded"), "yyyy_MM"))
+        return j.groupBy("partner", key.alias("cohorte_mes")).agg(F.count("*").alias("n"))
+
     def cohort_month_crosstab(self, columns: list | None = None) -> DataFrame:
         """partner x (cohort_YYYY_MM) membership counts; null where no membership.
 
         The counts are aggregated first (partner, cohort-month), so the pivot
         works on one row per cell; the column list is discovered from the
-        counted cells (sorted) unless given.
+        counted cells (sorted) unless given. The wide form is a report sheet:
+        beyond ``spark.sql.pivotMaxValues`` columns it raises instead of
+        building an unbounded row; the long form (``cohort_month_cells``)
+        has no such limit.
         """
-        up = self.user_partner(email_only=True).where(F.col("suspended") == 0)
-        j = up.join(self.members(), "userid").join(self.cohorts(), "cohortid")
-        key = F.concat(F.col("cohort_name"), F.lit("_"), F.date_format(R.epoch_ts("timeadded"), "yyyy_MM"))
-        cells = j.groupBy("partner", key.alias("cohorte_mes")).agg(F.count("*").alias("n"))
+        cells = self.cohort_month_cells()
         if columns is None:
-            columns = [r[0] for r in cells.select("cohorte_mes").where(F.col("cohorte_mes").isNotNull())
-                       .distinct().orderBy("cohorte_mes").collect()]
+            spark = cells.sparkSession
+            cap = int(spark.conf.get("spark.sql.pivotMaxValues", "10000"))
+            keys = (cells.select("cohorte_mes").where(F.col("cohorte_mes").isNotNull()).distinct()
+                    .orderBy("cohorte_mes").limit(cap + 1))
+            columns = [r[0] for r in keys.collect()]
+            if len(columns) > cap:
+                raise ValueError(f"crosstab would have more than {cap} columns; use cohort_month_cells()")
         return cells.groupBy("partner").pivot("cohorte_mes", columns).agg(F.first("n"))
 
     # A28 -------------------------------------------------------------------------

@@ -105,3 +105,26 @@ def test_listing_with_users_too_big_to_broadcast(spark):
         assert first_fact, plan
         above = plan[:first_fact.start()]
         assert not re.search(r"Join \[userid#\d+L\], \[userid", above), above
+
+
+def test_crosstab_column_cap(spark):
+    """The wide crosstab refuses more columns than spark.sql.pivotMaxValues; the long form is the same data."""
+    import pytest
+    from pyspark.sql import functions as F
+
+    from cohortlens.operators.legacy import Legacy
+    from cohortlens.plans import catalog as C
+    c = C.context(spark, SF_SMALL)
+    lg = Legacy(c.snap, C.RULES)
+    wide = lg.cohort_month_crosstab()
+    cells = lg.cohort_month_cells()
+    assert len(wide.columns) - 1 == cells.select("cohorte_mes").distinct().count()
+    total = sum(v or 0 for r in wide.collect() for v in list(r)[1:])  # a few rows at sf0.001
+    assert total == cells.agg(F.sum("n")).first()[0]
+    old = spark.conf.get("spark.sql.pivotMaxValues")
+    spark.conf.set("spark.sql.pivotMaxValues", "3")
+    try:
+        with pytest.raises(ValueError):
+            lg.cohort_month_crosstab()
+    finally:
+        spark.conf.set("spark.sql.pivotMaxValues", old)
