@@ -99,3 +99,29 @@ def test_employee_normalisation(spark):
                                "departamento string, manager string, rol string")
     out = S.normalise_employees(df).collect()
     assert len(out) == 1 and out[0].email == "a@b.c" and out[0].nombre == ""
+
+
+def test_proxy_log_reader_keeps_order_across_splits(spark, tmp):
+    """Large pod logs are read as many splits (and splits of several files share a
+    task): line_no stays unique and in file order within each pod."""
+    d = f"{tmp}/biglogs"
+    os.makedirs(d)
+    n = {"pod-a": 3000, "pod-b": 40, "pod-c": 1500}
+    for pod, k in n.items():
+        with open(os.path.join(d, pod), "w") as f:
+            f.write("\n".join(f"{pod} line {i:05d} " + "x" * (i % 37) for i in range(k)) + "\n")
+    keys = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = S.read_proxy_logs(spark, d)
+        assert df.rdd.getNumPartitions() > 10
+        rows = df.collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for pod, k in n.items():
+        mine = sorted((r.line_no, r.value) for r in rows if r.pod == pod)
+        assert len({ln for ln, _ in mine}) == k
+        assert [v.split(" ")[2] for _, v in mine] == [f"{i:05d}" for i in range(k)]
