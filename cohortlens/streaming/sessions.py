@@ -31,9 +31,15 @@ LOG_SCHEMA = "pod string, line_no long, value string"
 
 class StreamingSessions:
     def __init__(self, spark: SparkSession, state_dir: str, rules: R.Rules, domain_map=None,
-                 block_lines: int = S.DEFAULT_BLOCK_LINES):
+                 block_lines: int = S.DEFAULT_BLOCK_LINES, keep_versions: int = 3):
+        """``keep_versions`` (>= 2): state versions kept on storage. A replayed
+        batch ``b`` reads version ``b - 1`` and Spark replays at most the last
+        uncommitted batch, so two suffice; older versions are deleted after
+        each batch, so storage holds a few copies of the state, not one per
+        batch ever run."""
         self.spark, self.state_dir, self.rules = spark, state_dir.rstrip("/"), rules
         self.domain_map, self.block = domain_map, block_lines
+        self.keep_versions = max(2, int(keep_versions))
         self.last_version = None
 
     def _path(self, version: int, part: str) -> str:
@@ -85,18 +91,30 @@ class StreamingSessions:
             ptr.write.mode("overwrite").parquet(self._path(batch_id, "pointers"))
             act.write.mode("overwrite").parquet(self._path(batch_id, "activity"))
             self.last_version = batch_id
+            self._prune(batch_id)
         finally:
             lines.unpersist()
 
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.state_dir)
+        return jvm, root, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _prune(self, batch_id: int) -> None:
+        """Delete state versions older than the last ``keep_versions``."""
+        _, root, fs = self._fs()
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if name.startswith("v=") and name[2:].isdigit() and int(name[2:]) <= batch_id - self.keep_versions:
+                fs.delete(st.getPath(), True)
+
     def latest_version(self) -> int:
         """Newest complete state version on storage (-1 if none).
 
         A version is complete once its last part (activity) committed, so a
         batch that failed half-way is ignored until its replay rewrites it.
         """
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.state_dir)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        jvm, root, fs = self._fs()
         if not fs.exists(root):
             return -1
         done = [int(st.getPath().getName()[2:]) for st in fs.listStatus(root)
