@@ -221,14 +221,17 @@ class Legacy:
         shuffle of the expanded rows.
         """
         ids = bounded_broadcast(cohorts.select("cohortid"))
-        br = bounded_broadcast(self.bridge().join(ids, "cohortid", "left_semi")
-                               .select("cohortid", "courseid").distinct())
+        br = bounded_broadcast(self._bridge_of(cohorts))
         mem = (self.members().select("cohortid", "userid")
                .join(ids, "cohortid", "left_semi").distinct())
         if users is not None:
             mem = mem.join(users, "userid")
         return mem.join(br, "cohortid")
 
+    def _bridge_of(self, cohorts: DataFrame) -> DataFrame:
+        ids = bounded_broadcast(cohorts.select("cohortid"))
+        return self.bridge().join(ids, "cohortid", "left_semi").select("cohortid", "courseid").distinct()
+
     def _listing(self, cohorts: DataFrame, users: DataFrame, facts: list) -> DataFrame:
         """Expanded rows + left joins of the (userid, courseid) facts + user,
         cohort and course fields.
@@ -241,8 +244,10 @@ class Legacy:
         """
         small_users = fits(users, self.user_broadcast_rows)
         j = self._user_cohort_courses(cohorts, None if small_users else users)
+        # a fact row of a course no chosen cohort enrols can never match: drop it before its shuffle
+        reached = bounded_broadcast(self._bridge_of(cohorts).select("courseid").distinct())
         for f in facts:
-            j = j.join(fact_side(f), ["userid", "courseid"], "left")
+            j = j.join(fact_side(f.join(reached, "courseid", "left_semi")), ["userid", "courseid"], "left")
         if small_users:
             j = j.join(F.broadcast(users), "userid")
         c = bounded_broadcast(self.snap["courses"].select(F.col("id").alias("courseid"),
