@@ -125,3 +125,16 @@ def test_proxy_log_reader_keeps_order_across_splits(spark, tmp):
         mine = sorted((r.line_no, r.value) for r in rows if r.pod == pod)
         assert len({ln for ln, _ in mine}) == k
         assert [v.split(" ")[2] for _, v in mine] == [f"{i:05d}" for i in range(k)]
+
+
+def test_latest_partition_lists_directories_only(spark, tmp):
+    """The newest ingest date comes from the directory names; staging, temporary
+    and non-partition entries are ignored; no partition -> None."""
+    base = f"{tmp}/ds"
+    for d in ("ingest_date=2024-01-01", "ingest_date=2024-01-03", "ingest_date=2023-12-31",
+              ".spark-staging-1", "_temporary", "other"):
+        os.makedirs(os.path.join(base, d))
+    open(os.path.join(base, "ingest_date=2099-01-01"), "w").close()  # a file, not a partition
+    assert S.latest_partition(spark, base) == "2024-01-03"
+    os.makedirs(f"{tmp}/empty")
+    assert S.latest_partition(spark, f"{tmp}/empty") is None
