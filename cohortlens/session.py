@@ -31,11 +31,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a scratch folder is set.
+    Only a local session without one gets a scratch folder; on a cluster a
+    machine-local folder would be invisible to the other executors, so a
+    missing setting raises there.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
     sc.setCheckpointDir(d)
     return d
