@@ -36,13 +36,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     missing setting raises there.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        if not sc.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
-        d = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
-    sc.setCheckpointDir(d)
-    return d
+    if not sc.getCheckpointDir():
+        d = sc.getConf().get("spark.checkpoint.dir", None)
+        if not d:
+            if sc.master != "local" and not sc.master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
+            d = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir()
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cohortlens") -> SparkSession:
