@@ -15,8 +15,8 @@ from cohortlens.session import checkpoint_dir
 # Task functions travel with the plan, so executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
-# Rows of a table that is offered to a broadcast only after being counted.
-BROADCAST_ROWS = 200_000
+# A narrow stored table is offered to a broadcast only after its rows are counted (some 16 to 50 bytes each).
+BROADCAST_ROWS = 500_000
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

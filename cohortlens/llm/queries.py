@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, toxicity
+from . import langid, quality, toxicity
 from .common import crc_mod, table
 
 
@@ -18,6 +18,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_tokens", F.size("passages").cast("long").alias("n_passages"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, carry=["doc_id"])
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language by a model of the rows outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents")
@@ -28,6 +35,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_quality": op3_quality,
     "op10_langid": op10_langid,
 }
 ORACLES: dict[str, str] = {}
