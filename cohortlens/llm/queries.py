@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, toxicity
+from . import langid, quality, simhash, toxicity
 from .common import crc_mod, table
 
 
@@ -25,6 +25,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, carry=["doc_id"])
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language by a model of the rows outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents")
@@ -36,6 +42,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_quality": op3_quality,
+    "op8_simhash": op8_simhash,
     "op10_langid": op10_langid,
 }
 ORACLES: dict[str, str] = {}
