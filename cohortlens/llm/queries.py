@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, simhash, toxicity
+from . import decontam, langid, quality, simhash, toxicity
 from .common import crc_mod, table
 
 
@@ -25,6 +25,37 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, carry=["doc_id"])
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document hit by benchmark windows, the items met, and the verdict."""
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS l, array_to_string(w[s:s + 12], ' ') AS k
+  FROM i, unnest(range(1, greatest(len(w) - 12, 1) + 1)) t(s) WHERE len(w) > 0),
+occ AS (
+  SELECT rid, s, l, array_to_string(w[s:s + l - 1], ' ') AS k
+  FROM d, (SELECT DISTINCT l FROM win) x, unnest(range(1, len(w) - l + 2)) t(s)),
+m AS (SELECT DISTINCT rid, s, l, item_id FROM occ JOIN win USING (k, l)),
+hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM m, unnest(range(s, s + l)) t(p) GROUP BY rid),
+its AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM m) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN its USING (rid)
+"""
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -42,7 +73,10 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_quality": op3_quality,
+    "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
     "op10_langid": op10_langid,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_decontaminate": OP7_SQL,
+}
