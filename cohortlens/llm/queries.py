@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, quality, simhash, toxicity
+from . import decontam, langid, quality, simhash, toxicity, warc
 from .common import crc_mod, table
 
 
@@ -62,6 +62,23 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as read back from the written archives."""
+    read = warc.archive(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+q AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_digest FROM p),
+r AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM q)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM r
+"""
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language by a model of the rows outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents")
@@ -75,8 +92,10 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
+    "op9_warc": op9_warc,
     "op10_langid": op10_langid,
 }
 ORACLES: dict[str, str] = {
     "op7_decontaminate": OP7_SQL,
+    "op9_warc": OP9_SQL,
 }
