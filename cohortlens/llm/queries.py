@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, quality, simhash, toxicity, warc
+from . import decontam, langid, quality, shard, simhash, toxicity, warc
 from .common import crc_mod, table
 
 
@@ -25,6 +25,17 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, carry=["doc_id"])
 
 
+SHARDS = 16
+
+
+def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot; law ``bytes``: shard sizes near equal."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = shard.shard(docs, SHARDS)
+    return placed.select("doc_id", "size", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"),
+                         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document hit by benchmark windows, the items met, and the verdict."""
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -90,6 +101,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_quality": op3_quality,
+    "op6_shard": op6_shard,
     "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
