@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, quality, shard, simhash, toxicity, warc
+from . import decontam, langid, mixing, quality, shard, simhash, toxicity, warc
 from .common import crc_mod, table
 
 
@@ -25,6 +25,33 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, carry=["doc_id"])
 
 
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every copy of every document at the rates of square-root weighted sources, in shuffled order."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "source", F.col("n_copies").cast("long").alias("n_copies"), F.col("copy_no").cast("long").alias("copy_no"),
+                                   "shuffle_key", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
+
+
+# Mean rates of the test tables stay below mixing.PIECE, so one draw a document tells its count.
+OP4_SQL = """
+WITH RECURSIVE s AS (
+  SELECT source, sum(coalesce(strlen(text), 0) + 1)::DOUBLE AS bytes FROM documents GROUP BY source),
+r AS (SELECT source, sqrt(bytes) / (SELECT sum(sqrt(bytes)) FROM s) * (SELECT sum(bytes) FROM s) / bytes AS rate FROM s),
+c AS (
+  SELECT source, rate, 0 AS k, exp(-rate) AS p, exp(-rate) AS cum FROM r
+  UNION ALL SELECT source, rate, k + 1, p * rate / (k + 1), cum + p * rate / (k + 1) FROM c WHERE k < 80),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, text,
+         ('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, '') || '|1'), 1, 13))::BIGINT / 4503599627370496.0 AS u
+  FROM documents),
+n AS (
+  SELECT rid, any_value(doc_id) AS doc_id, any_value(d.source) AS source, any_value(text) AS text, count(*) AS n_copies
+  FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source AND c.cum < d.u GROUP BY rid)
+SELECT doc_id, source, n_copies::BIGINT AS n_copies, copy_no::BIGINT AS copy_no,
+       md5('order|17|' || coalesce(doc_id::VARCHAR, '') || '|' || copy_no) AS shuffle_key, md5(coalesce(text, '')) AS text_md5
+FROM n, unnest(range(1, n_copies + 1)) t(copy_no)
+"""
+
 SHARDS = 16
 
 
@@ -101,6 +128,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_quality": op3_quality,
+    "op4_mix": op4_mix,
     "op6_shard": op6_shard,
     "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
@@ -108,6 +136,7 @@ QUERIES = {
     "op10_langid": op10_langid,
 }
 ORACLES: dict[str, str] = {
+    "op4_mix": OP4_SQL,
     "op7_decontaminate": OP7_SQL,
     "op9_warc": OP9_SQL,
 }
