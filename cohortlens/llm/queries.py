@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, mixing, quality, shard, simhash, toxicity, warc
+from . import chat, decontam, html, langid, mixing, quality, shard, simhash, toxicity, warc
 from .common import crc_mod, table
 
 
@@ -85,6 +85,12 @@ SELECT doc_id, source, n_copies::BIGINT AS n_copies, copy_no::BIGINT AS copy_no,
 FROM n, unnest(range(1, n_copies + 1)) t(copy_no)
 """
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return html.extract(pages, html.train(pages), carry=["page_id", "url"])
+
+
 SHARDS = 16
 
 
@@ -163,6 +169,7 @@ QUERIES = {
     "op2_chat": op2_chat,
     "op3_quality": op3_quality,
     "op4_mix": op4_mix,
+    "op5_html": op5_html,
     "op6_shard": op6_shard,
     "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
