@@ -20,8 +20,16 @@ MANIFEST_SCHEMA = ("dataset string, ingest_date string, rows_written long, rows_
 
 
 # K1 + Q1 + Q3 + Q2 ------------------------------------------------------------------
+class IngestError(RuntimeError):
+    """A written dataset does not hold what was sent to it; ``result`` is its manifest row."""
+
+    def __init__(self, result: dict):
+        super().__init__(f"{result['dataset']}: {result['rows_written']} rows sent, {result['rows_read']} read back")
+        self.result = result
+
+
 def write_dataset(df: DataFrame, base: str, name: str, ingest_date: str) -> dict:
-    """Write one dataset partition and reconcile it.
+    """Write one dataset partition and reconcile it; a mismatch raises ``IngestError``.
 
     Rows written are counted by an ``observe`` metric during the write (no
     second pass over the source); the written partition is then read back
@@ -44,8 +52,11 @@ def write_dataset(df: DataFrame, base: str, name: str, ingest_date: str) -> dict
     r = per_file.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.bit_xor("x").alias("fingerprint"),
                      F.count("*").alias("n"), F.sum("s").alias("b"), F.min("s").alias("mn")).first()
     ok = (written == r["rows"]) and (r["n"] == 0 or (r["mn"] or 0) > 0)
-    return {"dataset": name, "ingest_date": ingest_date, "rows_written": written, "rows_read": r["rows"],
-            "files": r["n"], "bytes": r["b"] or 0, "fingerprint": r["fingerprint"], "ok": bool(ok)}
+    result = {"dataset": name, "ingest_date": ingest_date, "rows_written": written, "rows_read": r["rows"],
+              "files": r["n"], "bytes": r["b"] or 0, "fingerprint": r["fingerprint"], "ok": bool(ok)}
+    if not ok:
+        raise IngestError(result)
+    return result
 
 
 def ingest_snapshot(snap: Snapshot, base: str, ingest_date: str) -> DataFrame:
@@ -109,12 +120,15 @@ def upsert_sessions(spark: SparkSession, new_docs: DataFrame, table: str, batch_
     The table is partitioned by start day; only days present in the new
     documents are rewritten (dynamic partition overwrite). The merged rows
     are checkpointed to the shared checkpoint folder first, so the overwrite
-    never reads the files it replaces.
+    never reads the files it replaces. A document without a start, or with one
+    that is no date, belongs to the day ``undated`` and is kept like any other.
     """
-    day = F.substring(F.col("fecha_inicio").cast("string"), 1, 10)
+    start = F.substring(F.col("fecha_inicio").cast("string"), 1, 10)
+    day = F.when(start.rlike(r"^\d{4}-\d{2}-\d{2}$"), start).otherwise("undated")
     new = new_docs.withColumn("_seq", F.lit(batch_seq).cast("long")).withColumn("dia", day)
     if path_exists(spark, table):
-        old = spark.read.parquet(table)
+        # days are read as text: a table of dates alone would otherwise be typed as dates
+        old = spark.read.parquet(table).withColumn("dia", F.col("dia").cast("string"))
         days = new.select("dia").distinct()
         old = old.join(days, "dia", "left_semi")
         both = old.unionByName(new, allowMissingColumns=True)

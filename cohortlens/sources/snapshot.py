@@ -8,6 +8,7 @@ report needs "if the table exists" branches.
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,45 +70,53 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def load_snapshot(spark: SparkSession, base: str, date: str | None = None,
                   datasets=SNAPSHOT_DATASETS) -> Snapshot:
-    """Read ``<base>/<dataset>/ingest_date=<date>`` (or ``<base>/<dataset>.parquet``).
-
-    Exact dataset directory names, never a prefix glob (``cohort_members``
-    must not pick up ``cohort_members_ext``). The explicit schema avoids a
-    footer scan for inference and lets Catalyst prune columns.
+    """One day's datasets, ``<base>/<dataset>/ingest_date=<date>``.
+
+    Without a date the newest day over *all* datasets is taken, and a dataset
+    without a folder of that day is absent: days are never mixed. Undated
+    ``<base>/<dataset>.parquet`` files are read only if no date is asked for
+    and no dated folder exists at all. Exact dataset directory names, never a
+    prefix glob (``cohort_members`` must not pick up ``cohort_members_ext``);
+    the explicit schema avoids a footer scan for inference.
     """
+    days = {ds: partition_values(spark, os.path.join(base, ds)) for ds in datasets}
+    day = date or max((d for ds in days.values() for d in ds), default=None)
     frames = {}
     for ds in datasets:
-        part_dir = os.path.join(base, ds)
-        flat = os.path.join(base, f"{ds}.parquet")
-        if date is not None and path_exists(spark, os.path.join(part_dir, f"ingest_date={date}")):
-            df = spark.read.schema(SCHEMAS[ds]).parquet(os.path.join(part_dir, f"ingest_date={date}"))
-        elif date is None and path_exists(spark, part_dir):
-            last = latest_partition(spark, part_dir, "ingest_date")
-            if last is None:
-                continue
-            df = spark.read.schema(SCHEMAS[ds]).parquet(os.path.join(part_dir, f"ingest_date={last}"))
-        elif path_exists(spark, flat):
-            df = spark.read.schema(SCHEMAS[ds]).parquet(flat)
+        if day is None:
+            path = os.path.join(base, f"{ds}.parquet")
+            found = path_exists(spark, path)
         else:
-            continue
-        frames[ds] = df
+            path = os.path.join(base, ds, f"ingest_date={day}")
+            found = day in days[ds]
+        if found:
+            frames[ds] = spark.read.schema(SCHEMAS[ds]).parquet(path)
     return from_frames(spark, **frames)
 
 
-def latest_partition(spark: SparkSession, path: str, column: str = "ingest_date") -> str | None:
-    """S3: newest ``<column>=<value>`` directory (values sort as text: ISO dates).
+_ISO_DAY = re.compile(r"\d{4}-\d{2}-\d{2}")
+
+
+def partition_values(spark: SparkSession, path: str, column: str = "ingest_date") -> list[str]:
+    """ISO dates of the ``<column>=<date>`` directories of ``path``, sorted; none if the path is absent.
 
     A listing of one directory level through the Hadoop file system: no file
-    footer is opened, whatever the number of files per date. Staging folders
-    of an overwrite in progress are hidden (leading dot) and not matched.
+    footer is opened. Staging folders and partitions that are no date
+    (``__HIVE_DEFAULT_PARTITION__``) are not matched.
     """
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    prefix = f"{column}="
-    names = [st.getPath().getName()[len(prefix):] for st in fs.listStatus(root)
-             if st.isDirectory() and st.getPath().getName().startswith(prefix)]
-    return max(names, default=None)
+    if not fs.exists(root):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    values = [n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=")]
+    return sorted(v for v in values if _ISO_DAY.fullmatch(v))
+
+
+def latest_partition(spark: SparkSession, path: str, column: str = "ingest_date") -> str | None:
+    """S3: newest ISO date partition of one dataset."""
+    return max(partition_values(spark, path, column), default=None)
 
 
 def latest_date_of(df: DataFrame):
@@ -117,29 +126,17 @@ def latest_date_of(df: DataFrame):
 
 
 def snapshot_inventory(spark: SparkSession, base: str, datasets=SNAPSHOT_DATASETS) -> DataFrame:
-    """S3: per dataset and ingest date, files and bytes, from the file metadata column."""
-    parts = []
+    """S3: per dataset and ingest date, files and kilobytes, from directory listings alone."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    rows = []
     for ds in datasets:
-        p = os.path.join(base, ds)
-        if not path_exists(spark, p):
-            continue
-        df = spark.read.parquet(p).select(
-            F.lit(ds).alias("dataset"),
-            F.col("ingest_date").cast("string").alias("ingest_date"),
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_size").alias("file_size"),
-        )
-        parts.append(df)
-    if not parts:
-        return spark.createDataFrame([], "dataset string, ingest_date string, files long, size_kb double")
-    out = parts[0]
-    for d in parts[1:]:
-        out = out.unionByName(d)
-    per_file = out.groupBy("dataset", "ingest_date", "file_path").agg(F.max("file_size").alias("file_size"))
-    return per_file.groupBy("dataset", "ingest_date").agg(
-        F.count("*").alias("files"),
-        F.round(F.sum("file_size") / F.lit(1024.0), 1).alias("size_kb"),
-    )
+        for day in partition_values(spark, os.path.join(base, ds)):
+            folder = jvm.org.apache.hadoop.fs.Path(os.path.join(base, ds, f"ingest_date={day}"))
+            sizes = [st.getLen() for st in folder.getFileSystem(conf).listStatus(folder)
+                     if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+            rows.append((ds, day, len(sizes), round(sum(sizes) / 1024.0, 1)))
+    return spark.createDataFrame(rows, "dataset string, ingest_date string, files long, size_kb double")
 
 
 def read_partner_meta(spark: SparkSession, path: str) -> DataFrame | None:

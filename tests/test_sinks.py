@@ -138,3 +138,92 @@ def test_latest_partition_lists_directories_only(spark, tmp):
     assert S.latest_partition(spark, base) == "2024-01-03"
     os.makedirs(f"{tmp}/empty")
     assert S.latest_partition(spark, f"{tmp}/empty") is None
+
+
+def _land(spark, base, name, day, rows):
+    from cohortlens.schemas import SCHEMAS
+    spark.createDataFrame(rows, SCHEMAS[name]).write.parquet(f"{base}/{name}/ingest_date={day}")
+
+
+def test_one_day_for_all_datasets(spark, tmp):
+    """Users land on two days, courses on the first only: the load takes the newest day and courses are absent."""
+    from cohortlens.sources.snapshot import latest_partition, load_snapshot, snapshot_inventory
+    _land(spark, tmp, "cohorts", "2024-01-01", [(1, "a", 1)])
+    _land(spark, tmp, "cohorts", "2024-01-02", [(1, "a", 1), (2, "b", 1)])
+    _land(spark, tmp, "cohorts", "__HIVE_DEFAULT_PARTITION__", [(3, "c", 1)])
+    _land(spark, tmp, "courses", "2024-01-01", [(1, "c")])
+    _land(spark, tmp, "courses", "not-a-date", [(1, "c")])
+    spark.createDataFrame([(9, "flat")], "id long, fullname string").write.parquet(f"{tmp}/courses.parquet")
+    newest = load_snapshot(spark, tmp)
+    assert newest["cohorts"].count() == 2 and not newest.has("courses") and newest["courses"].count() == 0
+    first = load_snapshot(spark, tmp, "2024-01-01")
+    assert first["cohorts"].count() == 1 and [r.fullname for r in first["courses"].collect()] == ["c"]
+    assert load_snapshot(spark, tmp, "2020-01-01").present == set()
+    assert latest_partition(spark, f"{tmp}/cohorts") == "2024-01-02"
+    got = sorted((r.dataset, r.ingest_date) for r in snapshot_inventory(spark, tmp).collect())
+    assert got == [("cohorts", "2024-01-01"), ("cohorts", "2024-01-02"), ("courses", "2024-01-01")]
+
+
+def test_undated_files_only_without_dated_folders(spark, tmp):
+    from cohortlens.sources.snapshot import load_snapshot
+    spark.createDataFrame([(9, "flat")], "id long, fullname string").write.parquet(f"{tmp}/courses.parquet")
+    assert load_snapshot(spark, tmp)["courses"].count() == 1
+    assert not load_snapshot(spark, tmp, "2024-01-01").has("courses")
+
+
+def test_upsert_keeps_rows_without_a_start(spark, tmp):
+    from cohortlens.sinks import upsert_sessions
+    schema = "email string, fecha_inicio string, user string"
+    table = f"{tmp}/t"
+    upsert_sessions(spark, spark.createDataFrame([("a@x", None, "a"), ("b@x", "2024-01-01 10:00:00", "b"), ("c@x", "garbage", "c")], schema), table, 1)
+    upsert_sessions(spark, spark.createDataFrame([("d@x", None, "d"), ("b@x", "2024-01-01 10:00:00", "b2")], schema), table, 2)
+    got = sorted((r.email, r.fecha_inicio, r.user) for r in spark.read.parquet(table).collect())
+    assert got == [("a@x", None, "a"), ("b@x", "2024-01-01 10:00:00", "b2"), ("c@x", "garbage", "c"), ("d@x", None, "d")]
+
+
+def test_ingest_stops_on_a_mismatch(spark, tmp, monkeypatch):
+    import pytest
+
+    from cohortlens import sinks
+
+    class Lying(sinks.Observation):
+        @property
+        def get(self):
+            return {"rows": 99}
+
+    df = spark.createDataFrame([(1, "c")], "id long, fullname string")
+    assert sinks.write_dataset(df, tmp, "courses", "2024-01-01")["ok"]
+    monkeypatch.setattr(sinks, "Observation", Lying)
+    with pytest.raises(sinks.IngestError, match="99 rows sent, 1 read back"):
+        sinks.write_dataset(df, tmp, "courses", "2024-01-02")
+
+
+def test_cluster_without_a_shared_folder_raises():
+    import pytest
+
+    from cohortlens.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+
+
+def test_no_roster_and_no_match(spark):
+    from cohortlens.operators.compliance import Compliance
+    from cohortlens.plans import catalog as C
+    snap = C.context(spark, "/root/testdata/sf0.001").snap
+    none = Compliance(snap, C.RULES, "no such course", "house")
+    assert tuple(none.match_result().first()) == ("no such course", 0, False)
+    assert tuple(none.headline().first()) == (0, 0, 0, 0.0)
+    assert Compliance(snap, C.RULES, "governance", "house").match_result().first().encontrado
