@@ -21,7 +21,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from cohortlens.functions import rules as R
 from cohortlens.operators import sessions as S
@@ -46,12 +45,11 @@ class StreamingSessions:
         return f"{self.state_dir}/v={version}/{part}"
 
     def _read(self, version: int, part: str, schema: str) -> DataFrame:
+        """One part of a state version. Only the version before the first batch is empty by
+        definition; any other that is missing means lost state, and raises."""
         if version < 0:
             return self.spark.createDataFrame([], schema)
-        try:
-            return self.spark.read.parquet(self._path(version, part))
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self._path(version, part))
 
     SESS_SCHEMA = ("pod string, email string, created string, login_line long, src_ip string, user string, "
                    "tenant string, groups array<string>, path string, out_line long, out_ts string")
