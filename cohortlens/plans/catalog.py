@@ -50,8 +50,8 @@ _CTX: dict = {}
 
 
 def context(spark: SparkSession, sf_dir: str) -> Ctx:
-    """One lazy model per (session, scale factor); its frames are immutable plans."""
-    key = (id(spark), sf_dir)
+    """One lazy model per (application, scale factor); its frames are immutable plans."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CTX:
         _CTX[key] = Ctx(spark, sf_dir)
     else:
@@ -260,6 +260,12 @@ def _compliance_detail(c: Ctx):
     return _compliance(c).detail()
 
 
+@query("compliance_headline_no_roster")
+def _compliance_headline_no_roster(c: Ctx):
+    from cohortlens.operators.compliance import Compliance
+    return Compliance(c.snap, RULES, _compliance(c).pattern, _compliance(c).partner).headline()
+
+
 @query("compliance_course_summary")
 def _compliance_course_summary(c: Ctx):
     return _compliance(c).course_summary()
@@ -633,7 +639,7 @@ def _p2(c: Ctx):
 def _enrol_table(c: Ctx):
     k = F.col("p_partkey")
     return c.t.part.select(k.alias("id"), F.when(k % 10 == 9, "manual").otherwise("cohort").alias("enrol"),
-                           F.when(k % 10 == 8, F.lit(None)).otherwise(k % 25).alias("customint1"),
+                           F.when(k % 10 == 8, F.lit(None)).otherwise(td.cohort_of(k, td.PARTS_PER_BLOCK)).alias("customint1"),
                            k.alias("courseid"), F.when(F.col("p_size") > 45, 1).otherwise(0).alias("status"))
 
 
@@ -651,9 +657,9 @@ def _p4(c: Ctx):
 @query("p5_active_enrolments")
 def _p5(c: Ctx):
     l, o = c.t.lineitem, c.t.orders
-    ue = (l.join(o, o.o_orderkey == l.l_orderkey).where(F.col("l_linenumber") <= 5)
-          .select(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("enrolid"),
-                  F.when(F.col("l_linestatus") == "O", 0).otherwise(1).alias("status")))
+    active = (F.col("l_linestatus") == "O") & (F.col("l_linenumber") <= 5)
+    ue = l.join(o, o.o_orderkey == l.l_orderkey).select(
+        F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("enrolid"), F.when(active, 0).otherwise(1).alias("status"))
     return pl.p5_active_enrolments(ue, _enrol_table(c))
 
 

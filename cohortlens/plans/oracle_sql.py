@@ -32,37 +32,36 @@ for key, view in [("dim_partners", "dim_partners"), ("dim_cohorts", "dim_cohorte
 sql("users_per_partner", "select partner, count(*) as users from f_usuarios group by partner")
 
 
-def _summary(filter_partner: str | None, altas_years, horas_years) -> str:
-    w = "" if filter_partner is None else f" where lower(partner) = '{filter_partner}'"
-    fu = f"(select * from f_usuarios{w})"
-    fc = f"(select * from f_certificaciones{w})"
-    fd = f"(select * from f_dedicacion{w})"
-    altas_cols = "".join(f", count(distinct case when strftime(fecha_alta, '%Y') = '{y}' then userid end) as altas_{y}"
-                         for y in altas_years)
-    horas_cols = "".join(f", sum(case when left(mes, 4) = '{y}' then {CENTI('horas')} else 0 end) / 100.0::DOUBLE as horas_{y}"
-                         for y in horas_years)
+def _per_year(years, kind: str, value: str, name: str) -> str:
+    return "".join(f", {value} filter (kind = '{kind}' and year = '{y}') as {name}_{y}" for y in years)
+
+
+def _summary(house_only: bool, altas_years, horas_years) -> str:
+    """One pass over the marks of a partner: every fact row is a mark of some kind."""
+    own = f"lower(partner) = '{HOUSE}'" if house_only else "true"
+    cents = CENTI("horas")
+    years = "".join(f", altas_{y}" for y in altas_years) + "".join(f", coalesce(cents_{y}, 0) / 100.0::DOUBLE as horas_{y}" for y in horas_years)
     return f"""
-with base as (select partner, count(distinct userid) as total_altas {altas_cols}, max(ultimo_acceso) as ultimo_acceso
-              from {fu} group by partner),
- cert as (select partner, count(distinct case when aprobado then userid end) as total_certificados from {fc} group by partner),
- ded as (select partner, sum({CENTI('horas')}) / 100.0::DOUBLE as total_horas {horas_cols} from {fd} group by partner),
- ins as (select fu2.partner, count(distinct cm.userid) as total_inscritos from tr_cohort_members_ext cm
-         join {fu} fu2 on fu2.userid = cm.userid group by fu2.partner)
-select base.partner, dp.tipo, dp.region, dp.trajo_oportunidades, dp.trajo_clientes, dp.paga_certificacion, dp.total_pagado,
- base.total_altas, {''.join(f'base.altas_{y}, ' for y in altas_years)}
- coalesce(ins.total_inscritos, 0) as total_inscritos, coalesce(cert.total_certificados, 0) as total_certificados,
- coalesce(ded.total_horas, 0) as total_horas, {''.join(f'coalesce(ded.horas_{y}, 0) as horas_{y}, ' for y in horas_years)}
- base.ultimo_acceso
-from base left join dim_partners dp on dp.partner = base.partner
-left join cert on cert.partner = base.partner left join ded on ded.partner = base.partner
-left join ins on ins.partner = base.partner"""
+with marks as (
+  select partner, 'joined' as kind, userid as who, strftime(fecha_alta, '%Y') as year, 0 as cents, ultimo_acceso as seen from f_usuarios
+  union all select org, 'member', id, null, 0, null from accounts where id in (select userid from tr_cohort_members_ext)
+  union all select partner, 'passed', userid, null, 0, null from f_certificaciones where aprobado
+  union all select partner, 'hours', null, left(mes, 4), {cents}, null from f_dedicacion),
+tally as (
+  select partner, count(distinct who) filter (kind = 'joined') as total_altas, max(seen) as ultimo_acceso,
+   count(distinct who) filter (kind = 'member') as total_inscritos, count(distinct who) filter (kind = 'passed') as total_certificados,
+   coalesce(sum(cents), 0) / 100.0::DOUBLE as total_horas{_per_year(altas_years, 'joined', 'count(distinct who)', 'altas')}{_per_year(horas_years, 'hours', 'sum(cents)', 'cents')}
+  from marks where {own} group by partner having bool_or(kind = 'joined'))
+select t.partner, d.tipo, d.region, d.trajo_oportunidades, d.trajo_clientes, d.paga_certificacion, d.total_pagado,
+ total_altas, total_inscritos, total_certificados, total_horas, ultimo_acceso{years}
+from tally t left join dim_partners d on d.partner is not distinct from t.partner"""
 
 
 def pivot_sqls(altas_years, horas_years, house_altas_years) -> dict:
     """The year-pivot statements for a given set of data years (columns are discovered from data)."""
     out = {
-        "partner_summary": _summary(None, altas_years, horas_years),
-        "partner_filtered_summary": _summary("house", house_altas_years, horas_years),
+        "partner_summary": _summary(False, altas_years, horas_years),
+        "partner_filtered_summary": _summary(True, house_altas_years, horas_years),
         "users_by_year_pivot": "select partner" + "".join(
             f", count(distinct case when strftime(fecha_alta, '%Y') = '{y}' then userid end) as altas_{y}"
             for y in altas_years) + " from f_usuarios group by partner",
@@ -90,35 +89,29 @@ def discovered_pivot_sqls(con) -> dict:
     return pivot_sqls(ys["altas"], ys["horas"], ys["house"])
 
 
+_EVENTS = f"""
+  select partner, strftime(fecha_alta, '%Y-%m') as mes, 'joined' as kind, userid as who, false as ok, 0 as cents from f_usuarios
+  union all select partner, mes_inscripcion, 'member', userid, false, 0 from f_inscripciones
+  union all select partner, strftime(fecha_nota, '%Y-%m'), 'graded', userid, aprobado, 0 from f_certificaciones
+  union all select partner, mes, 'hours', userid, false, {CENTI('horas')} from f_dedicacion"""
+# A kind without a mark in the month stays null.
 sql("monthly_evolution", f"""
-with altas as (select partner, strftime(fecha_alta, '%Y-%m') as mes, count(*) as altas from f_usuarios group by 1, 2),
-inscritos as (select partner, mes_inscripcion as mes, count(distinct userid) as inscritos from f_inscripciones group by 1, 2),
-certificados as (select partner, strftime(fecha_nota, '%Y-%m') as mes, count(distinct case when aprobado then userid end) as certificados
-                 from f_certificaciones group by 1, 2),
-horas as (select partner, mes, sum({CENTI('horas')}) / 100.0::DOUBLE as horas, count(distinct userid) as usuarios_activos
-          from f_dedicacion group by 1, 2)
-select coalesce(a.partner, i.partner, c.partner, h.partner) as partner, coalesce(a.mes, i.mes, c.mes, h.mes) as mes,
- a.altas, i.inscritos, c.certificados, h.horas, h.usuarios_activos
-from altas a full outer join inscritos i using (partner, mes) full outer join certificados c using (partner, mes)
-full outer join horas h using (partner, mes)""")
-
-sql("partner_category", """
-select fu.partner, dc.categoria, count(distinct fc.userid) as alumnos,
- count(distinct case when fc.aprobado then fc.userid end) as aprobados
-from f_certificaciones fc join dim_cursos dc on dc.course_id = fc.course_id join f_usuarios fu on fu.userid = fc.userid
-group by fu.partner, dc.categoria""")
-
-sql("partner_version", """
-select fu.partner, dc.version, dc.categoria, dc.course_name, count(distinct fc.userid) as alumnos,
- count(distinct case when fc.aprobado then fc.userid end) as aprobados
-from f_certificaciones fc join dim_cursos dc on dc.course_id = fc.course_id join f_usuarios fu on fu.userid = fc.userid
-where dc.version is not null group by fu.partner, dc.version, dc.categoria, dc.course_name""")
+select partner, mes, nullif(count(*) filter (kind = 'joined'), 0) as altas, nullif(count(distinct who) filter (kind = 'member'), 0) as inscritos,
+ case when bool_or(kind = 'graded') then count(distinct who) filter (ok) end as certificados,
+ sum(cents) filter (kind = 'hours') / 100.0::DOUBLE as horas, nullif(count(distinct who) filter (kind = 'hours'), 0) as usuarios_activos
+from ({_EVENTS}) group by partner, mes""")
+
+# Students are counted after each one's grades of a group are folded into "has passed".
+_GRADED = "(select c.partner, c.userid, c.aprobado, k.* from f_certificaciones c, dim_cursos k where k.course_id = c.course_id)"
+for _name, _cols, _cond in [("partner_category", "partner, categoria", "true"),
+                            ("partner_version", "partner, version, categoria, course_name", "version is not null")]:
+    sql(_name, f"""select {_cols}, count(*) as alumnos, count_if(passed) as aprobados
+ from (select {_cols}, userid, bool_or(aprobado) as passed from {_GRADED} where {_cond} group by all) group by all""")
 
 sql("certified_detail", """
-select u.userid, u.username, u.nombre_completo, u.email, u.partner, dc.course_name, dc.categoria, dc.version, dc.idioma,
- fc.finalgrade, fc.aprobado, fc.fecha_nota
-from f_certificaciones fc join f_usuarios u on u.userid = fc.userid join dim_cursos dc on dc.course_id = fc.course_id
-where fc.aprobado = true""")
+select userid, username, nombre_completo, email, people.partner, course_name, categoria, version, idioma, finalgrade, aprobado, fecha_nota
+from (select * exclude (partner) from f_certificaciones where aprobado) passed, f_usuarios people, dim_cursos
+where people.userid = passed.userid and dim_cursos.course_id = passed.course_id""".replace("select userid,", "select people.userid,"))
 
 sql("inactive_partners", """
 select partner, cast(max(ultimo_acceso) as date) as ultimo_acceso,
@@ -158,153 +151,129 @@ from c full outer join h on c.anio is not distinct from h.anio""")
 
 
 # --- compliance ------------------------------------------------------------------
-MATCH = "(select id, fullname from tr_courses where lower(fullname) like '%governance%')"
-PCOND = "(lower(u.email) like '%house%' or lower(u.username) like '%house%')"
 COMPLIANCE = {
-    "enrolled_u": f"""select userid, courseid from tr_user_courses where courseid in (select id from {MATCH})
- union select userid, courseid from tr_course_completions where courseid in (select id from {MATCH})""",
-    "t_enrolled": f"""select distinct lower(u.email) as email, u.id as moodle_userid, u.username
- from enrolled_u e join tr_users u on u.id = e.userid where {PCOND}""",
-    "t_completed": f"""select lower(u.email) as email,
- min(case when g.gradedategraded > 0 then {TS('g.gradedategraded')} end) as fecha_completado,
- max(cast(g.graderaw as double)) as nota
- from tr_user_grades g join tr_users u on u.id = g.userid
- where g.courseid in (select id from {MATCH}) and g.graderaw is not null and {PCOND} group by lower(u.email)""",
-    "emp": """select coalesce(id_vp,'') as id_vp, coalesce(nombre,'') as nombre, coalesce(apellidos,'') as apellidos,
- coalesce(lugar_trabajo,'') as lugar_trabajo, lower(trim(coalesce(email,''))) as email, coalesce(departamento,'') as departamento,
- coalesce(manager,'') as manager, coalesce(rol,'') as rol from tr_employees where lower(trim(coalesce(email,''))) <> ''""",
-    "emp_status": """select emp.nombre, emp.apellidos, emp.email, emp.rol, emp.departamento, emp.manager,
- coalesce(en.username, '') as username_moodle,
- case when co.email is not null then 'completado' when en.email is not null then 'pendiente' else 'sin_inscribir' end as estado,
- co.fecha_completado, co.nota
- from emp left join t_enrolled en on en.email = emp.email left join t_completed co on co.email = emp.email""",
-    "comp_pair": f"""select userid, courseid, case when timecompleted > 0 then {TS('timecompleted')} end as fecha_completado
- from tr_course_completions where courseid in (select id from {MATCH}) and completed = 1""",
+    "chosen": "select id, fullname from tr_courses where contains(lower(fullname), 'governance')",
+    "staff": f"select * from tr_users where contains(lower(email), '{HOUSE}') or contains(lower(username), '{HOUSE}')",
+    "pairs": """select userid, courseid from (from tr_user_courses select userid, courseid union from tr_course_completions select userid, courseid)
+ where courseid in (select id from chosen)""",
+    "in_course": "select lower(email) as email, id as moodle_userid, username from staff where id in (select userid from pairs)",
+    "done": f"""select lower(email) as email, min({TS('gradedategraded')}) filter (gradedategraded > 0) as fecha_completado, max(graderaw)::DOUBLE as nota
+ from tr_user_grades, staff where staff.id = userid and graderaw is not null and courseid in (select id from chosen) group by 1""",
+    "roster": "select * replace (lower(trim(email)) as email) from (select coalesce(COLUMNS(*), '') from tr_employees) where trim(email) <> ''",
+    # The best state an e-mail has reached: 1 completed, 2 enrolled; 3 for neither.
+    "reached": "select email, min(step) as step from (select email, 1 as step from done union all select email, 2 from in_course) group by email",
+    "standing": """select nombre, apellidos, roster.email, rol, departamento, manager, coalesce(in_course.username, '') as username_moodle,
+ ['completado', 'pendiente', 'sin_inscribir'][coalesce(step, 3)] as estado, fecha_completado, nota
+ from roster left join reached using (email) left join in_course using (email) left join done using (email)""",
+    "finished": f"""select userid, courseid, case when timecompleted > 0 then {TS('timecompleted')} end as fecha_completado
+ from tr_course_completions where completed = 1""",
+    "progress": """select s.*, chosen.fullname as curso, f.fecha_completado, f.userid is not null as completado
+ from pairs p join staff s on s.id = p.userid join chosen on chosen.id = p.courseid left join finished f using (userid, courseid)""",
 }
 
-sql("enrolled_union", "select * from enrolled_u", COMPLIANCE)
-sql("course_enrolled", "select * from t_enrolled", COMPLIANCE)
-sql("course_completed", "select * from t_completed", COMPLIANCE)
-sql("compliance_status", "select * from emp_status", COMPLIANCE)
-sql("compliance_not_enrolled", """select nombre, apellidos, email, rol, departamento, manager from emp_status
- where estado = 'sin_inscribir'""", COMPLIANCE)
+for _key, _from in [("enrolled_union", "pairs"), ("course_enrolled", "in_course"), ("course_completed", "done"), ("compliance_status", "standing")]:
+    sql(_key, f"from {_from} select *", COMPLIANCE)
+sql("compliance_not_enrolled", """select nombre, apellidos, email, rol, departamento, manager from roster
+ where email not in (select email from reached)""", COMPLIANCE)
 for _key, _col in [("compliance_by_group", "rol"), ("compliance_by_department", "departamento")]:
-    sql(_key, f"""select {_col}, total, completados, pendientes, sin_inscribir, {PCT1('completados', 'total')} as pct_completado from (
- select {_col}, count(*) as total, count(*) filter (where estado = 'completado') as completados,
- count(*) filter (where estado = 'pendiente') as pendientes, count(*) filter (where estado = 'sin_inscribir') as sin_inscribir
- from emp_status group by {_col})""", COMPLIANCE)
-sql("status_share", f"""select estado, empleados, {PCT1('empleados', 'sum(empleados) over ()')} as pct_total from (
- select estado, count(*) as empleados from emp_status group by estado)""", COMPLIANCE)
-sql("compliance_headline", f"""select completados, pendientes, sin_inscribir, total_empleados,
- coalesce({PCT1('completados', 'total_empleados')}, 0.0::DOUBLE) as tasa_completado from (
- select (select count(*) from emp_status where estado = 'completado') as completados,
- (select count(*) from emp_status where estado = 'pendiente') as pendientes,
- (select count(*) from emp_status where estado = 'sin_inscribir') as sin_inscribir,
- (select count(*) from emp) as total_empleados)""", COMPLIANCE)
-sql("compliance_detail", f"""select u.id, u.username, u.email, u.firstname || ' ' || u.lastname as nombre_completo,
- rc.fullname as curso, comp.fecha_completado, (comp.userid is not null) as completado, (u.suspended = 0) as activo
- from enrolled_u e join tr_users u on u.id = e.userid join tr_courses rc on rc.id = e.courseid
- left join comp_pair comp on comp.userid = e.userid and comp.courseid = e.courseid where {PCOND}""", COMPLIANCE)
-sql("compliance_course_summary", f"""select curso, total_inscritos, completados, pendientes,
- {PCT1('completados', 'total_inscritos')} as pct_completado from (
- select rc.fullname as curso, count(distinct e.userid) as total_inscritos,
- count(distinct case when comp.userid is not null then e.userid end) as completados,
- count(distinct case when comp.userid is null then e.userid end) as pendientes
- from enrolled_u e join tr_users u on u.id = e.userid join tr_courses rc on rc.id = e.courseid
- left join comp_pair comp on comp.userid = e.userid and comp.courseid = e.courseid where {PCOND} group by rc.fullname)""",
-    COMPLIANCE)
+    sql(_key, f"""select *, {PCT1('completados', 'total')} as pct_completado from (
+ select {_col}, count(*) as total, count_if(estado = 'completado') as completados, count_if(estado = 'pendiente') as pendientes,
+ count_if(estado = 'sin_inscribir') as sin_inscribir from standing group by {_col})""", COMPLIANCE)
+sql("status_share", f"""select estado, count(*) as empleados, {PCT1('count(*)', '(select count(*) from roster)')} as pct_total
+ from standing group by estado""", COMPLIANCE)
+sql("compliance_headline", f"""select *, coalesce({PCT1('completados', 'total_empleados')}, 0.0::DOUBLE) as tasa_completado from (
+ select count_if(estado = 'completado') as completados, count_if(estado = 'pendiente') as pendientes,
+ count_if(estado = 'sin_inscribir') as sin_inscribir, count(*) as total_empleados from standing)""", COMPLIANCE)
+sql("compliance_headline_no_roster", f"""select *, coalesce({PCT1('completados', 'total_inscritos')}, 0.0::DOUBLE) as tasa_completado from (
+ select count_if(email in (select email from done)) as completados, count_if(email not in (select email from done)) as pendientes, count(*) as total_inscritos
+ from (select distinct email from in_course))""", COMPLIANCE)
+sql("compliance_detail", """select id, username, email, firstname || ' ' || lastname as nombre_completo, curso, fecha_completado, completado,
+ suspended = 0 as activo from progress""", COMPLIANCE)
+sql("compliance_course_summary", f"""select *, {PCT1('completados', 'total_inscritos')} as pct_completado from (
+ select curso, count(*) as total_inscritos, count_if(some_done) as completados, count_if(some_open) as pendientes
+ from (select curso, id, bool_or(completado) as some_done, bool_or(not completado) as some_open from progress group by curso, id) group by curso)""", COMPLIANCE)
 
 
 # --- legacy corpus ------------------------------------------------------------------
-P1 = partner_sql("u.email", "u.username")
-P2 = partner_sql("u.email", "u.username", check_username=False)
-VERS = "(lower(coh.name) like '%14.1%' or lower(coh.name) like '%14.6%' or lower(coh.name) like '%14.8%')"
-CATS = ("(lower(coh.name) like '%governance%' or lower(coh.name) like '%data processing%' "
-        "or lower(coh.name) like '%intelligence%' or lower(coh.name) like '%operaciones%')")
+P2 = partner_sql(check_username=False)
+_VERSIONS = "list_bool_or([contains(cohort_name, v) for v in ['14.1', '14.6', '14.8']])"
 LEG = {
-    "user_partner": f"select u.id as userid, u.username, u.email, u.timecreated, {P1} as partner from tr_users u",
-    "curso_aprobados": "select userid, courseid, graderaw as finalgrade, gradedategraded as timemodified from tr_user_grades where graderaw is not null and graderaw >= 60",
-    "curso_notas": "select userid, courseid, graderaw as finalgrade, gradedategraded as timemodified from tr_user_grades where graderaw is not null",
-    "passes": """select ca.*, up.username, up.email, up.partner, coh.id as cohortid, coh.name as cohort_name
- from curso_aprobados ca join tr_courses c on c.id = ca.courseid join user_partner up on up.userid = ca.userid
- join tr_cohort_members cm on cm.userid = ca.userid join tr_cohorts coh on coh.id = cm.cohortid
- join tr_enrol_cohort_course e on e.cohortid = coh.id and e.courseid = ca.courseid""",
+    "who": f"select id as userid, username, email, timecreated, suspended, {partner_sql()} as partner, {P2} as mail_partner from tr_users",
+    "groups_": f"select id as cohortid, name as cohort_name, visible, {category_sql('name')} as cohort_group from tr_cohorts",
+    # Cohorts of the listed versions; the second also needs a category of its own.
+    "listed": f"select * from groups_ where {_VERSIONS}",
+    "listed_categories": "select * from listed where cohort_group <> 'Otros'",
+    "joined": "select cohortid, userid, min(timeadded) as timeadded, count(*) as times from tr_cohort_members_ext group by all",
+    "marks": "select userid, courseid, graderaw as finalgrade, gradedategraded from tr_user_grades where graderaw is not null",
+    "opened": "select cohortid, courseid, count(*) as times from tr_enrol_cohort_course group by all",
+    # A pass counts for every cohort of the user that opens the course.
+    "passes": """select m.userid, m.courseid, m.finalgrade, m.gradedategraded, cohortid, username, email, partner
+ from marks m natural join who natural join joined natural join opened
+ where finalgrade >= 60 and courseid in (select id from tr_courses)""",
+    "tr_user_enrolments": f"select o_custkey as userid, l_partkey as courseid, {EPOCH('o_orderdate')} as timecreated from lineitem, orders where o_orderkey = l_orderkey",
+    "active_members": f"""select mail_partner as partner, email, cohort_name, visible, {TS('timeadded')} as joined_at
+ from who natural join tr_cohort_members_ext natural join groups_ where suspended = 0""",
 }
-LEG["tr_user_enrolments"] = f"select o.o_custkey as userid, l.l_partkey as courseid, {EPOCH('o.o_orderdate')} as timecreated from lineitem l join orders o on o.o_orderkey = l.l_orderkey where l.l_linenumber <= 5"
 
-sql("users_partner_cohort", """select up.partner, c.name as cohort_name, count(*) as total_altas
- from user_partner up join tr_cohort_members cm on cm.userid = up.userid join tr_cohorts c on c.id = cm.cohortid
- group by up.partner, c.name""", LEG)
+sql("users_partner_cohort", """select partner, cohort_name, count(*) as total_altas
+ from tr_cohort_members natural join who natural join groups_ group by all""", LEG)
 sql("users_month_partner", f"""select strftime({TS('timecreated')}, '%Y-%m') as mes, partner, count(*) as total_altas
- from user_partner group by 1, 2""", LEG)
-sql("hours_month_partner", f"""select d.mes, up.partner, sum(d.horas) as total_horas from (
- select userid, courseid, strftime({TS('login')}, '%Y-%m') as mes, round(sum(duration)::DOUBLE / 3600.0::DOUBLE) as horas
- from tr_attendance_sessions group by 1, 2, 3) d join user_partner up on up.userid = d.userid group by up.partner, d.mes""", LEG)
-sql("active_month_partner", f"""select d.mes, up.partner, count(distinct d.userid) as usuarios_unicos from (
- select distinct userid, strftime({TS('login')}, '%Y-%m') as mes from tr_attendance_sessions) d
- join user_partner up on up.userid = d.userid group by up.partner, d.mes""", LEG)
-sql("enrolments_month", f"""select {P2} as partner, c.name as cohorte, strftime({TS('cm.timeadded')}, '%Y-%m') as mes,
- count(*) as num_apuntados from tr_users u join tr_cohort_members_ext cm on cm.userid = u.id join tr_cohorts c on c.id = cm.cohortid
- where u.suspended = 0 and c.visible = 1 group by 1, 2, 3""", LEG)
-sql("enrolments_by_type", f"""select {P2} as partner, strftime({TS('cm.timeadded')}, '%Y-%m') as mes,
- case when lower(c.name) like '%certificación%' then 'Certificados' else 'Training' end as tipo,
- count(distinct u.email) as num_apuntados
- from tr_users u join tr_cohort_members_ext cm on cm.userid = u.id join tr_cohorts c on c.id = cm.cohortid
- where u.suspended = 0 and c.visible = 1 and c.name like '%14.6%' and (c.name like '%14.6%' or c.name like '%Operaciones%')
- group by 1, 2, 3""", LEG)
-sql("cohort_month_crosstab", f"""pivot (select {P2} as partner, c.name || '_' || strftime({TS('cm.timeadded')}, '%Y_%m') as cohorte_mes,
- count(*) as n from tr_users u join tr_cohort_members_ext cm on cm.userid = u.id join tr_cohorts c on c.id = cm.cohortid
- where u.suspended = 0 group by 1, 2) on cohorte_mes using first(n) group by partner""", LEG)
-sql("first_enrolment", "select userid, courseid, min(timecreated) as enrol_time_unix from tr_user_enrolments group by 1, 2", LEG)
+ from who group by all""", LEG)
+sql("hours_month_partner", f"""select mes, partner, sum(h) as total_horas from who natural join (
+ select userid, courseid, strftime({TS('login')}, '%Y-%m') as mes, round(sum(duration) / 3600.0::DOUBLE) as h from tr_attendance_sessions group by all)
+ group by all""", LEG)
+sql("active_month_partner", f"""select strftime({TS('login')}, '%Y-%m') as mes, partner, count(distinct userid) as usuarios_unicos
+ from tr_attendance_sessions natural join (select userid, partner from who) group by all""", LEG)
+sql("enrolments_month", """select partner, cohort_name as cohorte, strftime(joined_at, '%Y-%m') as mes, count(*) as num_apuntados
+ from active_members where visible = 1 group by all""", LEG)
+sql("enrolments_by_type", """select partner, strftime(joined_at, '%Y-%m') as mes,
+ if(contains(lower(cohort_name), 'certificación'), 'Certificados', 'Training') as tipo, count(distinct email) as num_apuntados
+ from active_members where visible = 1 and contains(cohort_name, '14.6') group by all""", LEG)
+sql("cohort_month_crosstab", f"""
+with counted as (select partner, cohort_name || '_' || strftime(joined_at, '%Y_%m') as cohorte_mes, count(*) as n from active_members group by all),
+known as (select distinct cohort_name || '_' || strftime({TS('timeadded')}, '%Y_%m') as cohorte_mes
+ from tr_cohort_members_ext natural join groups_ where userid in (select userid from who))
+select partner, cohorte_mes, n from counted
+union all select null, cohorte_mes, 0 from known where cohorte_mes is not null and cohorte_mes not in (select cohorte_mes from counted where cohorte_mes is not null)""", LEG)
+sql("first_enrolment", "select userid, courseid, min(timecreated) as enrol_time_unix from tr_user_enrolments group by all", LEG)
 sql("cumulative_dedication", f"""
-with ded as (select userid, courseid, date_trunc('month', {TS('login')}) as mes, sum(duration) as secs
-             from tr_attendance_sessions group by 1, 2, 3),
-up as (select userid, partner, date_trunc('month', {TS('timecreated')}) as alta_mes from user_partner),
-res as (select up.partner, c.name as cohort_name, d.mes,
-  count(distinct case when up.alta_mes = d.mes then up.userid end) as num_altas, sum(d.secs) as secs,
-  count(distinct d.userid) as usuarios_unicos
-  from ded d join up on up.userid = d.userid join tr_enrol_cohort_course cc on cc.courseid = d.courseid
-  join tr_cohort_members cm on cm.userid = d.userid and cm.cohortid = cc.cohortid join tr_cohorts c on c.id = cm.cohortid
-  group by up.partner, c.name, d.mes)
-select mes, partner, cohort_name, num_altas, secs::DOUBLE / 3600.0::DOUBLE as horas_dedicadas, usuarios_unicos,
- cast(sum(num_altas) over w as bigint) as acumulado_altas,
- cast(sum(secs) over w as BIGINT)::DOUBLE / 3600.0::DOUBLE as acumulado_horas,
- cast(sum(usuarios_unicos) over w as bigint) as acumulado_usuarios
-from res window w as (partition by partner, cohort_name order by mes)""", LEG)
-sql("passes_by_cohort", """select partner, cohort_name, count(distinct userid) as total_aprobados from passes
- group by partner, cohort_name""", LEG)
-sql("passes_by_category", f"""select partner, {category_sql('coh.name')} as cohort_group, count(distinct userid) as total_aprobados
- from passes p join tr_cohorts coh on coh.id = p.cohortid where {VERS} group by 1, 2""", LEG)
-sql("certified_users", f"""select partner, count(distinct userid) as estudiantes_certificados
- from passes p join tr_cohorts coh on coh.id = p.cohortid where {VERS} and {CATS} group by 1""", LEG)
-sql("passed_listing", f"""select userid, username, email, partner, cohort_name, {category_sql('coh.name')} as cohort_group,
- finalgrade, {TS('timemodified')} as fecha_aprobado from passes p join tr_cohorts coh on coh.id = p.cohortid
- where {VERS} and {CATS}""", LEG)
+with monthly as (
+ select userid, courseid, date_trunc('month', {TS('login')}) as mes, sum(duration) as secs from tr_attendance_sessions group by all),
+person as (
+ select partner, cohort_name, mes, userid, bool_or(date_trunc('month', {TS('timecreated')}) = mes) as is_new, sum(secs) as secs
+ from monthly natural join (select cohortid, courseid from tr_enrol_cohort_course) natural join (select cohortid, userid from tr_cohort_members)
+ natural join groups_ natural join (select userid, partner, timecreated from who) group by all),
+grid as (select partner, cohort_name, mes, count_if(is_new) as num_altas, sum(secs)::BIGINT as secs, count(*) as usuarios_unicos from person group by all),
+upto as (
+ select g.partner, g.cohort_name, g.mes, sum(e.num_altas)::BIGINT as a, sum(e.secs)::BIGINT as s, sum(e.usuarios_unicos)::BIGINT as u
+ from grid g join grid e on e.partner is not distinct from g.partner and e.cohort_name = g.cohort_name and e.mes <= g.mes group by all)
+select mes, partner, cohort_name, num_altas, secs / 3600.0::DOUBLE as horas_dedicadas, usuarios_unicos,
+ a as acumulado_altas, s / 3600.0::DOUBLE as acumulado_horas, u as acumulado_usuarios
+from grid join upto using (partner, cohort_name, mes)""", LEG)
+for _name, _by, _in, _count in [("passes_by_cohort", "partner, cohort_name", "groups_", "total_aprobados"),
+                                ("passes_by_category", "partner, cohort_group", "listed", "total_aprobados"),
+                                ("certified_users", "partner", "listed_categories", "estudiantes_certificados")]:
+    sql(_name, f"select {_by}, count(distinct userid) as {_count} from passes natural join {_in} group by all", LEG)
+sql("passed_listing", f"""select userid, username, email, partner, cohort_name, cohort_group, finalgrade, {TS('gradedategraded')} as fecha_aprobado
+ from passes natural join listed_categories""", LEG)
+_LISTING = """(select userid, cohortid, courseid, fullname as course_name from (select cohortid, userid from joined) natural join (select cohortid, courseid from opened)
+ join tr_courses c on c.id = courseid)"""
 sql("student_grade_status", f"""
-with base as (select distinct up.userid, up.username, up.email, up.partner, coh.id as cohortid, coh.name as cohort_name, e.courseid
-  from user_partner up join tr_cohort_members cm on cm.userid = up.userid join tr_cohorts coh on coh.id = cm.cohortid
-  join tr_enrol_cohort_course e on e.cohortid = coh.id where {VERS} and {CATS})
-select b.userid, b.username, b.email, b.partner, b.cohort_name, {category_sql('b.cohort_name')} as cohort_group,
- c.id as courseid, c.fullname as course_name, cn.finalgrade, {TS('cn.timemodified')} as fecha_nota,
- case when cn.finalgrade is null then 'Sin nota' when cn.finalgrade >= 60 then 'Aprobado' else 'No aprobado' end as estado_aprobacion
-from base b join tr_courses c on c.id = b.courseid left join curso_notas cn on cn.userid = b.userid and cn.courseid = b.courseid""", LEG)
+select userid, username, email, partner, cohort_name, cohort_group, courseid, course_name, finalgrade, {TS('gradedategraded')} as fecha_nota,
+ if(finalgrade is null, 'Sin nota', if(finalgrade < 60, 'No aprobado', 'Aprobado')) as estado_aprobacion
+from {_LISTING} natural join listed_categories natural join who left join marks using (userid, courseid)""", LEG)
 sql("enrolled_approved", f"""
-with fc as (select coh.id as cohortid, coh.name as cohort_name, {category_sql('coh.name')} as cohort_group from tr_cohorts coh where {VERS}),
-uce as (select distinct cm.userid, fc.cohortid, fc.cohort_name, fc.cohort_group, e.courseid
-  from tr_cohort_members cm join fc on fc.cohortid = cm.cohortid join tr_enrol_cohort_course e on e.cohortid = fc.cohortid),
-mc as (select userid, courseid, min(timecreated) as enrol_time_unix from tr_user_enrolments group by 1, 2)
-select up.partner, uce.userid, uce.cohort_name, uce.cohort_group, uce.courseid, c.fullname as course_fullname,
- case when ca.userid is not null then 1 else 0 end as aprobado, ca.finalgrade,
- case when ca.userid is not null then {TS('ca.timemodified')} end as fecha_aprobado,
- {TS('greatest(up.timecreated, coalesce(mc.enrol_time_unix, 0))')} as fecha_alta_o_matricula_mas_actual
-from uce join user_partner up on up.userid = uce.userid join tr_courses c on c.id = uce.courseid
-left join curso_aprobados ca on ca.userid = uce.userid and ca.courseid = uce.courseid
-left join mc on mc.userid = uce.userid and mc.courseid = uce.courseid""", LEG)
-sql("users_cohorts", f"""select u.id, u.username as login, u.firstname || ' ' || u.lastname as nombre_completo, u.email,
- strftime({TS('u.timecreated')}, '%d/%m/%Y %H:%M') as fecha_alta, strftime({TS('u.lastaccess')}, '%d/%m/%Y %H:%M') as ultimo_acceso,
- {P2} as partner, c.name as cohorte, strftime({TS('cm.timeadded')}, '%d/%m/%Y %H:%M') as fecha_alta_cohorte
- from tr_users u left join tr_cohort_members_ext cm on cm.userid = u.id left join tr_cohorts c on c.id = cm.cohortid
- where u.suspended = 0 and list_last(string_split(u.username, '-')) = 'nation_7' and c.name like '%14.6%'""", LEG)
+select partner, userid, cohort_name, cohort_group, courseid, course_name as course_fullname, (ok is not null)::INT as aprobado, ok.finalgrade,
+ {TS('ok.gradedategraded')} as fecha_aprobado, {TS('greatest(who.timecreated, first_seen)')} as fecha_alta_o_matricula_mas_actual
+from {_LISTING} natural join listed natural join who
+left join (select userid, courseid, {{'finalgrade': finalgrade, 'gradedategraded': gradedategraded}} as ok from marks where finalgrade >= 60) using (userid, courseid)
+left join (select userid, courseid, min(timecreated) as first_seen from tr_user_enrolments group by all) using (userid, courseid)""", LEG)
+_SHOWN = "'%d/%m/%Y %H:%M'"
+sql("users_cohorts", f"""select id, username as login, firstname || ' ' || lastname as nombre_completo, email,
+ strftime({TS('timecreated')}, {_SHOWN}) as fecha_alta, strftime({TS('lastaccess')}, {_SHOWN}) as ultimo_acceso,
+ {P2} as partner, cohort_name as cohorte, strftime({TS('timeadded')}, {_SHOWN}) as fecha_alta_cohorte
+ from tr_users, tr_cohort_members_ext x, groups_
+ where suspended = 0 and username[-length('-nation_7'):] = '-nation_7' and x.userid = id and x.cohortid = groups_.cohortid and contains(cohort_name, '14.6')""", LEG)
 
 
 # --- practice sessions ------------------------------------------------------------------
@@ -476,7 +445,7 @@ sql("p1_cohort_members", """select cast(cohortid as varchar) || '_' || cast(user
 sql("p2_attendance_register", f"""select event_id as id, user_id as userid, ((event_id % 200) * 7) % 200 as courseid,
  {EPOCH('ts')} as login, cast(floor(value * 60) as bigint) as duration from events""")
 ENROL = """(select p_partkey as id, case when p_partkey % 10 = 9 then 'manual' else 'cohort' end as enrol,
- case when p_partkey % 10 = 8 then null else p_partkey % 25 end as customint1, p_partkey as courseid,
+ case when p_partkey % 10 = 8 then null else p_partkey % 25 + 25 * (p_partkey // 2000) end as customint1, p_partkey as courseid,
  case when p_size > 45 then 1 else 0 end as status from part)"""
 sql("p3_cohort_bridge", f"select id, customint1 as cohortid, courseid from {ENROL} where enrol = 'cohort' and customint1 is not null")
 sql("p4_users", "select * from tr_users where id % 13 <> 0 and id > 1")

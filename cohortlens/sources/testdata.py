@@ -79,21 +79,30 @@ def courses(t: TestTables) -> DataFrame:
     return t.part.select(F.col("p_partkey").alias("id"), _title(F.col("p_partkey")).alias("fullname"))
 
 
+# 25 cohorts for every 2,000 parts and the 15,000 orders that go with them, so
+# cohorts grow with the tables and members and courses per cohort do not.
+COHORTS, PARTS_PER_BLOCK, ORDERS_PER_BLOCK = 25, 2000, 15000
+
+
+def cohort_of(key: F.Column, per_block: int) -> F.Column:
+    return (key % COHORTS + COHORTS * F.floor(key / per_block)).cast("long")
+
+
 def cohorts(t: TestTables) -> DataFrame:
-    k = F.col("n_nationkey")
-    return t.nation.select(k.cast("long").alias("id"), _title(k).alias("name"),
-                           F.when(k % 6 == 5, 0).otherwise(1).alias("visible"))
+    k = F.col("id")
+    ids = t.part.select(cohort_of(F.col("p_partkey"), PARTS_PER_BLOCK).alias("id")).distinct()
+    return ids.select(k, _title(k).alias("name"), F.when(k % 6 == 5, 0).otherwise(1).alias("visible"))
 
 
 def cohort_members_ext(t: TestTables) -> DataFrame:
     o = t.orders
-    return (o.groupBy((F.col("o_orderkey") % 25).alias("cohortid"), F.col("o_custkey").alias("userid"))
+    return (o.groupBy(cohort_of(F.col("o_orderkey"), ORDERS_PER_BLOCK).alias("cohortid"), F.col("o_custkey").alias("userid"))
             .agg(F.min(_epoch(F.col("o_orderdate"))).alias("timeadded")))
 
 
 def enrol_cohort_course(t: TestTables) -> DataFrame:
     k = F.col("p_partkey")
-    return t.part.select(k.alias("id"), (k % 25).alias("cohortid"), k.alias("courseid"))
+    return t.part.select(k.alias("id"), cohort_of(k, PARTS_PER_BLOCK).alias("cohortid"), k.alias("courseid"))
 
 
 def _lines(t: TestTables) -> DataFrame:
@@ -102,27 +111,27 @@ def _lines(t: TestTables) -> DataFrame:
 
 
 def user_courses(t: TestTables) -> DataFrame:
-    return (_lines(t).where(F.col("l_linenumber") <= 5)
-            .select(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("courseid")).distinct())
+    return _lines(t).select(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("courseid")).distinct()
 
 
 def user_enrolments(t: TestTables) -> DataFrame:
     """Enrolment rows with their creation time (several per user and course)."""
-    return (_lines(t).where(F.col("l_linenumber") <= 5)
-            .select(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("courseid"),
-                    _epoch(F.col("o_orderdate")).alias("timecreated")))
+    return _lines(t).select(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("courseid"),
+                            _epoch(F.col("o_orderdate")).alias("timecreated"))
 
 
 def user_grades(t: TestTables) -> DataFrame:
-    return (_lines(t).where(F.col("l_linenumber") <= 3)
+    """Every line is an attempt; those after the third of an order are not graded (null)."""
+    return (_lines(t)
             .groupBy(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("courseid"))
-            .agg((F.max("l_quantity") * 2).alias("graderaw"),
+            .agg((F.max(F.when(F.col("l_linenumber") <= 3, F.col("l_quantity"))) * 2).alias("graderaw"),
                  F.max(_epoch(F.col("l_shipdate"))).alias("gradedategraded")))
 
 
 def course_completions(t: TestTables) -> DataFrame:
-    fin = F.col("o_orderstatus") == "F"
-    return (_lines(t).where(F.col("l_linenumber") >= 3)
+    """Every line has a completion row; those before the third of an order are open (0)."""
+    fin = (F.col("o_orderstatus") == "F") & (F.col("l_linenumber") >= 3)
+    return (_lines(t)
             .groupBy(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("courseid"))
             .agg(F.max(F.when(fin, 1).otherwise(0)).alias("completed"),
                  F.max(F.when(fin, _epoch(F.col("l_shipdate"))).otherwise(0)).alias("timecompleted")))
@@ -138,8 +147,8 @@ def attendance_sessions(t: TestTables) -> DataFrame:
 def partner_meta(t: TestTables) -> DataFrame:
     n, r = t.nation, t.region
     k = F.col("n_nationkey")
-    return (n.join(r, r.r_regionkey == n.n_regionkey).where(k < 20).select(
-        F.lower("n_name").alias("partner"),
+    return (n.join(r, r.r_regionkey == n.n_regionkey).select(
+        F.when(k < 20, F.lower("n_name")).otherwise(F.concat(F.lit("unlisted-"), F.lower("n_name"))).alias("partner"),
         F.when(k % 3 == 0, "Cliente").otherwise("Partner").alias("tipo"),
         F.col("r_name").alias("region"),
         F.when(k % 3 == 0, "true").when(k % 3 == 1, "false").otherwise("").alias("trajo_oportunidades"),
@@ -152,7 +161,7 @@ def partner_meta(t: TestTables) -> DataFrame:
 def employees(t: TestTables) -> DataFrame:
     c, n = t.customer, t.nation
     k = F.col("c_custkey")
-    return (c.join(n, n.n_nationkey == c.c_nationkey).where(k % 20 == 0).select(
+    return (c.join(n, n.n_nationkey == c.c_nationkey).select(
         _str(k).alias("id_vp"), F.col("c_mktsegment").alias("nombre"), F.col("c_name").alias("apellidos"),
         F.lower("n_name").alias("lugar_trabajo"),
         F.when(k % 40 == 0, F.concat(F.lit("u"), _str(k), F.lit("@house.example")))
@@ -218,6 +227,7 @@ def landed(df: DataFrame) -> DataFrame:
 
     Datasets projected from one small generator file would otherwise be a
     single file, i.e. a single-task scan; real landings (one file per
-    extract task or per pod) are read in parallel.
+    extract task or per pod) are read in parallel. The number of files
+    follows the size (AQE sizes the partitions of this shuffle).
     """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(*[F.col(c) for c in df.columns])
