@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import rules as R
@@ -134,13 +134,23 @@ class Compliance:
 
     # W2 ----------------------------------------------------------------------
     def status_share(self) -> DataFrame:
-        """Share of each status; the total is a scalar subquery (no single-partition window)."""
+        """Share of each status; the total is taken over the counted states, so the status runs once."""
         agg = self.status.groupBy("estado").agg(F.count("*").alias("empleados"))
-        total = self.status.agg(F.count("*")).scalar()
-        return agg.select("estado", "empleados", R.pct1(F.col("empleados"), total).alias("pct_total"))
+        all_states = agg.agg(F.collect_list(F.struct("estado", "empleados")).alias("s"), F.sum("empleados").alias("total"))
+        rows = all_states.select(F.explode("s").alias("s"), "total").select("s.estado", "s.empleados", "total")
+        return rows.select("estado", "empleados", R.pct1(F.col("empleados"), F.col("total")).alias("pct_total"))
+
+    # B19 ---------------------------------------------------------------------
+    def match_result(self) -> DataFrame:
+        """One row: the pattern, how many courses match it, and whether any does."""
+        n = self.matching_courses.agg(F.count("*").alias("cursos"))
+        return n.select(F.lit(self.pattern).alias("patron"), "cursos", (F.col("cursos") > 0).alias("encontrado"))
 
     # A16 ---------------------------------------------------------------------
     def headline(self) -> DataFrame:
+        """Totals of the roster; without a roster, those of the enrolled accounts by e-mail."""
+        if self.employees is None:
+            return self._headline_of_enrolled()
         s = self.status.agg(
             F.count_if(F.col("estado") == COMPLETED).alias("completados"),
             F.count_if(F.col("estado") == PENDING).alias("pendientes"),
@@ -151,6 +161,13 @@ class Compliance:
         return row.select("*", F.coalesce(R.pct1("completados", "total_empleados"), F.lit(0.0))
                           .alias("tasa_completado"))
 
+    def _headline_of_enrolled(self) -> DataFrame:
+        done = self.completed.select("email", F.lit(True).alias("_done"))
+        row = self.enrolled.select("email").distinct().join(done, "email", "left").agg(
+            F.count_if(F.col("_done").isNotNull()).alias("completados"),
+            F.count_if(F.col("_done").isNull()).alias("pendientes"), F.count("*").alias("total_inscritos"))
+        return row.select("*", F.coalesce(R.pct1("completados", "total_inscritos"), F.lit(0.0)).alias("tasa_completado"))
+
     # J14 ---------------------------------------------------------------------
     def _completions_by_pair(self) -> DataFrame | None:
         if not self.snap.has("course_completions"):

@@ -1,28 +1,20 @@
-"""Join helpers: lookups are broadcast only behind a size check."""
+"""Join helpers. No size test and no broadcast hint: AQE picks the strategy from measured bytes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lookup tables (partner metadata, domain map) are a few hundred rows in
-# practice; anything above this row bound is joined by shuffle instead.
-LOOKUP_MAX_ROWS = 100_000
+SALTS = 16
 
 
-def fits(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> bool:
-    """True when the frame provably has <= ``max_rows`` rows.
+def salted_join(big: DataFrame, small: DataFrame, key: str, spread: str) -> DataFrame:
+    """Inner join on ``key`` whose hot keys spread over ``SALTS`` tasks.
 
-    The check reads at most ``max_rows + 1`` rows (a LIMIT job that stops
-    early), so it costs little even on a fact table.
+    ``big`` rows are salted by the hash of their column ``spread``; every
+    ``small`` row is repeated once a salt, so a key holding a third of ``big``
+    meets its matches in ``SALTS`` partitions. No row is lost or doubled.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when the frame provably has <= ``max_rows`` rows.
-
-    Beyond the bound the frame is returned unhinted and Spark plans a shuffle
-    join (AQE may still switch to a broadcast from measured sizes).
-    """
-    return F.broadcast(df) if fits(df, max_rows) else df
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [key, "_salt"]).drop("_salt")

@@ -9,37 +9,21 @@ The pass mark of this corpus is the legacy one (D1).
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions import rules as R
-from cohortlens.operators.joins import LOOKUP_MAX_ROWS, bounded_broadcast, fits
+from cohortlens.operators.joins import salted_join
 from cohortlens.sources.snapshot import Snapshot
 
 LISTING_VERSIONS = ("14.1", "14.6", "14.8")
 
 
-def fact_side(df: DataFrame) -> DataFrame:
-    """Build side of a join with the expanded (user, cohort, course) rows.
-
-    The expansion multiplies memberships by courses, so it is always the
-    bigger side. Hashing the fact partition (``shuffle_hash``) instead of a
-    sort-merge join means the expanded rows are shuffled once on
-    (userid, courseid) and never sorted; a fact small enough is still
-    broadcast by AQE from its measured size.
-    """
-    return df.hint("shuffle_hash")
-
-
 class Legacy:
     def __init__(self, snap: Snapshot, rules: R.Rules, user_enrolments: DataFrame | None = None):
         self.snap, self.rules = snap, rules
         self.user_enrolments = user_enrolments  # (userid, courseid, timecreated), any method
         self.mark = rules.legacy_pass_mark
-        # users up to this many rows are broadcast after the listing's fact joins
-        self.user_broadcast_rows = LOOKUP_MAX_ROWS
 
     # shared pieces -------------------------------------------------------------
     def user_partner(self, email_only: bool = False) -> DataFrame:
@@ -96,7 +80,7 @@ class Legacy:
         s = self.snap["attendance_sessions"]
         per = s.select("userid", R.month_key(R.epoch_ts("login")).alias("mes")).distinct()
         j = per.join(self.user_partner().select("userid", "partner"), "userid")
-        return j.groupBy("mes", "partner").agg(F.count_distinct("userid").alias("usuarios_unicos"))
+        return j.groupBy("mes", "partner").agg(F.count("*").alias("usuarios_unicos"))
 
     # A25 -------------------------------------------------------------------------
     def _active_visible_members(self) -> DataFrame:
@@ -120,32 +104,30 @@ class Legacy:
             F.count_distinct("email").alias("num_apuntados"))
 
     # A27 -------------------------------------------------------------------------
-    def cohort_month_cells(self) -> DataFrame:
-        """Long form of the crosstab: (partner, cohorte_mes, n), one row per counted cell."""
-        up = self.user_partner(email_only=True).where(F.col("suspended") == 0)
-        j = up.join(self.members(), "userid").join(self.cohorts(), "cohortid")
-        key = F.concat(F.col("cohort_name"), F.lit("_"), F.date_format(R.epoch_ts("timeadded"), "yyyy_MM"))
-        return j.groupBy("partner", key.alias("cohorte_mes")).agg(F.count("*").alias("n"))
-
-    def cohort_month_crosstab(self, columns: list | None = None) -> DataFrame:
-        """partner x (cohort_YYYY_MM) membership counts; null where no membership.
+    def cohort_month_crosstab(self) -> DataFrame:
+        """partner x (cohort_YYYY_MM) membership counts, long: (partner, cohorte_mes, n).
 
-        The counts are aggregated first (partner, cohort-month), so the pivot
-        works on one row per cell; the column list is discovered from the
-        counted cells (sorted) unless given. The wide form is a report sheet:
-        beyond ``spark.sql.pivotMaxValues`` columns it raises instead of
-        building an unbounded row; the long form (``cohort_month_cells``)
-        has no such limit.
+        The columns of the sheet are the cohort-months of *all* memberships;
+        one that only suspended users joined has a row with a null partner and
+        n = 0, so that no column is lost. Long rows have no column limit;
+        ``crosstab_sheet`` lays chosen columns out side by side.
         """
-        cells = self.cohort_month_cells()
-        if columns is None:
-            spark = cells.sparkSession
-            cap = int(spark.conf.get("spark.sql.pivotMaxValues", "10000"))
-            keys = (cells.select("cohorte_mes").where(F.col("cohorte_mes").isNotNull()).distinct()
-                    .orderBy("cohorte_mes").limit(cap + 1))
-            columns = [r[0] for r in keys.collect()]
-            if len(columns) > cap:
-                raise ValueError(f"crosstab would have more than {cap} columns; use cohort_month_cells()")
+        up = self.user_partner(email_only=True).select("userid", "partner", "suspended")
+        j = up.join(self.members(), "userid").join(self.cohorts(), "cohortid")
+        key = F.concat(F.col("cohort_name"), F.lit("_"), F.date_format(R.epoch_ts("timeadded"), "yyyy_MM"))
+        active = F.col("suspended") == 0
+        per = j.groupBy(key.alias("cohorte_mes"), "partner").agg(F.count_if(active).alias("n"))
+        # per cohort-month: the partners with members, or one empty row where none has any
+        cells = F.filter(F.collect_list(F.struct("partner", "n")), lambda c: c["n"] > 0)
+        none = F.array(F.struct(F.lit(None).cast("string").alias("partner"), F.lit(0).cast("long").alias("n")))
+        keyed = per.groupBy("cohorte_mes").agg(cells.alias("cells"))
+        keyed = keyed.where(F.col("cohorte_mes").isNotNull() | (F.size("cells") > 0))
+        return keyed.select(F.explode(F.when(F.size("cells") > 0, F.col("cells")).otherwise(none)).alias("c"), "cohorte_mes").select(
+            "c.partner", "cohorte_mes", "c.n")
+
+    def crosstab_sheet(self, columns: list) -> DataFrame:
+        """The given cohort-months as columns, one row per partner; null where no membership."""
+        cells = self.cohort_month_crosstab().where(F.col("n") > 0)
         return cells.groupBy("partner").pivot("cohorte_mes", columns).agg(F.first("n"))
 
     # A28 -------------------------------------------------------------------------
@@ -164,10 +146,11 @@ class Legacy:
         j = (ded.join(self.bridge(), "courseid")
              .join(uc, ["userid", "cohortid"])
              .join(up, "userid"))
-        res = j.groupBy("partner", "cohort_name", "mes").agg(
-            F.count_distinct(F.when(F.col("alta_mes") == F.col("mes"), F.col("userid"))).alias("num_altas"),
-            F.sum("secs").alias("secs"),
-            F.count_distinct("userid").alias("usuarios_unicos"))
+        # per user first, then plain counts: no Expand for the two distinct counts
+        person = j.groupBy("partner", "cohort_name", "mes", "userid").agg(
+            F.max(F.col("alta_mes") == F.col("mes")).alias("is_new"), F.sum("secs").alias("secs"))
+        res = person.groupBy("partner", "cohort_name", "mes").agg(
+            F.count_if("is_new").alias("num_altas"), F.sum("secs").alias("secs"), F.count("userid").alias("usuarios_unicos"))
         w = Window.partitionBy("partner", "cohort_name").orderBy("mes")  # default RANGE frame
         return res.select(
             "mes", "partner", "cohort_name", "num_altas",
@@ -207,52 +190,35 @@ class Legacy:
                         R.epoch_ts("timemodified").alias("fecha_aprobado"))
 
     # (user, cohort, course) rows ---------------------------------------
-    def _user_cohort_courses(self, cohorts: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    def _user_cohort_courses(self, cohorts: DataFrame) -> DataFrame:
         """Distinct (userid, cohortid, courseid) of the chosen cohorts.
 
         Memberships are deduplicated per (user, cohort) and the bridge per
         (cohort, course) *before* the expansion, so the product is distinct by
-        construction (no DISTINCT over the expanded rows). The bridge side is
-        dimension-sized and broadcast behind a row-count check, so the
-        expansion runs map-side and a cohort holding a third of all members
-        causes no shuffle skew. ``users`` (keyed by userid), when given, is
-        joined to the memberships before the expansion: a user table too big
-        to broadcast then costs a shuffle of memberships, not a second
-        shuffle of the expanded rows.
+        construction. The expansion is salted by the user: a cohort holding a
+        third of all members spreads over many tasks.
         """
-        ids = bounded_broadcast(cohorts.select("cohortid"))
-        br = bounded_broadcast(self._bridge_of(cohorts))
-        mem = (self.members().select("cohortid", "userid")
-               .join(ids, "cohortid", "left_semi").distinct())
-        if users is not None:
-            mem = mem.join(users, "userid")
-        return mem.join(br, "cohortid")
+        ids = cohorts.select("cohortid")
+        mem = self.members().select("cohortid", "userid").join(ids, "cohortid", "left_semi").distinct()
+        return salted_join(mem, self._bridge_of(cohorts), "cohortid", "userid")
 
     def _bridge_of(self, cohorts: DataFrame) -> DataFrame:
-        ids = bounded_broadcast(cohorts.select("cohortid"))
-        return self.bridge().join(ids, "cohortid", "left_semi").select("cohortid", "courseid").distinct()
+        return self.bridge().join(cohorts.select("cohortid"), "cohortid", "left_semi").select("cohortid", "courseid").distinct()
 
     def _listing(self, cohorts: DataFrame, users: DataFrame, facts: list) -> DataFrame:
         """Expanded rows + left joins of the (userid, courseid) facts + user,
         cohort and course fields.
 
-        The expanded rows are hash-partitioned once on (userid, courseid) and
-        every fact hashes its side (no sort of the expanded rows). Users that
-        fit a broadcast are joined after the facts, so that one shuffle moves
-        three longs per row; otherwise they join the memberships before the
-        expansion.
+        Facts keep only courses that a chosen cohort enrols before their
+        shuffle (others can never match). Each fact is unique per (user,
+        course), so the expanded rows are shuffled once for all of them.
         """
-        small_users = fits(users, self.user_broadcast_rows)
-        j = self._user_cohort_courses(cohorts, None if small_users else users)
-        # a fact row of a course no chosen cohort enrols can never match: drop it before its shuffle
-        reached = bounded_broadcast(self._bridge_of(cohorts).select("courseid").distinct())
+        j = self._user_cohort_courses(cohorts)
+        reached = self._bridge_of(cohorts).select("courseid").distinct()
         for f in facts:
-            j = j.join(fact_side(f.join(reached, "courseid", "left_semi")), ["userid", "courseid"], "left")
-        if small_users:
-            j = j.join(F.broadcast(users), "userid")
-        c = bounded_broadcast(self.snap["courses"].select(F.col("id").alias("courseid"),
-                                                          F.col("fullname").alias("course_name")))
-        return j.join(bounded_broadcast(cohorts), "cohortid").join(c, "courseid")
+            j = j.join(f.join(reached, "courseid", "left_semi"), ["userid", "courseid"], "left")
+        c = self.snap["courses"].select(F.col("id").alias("courseid"), F.col("fullname").alias("course_name"))
+        return j.join(users, "userid").join(cohorts, "cohortid").join(c, "courseid")
 
     def student_grade_status(self, email_filter: str | None = None) -> DataFrame:
         up = self.user_partner().select("userid", "username", "email", "partner")

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions import rules as R
-from cohortlens.operators.joins import bounded_broadcast
 from cohortlens.sources.snapshot import Snapshot
 
 
@@ -77,7 +76,7 @@ class Model:
                 F.lit(None).cast("boolean").alias("trajo_clientes"),
                 F.lit(False).alias("paga_certificacion"), F.lit(None).cast("double").alias("total_pagado"),
             )
-        m = bounded_broadcast(dedupe_partner_meta(self.partner_meta))
+        m = dedupe_partner_meta(self.partner_meta)
         j = p.join(m, "partner", "left")
         return j.select(
             "partner", "tipo", "region",

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import rules as R
@@ -45,13 +45,13 @@ def users_by_year_pivot(m: Model, years: list | None = None) -> DataFrame:
     u = m.f_usuarios.select("partner", "userid", R.year_key("fecha_alta").alias("yr"))
     if years is None:
         years = discover(u, "yr")
-    base = u.groupBy("partner").agg(F.count_distinct("userid").alias("total_altas"))
-    if not years:
-        return base.select("partner")
-    pv = (u.where(F.col("yr").isin(years)).groupBy("partner").pivot("yr", years)
-          .agg(F.count_distinct("userid")))
-    out = base.select("partner").join(pv, "partner", "left")
-    return out.select("partner", *[F.coalesce(F.col(y), F.lit(0)).cast("long").alias(f"altas_{y}") for y in years])
+    per = u.groupBy("partner", "userid").agg(F.lit(1).alias("_any"), *[F.max(F.col("yr") == y).alias(f"_{y}") for y in years])
+    return per.groupBy("partner").agg(F.count("_any").alias("_n"), *[_users_where(f"_{y}").alias(f"altas_{y}") for y in years]).drop("_n")
+
+
+def _users_where(flag: str):
+    """Number of (already distinct) users for which the flag holds; null users do not count."""
+    return F.count_if(F.col(flag) & F.col("userid").isNotNull())
 
 
 def hours_by_year_pivot(m: Model, years: list | None = None) -> DataFrame:
@@ -59,13 +59,8 @@ def hours_by_year_pivot(m: Model, years: list | None = None) -> DataFrame:
     d = m.f_dedicacion.select("partner", F.substring("mes", 1, 4).alias("yr"), R.centi("horas").alias("c"))
     if years is None:
         years = discover(d, "yr")
-    base = d.groupBy("partner").agg(F.sum("c").alias("_t"))
-    if not years:
-        return base.select("partner")
-    pv = d.where(F.col("yr").isin(years)).groupBy("partner").pivot("yr", years).agg(F.sum("c"))
-    out = base.select("partner").join(pv, "partner", "left")
-    return out.select("partner", *[(F.coalesce(F.col(y), F.lit(0)) / F.lit(100.0)).alias(f"horas_{y}")
-                                   for y in years])
+    hours = [(F.sum(F.when(F.col("yr") == y, F.col("c")).otherwise(0)) / F.lit(100.0)).alias(f"horas_{y}") for y in years]
+    return d.groupBy("partner").agg(F.count("*").alias("_n"), *hours).drop("_n")
 
 
 # A2 ---------------------------------------------------------------------------
@@ -76,10 +71,11 @@ def partner_summary(m: Model, altas_years: list | None = None, horas_years: list
     if horas_years is None:
         horas_years = discover(m.f_dedicacion, F.substring("mes", 1, 4))
 
-    base = fu.groupBy("partner").agg(F.count_distinct("userid").alias("total_altas"),
-                                     F.max("ultimo_acceso").alias("ultimo_acceso"))
-    if altas_years:
-        base = base.join(users_by_year_pivot(m, altas_years), "partner", "left")
+    yr = R.year_key("fecha_alta")
+    per_user = fu.groupBy("partner", "userid").agg(F.max("ultimo_acceso").alias("ultimo_acceso"),
+                                                   *[F.max(yr == y).alias(f"_{y}") for y in altas_years])
+    base = per_user.groupBy("partner").agg(F.count("userid").alias("total_altas"), F.max("ultimo_acceso").alias("ultimo_acceso"),
+                                           *[_users_where(f"_{y}").alias(f"altas_{y}") for y in altas_years])
     cert = distinct_users(m.f_certificaciones, ["partner"], "aprobado", total="_n", flagged="total_certificados")
     ded = m.f_dedicacion.select("partner", F.substring("mes", 1, 4).alias("yr"), R.centi("horas").alias("c"))
     ded_agg = ded.groupBy("partner").agg(
@@ -91,10 +87,10 @@ def partner_summary(m: Model, altas_years: list | None = None, horas_years: list
     ins = (cm.join(up, cm.userid == up.uid).groupBy("partner")
            .agg(F.count_distinct("userid").alias("total_inscritos")))
 
-    out = (base.join(m.dim_partners, "partner", "left")
-           .join(cert.select("partner", "total_certificados"), "partner", "left")
-           .join(ded_agg, "partner", "left")
-           .join(ins, "partner", "left"))
+    out = base
+    for part in (m.dim_partners, cert.select("partner", "total_certificados"), ded_agg, ins):
+        right = part.withColumnRenamed("partner", "_p")  # a null partner is a group of its own and meets itself
+        out = out.join(right, out["partner"].eqNullSafe(right["_p"]), "left").drop("_p")
     return out.select(
         "partner", "tipo", "region", "trajo_oportunidades", "trajo_clientes", "paga_certificacion",
         "total_pagado", "total_altas", *[f"altas_{y}" for y in altas_years],

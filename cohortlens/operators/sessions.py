@@ -27,7 +27,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions import rules as R
-from cohortlens.operators.joins import bounded_broadcast
 
 RE_IP = r"^(\d+\.\d+\.\d+\.\d+):"
 RE_TS = r"\[(\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})\]"
@@ -88,11 +87,10 @@ def email_partner(email: Column, domain_map=None) -> Column | None:
 
 
 def with_email_partner(df: DataFrame, email_col: str, domain_map=None, out: str = "partner") -> DataFrame:
-    """B22 with the map as a DataFrame (domain, partner): a size-checked broadcast join."""
+    """B22 with the map as a DataFrame (domain, partner): a left join (AQE broadcasts a small map)."""
     if domain_map is None or isinstance(domain_map, dict):
         return df.withColumn(out, email_partner(F.col(email_col), domain_map))
-    m = bounded_broadcast(domain_map.select(F.col("domain").alias("_dom"), F.col("partner").alias("_mapped"))
-                          .dropDuplicates(["_dom"]))
+    m = domain_map.select(F.col("domain").alias("_dom"), F.col("partner").alias("_mapped")).dropDuplicates(["_dom"])
     j = df.withColumn("_d", R.email_domain(F.col(email_col))).join(m, F.col("_d") == F.col("_dom"), "left")
     return j.withColumn(out, F.coalesce("_mapped", F.substring_index("_d", ".", 1))).drop("_d", "_dom", "_mapped")
 
@@ -233,7 +231,7 @@ def pod_documents(sessions: DataFrame, activity: DataFrame, rules: R.Rules) -> D
 def dedupe_documents(docs: DataFrame, domain_map=None, pod_order: DataFrame | None = None) -> DataFrame:
     d = docs
     if pod_order is not None:
-        d = d.join(bounded_broadcast(pod_order), "pod", "left")
+        d = d.join(pod_order, "pod", "left")
         rank = F.struct(F.col("pod_rank"), F.col("pod"))
     else:
         rank = F.col("pod")
@@ -253,8 +251,9 @@ def as_timestamps(docs: DataFrame) -> DataFrame:
 # L4, B26 ------------------------------------------------------------------------
 def detail(docs: DataFrame) -> DataFrame:
     """Session table rows (text dates as stored) with hours, ordered by (partner, start)."""
-    return docs.select("partner", "email", "user", "tenant", "fecha_inicio", "fecha_fin", "last_seen",
-                       R.session_hours("fecha_inicio", "last_seen").alias("duracion_h"))
+    out = docs.select("partner", "email", "user", "tenant", "fecha_inicio", "fecha_fin", "last_seen",
+                      R.session_hours("fecha_inicio", "last_seen").alias("duracion_h"))
+    return out.orderBy("partner", "fecha_inicio", "email")
 
 
 # A17 ------------------------------------------------------------------------------
