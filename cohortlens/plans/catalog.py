@@ -701,12 +701,12 @@ def _practice_sessions_stream(c: Ctx):
     log = _proxy_log(c)
     lo, hi = log.agg(F.min("line_no"), F.max("line_no")).first()
     step = (hi - lo) // STREAM_CHUNKS + 1
-    ss = StreamingSessions(c.spark, f"{base}/state", RULES, DOMAIN_MAP)
+    ss = StreamingSessions(c.spark, base, RULES, DOMAIN_MAP)
     for i in range(STREAM_CHUNKS):
         part = log.where((F.col("line_no") >= lo + i * step) & (F.col("line_no") < lo + (i + 1) * step))
         part.write.mode("append").parquet(f"{base}/landing")
-        q = ss.run(read_log_stream(c.spark, f"{base}/landing", files_per_trigger=None), f"{base}/checkpoint")
-        q.awaitTermination()
+        for q in ss.run(read_log_stream(c.spark, f"{base}/landing", files_per_trigger=None)):
+            q.awaitTermination()
     return as_timestamps(ss.documents()).withColumn("groups", F.array_join("groups", " "))
 
 

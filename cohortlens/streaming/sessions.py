@@ -1,137 +1,111 @@
 """Practice sessions as a stream.
 
-Log lines arrive as files, in line order per pod. Every micro-batch is
-merged into versioned state tables with associative merges, in
-``foreachBatch``:
-
-* sessions  (pod, email, created): last login line and its fields (max_by),
-  last sign-out line and time pointing to the key (max / max_by);
-* pointers  (pod, ip): key of the latest accepted login on the IP, which is
-  the carry-in of the next batch's segmented forward fill;
-* activity  (pod, ip): max activity time.
-
-Version ``v=<batch_id>`` is written from version ``batch_id - 1`` plus the
-batch, so a replayed batch rewrites the same version (idempotent). The
-documents of the latest version equal the batch result over all lines seen
-(``last_seen`` is a whole-log max, so a late activity line updates a closed
-session: the document view is recomputed from state, not appended).
+Log lines arrive as files, in line order per pod. Two queries read them:
+
+* ``signouts``: login and sign-out lines, keyed by (pod, address), run through
+  ``applyInPandasWithState``. The state of a key is the latest accepted login
+  on it, kept in the engine's state store (RocksDB unless the session names
+  another provider) and checkpointed by Spark, so a batch costs what its own
+  keys cost and a lost or missing state fails the query. Every sign-out with a
+  pointer is appended by the file sink, which commits a batch once.
+* ``facts``: every batch writes its accepted logins and the latest activity of
+  each of its addresses to a folder of its own; a replayed batch overwrites
+  the same folder.
+
+Nothing written is ever rewritten. ``documents`` folds what has been appended
+with associative aggregates (last login, last sign-out, latest activity per
+key) and equals the batch result over all lines seen; a late activity line
+moves the end of a closed session, so the document view is a query.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cohortlens.functions import rules as R
 from cohortlens.operators import sessions as S
+from cohortlens.sources.snapshot import path_exists
 
 LOG_SCHEMA = "pod string, line_no long, value string"
+SIGNOUT_SCHEMA = "pod string, email string, created string, out_line long, out_ts string"
+LOGIN_SCHEMA = ("pod string, email string, created string, login_line long, src_ip string, user string, "
+                "tenant string, groups array<string>, path string")
+ACTIVITY_SCHEMA = "pod string, ip string, last_activity string"
+STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def point_signouts(key, parts, state: GroupState):
+    """Sign-outs of one (pod, address) with the session of the latest login before each.
+
+    ``parts`` are the key's lines of the batch; the pointer left by earlier
+    batches comes from the state, and the last one goes back into it.
+    """
+    lines = pd.concat(list(parts)).sort_values("line_no")
+    email, created = state.get if state.exists else (None, None)
+    login = lines["kind"] == "login"
+    known = pd.DataFrame({"email": lines["email"].where(login), "created": lines["created"].where(login)}).astype(object).ffill()
+    if email is not None:
+        first = ~login.cummax()
+        known.loc[first, ["email", "created"]] = [email, created]
+    if login.any() or email is not None:
+        last = known.iloc[-1]
+        state.update((last["email"], last["created"]))
+    out = ~login & known["email"].notna()
+    yield pd.DataFrame({"pod": key[0], "email": known["email"][out], "created": known["created"][out],
+                        "out_line": lines["line_no"][out], "out_ts": lines["ts"][out]})
 
 
 class StreamingSessions:
-    def __init__(self, spark: SparkSession, state_dir: str, rules: R.Rules, domain_map=None,
-                 block_lines: int = S.DEFAULT_BLOCK_LINES, keep_versions: int = 3):
-        """``keep_versions`` (>= 2): state versions kept on storage. A replayed
-        batch ``b`` reads version ``b - 1`` and Spark replays at most the last
-        uncommitted batch, so two suffice; older versions are deleted after
-        each batch, so storage holds a few copies of the state, not one per
-        batch ever run."""
-        self.spark, self.state_dir, self.rules = spark, state_dir.rstrip("/"), rules
-        self.domain_map, self.block = domain_map, block_lines
-        self.keep_versions = max(2, int(keep_versions))
-        self.last_version = None
-
-    def _path(self, version: int, part: str) -> str:
-        return f"{self.state_dir}/v={version}/{part}"
-
-    def _read(self, version: int, part: str, schema: str) -> DataFrame:
-        """One part of a state version. Only the version before the first batch is empty by
-        definition; any other that is missing means lost state, and raises."""
-        if version < 0:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self._path(version, part))
+    def __init__(self, spark: SparkSession, base: str, rules: R.Rules, domain_map=None):
+        """``base``: folder, shared by all executors, of what the queries append and of their checkpoints."""
+        self.spark, self.base, self.rules, self.domain_map = spark, base.rstrip("/"), rules, domain_map
+
+    def _accepted(self, log: DataFrame) -> DataFrame:
+        return S.parse_lines(log, self.rules).where(F.col("accepted"))
 
-    SESS_SCHEMA = ("pod string, email string, created string, login_line long, src_ip string, user string, "
-                   "tenant string, groups array<string>, path string, out_line long, out_ts string")
-    PTR_SCHEMA = "pod string, ip string, key struct<email:string,created:string>, key_line long"
-    ACT_SCHEMA = "pod string, ip string, last_activity string"
+    def signouts(self, source: DataFrame) -> DataFrame:
+        lines = self._accepted(source).where("ip is not null and kind in ('login', 'logout')")
+        return lines.select("pod", "ip", "line_no", "kind", "email", "created", "ts").groupBy("pod", "ip").applyInPandasWithState(
+            point_signouts, SIGNOUT_SCHEMA, "email string, created string", "append", GroupStateTimeout.NoTimeout)
 
-    def process_batch(self, batch: DataFrame, batch_id: int) -> None:
-        prev = batch_id - 1
-        lines = S.parse_lines(batch, self.rules).where(F.col("accepted"))
-        lines = lines.persist()
+    def append_facts(self, batch: DataFrame, batch_id: int) -> None:
+        lines = self._accepted(batch).persist()
         try:
-            old_s = self._read(prev, "sessions", self.SESS_SCHEMA)
-            old_p = self._read(prev, "pointers", self.PTR_SCHEMA)
-            old_a = self._read(prev, "activity", self.ACT_SCHEMA)
-
-            logins = lines.where(F.col("kind") == "login").select(
-                "pod", "email", "created", F.col("line_no").alias("login_line"), F.col("ip").alias("src_ip"),
-                "user", "tenant", "groups", "path")
-            outs = S.aggregate_signouts(S.signout_pointers(lines, self.block, old_p))
-            u = (old_s.unionByName(logins, allowMissingColumns=True)
-                 .unionByName(outs, allowMissingColumns=True))
-            login_fields = ["login_line", "src_ip", "user", "tenant", "groups", "path"]
-            sess = u.groupBy("pod", "email", "created").agg(
-                F.max_by(F.struct(*login_fields), F.col("login_line")).alias("l"),
-                F.max("out_line").alias("out_line"), F.max_by("out_ts", "out_line").alias("out_ts"))
-            sess = sess.where(F.col("l").isNotNull()).select(
-                "pod", "email", "created", *[F.col(f"l.{c}").alias(c) for c in login_fields], "out_line", "out_ts")
-
-            new_ptr = lines.where((F.col("kind") == "login") & F.col("ip").isNotNull()).select(
-                "pod", "ip", F.struct("email", "created").alias("key"), F.col("line_no").alias("key_line"))
-            ptr = old_p.unionByName(new_ptr).groupBy("pod", "ip").agg(
-                F.max_by("key", "key_line").alias("key"), F.max("key_line").alias("key_line"))
-            act = old_a.unionByName(S.activity_max(lines)).groupBy("pod", "ip").agg(
-                F.max("last_activity").alias("last_activity"))
-
-            sess.write.mode("overwrite").parquet(self._path(batch_id, "sessions"))
-            ptr.write.mode("overwrite").parquet(self._path(batch_id, "pointers"))
-            act.write.mode("overwrite").parquet(self._path(batch_id, "activity"))
-            self.last_version = batch_id
-            self._prune(batch_id)
+            logins = lines.where("kind = 'login'").select(
+                "pod", "email", "created", F.col("line_no").alias("login_line"), F.col("ip").alias("src_ip"), "user", "tenant", "groups", "path")
+            logins.write.mode("overwrite").parquet(f"{self.base}/logins/batch={batch_id}")
+            S.activity_max(lines).write.mode("overwrite").parquet(f"{self.base}/activity/batch={batch_id}")
         finally:
             lines.unpersist()
 
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.state_dir)
-        return jvm, root, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _prune(self, batch_id: int) -> None:
-        """Delete state versions older than the last ``keep_versions``."""
-        _, root, fs = self._fs()
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if name.startswith("v=") and name[2:].isdigit() and int(name[2:]) <= batch_id - self.keep_versions:
-                fs.delete(st.getPath(), True)
-
-    def latest_version(self) -> int:
-        """Newest complete state version on storage (-1 if none).
-
-        A version is complete once its last part (activity) committed, so a
-        batch that failed half-way is ignored until its replay rewrites it.
-        """
-        jvm, root, fs = self._fs()
-        if not fs.exists(root):
-            return -1
-        done = [int(st.getPath().getName()[2:]) for st in fs.listStatus(root)
-                if st.getPath().getName().startswith("v=")
-                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "activity/_SUCCESS"))]
-        return max(done, default=-1)
-
-    def documents(self, version: int | None = None) -> DataFrame:
-        v = version if version is not None else (
-            self.last_version if self.last_version is not None else self.latest_version())
-        sess = self._read(v, "sessions", self.SESS_SCHEMA)
-        act = self._read(v, "activity", self.ACT_SCHEMA)
-        return S.dedupe_documents(S.pod_documents(sess, act, self.rules), self.domain_map)
-
-    def run(self, source: DataFrame, checkpoint_location: str, available_now: bool = True,
-            processing_time: str | None = None):
-        w = source.writeStream.foreachBatch(self.process_batch).option("checkpointLocation", checkpoint_location)
-        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
-        return w.start()
+    def run(self, source: DataFrame, available_now: bool = True, processing_time: str = "1 minute") -> list:
+        """Start both queries over ``source``; they resume from their checkpoints."""
+        if self.spark.conf.get("spark.sql.streaming.stateStore.providerClass", "").endswith("HDFSBackedStateStoreProvider"):
+            self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
+        when = {"availableNow": True} if available_now else {"processingTime": processing_time}
+        facts = source.writeStream.foreachBatch(self.append_facts)
+        outs = self.signouts(source).writeStream.format("parquet").outputMode("append").option("path", f"{self.base}/signouts")
+        return [w.option("checkpointLocation", f"{self.base}/checkpoint/{name}").trigger(**when).start()
+                for name, w in (("facts", facts), ("signouts", outs))]
+
+    def _appended(self, part: str, schema: str) -> DataFrame:
+        path = f"{self.base}/{part}"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def documents(self) -> DataFrame:
+        logins = self._appended("logins", LOGIN_SCHEMA)
+        fields = ["login_line", "src_ip", "user", "tenant", "groups", "path"]
+        last = logins.groupBy("pod", "email", "created").agg(F.max_by(F.struct(*fields), "login_line").alias("l"))
+        outs = self._appended("signouts", SIGNOUT_SCHEMA).groupBy("pod", "email", "created").agg(
+            F.max("out_line").alias("out_line"), F.max_by("out_ts", "out_line").alias("out_ts"))
+        activity = self._appended("activity", ACTIVITY_SCHEMA).groupBy("pod", "ip").agg(F.max("last_activity").alias("last_activity"))
+        sessions = last.select("pod", "email", "created", "l.*").join(outs, ["pod", "email", "created"], "left")
+        return S.dedupe_documents(S.pod_documents(sessions, activity, self.rules), self.domain_map)
 
 
 def read_log_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 1) -> DataFrame:
