@@ -21,7 +21,10 @@ COMPLETED, PENDING, NOT_ENROLLED = "completado", "pendiente", "sin_inscribir"
 
 class Compliance:
     def __init__(self, snap: Snapshot, rules: R.Rules, course_pattern: str, partner: str,
-                 employees: DataFrame | None = None):
+                 employees: DataFrame | None = None, one_account: bool = False):
+        """``one_account``: an e-mail with several accounts counts as the one of smallest id (D10);
+        by default each account gives the employee a row."""
+        self.one_account = one_account
         self.snap, self.rules = snap, rules
         self.pattern = course_pattern.lower()
         self.partner = partner.lower()
@@ -102,7 +105,10 @@ class Compliance:
     @cached_property
     def status(self) -> DataFrame:
         emp = self.employees
-        en = self.enrolled.select(F.col("email").alias("en_email"), "username")
+        en = self.enrolled
+        if self.one_account:
+            en = en.groupBy("email").agg(F.min_by("username", "moodle_userid").alias("username"))
+        en = en.select(F.col("email").alias("en_email"), "username")
         co = self.completed.select(F.col("email").alias("co_email"), "fecha_completado", "nota")
         j = emp.join(en, emp.email == en.en_email, "left").join(co, emp.email == co.co_email, "left")
         estado = (F.when(F.col("co_email").isNotNull(), F.lit(COMPLETED))
@@ -189,7 +195,8 @@ class Compliance:
             j = j.join(comp, (j.userid == comp.c_uid) & (j.courseid == comp.c_cid), "left")
             j = j.select("*", F.col("c_uid").isNotNull().alias("completado"))
         return j.select("id", "username", "email", R.full_name("firstname", "lastname").alias("nombre_completo"),
-                        "curso", "fecha_completado", "completado", R.active("suspended").alias("activo"))
+                        "curso", "fecha_completado", "completado", R.active("suspended").alias("activo")
+                        ).orderBy("curso", "email", "id")
 
     # A15 ---------------------------------------------------------------------
     def course_summary(self) -> DataFrame:

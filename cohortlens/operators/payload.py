@@ -80,6 +80,11 @@ def coalesce_sources(candidates) -> DataFrame | None:
     return None
 
 
+def first_available(snap, names, columns) -> DataFrame | None:
+    """N7 over a snapshot: the columns of the first named dataset that is present, else null."""
+    return coalesce_sources([snap[n].select(*columns) if snap.has(n) else None for n in names])
+
+
 # N8 -------------------------------------------------------------------------
 def synth_cohorts(members: DataFrame) -> DataFrame:
     ids = members.select(F.col("cohortid").alias("id")).where(F.col("id").isNotNull()).distinct()

@@ -166,7 +166,15 @@ def certified_detail(m: Model) -> DataFrame:
 
 
 # A8 ---------------------------------------------------------------------------
-def inactive_partners(m: Model, as_of: str, days: int = 30) -> DataFrame:
+def inactive_partners(m: Model, as_of: str, days: int = 30, never_as_null: bool = False) -> DataFrame:
+    """Partners whose latest access lies more than ``days`` back.
+
+    A user who never came has access time 0, i.e. 1970 (D9); with
+    ``never_as_null`` such users do not count, and a partner of which nobody
+    ever came is listed with nulls.
+    """
+    if never_as_null:
+        return _inactive_or_never(m, as_of, days)
     last = (m.f_usuarios.where(F.col("ultimo_acceso").isNotNull()).groupBy("partner")
             .agg(F.max("ultimo_acceso").alias("_last")))
     cutoff = F.lit(as_of).cast("date") - F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(days))
@@ -175,6 +183,14 @@ def inactive_partners(m: Model, as_of: str, days: int = 30) -> DataFrame:
             .select("partner", d.alias("ultimo_acceso"), R.days_since(d, as_of).alias("dias_sin_actividad")))
 
 
+def _inactive_or_never(m: Model, as_of: str, days: int) -> DataFrame:
+    came = F.when(F.unix_seconds("ultimo_acceso") > 0, F.to_date("ultimo_acceso"))
+    last = m.f_usuarios.groupBy("partner").agg(F.max(came).alias("ultimo_acceso"))
+    late = F.col("ultimo_acceso") < F.date_sub(F.lit(as_of).cast("date"), days)
+    return last.where(late | F.col("ultimo_acceso").isNull()).select(
+        "partner", "ultimo_acceso", R.days_since(F.col("ultimo_acceso"), as_of).alias("dias_sin_actividad"))
+
+
 # A9 ---------------------------------------------------------------------------
 def one_row(parts: list) -> DataFrame:
     """Combine one-row aggregates into one row (union + global max; no cross join)."""

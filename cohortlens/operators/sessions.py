@@ -123,8 +123,8 @@ class Sessionizer:
                         F.col("l.groups").alias("groups"), F.col("l.path").alias("path"))
 
     # Pointer of each sign-out (segmented forward fill) --------------------
-    def signout_pointers(self, lines: DataFrame | None = None, initial: DataFrame | None = None) -> DataFrame:
-        return signout_pointers(self.lines if lines is None else lines, self.block, initial)
+    def signout_pointers(self) -> DataFrame:
+        return signout_pointers(self.lines, self.block)
 
     def signouts(self) -> DataFrame:
         """Per session key: the last sign-out that points to it (any IP), pre-aggregated."""
@@ -149,11 +149,8 @@ class Sessionizer:
         return as_timestamps(self.documents())
 
 
-def signout_pointers(lines: DataFrame, block: int, initial: DataFrame | None = None) -> DataFrame:
-    """Key of the latest accepted login on the same (pod, ip) before each sign-out line.
-
-    ``initial`` (pod, ip, key) is the pointer state before these lines (streaming).
-    """
+def signout_pointers(lines: DataFrame, block: int) -> DataFrame:
+    """Key of the latest accepted login on the same (pod, ip) before each sign-out line."""
     ev = lines.where(((F.col("kind") == "login") & F.col("ip").isNotNull()) | (F.col("kind") == "logout"))
     is_login = F.col("kind") == "login"
     key = F.when(is_login, F.struct("email", "created"))
@@ -164,9 +161,6 @@ def signout_pointers(lines: DataFrame, block: int, initial: DataFrame | None = N
         F.max_by(F.col("key"), F.when(F.col("key").isNotNull(), F.col("line_no"))).alias("blk_last"))
     wb = Window.partitionBy("pod", "ip").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
     carry = summ.select("pod", "ip", "blk", F.last("blk_last", ignorenulls=True).over(wb).alias("carry"))
-    if initial is not None:
-        carry = (carry.join(initial.select("pod", "ip", F.col("key").alias("init")), ["pod", "ip"], "left")
-                 .select("pod", "ip", "blk", F.coalesce("carry", "init").alias("carry")))
     wl = Window.partitionBy("pod", "ip", "blk").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     filled = ev.select("pod", "ip", "blk", "line_no", "kind", "ts",
                        F.last("key", ignorenulls=True).over(wl).alias("in_blk"))

@@ -281,6 +281,9 @@ def _rx(p: str) -> str:
     return f"nullif(regexp_extract(value, '{p}', 1), '')"
 
 
+PATH_CERT = """case when lower(path) like '%governance%' then 'Governance' when lower(path) like '%intelligence%' then 'Intelligence'
+ when lower(path) like '%discovery%' then 'Data Processing' when lower(path) like '%virtualizer%' then 'Data Processing'
+ when lower(path) like '%rocket%' then 'Operaciones' when lower(path) like '%genai%' then 'AI' end"""
 DMAP = "(CASE dom WHEN 'd0.example' THEN 'PartnerZero' WHEN 'd1.example' THEN 'partnerone' ELSE split_part(dom, '.', 1) END)"
 SES = {
     "parsed0": f"""select pod, line_no,
@@ -310,11 +313,11 @@ SES = {
     "so": """select pod, p_email as email, p_created as created, max(line_no) as out_line, arg_max(ts, line_no) as out_ts
  from ptr where kind = 'logout' and p_email is not null group by 1, 2, 3""",
     "act": "select pod, ip, max(ts) as last_activity from acc where kind = 'activity' group by 1, 2",
-    "pod_docs": """select s.pod, s.email, s."user", s.tenant, s.created as fecha_inicio,
+    "pod_docs": f"""select s.pod, s.email, s."user", s.tenant, s.created as fecha_inicio,
  case when so.out_line > s.login_line then so.out_ts
       else coalesce(strftime(try_strptime(s.created, '%Y-%m-%d %H:%M:%S') + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S'), s.created) end as fecha_fin,
  case when a.last_activity is not null then greatest(s.created, a.last_activity) else s.created end as last_seen,
- CAST(NULL AS VARCHAR) as certificacion, s.groups, s.login_line, so.out_line, so.out_ts
+ {PATH_CERT.replace('path', 's.path')} as certificacion, s.groups, s.login_line, so.out_line, so.out_ts
  from pod_sessions s left join so on so.pod = s.pod and so.email = s.email and so.created = s.created
  left join act a on a.pod = s.pod and a.ip = s.src_ip""",
     "docs": f"""select email, fecha_inicio, pod, "user", tenant, fecha_fin, last_seen, certificacion, groups, n_pods,
@@ -356,11 +359,7 @@ sql("sessions_last_30d", """select email, partner, fecha_inicio from ts_sessions
 sql("email_domain_partner", f"""select email, dom as domain, {DMAP} as partner from (
  select distinct email, case when contains(email, '@') then list_last(string_split(email, '@')) else email end as dom
  from parsed where email is not null)""", SES)
-sql("path_certification", """select pod, line_no, path,
- case when lower(path) like '%governance%' then 'Governance' when lower(path) like '%intelligence%' then 'Intelligence'
-      when lower(path) like '%discovery%' then 'Data Processing' when lower(path) like '%virtualizer%' then 'Data Processing'
-      when lower(path) like '%rocket%' then 'Operaciones' when lower(path) like '%genai%' then 'AI' end as certificacion
- from parsed0 where path is not null""", SES)
+sql("path_certification", f"select pod, line_no, path, {PATH_CERT} as certificacion from parsed0 where path is not null", SES)
 
 
 # --- rule B9 ---------------------------------------------------------------------------
@@ -429,8 +428,8 @@ sql("n3_grade_items", """select userid, courseid, courseid as itemid, 'course' a
  where graderaw is not null""")
 sql("n4_completion_status", """select userid, courseid, coalesce(case when completed = 1 then true end, false) as completed, timecompleted
  from tr_course_completions""")
-sql("n5_roster_users", """select id, username, email, firstname, lastname from tr_users
- where id <> 0 and id in (select userid from tr_user_courses)""")
+sql("n5_roster_users", """select id, username || '@' || (select min(courseid) from tr_user_courses where userid = id) as username, email, firstname, lastname
+ from tr_users where id <> 0 and id in (select userid from tr_user_courses)""")
 sql("n6_pair_keys", """select userid, coalesce(nullif(cid, 0), nullif(id, 0)) as courseid from (
  select userid, case when courseid % 7 = 0 then 0 else courseid end as cid, case when courseid % 11 = 0 then 0 else courseid end as id
  from tr_user_courses) where coalesce(nullif(cid, 0), nullif(id, 0)) is not null""")

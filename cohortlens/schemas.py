@@ -48,3 +48,27 @@ SNAPSHOT_DATASETS = (
     "users", "courses", "cohorts", "cohort_members", "cohort_members_ext", "enrol_cohort_course",
     "user_courses", "user_grades", "course_completions", "attendance_sessions",
 )
+
+# Landed API documents (S7), one schema per endpoint: what a payload lacks reads as null.
+_USER = "struct<id: bigint, username: string, email: string, firstname: string, lastname: string>"
+ENDPOINT_SCHEMAS = {
+    "cohort_members": "cohortid bigint, userids array<bigint>",
+    "user_courses": "userid bigint, courses array<struct<id: bigint, fullname: string>>",
+    "grade_items": "usergrades array<struct<userid: bigint, courseid: bigint, gradeitems: array<struct<id: bigint, itemtype: string, "
+                   "itemname: string, graderaw: double, gradeformatted: string, gradedatesubmitted: bigint, gradedategraded: bigint>>>>",
+    "completion_status": "userid bigint, courseid bigint, completionstatus struct<completed: boolean, timecompleted: bigint>",
+    "roster": f"position bigint, users array<{_USER}>",
+}
+
+# Dumps of the platform's own tables (S11), as the source projections P1-P7 read them.
+PLATFORM_SCHEMAS = {
+    "cohort_members": "cohortid bigint, userid bigint, timeadded bigint",
+    "attendance_sessions": "id bigint, userid bigint, register bigint, login bigint, duration bigint",
+    "attendance_register": "id bigint, course bigint",
+    "enrol": "id bigint, enrol string, customint1 bigint, courseid bigint, status int",
+    "user": "id bigint, username string, email string, firstname string, lastname string, timecreated bigint, lastaccess bigint, suspended int, deleted int",
+    "user_enrolments": "userid bigint, enrolid bigint, status int",
+    "course_completions": "userid bigint, courseid bigint, timecompleted bigint",
+    "grade_grades": "userid bigint, itemid bigint, finalgrade double, timemodified bigint",
+    "grade_items": "id bigint, courseid bigint, itemtype string",
+}

@@ -10,8 +10,11 @@ import os
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.functions.rules import Rules
+from cohortlens.operators.quality import profile_kpis
+from cohortlens.schemas import SESSION_SCHEMA
 from cohortlens.session import checkpoint_dir
-from cohortlens.sources.snapshot import Snapshot, path_exists
+from cohortlens.sources.snapshot import Snapshot, conform, load_snapshot, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -65,6 +68,18 @@ def ingest_snapshot(snap: Snapshot, base: str, ingest_date: str) -> DataFrame:
     return snap.spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 
+def ingest(snap: Snapshot, base: str, ingest_date: str, rules: Rules) -> dict[str, DataFrame]:
+    """Q6: ``manifest`` of the written datasets and ``kpis`` of the day as read back; stops at the first mismatch."""
+    manifest = ingest_snapshot(snap, base, ingest_date)
+    return {"manifest": manifest, "kpis": profile_kpis(load_snapshot(snap.spark, base, ingest_date), rules)}
+
+
+def read_sessions(spark: SparkSession, table: str) -> DataFrame:
+    """The whole session store (no cap on its rows), typed as the session document."""
+    stored = spark.read.parquet(table)
+    return conform(stored, SESSION_SCHEMA)
+
+
 # K2 -----------------------------------------------------------------------------------
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """CSV with header; ``single_file`` only for small report tables."""

@@ -13,8 +13,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cohortlens.schemas import AUDIT_SCHEMA, SCHEMAS, SESSION_CSV_SCHEMA, SNAPSHOT_DATASETS
+from cohortlens.schemas import AUDIT_SCHEMA, ENDPOINT_SCHEMAS, PLATFORM_SCHEMAS, SCHEMAS, SESSION_CSV_SCHEMA, SNAPSHOT_DATASETS
 
 
 def conform(df: DataFrame, schema) -> DataFrame:
@@ -172,6 +173,17 @@ def read_employees(spark: SparkSession, path: str) -> DataFrame:
     return normalise_employees(df)
 
 
+def read_endpoint(spark: SparkSession, path: str, endpoint: str) -> DataFrame:
+    """Landed documents of a known endpoint, read with its schema."""
+    return read_json_payload(spark, path, ENDPOINT_SCHEMAS[endpoint])
+
+
+def read_platform_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Parquet dump ``<base>/<name>`` of a platform table, in the columns its projection reads."""
+    wanted = T.StructType.fromDDL(PLATFORM_SCHEMAS[name])
+    return conform(spark.read.parquet(os.path.join(base, name)), wanted)
+
+
 def read_json_payload(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """Landed API JSON documents (one array or object per file)."""
     r = spark.read.option("multiLine", True)

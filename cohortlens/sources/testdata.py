@@ -64,7 +64,8 @@ def users(t: TestTables) -> DataFrame:
     key = F.col("c_custkey")
     return j.select(
         key.alias("id"),
-        F.concat(F.lit("u-"), _str(key), F.lit("-"), F.lower("n_name")).alias("username"),
+        F.when(key % 50 == 7, F.concat(F.lit("u"), _str(key)))  # no hyphen: no partner can be derived
+         .otherwise(F.concat(F.lit("u-"), _str(key), F.lit("-"), F.lower("n_name"))).alias("username"),
         F.when(key % 40 == 0, F.concat(F.lit("u"), _str(key), F.lit("@HOUSE.example")))
          .otherwise(F.concat(F.lit("u"), _str(key), F.lit("@"), F.lower("n_name"), F.lit(".example"))).alias("email"),
         F.col("c_mktsegment").alias("firstname"),
@@ -178,20 +179,21 @@ def proxy_log(t: TestTables) -> DataFrame:
     ip = F.concat(F.lit("10.0.0."), _str(uid % 40), F.lit(":4180 - "))
     who = F.concat(F.lit("u"), _str(uid), F.lit("@d"), _str(uid % 6), F.lit(".example "))
     f1 = F.date_format("ts", "yyyy/MM/dd HH:mm:ss")
-    f2 = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    started = F.date_format("ts", "yyyy-MM-dd HH:00:00")  # logins of an hour share a session, on both pods
+    lab = F.element_at(F.array(*[F.lit(x) for x in ("governance/one", "GenAI", "rocket", "")]), (uid % 4 + 1).cast("int"))
     stamp = F.concat(F.lit("["), f1, F.lit("]"))
     et = F.col("event_type")
     value = (
         F.when(et == "signup", F.concat(
             ip, who, stamp, F.lit(" [AuthSuccess] Authenticated: Session{user:u"), _str(uid),
             F.lit(" tenant:"), F.when(uid % 5 == 0, "other").otherwise("students"),
-            F.lit(" created:"), f2, F.lit(" groups:[g"), _str(uid % 3), F.lit(" all]}")))
+            F.lit(" created:"), started, F.lit(" groups:[g"), _str(uid % 3), F.lit(" all]} GET /lab/"), lab))
         .when(et == "error", F.concat(ip, stamp, F.lit(" GET /oauth2/sign_out 302")))
         .when(et == "purchase", F.concat(ip, stamp, F.lit(" GET /health 200")))
         .otherwise(F.concat(ip, who, stamp, F.lit(" GET /oauth2/auth"),
                             F.when(et == "view", " 202 ok").otherwise(" 401 no")))
     )
-    return e.select(F.concat(F.lit("pod"), _str(uid % 2)).alias("pod"), F.col("event_id").alias("line_no"),
+    return e.select(F.concat(F.lit("pod"), _str(F.col("event_id") % 2)).alias("pod"), F.col("event_id").alias("line_no"),
                     value.alias("value"))
 
 

@@ -227,3 +227,59 @@ def test_no_roster_and_no_match(spark):
     assert tuple(none.match_result().first()) == ("no such course", 0, False)
     assert tuple(none.headline().first()) == (0, 0, 0, 0.0)
     assert Compliance(snap, C.RULES, "governance", "house").match_result().first().encontrado
+
+
+def test_report_package_follows_the_catalogue(spark, tmp):
+    from cohortlens.plans import catalog as C
+    from cohortlens.plans.package import report_catalogue, write_package
+    m = C.context(spark, "/root/testdata/sf0.001").model
+    cat = report_catalogue(m, "2001-08-28")
+    some = {k: cat[k] for k in ("global_kpis", "partner_summary", "top_partners")} | {"broken": lambda: 1 / 0}
+    got = [tuple(r) for r in write_package(m, "2001-08-28", tmp, reports=some).orderBy("position").collect()]
+    assert [r[1] for r in got] == ["partner_summary", "global_kpis", "top_partners", "broken"] and [r[3] for r in got] == [True] * 3 + [False]
+    assert spark.read.parquet(f"{tmp}/_manifest").count() == 4
+    rows = cat["partner_summary"]().collect()
+    assert rows == sorted(rows, key=lambda r: (-r.total_certificados, -r.total_altas, r.partner))
+
+
+def test_ingest_returns_manifest_and_kpis(spark, tmp):
+    from cohortlens.plans import catalog as C
+    from cohortlens.sinks import ingest
+    snap = C.context(spark, "/root/testdata/sf0.001").snap
+    out = ingest(snap, tmp, "2024-03-01", C.RULES)
+    assert out["manifest"].where("not ok").count() == 0 and out["manifest"].count() == len(snap.present)
+    assert out["kpis"].first().total_users == snap["users"].count()
+
+
+def test_options_of_the_decisions(spark):
+    """Never as null; D10: one account per e-mail."""
+    from cohortlens.functions import rules as R
+    from cohortlens.operators.compliance import Compliance
+    from cohortlens.operators.model import Model
+    from cohortlens.operators.reports import inactive_partners
+    from cohortlens.sources.snapshot import from_frames
+    users = spark.createDataFrame([(1, "a-p", "x@house.e", "f", "l", 0, 0, 0), (2, "b-p", "X@house.e", "f", "l", 0, 0, 0), (3, "c-q", "q@e", "f", "l", 0, 0, 0), (4, "d-q", "r@e", "f", "l", 0, 900000000, 0)],
+                                  "id long, username string, email string, firstname string, lastname string, timecreated long, lastaccess long, suspended int")
+    rules = R.Rules(house_org="house")
+    snap = from_frames(spark, users=users, courses=spark.createDataFrame([(5, "governance")], "id long, fullname string"),
+                       user_courses=spark.createDataFrame([(1, 5), (2, 5)], "userid long, courseid long"))
+    m = Model(snap, rules)
+    assert {(r.partner, str(r.ultimo_acceso)) for r in inactive_partners(m, "2001-01-01").collect()} == {("house", "1970-01-01"), ("q", "1998-07-09")}
+    assert {(r.partner, r.ultimo_acceso is None) for r in inactive_partners(m, "2001-01-01", never_as_null=True).collect()} == {("house", True), ("q", False)}
+    staff = spark.createDataFrame([("1", "n", "a", "l", "x@house.e", "d", "m", "r")], "id_vp string, nombre string, apellidos string, lugar_trabajo string, email string, departamento string, manager string, rol string")
+    assert Compliance(snap, rules, "governance", "house", staff).status.count() == 2
+    assert [r.username_moodle for r in Compliance(snap, rules, "governance", "house", staff, one_account=True).status.collect()] == ["a-p"]
+
+
+def test_readers_with_schemas(spark, tmp):
+    import pathlib
+
+    from cohortlens.operators import payload as pl
+    from cohortlens.sinks import read_sessions, upsert_sessions
+    from cohortlens.sources.snapshot import read_endpoint, read_platform_table
+    pathlib.Path(f"{tmp}/g.json").write_text('{"usergrades": [{"userid": 1, "courseid": 2, "gradeitems": [{"id": 3, "itemtype": "course", "graderaw": 80}, {"id": 4, "itemtype": "mod", "graderaw": 10}]}]}')
+    assert [(r.userid, r.itemid, r.graderaw, r.gradedategraded) for r in pl.flatten_grades(read_endpoint(spark, f"{tmp}/g.json", "grade_items")).collect()] == [(1, 3, 80.0, None)]
+    spark.createDataFrame([(1, 2, 7, "more")], "userid int, cohortid int, timeadded int, extra string").write.parquet(f"{tmp}/cohort_members")
+    assert [tuple(r) for r in pl.p1_cohort_members(read_platform_table(spark, tmp, "cohort_members")).collect()] == [("2_1", 2, 1, 7)]
+    upsert_sessions(spark, spark.createDataFrame([("a@x", "2024-01-01 10:00:00", "a")], "email string, fecha_inicio string, user string"), f"{tmp}/t", 1)
+    assert read_sessions(spark, f"{tmp}/t").first().fecha_inicio.hour == 10
