@@ -9,8 +9,8 @@ sum of log-odds over the tree under one constraint: below a rejected node
 nothing is kept. So ancestor and descendants never contradict each other. The
 kept runs, in page order, are the blocks of the text.
 
-Training needs no labels from outside: at most ``SAMPLE_PAGES`` pages (those of
-smallest hash of the id, the documented bound) whose mark-up names the article
+Training needs no labels from outside: about ``SAMPLE_PAGES`` pages (a share by
+the hash of the id, the documented bound) whose mark-up names the article
 are taken apart, and set up anew in variants that know their labels: other
 containers for the article, and menus, headers, footers, sidebars, notices,
 adverts, forms, link lists and comments around and inside it, filled with texts
@@ -407,9 +407,11 @@ def main_text(page: str | None, trees: Trees) -> str:
 
 
 def train(pages: DataFrame, html: str = "html", key: str = "page_id") -> Trees:
-    """Trees from the bounded sample of ``pages``."""
-    sample = pages.where(F.col(html).isNotNull()).select(F.col(html).alias("html"), F.xxhash64(F.col(key), F.col(html)).alias("h")).orderBy("h").limit(SAMPLE_PAGES)
-    return train_pages([r.html for r in sample.collect()])
+    """Trees from the bounded sample of ``pages``: about SAMPLE_PAGES of them by the hash of the id, never over twice as many."""
+    share = min(1.0, SAMPLE_PAGES / max(pages.count(), 1))
+    by_hash = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = pages.where(by_hash & F.col(html).isNotNull()).select(F.col(html).alias("html")).limit(2 * SAMPLE_PAGES)
+    return train_pages(sorted(r.html for r in sample.collect()))
 
 
 def extract(pages: DataFrame, trees: Trees, carry: list[str], html: str = "html") -> DataFrame:

@@ -13,13 +13,13 @@
    extreme-value law with ``E = K n exp(-lambda S)``. Lambda and K are fitted on
    clean documents left out of the counts. A document's segments are taken
    together by the r-segment sum statistic of that law (the best r), and a
-   logistic link to the label gives its score. A passage is significant if its
+   logistic link from its square root to the label gives the score. A passage is significant if its
    own ``E`` is at most ``MAX_E``.
 
 Counts are held in two hashed tables (``BUCKETS``, the smaller count of the
-two wins), so the model's size is fixed. At most ``MAX_LABELS`` labelled rows
-are used for fitting, those of smallest hash of the id: the documented bound
-of the labelled sample. Counting, scoring and segments run
+two wins), so the model's size is fixed. At most about ``MAX_LABELS`` labelled
+rows are used for fitting, a share of the ids by their hash: the documented
+bound of the labelled sample. Counting, scoring and segments run
 inside Spark tasks. Words are runs of ASCII letters and non-ASCII characters of
 the lower-cased text.
 """
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTERS, Chunk, chunks, crc_mod, materialise, mix64
+from .common import LETTERS, Chunk, chunks, crc_mod, hint_if_small, materialise, mix64
 
 BUCKETS = 1 << 20
 TABLES = 2
@@ -110,7 +110,7 @@ class Model:
         """Calibrated probability of label 1."""
         if self.empty:
             return np.zeros(len(significance))
-        return 1.0 / (1.0 + np.exp(-np.clip(self.slope * significance + self.offset, -700, 700)))
+        return 1.0 / (1.0 + np.exp(-np.clip(self.slope * np.sqrt(significance) + self.offset, -700, 700)))
 
 
 def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
@@ -144,14 +144,14 @@ def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, text: str, label: str, key: str) -> DataFrame:
-    """(text, toxic, fold) of the labelled sample; the counted labels table is small, so the texts never shuffle."""
-    # One label per id: the larger of contradicting ones.
-    few = (labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("__id"))
-           .agg(F.max(F.col(label).cast("int")).alias("toxic"))
-           .orderBy(F.xxhash64("__id"), "__id").limit(MAX_LABELS))
-    few = materialise(few, "labels")
+    """(text, toxic, fold) of the labelled sample; it is small and counted, so the texts never shuffle."""
+    # One label per id: the larger of contradicting ones. The sample takes a share of the ids by their hash.
+    one = materialise(labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("__id"))
+                      .agg(F.max(F.col(label).cast("int")).alias("toxic")), "labels")
+    share = min(1.0, 0.95 * MAX_LABELS / max(one.count(), 1))
+    few = hint_if_small(one.where(F.pmod(F.xxhash64("__id"), F.lit(1 << 30)) < int(share * (1 << 30))), MAX_LABELS)
     return (docs.select(F.col(key).alias("__id"), F.col(text).alias("text"))
-            .join(F.broadcast(few), "__id").withColumn("fold", F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(4))))
+            .join(few, "__id").withColumn("fold", F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(4))))
 
 
 def _count_units(batches):
@@ -237,7 +237,7 @@ def _calibrate(model: Model, toxic: np.ndarray, n: np.ndarray, segs: list[list[f
         if over.any():
             model.lam = float(np.clip(1.0 / max(float((np.minimum(s[over], top) - u).mean()), 1e-3), 0.3, 5.0))
             model.k = float(-math.log1p(-over.mean()) * math.exp(model.lam * u) / n[clean].mean())
-    x = np.array([model.significance(s, m) for s, m in zip(segs, n.tolist(), strict=True)])
+    x = np.sqrt(np.array([model.significance(s, m) for s, m in zip(segs, n.tolist(), strict=True)], float))
     y = (toxic > 0).astype(float)
     if len(x) < 20 or y.min() == y.max():
         return

@@ -58,7 +58,7 @@ def test_passages_and_odd_rows(spark):
     by = {r.doc_id: r for r in got}
     assert len(got) == 7
     assert by[5].predicted == 1 and [(p.start_token, p.end_token) for p in by[5].passages] == [(3, 6)]
-    assert by[2].score == by[3].score == 0.0 and by[2].passages == []
+    assert by[2].score == by[3].score < 0.3 and by[2].passages == []
     assert by[1].predicted == by[4].predicted == by[None].predicted == 0
 
 
