@@ -34,14 +34,11 @@ class Ctx:
     checkpoint folder) and read back, lookups stay lazy."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        import uuid
-
-        from cohortlens.session import checkpoint_dir
+        from cohortlens.session import scratch
         self.spark = configure(spark)
         self.sf_dir = sf_dir
         self.t = td.TestTables(spark, sf_dir)
-        base = f"{checkpoint_dir(spark).rstrip('/')}/snapshot-{uuid.uuid4().hex}"
-        self.snap = td.materialised_snapshot(spark, sf_dir, base)
+        self.snap = td.materialised_snapshot(spark, sf_dir, scratch(spark, "snapshot"))
         self.model = Model(self.snap, RULES, td.partner_meta(self.t))
 
 
@@ -695,13 +692,11 @@ def _practice_sessions_stream(c: Ctx):
     would see them: each range is written by a parallel job (many files), then
     the stream runs with ``availableNow`` and restarts from its checkpoint, so
     every landing is one micro-batch holding one whole line range."""
-    import uuid
-
     from cohortlens.operators.sessions import as_timestamps
-    from cohortlens.session import checkpoint_dir
+    from cohortlens.session import scratch
     from cohortlens.streaming.sessions import StreamingSessions, read_log_stream
 
-    base = f"{checkpoint_dir(c.spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = scratch(c.spark, "stream")
     log = _proxy_log(c)
     lo, hi = log.agg(F.min("line_no"), F.max("line_no")).first()
     step = (hi - lo) // STREAM_CHUNKS + 1

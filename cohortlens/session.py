@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +47,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder path for intermediate tables, shared by all executors.
+
+    All of an application's scratch lies in one folder of the checkpoint
+    folder, which is deleted when the application's JVM ends.
+    """
+    sc = spark.sparkContext
+    base = f"{checkpoint_dir(spark).rstrip('/')}/scratch-{sc.applicationId}"
+    root = sc._jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        fs.mkdirs(root)
+        fs.deleteOnExit(root)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cohortlens") -> SparkSession:
     """Session used by tests and the bench (single JVM, UI off)."""
     builder = (

@@ -20,6 +20,7 @@ moves the end of a closed session, so the document view is a query.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,17 +46,15 @@ def point_signouts(key, parts, state: GroupState):
     """
     lines = pd.concat(list(parts)).sort_values("line_no")
     email, created = state.get if state.exists else (None, None)
-    login = lines["kind"] == "login"
-    known = pd.DataFrame({"email": lines["email"].where(login), "created": lines["created"].where(login)}).astype(object).ffill()
-    if email is not None:
-        first = ~login.cummax()
-        known.loc[first, ["email", "created"]] = [email, created]
-    if login.any() or email is not None:
-        last = known.iloc[-1]
-        state.update((last["email"], last["created"]))
-    out = ~login & known["email"].notna()
-    yield pd.DataFrame({"pod": key[0], "email": known["email"][out], "created": known["created"][out],
-                        "out_line": lines["line_no"][out], "out_ts": lines["ts"][out]})
+    login = (lines["kind"] == "login").to_numpy()
+    # index of the latest login up to each line, -1 before the first one of the batch
+    latest = np.maximum.accumulate(np.where(login, np.arange(len(lines)), -1))
+    emails, starts = (np.where(latest >= 0, lines[c].to_numpy(object)[latest], old) for c, old in (("email", email), ("created", created)))
+    if emails[-1] is not None:
+        state.update((emails[-1], starts[-1]))
+    out = ~login & np.array([e is not None for e in emails])
+    yield pd.DataFrame({"pod": key[0], "email": emails[out], "created": starts[out],
+                        "out_line": lines["line_no"].to_numpy()[out], "out_ts": lines["ts"].to_numpy()[out]})
 
 
 class StreamingSessions:
