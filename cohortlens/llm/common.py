@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import sys
-import uuid
 
 import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.session import checkpoint_dir
+from cohortlens.session import scratch
 
 # Task functions travel with the plan, so executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
@@ -23,10 +22,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet under the shared checkpoint folder, read it back.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``, so a
-    lost executor costs only the tasks it was running, never the table.
+    lost executor costs only the tasks it was running, never the table. It is
+    deleted when the application ends.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -42,7 +42,7 @@ def crc_mod(col: str, n: int) -> Column:
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_CHUNK_BYTES = 1 << 21
+_CHUNK_BYTES = 1 << 20
 
 
 def byte_class(separators: bytes) -> np.ndarray:
@@ -125,7 +125,7 @@ class Chunk:
 
 
 def chunks(texts: list[str | None], word_bytes: np.ndarray, lower: bool):
-    """(start index, Chunk) over runs of whole texts of about two megabytes each; one longer text is a run of its own."""
+    """(start index, Chunk) over runs of whole texts of about a megabyte each; one longer text is a run of its own."""
     start = 0
     while start < len(texts):
         end, size = start, 0

@@ -159,10 +159,13 @@ def predict(docs: DataFrame, model: Model, text: str = "text", label: str = "lan
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.tables, model.known))
     langs = model.langs
 
+    kept = [c for c in (docs.columns if carry is None else carry) if c not in (label, score)]
+    source = text if text in kept and dict(docs.dtypes)[text] == "string" else "__text"
+
     def score_texts(batches):
         m = Model(*shared.value)
         for batch in batches:
-            texts = batch.column("__text").to_pylist()
+            texts = batch.column(source).to_pylist()
             totals = np.zeros((len(texts), max(len(langs), 1)))
             found = np.zeros(len(texts), bool)
             for start, chunk in chunks(texts, LETTERS, lower=True) if langs else ():
@@ -173,13 +176,14 @@ def predict(docs: DataFrame, model: Model, text: str = "text", label: str = "lan
             best = totals.argmax(axis=1)
             spread = (totals - totals.max(axis=1, keepdims=True)) * np.log(10.0)
             post = 1.0 / np.exp(np.maximum(spread, -700)).sum(axis=1)
-            cols = [batch.column(i) for i in range(batch.num_columns - 1)]
+            cols = [batch.column(c) for c in kept]
             cols += [pa.array([langs[b] if ok else UNDETERMINED for b, ok in zip(best, found, strict=True)], pa.string()),
                      pa.array(np.where(found, post, 0.0))]
-            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names[:-1], label, score])
+            yield pa.RecordBatch.from_arrays(cols, names=[*kept, label, score])
 
-    kept = [c for c in (docs.columns if carry is None else carry) if c not in (label, score)]
-    src = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("__text"))
+    # A text that is carried along goes to Python once.
+    own = [] if source == text else [F.col(f"`{text}`").cast("string").alias(source)]
+    src = docs.select(*[F.col(f"`{c}`") for c in kept], *own)
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add(label, "string").add(score, "double")
     return src.mapInArrow(score_texts, schema)
 

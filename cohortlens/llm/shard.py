@@ -99,8 +99,8 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text",
 
     Records are ordered by key (nulls first), then by the hash of the text;
     shards are runs of that order with equal bytes, give or take one record.
-    Rows that repeat key and text are interchangeable. Fewer records than
-    shards leave shards empty.
+    Rows that repeat key and text are interchangeable and stay in one range.
+    Fewer records than shards leave shards empty.
     """
     size, shard_no, slot = names
     # A key of any type is compared as text of fixed width if it is integral, else as text.
@@ -116,21 +116,21 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text",
     for r in per_range:
         starts.append((r["r"], at, rows))
         at, rows = at + r["bytes"], rows + r["n"]
-    base = F.broadcast(docs.sparkSession.createDataFrame(starts, "r int, base_bytes long, base_rows long"))
+    base = F.broadcast(docs.sparkSession.createDataFrame(starts, "__b int, __b_bytes long, __b_rows long"))
 
     def placed(df: DataFrame, r: str, by: list[str], weight: str) -> DataFrame:
         w = Window.partitionBy(r).orderBy(*by)
-        before = F.coalesce(F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("base_bytes")
-        row = F.row_number().over(w) - 1 + F.col("base_rows")
-        return (df.join(base, df[r] == base["r"]).withColumn("__row", row)
+        before = F.coalesce(F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("__b_bytes")
+        row = F.row_number().over(w) - 1 + F.col("__b_rows")
+        return (df.join(base, df[r] == base["__b"]).withColumn("__row", row)
                 .withColumn("__shard", F.least(F.floor(before.cast("decimal(38,0)") * shards / F.lit(max(at, 1)).cast("decimal(38,0)")), F.lit(shards - 1)).cast("int")))
 
     firsts = placed(ranged.withColumnRenamed("r", "__r"), "__r", ["k", "tie", "size"], "size").groupBy("__shard").agg(F.min("__row").alias("first")).collect()
-    first = F.broadcast(docs.sparkSession.createDataFrame([(r["__shard"], r["first"]) for r in firsts], "__s int, first long"))
+    first = F.broadcast(docs.sparkSession.createDataFrame([(r["__shard"], r["first"]) for r in firsts], "__s int, __first long"))
     found = marked.withColumn("__r", _range_of(cuts, marked, "__k", "__tie"))
     done = placed(found, "__r", ["__k", "__tie", "__size"], "__size").join(first, F.col("__shard") == F.col("__s"))
     return done.select(*[F.col(f"`{c}`") for c in out], F.col("__size").alias(size), F.col("__shard").alias(shard_no),
-                       (F.col("__row") - F.col("first")).cast("long").alias(slot))
+                       (F.col("__row") - F.col("__first")).cast("long").alias(slot))
 
 
 def _sortable(docs: DataFrame, key: str) -> Column:

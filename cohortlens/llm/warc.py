@@ -20,16 +20,15 @@ A record whose payload holds the magic is put together from its pieces.
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortlens.session import checkpoint_dir
+from cohortlens.session import scratch
 
-from .common import BROADCAST_ROWS, hint_if_small, materialise
+from .common import hint_if_small, materialise
 
 MIN_REVISIT = 100
 MAGIC = "WARC/1.0\r\n"
@@ -277,7 +276,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     # Records that hold the magic inside: their pieces are fetched and joined, in order, per record.
     split = materialise(split, "split-records")
     near = split.select("file", F.col("pos").alias("start"), "succ")
-    pieces = (_pieces(spark, path).mapInArrow(_located, "file string, block long, rel long, raw binary").join(F.broadcast(bases) if bases.count() <= BROADCAST_ROWS else bases, ["file", "block"])
+    pieces = (_pieces(spark, path).mapInArrow(_located, "file string, block long, rel long, raw binary").join(hint_if_small(bases), ["file", "block"])
               .withColumn("at", F.col("rel") + F.col("base")))
     inside = pieces.join(hint_if_small(near), "file").where("at >= start and at < succ")
     magic = F.lit(MAGIC).cast("binary")
@@ -292,7 +291,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 def archive(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
     """Write ``pages`` as archives into the shared folder and read them back; ids have the type of ``key``."""
     spark = pages.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/warc"
+    path = scratch(spark, "warc")
     write_archives(plan_records(pages, key, url, payload), path)
     kind = pages.select(key).schema[0].dataType
     return read_archives(spark, path).withColumns({"id": F.col("id").cast(kind), "refers_to": F.col("refers_to").cast(kind)}).withColumnRenamed("id", key)
