@@ -286,6 +286,12 @@ for _name in ["users_partner_cohort", "users_month_partner", "hours_month_partne
     query(_name)(lambda c, _m=_name: getattr(_legacy(c), _m)())
 
 
+@query("student_grade_status_by_email")
+def _student_grade_status_by_email(c: Ctx):
+    """The optional e-mail filter given."""
+    return _legacy(c).student_grade_status(email_filter="HOUSE")
+
+
 @query("users_cohorts")
 def _users_cohorts(c: Ctx):
     return _legacy(c).users_cohorts(USERS_COHORTS_PARTNER)
@@ -682,6 +688,35 @@ def _p7(c: Ctx):
     return pl.p7_final_grades(grades, items)
 
 
+# --- S1, K5: landings over several days, upserts over several batches -------------------------
+@query("snapshot_one_day")
+def _snapshot_one_day(c: Ctx):
+    """Two days land, the second without courses: the load is the second day, and courses are absent."""
+    from cohortlens.session import scratch
+    from cohortlens.sources.snapshot import load_snapshot
+    base = scratch(c.spark, "landing")
+    users, cut = c.snap["users"], "1999-01-01"
+    for day, part in ((cut, users.where(F.col("timecreated") < F.unix_seconds(F.lit(cut).cast("timestamp")))), ("1999-01-02", users)):
+        part.write.parquet(f"{base}/users/ingest_date={day}")
+    c.snap["courses"].write.parquet(f"{base}/courses/ingest_date={cut}")
+    day = load_snapshot(c.spark, base)
+    parts = [day[ds].agg(F.lit(ds).alias("dataset"), F.lit(day.has(ds)).alias("present"), F.count("*").alias("n")) for ds in ("users", "courses")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("session_upsert")
+def _session_upsert(c: Ctx):
+    """Two batches of sessions, the second repeating some keys; every student also has a row without a start."""
+    from cohortlens.session import scratch
+    from cohortlens.sinks import upsert_sessions
+    table = scratch(c.spark, "upsert")
+    docs = _sessionizer(c).documents().select("email", "fecha_inicio", "user")
+    undated = docs.select("email").distinct().select("email", F.lit(None).cast("string").alias("fecha_inicio"), F.lit("undated").alias("user"))
+    upsert_sessions(c.spark, docs.unionByName(undated), table, 1)
+    again = docs.where(F.col("email").contains("1@")).withColumn("user", F.lit("again"))
+    return upsert_sessions(c.spark, again, table, 2).select("email", "fecha_inicio", "user")
+
+
 # --- L3: the same sessions as a stream ------------------------------------------------------
 STREAM_CHUNKS = 4
 

@@ -262,6 +262,7 @@ sql("student_grade_status", f"""
 select userid, username, email, partner, cohort_name, cohort_group, courseid, course_name, finalgrade, {TS('gradedategraded')} as fecha_nota,
  if(finalgrade is null, 'Sin nota', if(finalgrade < 60, 'No aprobado', 'Aprobado')) as estado_aprobacion
 from {_LISTING} natural join listed_categories natural join who left join marks using (userid, courseid)""", LEG)
+SQL["student_grade_status_by_email"] = f"select * from ({SQL['student_grade_status']}) where contains(lower(email), 'house')"
 sql("enrolled_approved", f"""
 select partner, userid, cohort_name, cohort_group, courseid, course_name as course_fullname, (ok is not null)::INT as aprobado, ok.finalgrade,
  {TS('ok.gradedategraded')} as fecha_aprobado, {TS('greatest(who.timecreated, first_seen)')} as fecha_alta_o_matricula_mas_actual
@@ -362,6 +363,12 @@ sql("email_domain_partner", f"""select email, dom as domain, {DMAP} as partner f
 sql("path_certification", f"select pod, line_no, path, {PATH_CERT} as certificacion from parsed0 where path is not null", SES)
 
 
+sql("session_upsert", """select email, fecha_inicio, if(contains(email, '1@'), 'again', "user") as "user" from docs
+ union all select distinct email, null, 'undated' from docs""", SES)
+sql("snapshot_one_day", """select 'users' as dataset, true as present, count(*) as n from tr_users
+ union all select 'courses', false, 0""")
+
+
 # --- rule B9 ---------------------------------------------------------------------------
 sql("approval_status", """select userid, courseid, graderaw,
  case when graderaw is null then 'Sin nota' when graderaw >= 60 then 'Aprobado' else 'No aprobado' end as estado_aprobacion,
