@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions import rules as R
 from cohortlens.sources.snapshot import Snapshot, normalise_employees
 
+# The state labels of the roster. Output column names are the reports' contract.
 COMPLETED, PENDING, NOT_ENROLLED = "completado", "pendiente", "sin_inscribir"
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions import rules as R
 
+# The line format of the proxy log and the time format of the session store.
 RE_IP = r"^(\d+\.\d+\.\d+\.\d+):"
 RE_TS = r"\[(\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})\]"
 RE_EMAIL = r"(\S+@\S+) \[\d{4}/\d{2}/\d{2}"
