@@ -31,9 +31,10 @@ def read_back(formatted):
 
 
 def test_query_against_sql(spark):
-    problems, n, _ = compare(op2_chat(spark, SF), duck(SF), ORACLES["op2_chat"])
+    got = op2_chat(spark, SF)
+    problems, n, _ = compare(got, duck(SF), ORACLES["op2_chat"])
     assert not problems and n == 101
-    row = op2_chat(spark, SF).where("conv_id = -7").first()
+    row = got.where("conv_id = -7").first()
     text = "\\### Assistant: </turn> ok"
     assert row.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
     assert row.loss_sha256 == hashlib.sha256(text.encode()).hexdigest() and row.loss_chars == len(text)
