@@ -42,7 +42,7 @@ def crc_mod(col: str, n: int) -> Column:
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def byte_class(separators: bytes) -> np.ndarray:
@@ -95,6 +95,11 @@ class Chunk:
         """Index of the text of every word."""
         return np.repeat(np.arange(len(self)), self.n_words)
 
+    def words(self, at: np.ndarray) -> list[bytes]:
+        """Bytes of the words number ``at``."""
+        data = self.data.tobytes()
+        return [data[a:b] for a, b in zip(self.starts[at].tolist(), self.ends[at].tolist(), strict=True)]
+
     def word_hashes(self) -> np.ndarray:
         """64-bit hash of every word: a polynomial over its bytes, mixed."""
         if not len(self.starts):
@@ -124,12 +129,12 @@ class Chunk:
         return sums[self.first[1:]] - sums[self.first[:-1]]
 
 
-def chunks(texts: list[str | None], word_bytes: np.ndarray, lower: bool):
-    """(start index, Chunk) over runs of whole texts of about a megabyte each; one longer text is a run of its own."""
+def chunks(texts: list[str | None], word_bytes: np.ndarray, lower: bool, most: int = CHUNK_BYTES):
+    """(start index, Chunk) over runs of whole texts of about ``most`` bytes each; one longer text is a run of its own."""
     start = 0
     while start < len(texts):
         end, size = start, 0
-        while end < len(texts) and (end == start or size + len(texts[end] or "") <= _CHUNK_BYTES):
+        while end < len(texts) and (end == start or size + len(texts[end] or "") <= most):
             size += len(texts[end] or "")
             end += 1
         yield start, Chunk(texts[start:end], word_bytes, lower)

@@ -1,16 +1,19 @@
 """Language identification: words first, character n-grams for unseen words.
 
 Training counts, over every training document, how often each word and each
-n-gram of 1 to 4 UTF-8 bytes (word boundaries included) occurs per language. A
+n-gram of 1 to 4 characters (word boundaries included) occurs per language. A
 word known from training is scored by its per-language log10 relative
 frequency; an unseen word backs off to its 4-grams, then 3-, 2- and 1-grams,
 taking the mean over the n-grams of the first order of which any is known. A
 document's score per language is the sum over its words.
 
 A word is a maximal run of ASCII letters and non-ASCII characters of the
-lower-cased text. Counts live in hashed tables of fixed size (``BUCKETS``), so
-the model has ``sum(BUCKETS) x languages`` numbers whatever the corpus; it is
-the only thing that reaches the driver and is broadcast.
+lower-cased text. Words are counted exactly in Spark; n-grams never leave their
+word, so their counts come from the counted words. The tables grow with the
+distinct units and are looked up by a stored 64-bit key (among 100 million keys
+an unseen one meets a stranger's with a chance of 5e-12). They reach the driver
+and the tasks in blocks of about ``BLOCK`` entries, of which a task holds one at
+a time if there are several.
 """
 
 from __future__ import annotations
@@ -22,130 +25,165 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTERS, Chunk, chunks
+from .common import CHUNK_BYTES, LETTERS, Chunk, chunks, materialise, mix64
 
-# Order 0 is the whole word; 1..4 are n-grams.
-BUCKETS = (1 << 18, 1 << 10, 1 << 13, 1 << 16, 1 << 17)
 MAX_ORDER = 4
 PENALTY = 7.0  # -log10 frequency given to a language in which the unit was never seen
 UNDETERMINED = "und"
 MIN_SCORE = 0.3  # a document below it is rejected by ``keep_identified``
+BLOCK = 1 << 22  # entries (unit, language) of one broadcast block, some 80 MB
+HELD = 200_000  # words or n-grams a task counts before it passes them on
 _LETTER = re.compile(r"[^\W\d_]")
+_GRAM_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _word_buckets(hashes: np.ndarray) -> np.ndarray:
-    return (hashes % np.uint64(BUCKETS[0])).astype(np.int64)
+def _grams(words: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the word, key) of every n-gram of ``order`` characters.
 
-
-def _gram_buckets(chunk: Chunk, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(byte position of the first letter, bucket) of every n-gram.
-
-    An n-gram may hold one boundary at each end; between them are only bytes
-    of one word.
+    An n-gram may hold one boundary at each end; between them are only
+    characters of one word.
     """
-    data = np.where(chunk.inside, chunk.data, np.uint8(32)).astype(np.uint64)
+    data = np.frombuffer((b" " + b" ".join(words) + b" ").decode("utf-8").encode("utf-32-le"), np.uint32).astype(np.uint64)
     n = len(data) - order + 1
     if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    h, letters = np.zeros(n, np.uint64), np.zeros(n, np.int8)
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    inside = data != 32
+    h, letters = np.full(n, order, np.uint64), np.zeros(n, np.int8)
     inner = np.ones(n, bool)
     with np.errstate(over="ignore"):
         for i in range(order):
-            h = h * np.uint64(1_000_003) + data[i:i + n] + np.uint64(1)
-            letters += chunk.inside[i:i + n]
+            h = h * _GRAM_BASE + data[i:i + n] + np.uint64(1)
+            letters += inside[i:i + n]
             if 0 < i < order - 1:
-                inner &= chunk.inside[i:i + n]
-        at = np.flatnonzero(inner & (letters > 0))
-        bucket = (h[at] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKETS[order].bit_length() + 1)
-    return at + ~chunk.inside[at], bucket.astype(np.int64)
+                inner &= inside[i:i + n]
+    at = np.flatnonzero(inner & (letters > 0))
+    owner = np.cumsum(~inside) - 1
+    return owner[at], mix64(h[at])
+
 
+def _count_words(batches):
+    """Per task: (language, word, key, n) of all words, passed on every ``HELD`` distinct ones."""
+    seen: dict[str, dict[bytes, int]] = {}
+
+    def flush():
+        for lang, own in seen.items():
+            if own:
+                words = [w.decode("utf-8") for w in own]
+                yield pa.record_batch({
+                    "lang": pa.array([lang] * len(words), pa.string()), "word": pa.array(words, pa.string()),
+                    "key": pa.array(Chunk([" ".join(words)], LETTERS, lower=False).word_hashes().view(np.int64)), "n": pa.array(list(own.values()), pa.int64())})
+        seen.clear()
 
-def _count_units(batches):
-    """Per task: (language, order, bucket, n) of all words and n-grams, in tables of fixed size."""
-    sums: dict[str, list[np.ndarray]] = {}
     for batch in batches:
         by_lang: dict[str, list[str]] = {}
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
             by_lang.setdefault(lang, []).append(text)
         for lang, texts in by_lang.items():
-            tables = sums.setdefault(lang, [np.zeros(b, np.int64) for b in BUCKETS])
             for _, chunk in chunks(texts, LETTERS, lower=True):
-                tables[0] += np.bincount(_word_buckets(chunk.word_hashes()), minlength=BUCKETS[0])
-                for order in range(1, MAX_ORDER + 1):
-                    tables[order] += np.bincount(_gram_buckets(chunk, order)[1], minlength=BUCKETS[order])
-    for lang, tables in sums.items():
-        for order, counts in enumerate(tables):
-            hit = np.flatnonzero(counts)
-            yield pa.record_batch({
-                "lang": pa.array([lang] * len(hit), pa.string()), "unit_order": pa.array(np.full(len(hit), order, np.int32)),
-                "bucket": pa.array(hit.astype(np.int32)), "n": pa.array(counts[hit])})
+                own = seen.setdefault(lang, {})
+                _, first, n = np.unique(chunk.word_hashes(), return_index=True, return_counts=True)
+                for word, k in zip(chunk.words(first), n.tolist(), strict=True):
+                    own[word] = own.get(word, 0) + k
+                if sum(map(len, seen.values())) >= HELD:
+                    yield from flush()
+    yield from flush()
+
+
+def _count_grams(batches):
+    """Per task: (language, order, key, n) of the n-grams of counted words."""
+    for batch in batches:
+        langs, words, n = batch.column("lang").to_numpy(zero_copy_only=False), batch.column("word").to_pylist(), batch.column("n").to_numpy()
+        for lang in sorted(set(langs)):
+            rows = np.flatnonzero(langs == lang)
+            own = [words[i].encode("utf-8") for i in rows]
+            for order in range(1, MAX_ORDER + 1):
+                owner, keys = _grams(own, order)
+                distinct, at = np.unique(keys, return_inverse=True)
+                sums = np.zeros(len(distinct), np.int64)
+                np.add.at(sums, at, n[rows][owner])
+                yield pa.record_batch({
+                    "lang": pa.array([lang] * len(distinct), pa.string()), "unit_order": pa.array(np.full(len(distinct), order, np.int32)),
+                    "key": pa.array(distinct.view(np.int64)), "n": pa.array(sums)})
+
+
+def _lookup(blocks: list, keys: np.ndarray, n_langs: int) -> tuple[np.ndarray, np.ndarray]:
+    """(known, scores per language) of every key; -PENALTY where never seen."""
+    known, scores = np.zeros(len(keys), bool), np.full((len(keys), n_langs), -PENALTY, np.float32)
+    for block in blocks:
+        own, first, lang, value = block.value
+        at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+        hit = np.flatnonzero(own[at] == keys)
+        known[hit] = True
+        size = first[at[hit] + 1] - first[at[hit]]
+        entry = np.repeat(first[at[hit]] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        scores[np.repeat(hit, size), lang[entry]] = value[entry]
+        if len(blocks) > 1:
+            block.__dict__.pop("_value", None)  # one block at a time; the next use reads it from its file
+    return known, scores
 
 
 class Model:
-    """log10 relative frequency per order, bucket and language (float32), -PENALTY where never seen."""
-
-    def __init__(self, langs: list[str], tables: list[np.ndarray], known: list[np.ndarray]):
-        self.langs, self.tables, self.known = langs, tables, known
-
-    @classmethod
-    def from_counts(cls, langs: list[str], counts: list[np.ndarray]) -> Model:
-        tables, known = [], []
-        for c in counts:
-            total = np.maximum(c.sum(axis=0, keepdims=True), 1.0)
-            with np.errstate(divide="ignore"):
-                logs = np.where(c > 0, np.maximum(np.log10(c / total), -PENALTY), -PENALTY)
-            tables.append(logs.astype(np.float32))
-            known.append(c.sum(axis=1) > 0)
-        return cls(langs, tables, known)
+    """Languages, and blocks of words and n-grams: broadcast (sorted keys, first entry of each, languages, log10 relative frequencies)."""
+
+    def __init__(self, langs: list[str], words: list, grams: list):
+        self.langs, self.words, self.grams = langs, words, grams
 
     def word_scores(self, chunk: Chunk) -> np.ndarray:
         """(words x languages): the word's own score, or the mean over its longest known n-grams."""
-        bucket = _word_buckets(chunk.word_hashes())
-        out = self.tables[0][bucket]
-        left = np.flatnonzero(~self.known[0][bucket])
-        if not len(left):
-            return out
-        out[left] = -PENALTY
-        # The unseen words alone, as a buffer of their own.
-        size = chunk.ends[left] - chunk.starts[left]
-        rest = chunk.data[np.repeat(chunk.starts[left] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
-        words = np.full(len(rest) + len(left) + 1, 32, np.uint8)
-        words[np.arange(len(rest)) + np.repeat(np.arange(len(left)), size) + 1] = rest
-        part = Chunk.__new__(Chunk)
-        part.data, part.inside = words, LETTERS[words]
-        part.starts = np.cumsum(size + 1) - size
+        keys, first, where = np.unique(chunk.word_hashes(), return_index=True, return_inverse=True)
+        known, out = _lookup(self.words, keys, len(self.langs))
+        left = np.flatnonzero(~known)
+        unseen = chunk.words(first[left]) if len(left) else []
         todo = np.ones(len(left), bool)
         for order in range(MAX_ORDER, 0, -1):
-            at, gram = _gram_buckets(part, order)
-            owner = np.searchsorted(part.starts, at, "right") - 1
-            ok = self.known[order][gram] & todo[owner]
-            owner, gram = owner[ok], gram[ok]
-            n = np.bincount(owner, minlength=len(left))
-            done = n > 0
-            for j in range(len(self.langs)):
-                sums = np.bincount(owner, self.tables[order][gram, j], len(left))
-                out[left[done], j] = (sums[done] / n[done]).astype(np.float32)
-            todo &= ~done
             if not todo.any():
                 break
-        return out
+            rest = np.flatnonzero(todo)
+            owner, grams = _grams([unseen[i] for i in rest], order)
+            distinct, at = np.unique(grams, return_inverse=True)
+            known, scores = _lookup(self.grams, distinct, len(self.langs))
+            ok = known[at]
+            owner, at = owner[ok], at[ok]
+            n = np.bincount(owner, minlength=len(rest))
+            done = n > 0
+            for j in range(len(self.langs)):
+                sums = np.bincount(owner, scores[at, j], len(rest))
+                out[left[rest[done]], j] = (sums[done] / n[done]).astype(np.float32)
+            todo[rest[done]] = False
+        return out[where]
+
+
+def _blocks(counts: DataFrame, langs: list[str], totals: dict) -> list:
+    """Broadcast blocks of a stored table (key, lang, unit_order, n); the driver holds one at a time."""
+    n_blocks = -(-counts.count() // BLOCK)
+    total = np.array([[max(totals.get((order, lang), 0), 1) for lang in langs] for order in range(MAX_ORDER + 1)], float)
+    out = []
+    for b in range(n_blocks):
+        rows = counts.where(F.pmod("key", F.lit(n_blocks)) == b).select("key", "lang", "unit_order", "n").toArrow()
+        if not len(rows):
+            continue
+        key = rows.column("key").to_numpy().view(np.uint64)
+        lang = pa.compute.index_in(rows.column("lang"), value_set=pa.array(langs)).to_numpy()
+        value = np.maximum(np.log10(rows.column("n").to_numpy() / total[rows.column("unit_order").to_numpy(), lang]), -PENALTY)
+        order = np.argsort(key, kind="stable")
+        keys, first = np.unique(key[order], return_index=True)
+        out.append(counts.sparkSession.sparkContext.broadcast(
+            (keys, np.append(first, len(key)), lang[order].astype(np.int32), value[order].astype(np.float32))))
+    return out
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Model from every row of ``docs`` with a language and a text. No row: a model without languages."""
-    rows = (docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-            .where("lang is not null and text is not null")
-            .mapInArrow(_count_units, "lang string, unit_order int, bucket int, n long")
-            .groupBy("lang", "unit_order", "bucket").agg(F.sum("n").alias("n")).toArrow())
-    langs = sorted(set(rows.column("lang").unique().to_pylist()))
-    counts = [np.zeros((b, len(langs))) for b in BUCKETS]
-    if langs:
-        where = pa.compute.index_in(rows.column("lang"), value_set=pa.array(langs)).to_numpy()
-        order, bucket, n = (rows.column(c).to_numpy() for c in ("unit_order", "bucket", "n"))
-        for k in range(len(BUCKETS)):
-            at = order == k
-            counts[k][bucket[at], where[at]] = n[at]
-    return Model.from_counts(langs, counts)
+    words = materialise(
+        docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("lang is not null and text is not null")
+        .mapInArrow(_count_words, "lang string, word string, key long, n long")
+        .groupBy("lang", "word", "key").agg(F.sum("n").alias("n")).withColumn("unit_order", F.lit(0)), "words")
+    grams = materialise(
+        words.select("lang", "word", "n").mapInArrow(_count_grams, "lang string, unit_order int, key long, n long")
+        .groupBy("lang", "unit_order", "key").agg(F.sum("n").alias("n")), "grams")
+    totals = {(r.unit_order, r.lang): r.n for part in (words, grams) for r in part.groupBy("unit_order", "lang").agg(F.sum("n").alias("n")).collect()}
+    langs = sorted({lang for _, lang in totals})
+    return Model(langs, _blocks(words, langs, totals), _blocks(grams, langs, totals))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", label: str = "lang_pred", score: str = "score",
@@ -156,19 +194,19 @@ def predict(docs: DataFrame, model: Model, text: str = "text", label: str = "lan
     priors); ties go to the first language in order of name. A null text, one
     without a letter, or a model without languages gives ``und`` and 0.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.tables, model.known))
-    langs = model.langs
+    langs, words, grams = model.langs, model.words, model.grams
+    size = CHUNK_BYTES if len(words) + len(grams) <= 2 else 4 * CHUNK_BYTES  # blocks that take turns are read once a chunk
 
     kept = [c for c in (docs.columns if carry is None else carry) if c not in (label, score)]
     source = text if text in kept and dict(docs.dtypes)[text] == "string" else "__text"
 
     def score_texts(batches):
-        m = Model(*shared.value)
+        m = Model(langs, words, grams)
         for batch in batches:
             texts = batch.column(source).to_pylist()
             totals = np.zeros((len(texts), max(len(langs), 1)))
             found = np.zeros(len(texts), bool)
-            for start, chunk in chunks(texts, LETTERS, lower=True) if langs else ():
+            for start, chunk in chunks(texts, LETTERS, True, size) if langs else ():
                 part = slice(start, start + len(chunk))
                 totals[part] = chunk.per_text(m.word_scores(chunk))
                 ascii_letters = np.add.reduceat(chunk.inside & (chunk.data < 128), chunk.begin[:-1]) > 0

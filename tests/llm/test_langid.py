@@ -58,3 +58,27 @@ def test_empty_tables(spark):
     model = langid.train(none)
     assert langid.predict(none, model).count() == 0
     assert langid.predict(spark.createDataFrame([(1, "a", "x", "s")], SCHEMA), model).first().lang_pred == "und"
+
+
+def test_vocabulary_grows_with_the_words(spark, monkeypatch):
+    monkeypatch.setattr(langid, "BLOCK", 200_000)  # several blocks take turns
+    word = F.translate(F.substring(F.md5(F.concat_ws("|", "id", "i")), 1, 12), "0123456789", "ghijklmnop")
+    docs = (spark.range(2000).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(300)))).withColumn("w", word)
+            .groupBy("id").agg(F.array_join(F.collect_list("w"), " ").alias("text"))
+            .select(F.col("id").alias("doc_id"), "text", F.concat(F.lit("l"), F.col("id") % 5).alias("lang"), F.lit("s").alias("source")))
+    model = langid.train(docs)
+    assert sum(len(b.value[0]) for b in model.words) > 590_000 and len(model.words) > 1
+    # A language never learned: no word, no n-gram of it is known, so the posterior is even and the rows go.
+    strange = spark.createDataFrame([(i, " ".join(chr(0x3B1 + (i * 7 + j * k) % 24) * 3 for j in range(30) for k in (1, 5)), None, "s") for i in range(50)], SCHEMA)
+    assert {round(r.score, 6) for r in langid.predict(strange, model).collect()} == {0.2}
+    assert langid.keep_identified(strange, model).count() == 0
+    held = langid.predict(docs.limit(50), model, carry=["lang"])
+    assert held.where("lang <> lang_pred").count() == 0
+
+
+def test_grams_are_characters(spark):
+    model = langid.train(spark.createDataFrame([(1, "\u03b1\u03b2\u03b3", "x", "s"), (2, "\u03b3\u03b4", "y", "s")], SCHEMA))
+    # No 4-gram of the unseen word is known; of its 3-grams the boundary with two letters is.
+    got = model.word_scores(Chunk(["\u03b1\u03b2\u03b5"], LETTERS, lower=True))[0]
+    threes = np.log10(1 / 3)  # " \u03b1\u03b2", one of three 3-grams of x
+    assert np.allclose(got, [threes, -7.0], atol=1e-5)
