@@ -9,12 +9,13 @@ sum of log-odds over the tree under one constraint: below a rejected node
 nothing is kept. So ancestor and descendants never contradict each other. The
 kept runs, in page order, are the blocks of the text.
 
-Training needs no labels from outside: about ``SAMPLE_PAGES`` pages (a share by
-the hash of the id, the documented bound) whose mark-up names the article
-are taken apart, and set up anew in variants that know their labels: other
+Training needs no labels from outside: of all distinct pages whose mark-up names
+an article with text, the ``SAMPLE_PAGES`` first by the hash of the page (the
+documented bound) are taken apart, and set up anew in variants that know their labels: other
 containers for the article, and menus, headers, footers, sidebars, notices,
 adverts, forms, link lists and comments around and inside it, filled with texts
-of other pages. Parsing, features, scoring and decoding run in Spark tasks, one
+of other pages. Where no page of the table names its article, all text of a page
+outside boxes named as something else stands for it. Parsing, features, scoring and decoding run in Spark tasks, one
 page at a time.
 
 Scripts, styles and other elements that show no text are dropped while parsing.
@@ -367,27 +368,37 @@ def _variant(blocks: list[str], others: list[str], rng: random.Random) -> str:
     return f"<html><body>{''.join(before)}{main}{''.join(after)}</body></html>"
 
 
-def train_pages(pages: list[str], seed: int = 5) -> Trees:
-    """Trees from pages whose mark-up names the article (the first ``article`` or ``main`` element)."""
+def _article(page: str | None, whole: bool) -> tuple[list[Node], int, list[bool], list[str]] | None:
+    """(nodes, the article's node, which nodes are of it, its blocks), or None if it has no text.
+
+    The article is the first ``article`` or ``main`` element (``whole``: the page) without boxes named as something else.
+    """
+    nodes = parse(page)
+    top = 0 if whole else next((i for i, v in enumerate(nodes) if v.tag in ("article", "main")), None)
+    if top is None:
+        return None
+    inside = [False] * len(nodes)
+    inside[top] = True
+    for i in range(top + 1, len(nodes)):
+        v = nodes[i]
+        inside[i] = inside[v.parent] and not (v.groups - {0})
+    blocks = [f"<{nodes[v.parent].tag}>{_html.escape(v.text)}</{nodes[v.parent].tag}>" if nodes[v.parent].tag in ("p", "h1", "h2", "h3", "blockquote", "pre") else f"<p>{_html.escape(v.text)}</p>"
+              for v, ok in zip(nodes, inside, strict=True) if v.run and ok]
+    return (nodes, top, inside, blocks) if blocks else None
+
+
+def train_pages(pages: list[str], seed: int = 5, whole: bool = False) -> Trees:
+    """Trees from pages whose mark-up names the article (``whole``: from whole pages)."""
     rng = random.Random(seed)
     articles, texts, originals = [], [], []
     for page in pages:
-        nodes = parse(page)
-        top = next((i for i, v in enumerate(nodes) if v.tag in ("article", "main")), None)
-        if top is None:
-            continue
-        inside = [False] * len(nodes)
-        inside[top] = True
-        for i in range(top + 1, len(nodes)):
-            v = nodes[i]
-            inside[i] = inside[v.parent] and not (v.groups - {0})
-        blocks = [f"<{nodes[v.parent].tag}>{_html.escape(v.text)}</{nodes[v.parent].tag}>" if nodes[v.parent].tag in ("p", "h1", "h2", "h3", "blockquote", "pre") else f"<p>{_html.escape(v.text)}</p>"
-                  for v, ok in zip(nodes, inside, strict=True) if v.run and ok]
-        if blocks:
+        found = _article(page, whole)
+        if found is not None:
+            nodes, top, inside, blocks = found
             articles.append(blocks)
             texts += [_html.escape(v.text) for v in nodes if v.run]
             y = np.array(inside, float)
-            y[[nodes[top].parent, 0]] = 1
+            y[[max(nodes[top].parent, 0), 0]] = 1
             originals.append((nodes, y))
     if not articles:
         return fit(np.zeros((0, _WIDTH)), np.zeros(0))
@@ -406,12 +417,39 @@ def main_text(page: str | None, trees: Trees) -> str:
     return "\n\n".join(v.text for v, ok in zip(nodes, keep, strict=True) if ok and v.run)
 
 
-def train(pages: DataFrame, html: str = "html", key: str = "page_id") -> Trees:
-    """Trees from the bounded sample of ``pages``: about SAMPLE_PAGES of them by the hash of the id, never over twice as many."""
-    share = min(1.0, SAMPLE_PAGES / max(pages.count(), 1))
-    by_hash = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = pages.where(by_hash & F.col(html).isNotNull()).select(F.col(html).alias("html")).limit(2 * SAMPLE_PAGES)
-    return train_pages(sorted(r.html for r in sample.collect()))
+def _sample(pages: DataFrame, html: str, whole: bool) -> list[str]:
+    """The SAMPLE_PAGES first distinct pages by hash of which ``_article`` finds the article.
+
+    Growing shares of the hashes are looked through in Spark tasks until there are enough or all were seen.
+    """
+    page = F.col(f"`{html}`").cast("string")
+    named = pages.select(page.alias("html")).where("html is not null" if whole else "html rlike '(?i)<(article|main)[\\\\s/>]'").withColumn("h", F.xxhash64("html"))
+    place = F.pmod("h", F.lit(1 << 30))
+    n, share = named.count(), 0.0
+
+    def usable(batches):
+        seen = set()
+        for batch in batches:
+            keep = []
+            for i, h in enumerate(batch.column("h").to_pylist()):
+                if h not in seen:
+                    seen.add(h)
+                    if _article(batch.column("html")[i].as_py(), whole) is not None:
+                        keep.append(i)
+            yield batch.take(pa.array(keep, pa.int64()))
+
+    found = []
+    while n and share < 1.0 and len(found) < SAMPLE_PAGES:
+        share = min(1.0, max(8 * share, 4 * SAMPLE_PAGES / n))
+        found = (named.where(place < int(share * (1 << 30))).mapInArrow(usable, "html string, h long")
+                 .dropDuplicates(["h"]).orderBy(place, "h").limit(SAMPLE_PAGES).collect())
+    return sorted(r.html for r in found)
+
+
+def train(pages: DataFrame, html: str = "html") -> Trees:
+    """Trees from at most SAMPLE_PAGES distinct pages that name their article; from whole pages if there is none."""
+    named = _sample(pages, html, whole=False)
+    return train_pages(named) if named else train_pages(_sample(pages, html, whole=True), whole=True)
 
 
 def extract(pages: DataFrame, trees: Trees, carry: list[str], html: str = "html") -> DataFrame:

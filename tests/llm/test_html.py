@@ -87,3 +87,24 @@ def test_odd_pages(spark, trees):
     assert by[1] == by[2] == by[3] == "" and by[6] == " ".join(["word"] * 300_000)
     none = df.where("false")
     assert op.extract(none, op.train(none), ["page_id"]).count() == 0
+
+
+def test_sample_comes_from_pages_that_name_an_article(spark):
+    named = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").limit(60).collect()]
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate(named)], "page_id long, html string")
+    # Distinct pages without one, copies of one page, and pages that name one only in a comment crowd nobody out.
+    others = spark.range(100_000).select("id", F.concat(F.lit("<div class='menu'><p>nothing "), "id", F.lit("</p></div>")))
+    hot = spark.range(50_000).select("id", F.lit("<body><article><p>the same text</p></article></body>"))
+    comment = spark.range(3_000).select("id", F.concat(F.lit("<!-- <article> --><p>"), "id", F.lit("</p>")))
+    pages = rows.union(others).union(hot).union(comment)
+    sample = op._sample(pages, "html", whole=False)
+    assert set(sample) == {p for p in named if article_of(p)} | {hot.first()[1]} and len(sample) == len(set(sample)) > 40
+    got = op.extract(rows, op.train(pages), ["page_id"])
+    assert sum(r.text == article_of(named[r.page_id]) for r in got.collect()) >= 0.95 * len(named)
+
+
+def test_no_page_names_an_article(spark):
+    page = "<body><div class='menu'><p>Home News</p></div><div><h1>Title {0}</h1><p>Some text of page {0}, and more of it.</p></div><div class='footer'><p>Legal</p></div></body>"
+    pages = spark.createDataFrame([(i, page.format(i)) for i in range(40)], "page_id long, html string")
+    for r in op.extract(pages, op.train(pages), ["page_id"]).collect():
+        assert r.text == f"Title {r.page_id}\n\nSome text of page {r.page_id}, and more of it."
