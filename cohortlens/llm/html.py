@@ -28,6 +28,7 @@ from __future__ import annotations
 import html as _html
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -213,6 +214,7 @@ def features(nodes: list[Node]) -> np.ndarray:
     near = np.zeros((n, k))
     above = np.zeros((n, k))
     total = max(chars[0], 1.0)
+    tags_of = [Counter(nodes[c].tag for c in v.children) for v in nodes]
     for i, v in enumerate(nodes):
         if v.tag in _TAGS:
             x[i, _TAGS.index(v.tag)] = 1
@@ -224,7 +226,7 @@ def features(nodes: list[Node]) -> np.ndarray:
         x[i, g0:g0 + k], x[i, g0 + k:g0 + 2 * k], x[i, g0 + 2 * k:g0 + 3 * k] = own, near[i], above[i]
         up = nodes[v.parent] if v.parent >= 0 else v
         siblings = up.children if v.parent >= 0 else [0]
-        same = sum(nodes[s].tag == v.tag for s in siblings) if len(siblings) < 200 else len(siblings)
+        same = tags_of[v.parent][v.tag] if v.parent >= 0 else 1
         p = max(v.parent, 0)
         x[i, g0 + 3 * k:] = (
             v.depth, len(siblings), same, i / n, np.log1p(chars[i]), np.log1p(words[i]), links[i] / max(chars[i], 1.0), chars[i] / max(words[i], 1.0),

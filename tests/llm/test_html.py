@@ -108,3 +108,12 @@ def test_no_page_names_an_article(spark):
     pages = spark.createDataFrame([(i, page.format(i)) for i in range(40)], "page_id long, html string")
     for r in op.extract(pages, op.train(pages), ["page_id"]).collect():
         assert r.text == f"Title {r.page_id}\n\nSome text of page {r.page_id}, and more of it."
+
+
+def test_same_siblings_are_counted_at_every_size():
+    at = len(op._TAGS) + 3 * len(op.GROUPS) + 2  # after depth and number of siblings
+    for n in (150, 198, 250, 1000):
+        nodes = op.parse("<div class='ad'>a</div><div class='ad'>b</div>" + "<p>c</p>" * n)
+        x = op.features(nodes)
+        got = {v.tag: (x[i, at - 1], x[i, at]) for i, v in enumerate(nodes) if v.parent == 0}
+        assert got == {"div": (n + 2, 2), "p": (n + 2, n)}
