@@ -18,7 +18,9 @@ of other pages. Where no page of the table names its article, all text of a page
 outside boxes named as something else stands for it. Parsing, features, scoring and decoding run in Spark tasks, one
 page at a time.
 
-Scripts, styles and other elements that show no text are dropped while parsing.
+Scripts, styles and other elements that show no text (titles, frames, templates,
+lists of choices, text fields, what describes a formula or drawing) are dropped
+while parsing; formulas, text in drawings and fallback text are runs like any.
 A null or empty page has an empty text; unclosed and cut-off mark-up is closed
 at the end of the page; pages of one block or none are legal.
 """
@@ -47,10 +49,17 @@ _ATTR = re.compile(r"""([a-zA-Z][\w:-]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 # How HTML treats its elements.
-HIDDEN = frozenset("script style template noscript title svg math iframe object canvas textarea select datalist audio video".split())
-RAW = frozenset("script style textarea title iframe noscript".split())
-VOID = frozenset("br hr img input meta link area base col embed source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var ruby rb rt rp nobr".split())
+HIDDEN = frozenset("template select datalist annotation annotation-xml desc metadata defs symbol".split())
+RAW = frozenset("script style textarea title iframe".split())
+VOID = frozenset("br hr img input meta link area base col embed param source track wbr".split())
+FALLBACK = frozenset("noscript object canvas audio video".split())
+FORMULA = frozenset("math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts "
+                    "none mtable mtr mtd semantics".split())
+DRAWING = frozenset("svg g path rect circle ellipse line polyline polygon text tspan textpath use image marker mask pattern filter clippath view set animate "
+                    "animatetransform animatemotion lineargradient radialgradient stop switch foreignobject".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var ruby rb rt rp nobr".split()) \
+    | FALLBACK | FORMULA | DRAWING
+SPACED = frozenset("br mtr mtd text".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 
@@ -93,7 +102,8 @@ class Node:
 def parse(page: str | None) -> list[Node]:
     """Nodes of a page in page order; node 0 is the root. Runs without a word are left out."""
     nodes = [Node("html", -1, 0, frozenset(), None, False)]
-    stack, run, in_link, hidden = [0], None, 0, 0
+    stack, run, in_link = [0], None, 0
+    hidden, opened = "", Counter()  # the outermost hidden element, and the elements open in it with itself
     page = page or ""
     at, end = 0, len(page)
 
@@ -146,22 +156,37 @@ def parse(page: str | None) -> list[Node]:
         if not tag:
             continue
         if m[1]:
-            if tag in HIDDEN:
-                hidden = max(hidden - 1, 0)
-            elif tag == "a":
+            if hidden:
+                if opened[tag]:
+                    opened[tag] -= 1
+                    hidden = hidden if opened[hidden] else ""
+                    continue
+                # A hidden element ends with what it lies in.
+                if not (hidden != "template" and tag in ("svg", "math") or tag not in INLINE and find((tag,))):
+                    continue
+                hidden = ""
+            if tag == "a":
                 in_link = 0
             elif tag not in INLINE and (i := find((tag,))):
                 pop_to(i)
             continue
         nodes[stack[-1]].tags += 1
+        closed = m[3].rstrip().endswith("/")
         if tag in RAW:
             stop = re.compile(f"</{tag}\\b[^>]*>?", re.I).search(page, at)
-            at = stop.end() if stop else end
+            at = stop.end() if stop else at if closed else end
             continue
+        if hidden:
+            # Only a template may hold blocks; any other has lost its end tag.
+            if hidden == "template" or tag not in CLOSES_P or tag == "hr":
+                opened[tag] += not closed and tag not in VOID
+                continue
+            hidden = ""
         if tag in HIDDEN:
-            hidden += not m[3].rstrip().endswith("/")
+            if not closed:
+                hidden, opened = tag, Counter((tag,))
             continue
-        if tag == "br":
+        if tag in SPACED:
             add(" ")
             continue
         if tag in VOID or tag in INLINE:
@@ -175,8 +200,6 @@ def parse(page: str | None) -> list[Node]:
         if tag in SAME and (i := find((tag,), SAME[tag])):
             pop_to(i)
         close_run()
-        if hidden:
-            continue
         groups = attribute_groups(m[3])
         if tag in _TAG_GROUP:
             groups.add(_NAMES.index(_TAG_GROUP[tag]))

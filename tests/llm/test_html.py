@@ -117,3 +117,29 @@ def test_same_siblings_are_counted_at_every_size():
         x = op.features(nodes)
         got = {v.tag: (x[i, at - 1], x[i, at]) for i, v in enumerate(nodes) if v.parent == 0}
         assert got == {"div": (n + 2, 2), "p": (n + 2, n)}
+
+
+@pytest.mark.parametrize("part, text", [
+    ("so <math><mi>a</mi><mo>=</mo><mn>5</mn><annotation>a=5</annotation></math> holds", "so a=5 holds"),
+    ("x <svg><title>no</title><g><path d='M0'/><text>axis</text></g></svg> y", "x axis y"),
+    ("<noscript>plain <b>text</b></noscript> on", "plain text on"),
+    ("<object data=q><param name=a>no viewer</object> <canvas>drawn</canvas> <video><source src=v>no video</video>", "no viewer drawn no video"),
+    ("one <template><div>no</p></div></article></template>two", None),
+    ("one <template><div>no</div><p>no</p></template>two", "one two"),
+    ("one <select><option>no</select>two", "one two"),
+])
+def test_only_what_shows_no_text_is_hidden(part, text):
+    runs = [v.text for v in op.parse(f"<article><p>{part}</p><p>more</p></article><p>last</p>") if v.run]
+    assert runs[-1] == "last" and (text is None or runs == [text, "more", "last"])
+
+
+@pytest.mark.parametrize("tag", "svg math object video audio canvas noscript select datalist template symbol".split())
+def test_unclosed_elements_hide_no_more_than_their_parent(tag):
+    runs = [v.text for v in op.parse(f"<div><div>a <{tag}></div><article><p>b</p></article></div><p>c</p>") if v.run]
+    assert runs == ["a", "b", "c"]
+
+
+def test_end_tags_in_a_hidden_element_leave_outer_blocks_open():
+    nodes = op.parse("<article><div><template><div><p>no</p></div></template>a</div><p>b</p></article>")
+    tags = [(v.text, nodes[v.parent].tag, nodes[nodes[v.parent].parent].tag) for v in nodes if v.run]
+    assert tags == [("a", "div", "article"), ("b", "p", "article")]
