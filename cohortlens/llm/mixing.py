@@ -6,8 +6,9 @@ from the Poisson distribution with that mean by inverting the distribution
 function at a uniform number made of its id's hash and the seed, so a rerun and
 a lost executor draw alike, and a rate of 1.3 repeats every document once or
 more often in the mean without choosing any by hand. Documents are exploded by
-their count, and every copy is dealt to a partition and ordered by the hash of
-(id, copy), which shuffles the whole output.
+their count, and every copy is dealt to a partition by the hash of (id, copy) and
+a number of its row, and ordered by the former, which shuffles the whole output
+and spreads the rows of a repeated id.
 
 Rates above ``PIECE`` are drawn as a sum of independent Poisson numbers of equal
 rates up to ``PIECE`` (such a sum is Poisson with the whole rate), so the table
@@ -86,7 +87,8 @@ def replicate(docs: DataFrame, rate: DataFrame, seed: int = 17, key: str = "doc_
     pieces = F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("int")
     table = materialise(rate.select("src", pieces.alias("__pieces"), _distribution(F.col("rate") / pieces).alias("__cdf")).withColumnRenamed("src", "__src"), "rates")
     ident = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], _source(source).alias("__src"), ident.alias("__id"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], _source(source).alias("__src"), ident.alias("__id"),
+                       F.monotonically_increasing_id().alias("__row"))
     # A row of the table holds some 700 bytes: an eighth of the usual bound. Beyond it the join is salted, so a hot source spreads.
     if table.count() <= BROADCAST_ROWS // 8:
         drawn = rows.join(F.broadcast(table), "__src")
@@ -98,7 +100,7 @@ def replicate(docs: DataFrame, rate: DataFrame, seed: int = 17, key: str = "doc_
     counted = drawn.withColumn("n_copies", n).where("n_copies > 0")
     copies = counted.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
     keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit("order"), F.lit(seed), F.col("__id"), F.col("copy_no"))))
-    return (keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return (keyed.repartition("shuffle_key", "__row").sortWithinPartitions("shuffle_key")
             .select(*[F.col(f"`{c}`") for c in kept], "n_copies", "copy_no", "shuffle_key"))
 
 

@@ -71,3 +71,16 @@ def test_order_is_shuffled_and_empty_tables(spark):
     got = [r.doc_id for r in mixing.mix(spark.range(500).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit("t").alias("text"))).collect()]
     assert got != sorted(got)
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_rows_of_one_id_spread_over_tasks(spark):
+    # A third of the rows has no id and another third one id; their copies share a shuffle key, not a task.
+    docs = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.col("id")).when(F.col("id") % 3 == 1, 5).alias("doc_id"), F.lit("s").alias("source"), F.lit("t").alias("text"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = mixing.replicate(docs, spark.createDataFrame([("=s", 8.0)], "src string, rate double"))
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(sizes) > 4 and max(sizes) < 1.2 * sum(sizes) / len(sizes)
