@@ -1,4 +1,4 @@
-"""Training-data operators: ten document operators that run as Spark jobs.
+"""Training-data operators: thirteen document operators that run as Spark jobs.
 
 Nothing else in the library imports this subpackage. ``queries.py`` holds the
 registered ``opN_<name>`` queries and their DuckDB statements.

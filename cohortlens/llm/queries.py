@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, html, langid, mixing, quality, shard, simhash, toxicity, warc
+from . import audit, chat, decontam, html, langid, mixing, quality, shard, simhash, spelling, toxicity, urlrules, warc
 from .common import crc_mod, table
 
 
@@ -164,6 +164,113 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+# The rules that the query applies.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op11_urlrules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host and path, the longest rule that fits, and the verdict."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlrules.judge(table(spark, sf_dir, "pages"), rules, carry=["page_id"])
+
+
+OP11_SQL = r"""
+WITH rules(rule_host, rule_path, own) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+p AS (
+  SELECT row_number() OVER () AS rid, page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)),
+fit AS (
+  SELECT rid, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(own, length(rule_host || rule_path)) AS own
+  FROM p JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY rid)
+SELECT page_id, host, path, rule, coalesce(own, 'allow') AS verdict FROM p LEFT JOIN fit USING (rid)
+"""
+
+
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes, in every order and step, by source."""
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH t AS (SELECT coalesce(source, '') AS part, doc_id, coalesce(text, '') AS x FROM documents),
+d AS (SELECT *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY x) AS first_id FROM t),
+m AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * len(regexp_extract_all(x, '[A-Z]')) > 5 * length(x),
+                regexp_matches(x, '[#$%&*|]'), coalesce(doc_id > first_id, false)] AS fails,
+         coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM d LEFT JOIN m USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM f GROUP BY part, fails),
+x(i) AS (VALUES (1), (2), (3), (4), (5)),
+o AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS seq FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT seq, step, seq[step] AS own FROM o, unnest(range(1, 6)) t(step)),
+r AS (
+  SELECT part, seq, step, own, n, good, toxic, fails[own] AS hit,
+         len(list_filter(seq[1:step - 1], lambda q: fails[q])) = 0 AS reached,
+         len(list_filter(fails, lambda b: b)) = 1 AS single
+  FROM c, s),
+g AS (
+  SELECT part, seq, step, own,
+         sum(CASE WHEN reached AND NOT hit THEN n ELSE 0 END) AS kept, sum(CASE WHEN reached AND hit THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN hit AND NOT reached THEN n ELSE 0 END) AS redundant, sum(CASE WHEN hit AND single THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN reached AND hit THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN reached AND hit THEN toxic ELSE 0 END) AS toxic_lost
+  FROM r GROUP BY part, seq, step, own)
+SELECT part, array_to_string(list_transform(seq, lambda q: substr('ABCDE', q, 1)), '') AS filter_order, step::INTEGER AS step, kept::BIGINT AS kept,
+       removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM g
+"""
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the vocabulary with its form; one run in 97, by hash, is read with one code point left out."""
+    run, at = F.col("run"), F.col("h") % F.length("run")
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), run).cast("binary"))
+    short = F.concat(F.substr(run, F.lit(1), at.cast("int")), F.substr(run, at.cast("int") + 2))
+    read = spelling.runs(table(spark, sf_dir, "documents"), ["doc_id"]).withColumn("h", h)
+    return spelling.variants(spelling.vocabulary(read.select(F.when(F.col("h") % 97 == 0, short).otherwise(run).alias("word"))))
+
+
+# CRC-32 from its rule (reflected polynomial 0xEDB88320); UTF-8 of U+00C0 to U+00FF is 0xC3 and the code less 0x40.
+OP13_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS tab),
+u AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run
+  FROM documents),
+k AS (SELECT doc_id, run, count(*) AS n FROM u GROUP BY doc_id, run),
+h AS (
+  SELECT run, n, xor(4294967295::BIGINT, list_reduce(
+           list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+             lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END))),
+           lambda c, b: xor(c >> 8, tab[xor(c & 255, b) + 1]))) AS h
+  FROM k, crc),
+v AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n FROM h)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+del AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest FROM v, unnest(range(1, length(word) + 1)) t(p)),
+near AS (
+  SELECT a.word, b.word AS near, b.n FROM del a JOIN del b USING (p, rest) WHERE a.word <> b.word
+  UNION SELECT d.word, v.word, v.n FROM del d JOIN v ON d.rest = v.word
+  UNION SELECT v.word, d.word, d.n FROM del d JOIN v ON d.rest = v.word),
+best AS (SELECT word, count(*) AS n_near, first(near ORDER BY n DESC, near) AS near, max(n) AS near_n FROM near GROUP BY word),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * v.n THEN near END AS form, CASE WHEN near_n >= 2 * v.n THEN near_n END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, form AS at FROM f WHERE form IS NOT NULL
+  UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON walk.at = f.word WHERE f.form IS NOT NULL),
+last AS (SELECT w.word, w.at FROM walk w JOIN f ON w.at = f.word WHERE f.form IS NULL)
+SELECT f.word, form, coalesce(last.at, f.word) AS root, n, n_near, form_n FROM f LEFT JOIN last ON f.word = last.word
+"""
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat": op2_chat,
@@ -175,10 +282,16 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
     "op10_langid": op10_langid,
+    "op11_urlrules": op11_urlrules,
+    "op12_audit": op12_audit,
+    "op13_spelling": op13_spelling,
 }
 ORACLES: dict[str, str] = {
     "op2_chat": OP2_SQL,
     "op4_mix": OP4_SQL,
     "op7_decontaminate": OP7_SQL,
     "op9_warc": OP9_SQL,
+    "op11_urlrules": OP11_SQL,
+    "op12_audit": OP12_SQL,
+    "op13_spelling": OP13_SQL,
 }
