@@ -718,30 +718,55 @@ def _session_upsert(c: Ctx):
 
 
 # --- L3: the same sessions as a stream ------------------------------------------------------
-STREAM_CHUNKS = 4
+STREAM_CHUNKS, STREAM_FILES = 4, 4
+DAY_S = 86_400
 
 
-@query("practice_sessions_stream")
-def _practice_sessions_stream(c: Ctx):
-    """Log lines land in STREAM_CHUNKS line ranges, oldest first, as a daily job
-    would see them: each range is written by a parallel job (many files), then
-    the stream runs with ``availableNow`` and restarts from its checkpoint, so
-    every landing is one micro-batch holding one whole line range."""
-    from cohortlens.operators.sessions import as_timestamps
+def _streamed(c: Ctx, delay_s: int):
+    """The log lands in STREAM_CHUNKS line ranges, one line in seven a range later than its neighbours.
+
+    Every landing is written by a parallel job as STREAM_FILES files, and the
+    stream takes that many a batch.
+    """
     from cohortlens.session import scratch
     from cohortlens.streaming.sessions import StreamingSessions, read_log_stream
+    if not hasattr(c, "_streams"):
+        c._streams = {}
+        c._landing = f"{scratch(c.spark, 'stream')}/landing"
+        log = _proxy_log(c)
+        lo, hi = log.agg(F.min("line_no"), F.max("line_no")).first()
+        step = (hi - lo) // STREAM_CHUNKS + 1
+        landing = F.floor((F.col("line_no") - lo) / step) + (F.col("line_no") % 7 == 3).cast("long")
+        for i in range(STREAM_CHUNKS + 1):
+            log.where(landing == i).repartition(STREAM_FILES).write.mode("append").parquet(c._landing)
+    if delay_s not in c._streams:
+        ss = StreamingSessions(c.spark, scratch(c.spark, "stream"), RULES, DOMAIN_MAP, delay_s=delay_s)
+        ss.run(read_log_stream(c.spark, c._landing, STREAM_FILES)).awaitTermination()
+        c._streams[delay_s] = ss
+    return c._streams[delay_s]
+
+
+def _stream_sessions(c: Ctx, delay_s: int):
+    from cohortlens.operators.sessions import as_timestamps
+    return as_timestamps(_streamed(c, delay_s).documents()).withColumn("groups", F.array_join("groups", " "))
+
+
+@query("practice_sessions_stream")
+def _practice_sessions_stream(c: Ctx):
+    """All lines come inside the watermark: the rows of the batch rebuild."""
+    return _stream_sessions(c, 20 * DAY_S)
+
+
+@query("practice_sessions_on_time")
+def _practice_sessions_on_time(c: Ctx):
+    """A watermark of three days: the rows of the batch rebuild without the late lines."""
+    return _stream_sessions(c, 3 * DAY_S)
+
 
-    base = scratch(c.spark, "stream")
-    log = _proxy_log(c)
-    lo, hi = log.agg(F.min("line_no"), F.max("line_no")).first()
-    step = (hi - lo) // STREAM_CHUNKS + 1
-    ss = StreamingSessions(c.spark, base, RULES, DOMAIN_MAP)
-    for i in range(STREAM_CHUNKS):
-        part = log.where((F.col("line_no") >= lo + i * step) & (F.col("line_no") < lo + (i + 1) * step))
-        part.write.mode("append").parquet(f"{base}/landing")
-        for q in ss.run(read_log_stream(c.spark, f"{base}/landing", files_per_trigger=None)):
-            q.awaitTermination()
-    return as_timestamps(ss.documents()).withColumn("groups", F.array_join("groups", " "))
+@query("stream_late_lines")
+def _stream_late_lines(c: Ctx):
+    """What came too late for a watermark of three days, by kind."""
+    return _streamed(c, 3 * DAY_S).late_lines().groupBy("kind").agg(F.count("*").alias("n"), F.count_distinct("pod", "ip").alias("addresses"), F.max("line_no").alias("last_line"))
 
 
 @query("partner_kpi")

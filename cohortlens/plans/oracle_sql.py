@@ -463,4 +463,15 @@ sql("p7_final_grades", """select g.userid, g.courseid, g.graderaw, g.gradedategr
  where g.userid % 17 <> 0 and g.courseid % 3 <> 0 and g.graderaw is not null""")
 
 SQL["practice_sessions_stream"] = SQL["practice_sessions"]
+# Four line ranges land one after the other, one line in seven a range later; three days of watermark.
+LATE = {**SES, "landed": """select a.*, (line_no - lo) // step + if(line_no % 7 = 3, 1, 0) as landing, try_strptime(ts, '%Y-%m-%d %H:%M:%S') as seen_at
+ from parsed a, (select min(line_no) as lo, (max(line_no) - min(line_no)) // 4 + 1 as step from tr_proxy_log) where accepted""",
+        "marks": """select l.landing, max(e.seen_at) - INTERVAL 3 DAY as mark from (select distinct landing from landed) l
+ left join landed e on e.landing < l.landing group by 1""",
+        "timed": "select l.*, coalesce(seen_at < mark, false) as late from landed l join marks using (landing)",
+        "acc": "select * from timed where not late"}
+LATE = {k: LATE[k] for k in ("parsed0", "parsed", "landed", "marks", "timed", "acc", *[k for k in SES if k not in ("parsed0", "parsed", "acc")])}
+sql("practice_sessions_on_time", """select email, "user", partner, tenant, fecha_inicio, fecha_fin, last_seen, certificacion,
+ array_to_string(groups, ' ') as groups from ts_sessions""", LATE)
+sql("stream_late_lines", """select kind, count(*) as n, count(distinct (pod, ip)) as addresses, max(line_no) as last_line from timed where late group by 1""", LATE)
 sql("partner_kpi", """select 'nation_3' as partner, coalesce((select count(*) from f_usuarios where partner = 'nation_3'), 0) as users""")
