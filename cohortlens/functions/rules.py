@@ -88,6 +88,44 @@ class Rules:
                 d[k] = tuple(d[k])
         return Rules(**d)
 
+    @staticmethod
+    def from_yaml(text: str, **more) -> "Rules":
+        """Q7: the rule file's own form; ``more`` overrides or adds fields it does not have.
+
+        Patterns are LIKE patterns that match anywhere (``%text%``); the category
+        without a pattern is the default. The list of the house organisation's
+        patterns is the one under ``partner`` whose name ends with ``_patterns``.
+        A section that is missing keeps the defaults.
+        """
+        import yaml  # only here: the rest of the library runs without it
+        doc = yaml.safe_load(text) or {}
+        part = lambda name: doc.get(name) or {}
+        anywhere = lambda p: p.strip("%")
+        out: dict = {}
+        house = [p for k, v in part("partner").items() if k.endswith("_patterns") for p in v]
+        if len({anywhere(p) for p in house}) > 1:
+            raise ValueError("the rules know one house organisation")
+        if house:
+            out["house_org"] = anywhere(house[0])
+        cert = part("certification")
+        if "pass_threshold" in cert:
+            out["pass_mark"] = float(cert["pass_threshold"])
+        if "course_name_patterns" in cert:
+            out["cert_patterns"] = tuple(anywhere(p) for p in cert["course_name_patterns"])
+        categories = doc.get("categories") or []
+        if categories:
+            out["categories"] = tuple((c["name"], anywhere(c["pattern"])) for c in categories if c.get("pattern"))
+            out["category_default"] = next((c["name"] for c in categories if not c.get("pattern")), CATEGORY_DEFAULT)
+        if "regex" in part("version"):
+            out["version_regex"] = part("version")["regex"]
+        if "suffixes" in part("language"):
+            out["languages"] = tuple(part("language")["suffixes"].items())
+        checks = part("validation")
+        out |= {k: checks[k] for k in ("min_users", "min_partners", "max_cert_ratio") if k in checks}
+        if "expected_datasets" in checks:
+            out["expected_datasets"] = tuple(checks["expected_datasets"])
+        return Rules(**(out | more))
+
     def to_json(self) -> str:
         return json.dumps(asdict(self))
 

@@ -7,6 +7,9 @@ group is ever gathered into one task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,6 +88,42 @@ def first_available(snap, names, columns) -> DataFrame | None:
     return coalesce_sources([snap[n].select(*columns) if snap.has(n) else None for n in names])
 
 
+# Exception classes that mean "this token may not call that function".
+ACCESS_DENIED = ("accessexception", "webservice_access_exception", "access_exception")
+# What a source answers instead of rows.
+FAULT_SCHEMA = "exception string, message string"
+
+
+class SourceFailed(RuntimeError):
+    """A source answered with an error that no other source makes up for."""
+
+
+def first_answer(sources, empty: DataFrame) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """N7 by failure class: the rows of the first source that answers, and what each source asked did.
+
+    ``sources`` are (name, rows, faults): ``rows`` and ``faults`` are DataFrames of
+    what landed for the source (``faults`` with exception and message), both null
+    if nothing landed. A source that is absent or denies access is passed over;
+    any other exception raises ``SourceFailed`` and later sources are not
+    asked. If none answers the dataset is ``empty``.
+    """
+    asked = []
+    for name, rows, faults in sources:
+        if rows is None and faults is None:
+            asked.append((name, "absent"))
+            continue
+        kind = F.lower(F.coalesce(F.col("exception"), F.lit("")))
+        denied = [kind.contains(x) for x in ACCESS_DENIED]
+        fault = None if faults is None else (faults.where("exception is not null").select("exception", "message", reduce(or_, denied).alias("denied"))
+                                             .orderBy("denied", "exception", "message").first())
+        if fault is None:
+            return rows, [*asked, (name, "answered")]
+        if not fault["denied"]:
+            raise SourceFailed(f"{name}: {fault['exception']}: {fault['message']}")
+        asked.append((name, "denied"))
+    return empty, asked
+
+
 # N8 -------------------------------------------------------------------------
 def synth_cohorts(members: DataFrame) -> DataFrame:
     ids = members.select(F.col("cohortid").alias("id")).where(F.col("id").isNotNull()).distinct()
@@ -102,6 +141,20 @@ def page_check(pages: DataFrame, page_size: int) -> DataFrame:
                     ((F.col("page") == F.col("last")) | (F.col("n_rows") == page_size)).alias("ok"))
 
 
+def page_report(pages: DataFrame, page_size: int) -> DataFrame:
+    """N9 over landed pages (page, rows array, malformed): every page up to the last with its rows and status.
+
+    ``ok``; ``malformed`` (a document of the page does not parse); ``short`` (too
+    few rows and not the last page); ``missing`` (no document landed).
+    """
+    per = pages.groupBy("page").agg(F.coalesce(F.sum(F.size("rows")), F.lit(0)).alias("n_rows"), F.max("malformed").alias("malformed"))
+    expected = pages.agg(F.max("page").alias("last")).where("last is not null").select("last", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("page"))
+    n = F.coalesce("n_rows", F.lit(0))
+    status = (F.when(F.col("malformed").isNull(), "missing").when(F.col("malformed"), "malformed")
+              .when((n < page_size) & (F.col("page") < F.col("last")), "short").otherwise("ok"))
+    return expected.join(per, "page", "left").select("page", n.cast("long").alias("n_rows"), status.alias("status"))
+
+
 # P1-P7 ------------------------------------------------------------------------
 def p1_cohort_members(cm: DataFrame) -> DataFrame:
     return cm.select(F.concat_ws("_", "cohortid", "userid").alias("id"), "cohortid", "userid", "timeadded")

@@ -7,7 +7,7 @@ rule lists are data, not driver-side code.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import rules as R
@@ -153,11 +153,27 @@ def compare_snapshots(base: Snapshot, target: Snapshot, datasets) -> DataFrame:
     return b.join(t, "dataset").select("dataset", "base", "target", (F.col("target") - F.col("base")).alias("delta"))
 
 
+def row_hash(df: DataFrame) -> Column:
+    """52 bits of the MD5 of a row's columns as text, as a long; what a second engine can state too.
+
+    A value is written as ``=`` and its text, a null as ``-``, joined by ``|``;
+    fractions are written with six decimals.
+    """
+    def text(f):
+        c = F.col(f"`{f.name}`")
+        return F.coalesce(F.concat(F.lit("="), (c.cast("decimal(38,6)") if f.dataType.typeName() in ("double", "float") else c).cast("string")), F.lit("-"))
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *[text(f) for f in df.schema.fields])), 1, 13), 16, 10).cast("long")
+
+
+def multiset(h: Column) -> list[Column]:
+    """Aggregates of row hashes that do not depend on order: count, xor, sum. The xor alone is blind to pairs of equal rows."""
+    return [F.count("*").alias("rows"), F.coalesce(F.bit_xor(h), F.lit(0)).alias("fingerprint"),
+            F.coalesce(F.sum(h.cast("decimal(38,0)")).cast("string"), F.lit("0")).alias("hash_sum")]
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """Q2 (re-aimed): order-insensitive content fingerprint, one pass, partial aggregates only."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return df.agg(F.count("*").alias("rows"), F.bit_xor(h).alias("fingerprint"),
-                  F.sum(h.cast("decimal(38,0)")).cast("string").alias("hash_sum"))
+    return df.agg(*multiset(row_hash(df)))
 
 
 def snapshot_fingerprints(snap: Snapshot, datasets) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions import rules as R
 from cohortlens.operators.model import Model
+from cohortlens.session import stored
 
 
 def distinct_users(df: DataFrame, keys: list, flag=None, user: str = "userid",
@@ -40,48 +41,63 @@ def users_per_partner(m: Model) -> DataFrame:
 
 
 # A3 ---------------------------------------------------------------------------
-def users_by_year_pivot(m: Model, years: list | None = None) -> DataFrame:
-    """partner + altas_<year>: distinct users created that year (0 when none)."""
-    u = m.f_usuarios.select("partner", "userid", R.year_key("fecha_alta").alias("yr"))
-    if years is None:
-        years = discover(u, "yr")
-    per = u.groupBy("partner", "userid").agg(F.lit(1).alias("_any"), *[F.max(F.col("yr") == y).alias(f"_{y}") for y in years])
-    return per.groupBy("partner").agg(F.count("_any").alias("_n"), *[_users_where(f"_{y}").alias(f"altas_{y}") for y in years]).drop("_n")
+TOTAL = "all"
+
+
+def users_per_year(m: Model) -> DataFrame:
+    """Stored (partner, yr, n, ultimo_acceso): distinct users by creation year, and of all years together (``yr`` is TOTAL).
+
+    One aggregate over the users serves the discovery of the years and the
+    result; it has a row per partner and year.
+    """
+    per_user = m.f_usuarios.groupBy("partner", "userid").agg(F.collect_set(R.year_key("fecha_alta")).alias("years"), F.max("ultimo_acceso").alias("ultimo_acceso"))
+    years = F.explode(F.concat("years", F.array(F.lit(TOTAL)))).alias("yr")
+    return stored(per_user.select("partner", "userid", "ultimo_acceso", years).groupBy("partner", "yr").agg(
+        F.count("userid").alias("n"), F.max("ultimo_acceso").alias("ultimo_acceso")), "users-per-year")
+
+
+def hours_per_year(m: Model) -> DataFrame:
+    """Stored (partner, yr, c): hundredths of hours by year; for discovery and result alike."""
+    d = m.f_dedicacion.groupBy("partner", F.substring("mes", 1, 4).alias("yr")).agg(F.sum(R.centi("horas")).alias("c"))
+    return stored(d, "hours-per-year")
+
 
+def _of_year(value: str, y: str):
+    return F.coalesce(F.max(F.when(F.col("yr") == y, F.col(value))), F.lit(0))
 
-def _users_where(flag: str):
-    """Number of (already distinct) users for which the flag holds; null users do not count."""
-    return F.count_if(F.col(flag) & F.col("userid").isNotNull())
+
+def _altas(years: list) -> list:
+    return [_of_year("n", y).alias(f"altas_{y}") for y in years]
+
+
+def _horas(years: list) -> list:
+    return [(_of_year("c", y) / F.lit(100.0)).alias(f"horas_{y}") for y in years]
+
+
+def users_by_year_pivot(m: Model, years: list | None = None) -> DataFrame:
+    """partner + altas_<year>: distinct users created that year (0 when none)."""
+    per = users_per_year(m)
+    years = [y for y in discover(per, "yr") if y != TOTAL] if years is None else years
+    return per.groupBy("partner").agg(F.count("*").alias("_n"), *_altas(years)).drop("_n")
 
 
 def hours_by_year_pivot(m: Model, years: list | None = None) -> DataFrame:
     """partner + horas_<year> (round 2, 0 when absent) for every partner with hours."""
-    d = m.f_dedicacion.select("partner", F.substring("mes", 1, 4).alias("yr"), R.centi("horas").alias("c"))
-    if years is None:
-        years = discover(d, "yr")
-    hours = [(F.sum(F.when(F.col("yr") == y, F.col("c")).otherwise(0)) / F.lit(100.0)).alias(f"horas_{y}") for y in years]
-    return d.groupBy("partner").agg(F.count("*").alias("_n"), *hours).drop("_n")
+    per = hours_per_year(m)
+    years = discover(per, "yr") if years is None else years
+    return per.groupBy("partner").agg(F.count("*").alias("_n"), *_horas(years)).drop("_n")
 
 
 # A2 ---------------------------------------------------------------------------
 def partner_summary(m: Model, altas_years: list | None = None, horas_years: list | None = None) -> DataFrame:
-    fu = m.f_usuarios
+    users, hours = users_per_year(m), hours_per_year(m)
     if altas_years is None:
-        altas_years = discover(fu, R.year_key("fecha_alta"))
+        altas_years = [y for y in discover(users, "yr") if y != TOTAL]
     if horas_years is None:
-        horas_years = discover(m.f_dedicacion, F.substring("mes", 1, 4))
-
-    yr = R.year_key("fecha_alta")
-    per_user = fu.groupBy("partner", "userid").agg(F.max("ultimo_acceso").alias("ultimo_acceso"),
-                                                   *[F.max(yr == y).alias(f"_{y}") for y in altas_years])
-    base = per_user.groupBy("partner").agg(F.count("userid").alias("total_altas"), F.max("ultimo_acceso").alias("ultimo_acceso"),
-                                           *[_users_where(f"_{y}").alias(f"altas_{y}") for y in altas_years])
+        horas_years = discover(hours, "yr")
+    base = users.groupBy("partner").agg(_of_year("n", TOTAL).alias("total_altas"), F.max("ultimo_acceso").alias("ultimo_acceso"), *_altas(altas_years))
     cert = distinct_users(m.f_certificaciones, ["partner"], "aprobado", total="_n", flagged="total_certificados")
-    ded = m.f_dedicacion.select("partner", F.substring("mes", 1, 4).alias("yr"), R.centi("horas").alias("c"))
-    ded_agg = ded.groupBy("partner").agg(
-        (F.sum("c") / F.lit(100.0)).alias("total_horas"),
-        *[(F.sum(F.when(F.col("yr") == y, F.col("c")).otherwise(0)) / F.lit(100.0)).alias(f"horas_{y}")
-          for y in horas_years])
+    ded_agg = hours.groupBy("partner").agg((F.sum("c") / F.lit(100.0)).alias("total_horas"), *_horas(horas_years))
     cm = m.snap["cohort_members_ext"]
     up = m.f_usuarios.select(F.col("userid").alias("uid"), "partner")
     ins = (cm.join(up, cm.userid == up.uid).groupBy("partner")

@@ -595,8 +595,10 @@ def _n5(c: Ctx):
     r = uc.join(u, uc.userid == u.id)
     # every roster has its own copy of the user: the first roster's must win
     item = F.struct("id", F.concat("username", F.lit("@"), F.col("courseid").cast("string")).alias("username"), "email", "firstname", "lastname")
+    # every roster also holds an entry without an id and one with id 0; neither is a user
+    nobody = [F.struct(F.lit(i).cast("long").alias("id"), *[F.lit("nobody").alias(x) for x in ("username", "email", "firstname", "lastname")]) for i in (None, 0)]
     payload = (r.groupBy(F.col("courseid").alias("position"), F.floor(F.col("id") / CHUNK).alias("_chunk"))
-               .agg(F.collect_list(item).alias("users")))
+               .agg(F.concat(F.collect_list(item), F.array(*nobody)).alias("users")))
     return pl.users_from_rosters(payload)
 
 
@@ -717,6 +719,128 @@ def _session_upsert(c: Ctx):
     return upsert_sessions(c.spark, again, table, 2).select("email", "fecha_inicio", "user")
 
 
+# --- sources and ingest from landed files ---------------------------------------------------
+@query("log_from_files")
+def _log_from_files(c: Ctx):
+    """Sessions rebuilt from rotated text files of growing sizes, read in splits of 64 kB."""
+    from cohortlens.operators.sessions import Sessionizer, as_timestamps
+    from cohortlens.session import scratch
+    from cohortlens.sources.snapshot import read_proxy_logs
+    path = scratch(c.spark, "logs")
+    log = _proxy_log(c)
+    number = F.lpad(F.floor(F.sqrt(F.col("line_no") / 50)).cast("string"), 9, "0")
+    # Files of a pod follow one another by name: file k holds some 100 k lines of both pods.
+    (log.select("pod", number.alias("part"), "line_no", "value").repartition("part", "pod").sortWithinPartitions("part", "pod", "line_no")
+     .select("part", "pod", "value").write.partitionBy("part", "pod").text(path))
+    size = c.spark.conf.get("spark.sql.files.maxPartitionBytes")
+    c.spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        sessions = Sessionizer(read_proxy_logs(c.spark, path), RULES, DOMAIN_MAP, materialise=True)
+    finally:
+        c.spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    return as_timestamps(sessions.documents()).withColumn("groups", F.array_join("groups", " "))
+
+
+LANDED_PAGE = 20
+
+
+@query("landed_json_pages")
+def _landed_json_pages(c: Ctx):
+    """Users land in pages of JSON: one in ten is cut off, one in ten lacks a row, one in ten did not land."""
+    from cohortlens.session import scratch
+    from cohortlens.sources.snapshot import read_pages
+    path = scratch(c.spark, "pages")
+    u = c.snap["users"].select("id", "username", "email").withColumn("page", F.floor((F.col("id") - 1) / LANDED_PAGE))
+    kind = F.col("page") % 10
+    kept = u.where(~((kind == 5) & (F.col("id") % LANDED_PAGE == 1)) & (kind != 7))
+    text = F.to_json(F.struct("rows"))
+    doc = F.when(kind == 3, F.substr(text, F.lit(1), F.length(text) - 2)).otherwise(text)
+    pages = kept.groupBy("page").agg(F.collect_list(F.struct("id", "username", "email")).alias("rows"))  # at most a page
+    pages.select("page", doc.alias("value")).write.partitionBy("page").text(path)
+    return pl.page_report(read_pages(c.spark, path, "array<struct<id: bigint, username: string, email: string>>"), LANDED_PAGE)
+
+
+@query("source_classes")
+def _source_classes(c: Ctx):
+    """Of three sources of memberships one denies access and one did not land; the third answers."""
+    from cohortlens.session import scratch
+    from cohortlens.sources.snapshot import read_source
+    base, schema = scratch(c.spark, "sources"), "cohortid bigint, userid bigint"
+    fault = c.spark.range(1).select(F.lit("webservice_access_exception").alias("exception"), F.lit("no access").alias("message"))
+    fault.write.json(f"{base}/bulk")
+    c.snap["cohort_members_ext"].select("cohortid", "userid").write.json(f"{base}/members")
+    rows, asked = pl.first_answer([(n, *read_source(c.spark, f"{base}/{n}", schema)) for n in ("bulk", "standard", "members")], c.spark.createDataFrame([], schema))
+    return c.spark.createDataFrame(asked, "source string, outcome string").join(
+        rows.agg(F.lit("answered").alias("outcome"), F.count("*").alias("n"), F.count_distinct("cohortid").alias("cohorts")), "outcome", "left").fillna(0, ["n", "cohorts"])
+
+
+def _two_days(c: Ctx) -> str:
+    """Two days of two datasets; the second day's files are written, but its ingest did not end."""
+    from cohortlens.session import scratch
+    from cohortlens.sinks import ingest_snapshot, write_dataset
+    from cohortlens.sources.snapshot import Snapshot
+    if not hasattr(c, "_days"):
+        c._days = scratch(c.spark, "days")
+        two = Snapshot(c.spark).with_frames(**{d: c.snap[d] for d in ("users", "cohort_members")})
+        ingest_snapshot(two, c._days, "2024-05-01")
+        write_dataset(c.snap["users"].where("id % 2 = 0"), c._days, "users", "2024-05-02")
+    return c._days
+
+
+@query("ingest_manifest")
+def _ingest_manifest(c: Ctx):
+    """What the newest complete day says of itself, and what a load of the newest day finds."""
+    from cohortlens.sinks import read_manifest
+    from cohortlens.sources.snapshot import load_snapshot
+    base = _two_days(c)
+    loaded = qa.snapshot_fingerprints(load_snapshot(c.spark, base), ("users", "cohort_members")).select("dataset", F.col("rows").alias("rows_loaded"), F.col("hash_sum").alias("loaded_sum"))
+    return (read_manifest(c.spark, base).join(loaded, "dataset")
+            .select("dataset", "ingest_date", "rows_written", "rows_read", "fingerprint", "hash_sum", "ok", "rows_loaded", (F.col("hash_sum") == F.col("loaded_sum")).alias("same")))
+
+
+@query("snapshot_inventory")
+def _snapshot_inventory(c: Ctx):
+    """Files and kilobytes of a landing of two days, a file for every thousand ids."""
+    from cohortlens.session import scratch
+    from cohortlens.sources.snapshot import snapshot_inventory
+    base = scratch(c.spark, "inventory")
+    for ds, key in (("users", "id"), ("courses", "id")):
+        for day, keep in (("2024-05-01", F.col(key) % 3 > 0), ("2024-05-02", F.lit(True))):
+            rows = c.snap[ds].where(keep).select(F.floor(F.col(key) / 1000).alias("part"), F.concat(F.lit(f"{ds}:"), F.col(key).cast("string")).alias("value"))
+            rows.repartition("part").write.partitionBy("part").text(f"{base}/{ds}/ingest_date={day}")
+    return snapshot_inventory(c.spark, base)
+
+
+@query("audit_tail")
+def _audit_tail(c: Ctx):
+    """Every event is an audit line of its day, one in nine of them cut off; the last 20 that parse."""
+    from cohortlens.session import scratch
+    from cohortlens.sources.snapshot import AUDIT_DAY, read_audit_tail
+    path = scratch(c.spark, "audit")
+    line = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"), F.col("event_type").alias("accion"), F.col("event_id").cast("string").alias("payload")))
+    cut = F.when(F.col("event_id") % 9 == 0, F.substr(line, F.lit(1), F.length(line) - 3)).otherwise(line)
+    c.t.events.select(F.date_format("ts", "yyyy-MM-dd").alias(AUDIT_DAY), cut.alias("value")).write.partitionBy(AUDIT_DAY).text(path)
+    return read_audit_tail(c.spark, path, 20)
+
+
+# --- dashboard forms that need no second pass -------------------------------------------------
+@query("sessions_histogram_auto")
+def _sessions_histogram_auto(c: Ctx):
+    from cohortlens.operators.sessions import histogram_auto
+    return histogram_auto(_ts_sessions(c))
+
+
+@query("sessions_cardinality_sketch")
+def _sessions_cardinality_sketch(c: Ctx):
+    """Students per partner from stored sketches per day, merged, and whether the estimate is within 3 % of the exact count."""
+    from cohortlens.operators.sessions import cardinality_of, student_sketches
+    sessions = _ts_sessions(c)
+    sketches = student_sketches(sessions).checkpoint(eager=True)
+    exact = sessions.where("partner is not null and email is not null").groupBy("partner").agg(F.count_distinct("email").alias("exact"))
+    close = F.abs(F.col("alumnos") - F.col("exact")) <= 0.03 * F.col("exact")
+    return cardinality_of(sketches).join(exact, "partner").select("partner", "sesiones", "exact", close.alias("within_3pct"))
+
+
 # --- L3: the same sessions as a stream ------------------------------------------------------
 STREAM_CHUNKS, STREAM_FILES = 4, 4
 DAY_S = 86_400

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cohortlens.schemas import SCHEMAS, SNAPSHOT_DATASETS
 from cohortlens.plans.oracle import (CENTI, EPOCH, HOURS2, HOUSE, PCT1, TS, category_sql, cert_sql, language_sql,
                                      partner_sql, version_sql, with_ctes)
 
@@ -462,6 +463,48 @@ sql("p6_completions", """select userid, courseid, cast(coalesce(nullif(timecompl
 sql("p7_final_grades", """select g.userid, g.courseid, g.graderaw, g.gradedategraded from tr_user_grades g
  where g.userid % 17 <> 0 and g.courseid % 3 <> 0 and g.graderaw is not null""")
 
+SQL["log_from_files"] = SQL["practice_sessions"]
+sql("landed_json_pages", """
+with p as (select floor((id - 1) / 20)::BIGINT as page, id from tr_users),
+came as (select * from p where page % 10 <> 7 and not (page % 10 = 5 and id % 20 = 1)),
+per as (select page, count(*) as n from came group by page)
+select g.page, if(g.page % 10 = 3, 0, coalesce(n, 0))::BIGINT as n_rows,
+ case when n is null then 'missing' when g.page % 10 = 3 then 'malformed' when n < 20 and g.page < last then 'short' else 'ok' end as status
+from (select unnest(range(max(page) + 1)) as page, max(page) as last from came) g left join per on per.page = g.page""")
+sql("source_classes", """select * from (values ('denied', 'bulk'), ('absent', 'standard')) v(outcome, source), (select 0::BIGINT as n, 0::BIGINT as cohorts)
+ union all select 'answered', 'members', count(*), count(distinct cohortid) from tr_cohort_members_ext""")
+
+
+def _row_hash(dataset: str) -> str:
+    """52 bits of the MD5 of a row: every value as '=' and its text, fractions with six decimals, '-' for null."""
+    # the derived grades have no id
+    shown = ["'-'" if (dataset, f.name) == ("user_grades", "id") else f"coalesce('=' || {f'cast({f.name} as decimal(38,6))' if f.dataType.typeName() == 'double' else f.name}::VARCHAR, '-')" for f in SCHEMAS[dataset].fields]
+    return f"('0x' || substr(md5(concat_ws('|', {', '.join(shown)})), 1, 13))::BIGINT"
+
+
+def _multiset(dataset: str) -> str:
+    return f"""select '{dataset}' as dataset, count(*) as rows, coalesce(bit_xor(h), 0) as fingerprint, coalesce(sum(h), 0)::VARCHAR as hash_sum
+ from (select {_row_hash(dataset)} as h from tr_{dataset})"""
+
+
+sql("snapshot_fingerprint", " union all ".join(_multiset(d) for d in SNAPSHOT_DATASETS))
+sql("ingest_manifest", " union all ".join(f"""select dataset, '2024-05-01' as ingest_date, rows as rows_written, rows as rows_read, fingerprint, hash_sum, true as ok,
+ rows as rows_loaded, true as same from ({_multiset(d)})""" for d in ("users", "cohort_members")))
+sql("snapshot_inventory", " union all ".join(f"""select '{d}' as dataset, '{day}' as ingest_date, count(distinct id // 1000) as files,
+ round(sum(length('{d}:' || id) + 1) / 1024.0::DOUBLE, 1) as size_kb from tr_{d} where {keep}"""
+                                             for d in ("users", "courses") for day, keep in (("2024-05-01", "id % 3 > 0"), ("2024-05-02", "true"))))
+sql("audit_tail", """select strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as ts, event_type as accion, event_id::VARCHAR as payload from events
+ where event_id % 9 <> 0 order by events.ts desc, accion, payload limit 20""")
+# The widths an automatic interval chooses from; the narrowest that needs at most 50 buckets.
+sql("sessions_histogram_auto", """select make_timestamp(t // w * w * 1000000) as bucket, w as width_s, count(*) as sesiones
+ from (select cast(floor(epoch(fecha_inicio)) as bigint) as t from ts_sessions where fecha_inicio is not null),
+ (select coalesce(min(w) filter (hi // w - lo // w < 50), max(w)) as w
+  from (values (60::BIGINT), (300), (600), (1800), (3600), (10800), (43200), (86400), (604800), (2592000)) v(w),
+   (select min(cast(floor(epoch(fecha_inicio)) as bigint)) as lo, max(cast(floor(epoch(fecha_inicio)) as bigint)) as hi from ts_sessions))
+ group by 1, 2""", SES)
+sql("sessions_cardinality_sketch", """select partner, count(*) as sesiones, count(distinct email) as exact, true as within_3pct
+ from ts_sessions where partner is not null group by 1""", SES)
+
 SQL["practice_sessions_stream"] = SQL["practice_sessions"]
 # Four line ranges land one after the other, one line in seven a range later; three days of watermark.
 LATE = {**SES, "landed": """select a.*, (line_no - lo) // step + if(line_no % 7 = 3, 1, 0) as landing, try_strptime(ts, '%Y-%m-%d %H:%M:%S') as seen_at

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results (time zone for epoch -> month keys) or the
 # physical plan at scale (AQE, skew join, runtime broadcast threshold).
@@ -63,6 +63,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the application's scratch folder and read back: its work is done once, its lineage ends."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cohortlens") -> SparkSession:
     """Session used by tests and the bench (single JVM, UI off)."""
     builder = (

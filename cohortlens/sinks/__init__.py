@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions.rules import Rules
-from cohortlens.operators.quality import profile_kpis
+from cohortlens.operators.quality import multiset, profile_kpis, row_hash
 from cohortlens.schemas import SESSION_SCHEMA
 from cohortlens.session import checkpoint_dir
-from cohortlens.sources.snapshot import Snapshot, conform, load_snapshot, path_exists
+from cohortlens.sources.snapshot import AUDIT_DAY, MANIFEST, Snapshot, complete_days, conform, load_snapshot, path_exists
 
 log = logging.getLogger(__name__)
 
 MANIFEST_SCHEMA = ("dataset string, ingest_date string, rows_written long, rows_read long, files long, "
-                   "bytes long, fingerprint long, ok boolean")
+                   "bytes long, fingerprint long, hash_sum string, ok boolean")
 
 
 # K1 + Q1 + Q3 + Q2 ------------------------------------------------------------------
@@ -27,7 +27,8 @@ class IngestError(RuntimeError):
     """A written dataset does not hold what was sent to it; ``result`` is its manifest row."""
 
     def __init__(self, result: dict):
-        super().__init__(f"{result['dataset']}: {result['rows_written']} rows sent, {result['rows_read']} read back")
+        why = (f"{result['rows_written']} rows sent, {result['rows_read']} read back" if result["rows_written"] != result["rows_read"] else "a written file is empty")
+        super().__init__(f"{result['dataset']}: {why}")
         self.result = result
 
 
@@ -37,8 +38,8 @@ def write_dataset(df: DataFrame, base: str, name: str, ingest_date: str) -> dict
     Rows written are counted by an ``observe`` metric during the write (no
     second pass over the source); the written partition is then read back
     once: rows, content fingerprint and size per file (partial aggregates),
-    then totals over the files (``bit_xor`` is associative, so the
-    fingerprint equals the one of ``operators.quality.fingerprint``).
+    then totals over the files (xor and sum are associative, so they equal
+    those of ``operators.quality.fingerprint``).
     """
     spark = df.sparkSession
     obs = Observation(f"rows_{name}")
@@ -49,23 +50,43 @@ def write_dataset(df: DataFrame, base: str, name: str, ingest_date: str) -> dict
        .option("compression", "snappy").partitionBy("ingest_date").parquet(path))
     written = obs.get.get("rows", 0)
     part = spark.read.parquet(os.path.join(path, f"ingest_date={ingest_date}"))
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in part.columns])
-    per_file = part.groupBy(F.col("_metadata.file_path").alias("f")).agg(
-        F.count("*").alias("rows"), F.bit_xor(h).alias("x"), F.max("_metadata.file_size").alias("s"))
-    r = per_file.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.bit_xor("x").alias("fingerprint"),
-                     F.count("*").alias("n"), F.sum("s").alias("b"), F.min("s").alias("mn")).first()
+    per_file = part.groupBy(F.col("_metadata.file_path").alias("f")).agg(*multiset(row_hash(part)), F.max("_metadata.file_size").alias("s"))
+    r = per_file.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.bit_xor("fingerprint"), F.lit(0)).alias("fingerprint"),
+                     F.coalesce(F.sum(F.col("hash_sum").cast("decimal(38,0)")).cast("string"), F.lit("0")).alias("hash_sum"), F.count("*").alias("n"), F.sum("s").alias("b"), F.min("s").alias("mn")).first()
     ok = (written == r["rows"]) and (r["n"] == 0 or (r["mn"] or 0) > 0)
     result = {"dataset": name, "ingest_date": ingest_date, "rows_written": written, "rows_read": r["rows"],
-              "files": r["n"], "bytes": r["b"] or 0, "fingerprint": r["fingerprint"], "ok": bool(ok)}
+              "files": r["n"], "bytes": r["b"] or 0, "fingerprint": r["fingerprint"], "hash_sum": r["hash_sum"], "ok": bool(ok)}
     if not ok:
         raise IngestError(result)
     return result
 
 
 def ingest_snapshot(snap: Snapshot, base: str, ingest_date: str) -> DataFrame:
-    """Q6: write every present dataset (K1), reconcile (Q1/Q3), fingerprint (Q2); manifest out."""
+    """Q6: write every present dataset (K1), reconcile (Q1/Q3), fingerprint (Q2); manifest out.
+
+    The manifest is stored under ``<base>/_manifest/ingest_date=<date>`` after the
+    last dataset, and only then does the day exist for ``load_snapshot``: a day
+    that stopped half-way is never the newest. Ingesting a day again takes it
+    back first.
+    """
+    spark = snap.spark
+    root = os.path.join(base, MANIFEST)
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(root, f"ingest_date={ingest_date}"))
+    fs = mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(mark, True)
+    fs.mkdirs(mark.getParent())
     rows = [write_dataset(snap[ds], base, ds, ingest_date) for ds in sorted(snap.present)]
-    return snap.spark.createDataFrame(rows, MANIFEST_SCHEMA)
+    manifest = spark.createDataFrame(rows, MANIFEST_SCHEMA)
+    manifest.coalesce(1).write.mode("overwrite").parquet(mark.toString())
+    return manifest
+
+
+def read_manifest(spark: SparkSession, base: str, ingest_date: str | None = None) -> DataFrame:
+    """Q6: manifest of a complete day, the newest one by default; empty if there is none."""
+    day = ingest_date or max(complete_days(spark, base), default=None)
+    if day is None:
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(os.path.join(base, MANIFEST, f"ingest_date={day}"))
 
 
 def ingest(snap: Snapshot, base: str, ingest_date: str, rules: Rules) -> dict[str, DataFrame]:
@@ -129,9 +150,13 @@ def report_package(reports: dict, out_dir: str, fmt: str = "parquet", first: str
 SESSION_KEY = ["email", "fecha_inicio"]
 
 
-def upsert_sessions(spark: SparkSession, new_docs: DataFrame, table: str, batch_seq: int) -> DataFrame:
+def upsert_sessions(spark: SparkSession, new_docs: DataFrame, table: str, batch_seq: int, line: str | None = None) -> DataFrame:
     """Idempotent upsert of session documents by (email, start); the latest batch wins.
 
+    Of rows of one batch that share a key the one of the largest ``line`` wins
+    (a column of ``new_docs``, not stored), then the largest of all their columns
+    as text, so a replay picks the same.
+
     The table is partitioned by start day; only days present in the new
     documents are rewritten (dynamic partition overwrite). The merged rows
     are checkpointed to the shared checkpoint folder first, so the overwrite
@@ -140,7 +165,11 @@ def upsert_sessions(spark: SparkSession, new_docs: DataFrame, table: str, batch_
     """
     start = F.substring(F.col("fecha_inicio").cast("string"), 1, 10)
     day = F.when(start.rlike(r"^\d{4}-\d{2}-\d{2}$"), start).otherwise("undated")
-    new = new_docs.withColumn("_seq", F.lit(batch_seq).cast("long")).withColumn("dia", day)
+    own = [c for c in new_docs.columns if c not in (*SESSION_KEY, line)]
+    order = F.struct(F.col(f"`{line}`") if line else F.lit(0), F.to_json(F.struct(*[F.col(f"`{c}`") for c in own])))
+    once = new_docs.groupBy(*SESSION_KEY).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in own]), order).alias("d"))
+    new = (once.select(*SESSION_KEY, *[F.col(f"d.`{c}`").alias(c) for c in own])
+           .withColumn("_seq", F.lit(batch_seq).cast("long")).withColumn("dia", day))
     if path_exists(spark, table):
         # days are read as text: a table of dates alone would otherwise be typed as dates
         old = spark.read.parquet(table).withColumn("dia", F.col("dia").cast("string"))
@@ -160,12 +189,12 @@ def upsert_sessions(spark: SparkSession, new_docs: DataFrame, table: str, batch_
 
 # K7 -----------------------------------------------------------------------------------
 def audit(spark: SparkSession, path: str, action: str, payload: dict | None = None) -> bool:
-    """Append one audit event (UTC time, action, JSON payload); never raises."""
+    """Append one audit event (UTC time, action, JSON payload) to the folder of its day; never raises."""
     try:
         ts = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
         row = [(ts, action, json.dumps(payload or {}, default=str, ensure_ascii=False))]
-        spark.createDataFrame(row, "ts string, accion string, payload string").coalesce(1) \
-            .write.mode("append").json(path)
+        spark.createDataFrame(row, "ts string, accion string, payload string").withColumn(AUDIT_DAY, F.substring("ts", 1, 10)).coalesce(1) \
+            .write.mode("append").partitionBy(AUDIT_DAY).json(path)
         return True
     except Exception as e:  # noqa: BLE001
         log.warning("audit append failed: %s", e)

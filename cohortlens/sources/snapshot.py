@@ -11,7 +11,7 @@ import os
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,9 +78,13 @@ def load_snapshot(spark: SparkSession, base: str, date: str | None = None,
     ``<base>/<dataset>.parquet`` files are read only if no date is asked for
     and no dated folder exists at all. Exact dataset directory names, never a
     prefix glob (``cohort_members`` must not pick up ``cohort_members_ext``);
-    the explicit schema avoids a footer scan for inference.
+    the explicit schema avoids a footer scan for inference. Where the base has
+    a manifest, a day whose ingest has not ended does not exist.
     """
     days = {ds: partition_values(spark, os.path.join(base, ds)) for ds in datasets}
+    if path_exists(spark, os.path.join(base, MANIFEST)):  # landed by ``sinks.ingest_snapshot``: a day counts once its manifest is there
+        complete = set(complete_days(spark, base))
+        days = {ds: [d for d in own if d in complete] for ds, own in days.items()}
     day = date or max((d for ds in days.values() for d in ds), default=None)
     frames = {}
     for ds in datasets:
@@ -95,6 +99,14 @@ def load_snapshot(spark: SparkSession, base: str, date: str | None = None,
     return from_frames(spark, **frames)
 
 
+def complete_days(spark: SparkSession, base: str) -> list[str]:
+    """Days whose ingest ended: the manifest of a day is written last, and committed as a whole."""
+    root = os.path.join(base, MANIFEST)
+    return [d for d in partition_values(spark, root) if path_exists(spark, os.path.join(root, f"ingest_date={d}", "_SUCCESS"))]
+
+
+MANIFEST = "_manifest"  # hidden from data listings
+AUDIT_DAY = "fecha"
 _ISO_DAY = re.compile(r"\d{4}-\d{2}-\d{2}")
 
 
@@ -127,17 +139,20 @@ def latest_date_of(df: DataFrame):
 
 
 def snapshot_inventory(spark: SparkSession, base: str, datasets=SNAPSHOT_DATASETS) -> DataFrame:
-    """S3: per dataset and ingest date, files and kilobytes, from directory listings alone."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    rows = []
-    for ds in datasets:
-        for day in partition_values(spark, os.path.join(base, ds)):
-            folder = jvm.org.apache.hadoop.fs.Path(os.path.join(base, ds, f"ingest_date={day}"))
-            sizes = [st.getLen() for st in folder.getFileSystem(conf).listStatus(folder)
-                     if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
-            rows.append((ds, day, len(sizes), round(sum(sizes) / 1024.0, 1)))
-    return spark.createDataFrame(rows, "dataset string, ingest_date string, files long, size_kb double")
+    """S3: per dataset and ingest date, files and kilobytes.
+
+    The file source lists the folders (in parallel jobs where there are many)
+    and yields one row per file; only path and length are read, no content.
+    Hidden files and folders (``_`` or ``.``) are no data files.
+    """
+    wanted = ("dataset string, ingest_date string, files long, size_kb double")
+    if not path_exists(spark, base):
+        return spark.createDataFrame([], wanted)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select("path", "length")
+    where = r"/([^/]+)/ingest_date=(\d{4}-\d{2}-\d{2})/"
+    return (files.select(F.regexp_extract("path", where, 1).alias("dataset"), F.regexp_extract("path", where, 2).alias("ingest_date"), "length")
+            .where(F.col("dataset").isin(list(datasets))).groupBy("dataset", "ingest_date")
+            .agg(F.count("*").alias("files"), F.round(F.sum("length") / F.lit(1024.0), 1).alias("size_kb")))
 
 
 def read_partner_meta(spark: SparkSession, path: str) -> DataFrame | None:
@@ -192,31 +207,70 @@ def read_json_payload(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return r.json(path)
 
 
+def read_source(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """What landed for one source as (rows, faults); both null if nothing landed. A document with an exception is a fault."""
+    if not path_exists(spark, path):
+        return None, None
+    landed = spark.read.schema(f"{schema}, exception string, message string").json(path)
+    return landed.where("exception is null").drop("exception", "message"), landed.select("exception", "message")
+
+
+BROADCAST_FILES = 100_000  # paths of a listing, some 200 bytes each
+PAGE_FIELD = "_corrupt_record"
+
+
+def read_pages(spark: SparkSession, path: str, rows: str, page: str = "page") -> DataFrame:
+    """Landed result pages ``<path>/<page>=<number>/``, one JSON document a line: (page, rows, malformed).
+
+    ``rows`` is the type of the document's ``rows`` field, as DDL. A document that
+    does not parse has null rows and is ``malformed``; the page number comes from
+    the folder, so a page without a readable document is known by number.
+    """
+    raw = (spark.read.schema(f"rows {rows}, {PAGE_FIELD} string, {page} bigint").option("columnNameOfCorruptRecord", PAGE_FIELD).json(path))
+    return raw.select(F.col(page).alias("page"), "rows", F.col(PAGE_FIELD).isNotNull().alias("malformed"))
+
+
 def read_proxy_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Raw proxy log files, one pod per file, line order kept.
+    """Raw proxy log files, line order kept: ``<path>/<pod>``, or ``<path>/pod=<pod>/<files in order of name>``.
 
     The order key is (file, byte offset of the split, position in the split):
     ``monotonically_increasing_id`` grows with the position inside a task and
-    each split of a file is one task, so sorting by (file_block_start, id)
-    restores the file order without reading a file in one task.
+    each split of a file is read in order by one task, so sorting by
+    (file_block_start, id) restores the file order without reading a file in
+    one task. The files of a pod are numbered by name, so rotated logs follow
+    one another.
     """
-    df = spark.read.text(path).select(
-        F.col("_metadata.file_name").alias("pod"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
-        F.col("value"),
-    )
     # A split holds at most as many lines as bytes, so block offset + position
     # in the split stays below the next split's offset: unique and monotone
-    # within a pod (dense numbering is not needed).
-    return df.select(
-        "pod",
-        (F.col("block") + F.pmod(F.col("pos"), F.lit(1 << 33))).alias("line_no"),
-        "value",
-    )
+    # within a file (dense numbering is not needed).
+    place = F.col("_metadata.file_block_start") + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 33))
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("file"), place.alias("place"), "value")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.col("path").alias("file"))
+    folder = F.regexp_extract("file", r"/pod=([^/]+)/[^/]*$", 1)
+    files = listed.select("file", folder.alias("pod")).where("pod <> ''")
+    n = files.count()  # of a listing
+    if not n:
+        return lines.select(F.substring_index("file", "/", -1).alias("pod"), F.col("place").alias("line_no"), "value")
+    numbered = files.withColumn("number", F.row_number().over(Window.partitionBy("pod").orderBy("file")) - 1).drop("pod")
+    if n <= BROADCAST_FILES:
+        numbered = F.broadcast(numbered)
+    # a file has under 2^40 bytes
+    return lines.join(numbered, "file").select(folder.alias("pod"), (F.col("number").cast("long") * F.lit(1 << 40) + F.col("place")).alias("line_no"), "value")
 
 
 def read_audit_tail(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
-    """Last N valid JSON lines (malformed lines skipped)."""
-    df = spark.read.schema(AUDIT_SCHEMA).option("mode", "DROPMALFORMED").json(path)
-    return df.orderBy(F.col("ts").desc_nulls_last()).limit(n)
+    """The last N valid JSON lines (malformed lines skipped).
+
+    The log is partitioned by day (K7). Days are taken from the newest on, twice
+    as many each time, until they hold N valid lines; older days are not opened.
+    """
+    schema = T.StructType([*AUDIT_SCHEMA, T.StructField(AUDIT_DAY, T.StringType())])
+    log = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    days = partition_values(spark, path, AUDIT_DAY)[::-1]
+    take, newest = 1, log
+    while take < len(days):
+        newest = log.where(F.col(AUDIT_DAY) >= days[take - 1])
+        if newest.select(*AUDIT_SCHEMA.fieldNames()).limit(n).collect()[n - 1:]:
+            break
+        take, newest = 2 * take, log
+    return newest.select(*AUDIT_SCHEMA.fieldNames()).orderBy(F.col("ts").desc_nulls_last(), "accion", "payload").limit(n)

@@ -92,3 +92,24 @@ def test_pct_and_hours(spark):
 def test_rules_json_roundtrip():
     r = R.Rules(house_org="house", allowed_tenants=("students",))
     assert R.Rules.from_json(r.to_json()) == r
+
+
+def test_rules_from_the_yaml_form():
+    text = """
+partner:
+  acme_patterns: ["%acme%"]
+certification:
+  pass_threshold: 65
+  course_name_patterns: ["%exam%", "%certific%"]
+categories:
+  - {name: Cloud, pattern: "%cloud%"}
+  - {name: Rest, pattern: null}
+version: {regex: "(2[0-9])"}
+language: {suffixes: {PT: " - PT"}}
+validation: {min_users: 7, expected_datasets: [users]}
+"""
+    r = R.Rules.from_yaml(text, allowed_tenants=("t",))
+    assert (r.house_org, r.pass_mark, r.cert_patterns) == ("acme", 65.0, ("exam", "certific"))
+    assert (r.categories, r.category_default, r.version_regex) == ((("Cloud", "cloud"),), "Rest", "(2[0-9])")
+    assert (r.languages, r.min_users, r.min_partners, r.expected_datasets, r.allowed_tenants) == ((("PT", " - PT"),), 7, R.MIN_PARTNERS, ("users",), ("t",))
+    assert R.Rules.from_yaml("", house_org="x") == R.Rules(house_org="x")

@@ -283,3 +283,101 @@ def test_readers_with_schemas(spark, tmp):
     assert [tuple(r) for r in pl.p1_cohort_members(read_platform_table(spark, tmp, "cohort_members")).collect()] == [("2_1", 2, 1, 7)]
     upsert_sessions(spark, spark.createDataFrame([("a@x", "2024-01-01 10:00:00", "a")], "email string, fecha_inicio string, user string"), f"{tmp}/t", 1)
     assert read_sessions(spark, f"{tmp}/t").first().fecha_inicio.hour == 10
+
+
+def test_a_day_that_stopped_half_way_is_not_loaded(spark, tmp):
+    from cohortlens.sources.snapshot import Snapshot
+    users = spark.createDataFrame([(1, "a-b", "a@x")], "id long, username string, email string")
+    snap = Snapshot(spark).with_frames(users=users, cohort_members=spark.createDataFrame([(1, 1)], "cohortid long, userid long"))
+    base = f"{tmp}/days"
+    real = sinks.write_dataset
+
+    def stops(df, b, name, day):
+        if name == "users":
+            raise OSError("disk full")
+        return real(df, b, name, day)
+
+    def interrupted(day):
+        sinks.write_dataset = stops
+        try:
+            sinks.ingest_snapshot(snap, base, day)
+        except OSError:
+            return
+        finally:
+            sinks.write_dataset = real
+        raise AssertionError("should have stopped")
+
+    interrupted("2024-05-01")  # the very first day
+    assert not S.load_snapshot(spark, base).present and sinks.read_manifest(spark, base).count() == 0
+    sinks.ingest_snapshot(snap, base, "2024-05-01")
+    interrupted("2024-05-02")
+    day = S.load_snapshot(spark, base)
+    assert day.present == {"users", "cohort_members"} and {r.ingest_date for r in sinks.read_manifest(spark, base).collect()} == {"2024-05-01"}
+    sinks.ingest_snapshot(snap, base, "2024-05-02")
+    assert S.complete_days(spark, base) == ["2024-05-01", "2024-05-02"]
+    interrupted("2024-05-02")  # a complete day that is ingested again is taken back first
+    assert S.complete_days(spark, base) == ["2024-05-01"]
+
+
+def test_fingerprint_sees_a_doubled_pair(spark):
+    from cohortlens.operators.quality import fingerprint
+    one = spark.createDataFrame([(1, 1.5, None), (2, 2.5, "x")], "id long, g double, s string")
+    pair = spark.createDataFrame([(9, 9.0, "p")], one.schema)
+    a, b = fingerprint(one).first(), fingerprint(one.union(pair).union(pair)).first()
+    assert a.fingerprint == b.fingerprint and a.hash_sum != b.hash_sum
+    assert fingerprint(one.orderBy(F.desc("id"))).first() == a and fingerprint(one.limit(0)).first().hash_sum == "0"
+
+
+def test_sources_by_failure_class(spark, tmp):
+    import pytest
+
+    from cohortlens.operators import payload as pl
+    schema = "cohortid bigint, userid bigint"
+    land = lambda name, rows, ddl: spark.createDataFrame(rows, ddl).write.json(f"{tmp}/{name}")
+    land("denied", [("Some_AccessException", "no")], "exception string, message string")
+    land("broken", [("dml_read_exception", "boom")], "exception string, message string")
+    land("good", [(1, 2), (1, 3)], schema)
+    empty = spark.createDataFrame([], schema)
+    ask = lambda *names: pl.first_answer([(n, *S.read_source(spark, f"{tmp}/{n}", schema)) for n in names], empty)
+    rows, asked = ask("denied", "nowhere", "good", "broken")
+    assert rows.count() == 2 and asked == [("denied", "denied"), ("nowhere", "absent"), ("good", "answered")]
+    rows, asked = ask("denied", "nowhere")
+    assert rows.columns == ["cohortid", "userid"] and rows.count() == 0
+    with pytest.raises(pl.SourceFailed, match="dml_read_exception: boom"):
+        ask("denied", "broken", "good")
+
+
+def test_upsert_of_equal_keys_in_one_batch(spark, tmp):
+    rows = [("a@x", "2024-01-01 10:00:00", f"u{i}", i) for i in (3, 9, 1)]
+    df = spark.createDataFrame(rows, "email string, fecha_inicio string, user string, line_no long")
+    for i, part in enumerate((df, df.orderBy("line_no"), df.orderBy(F.desc("line_no")))):
+        out = sinks.upsert_sessions(spark, part.repartition(3), f"{tmp}/t{i}", 1, line="line_no")
+        assert [r.user for r in out.collect()] == ["u9"] and "line_no" not in out.columns
+
+
+def test_audit_tail_reads_the_newest_days(spark, tmp):
+    lines = [(f"2024-05-{d:02d}", json.dumps({"ts": f"2024-05-{d:02d}T10:00:0{i}Z", "accion": "a", "payload": "{}"}) if i else "{cut") for d in range(1, 10) for i in range(3)]
+    spark.createDataFrame(lines, "fecha string, value string").write.partitionBy("fecha").text(f"{tmp}/log")
+    tail = S.read_audit_tail(spark, f"{tmp}/log", 5)
+    assert [r.ts for r in tail.collect()] == [f"2024-05-{d:02d}T10:00:0{i}Z" for d, i in ((9, 2), (9, 1), (8, 2), (8, 1), (7, 2))]
+    assert "PartitionFilters: [isnotnull(fecha" in tail._jdf.queryExecution().executedPlan().toString()
+    assert S.read_audit_tail(spark, f"{tmp}/log", 100).count() == 18
+
+
+def test_rotated_logs_follow_one_another(spark, tmp):
+    for pod, files in (("a", [30, 2, 700]), ("b", [5])):
+        at = 0
+        for k, n in enumerate(files):
+            folder = f"{tmp}/logs/pod={pod}"
+            os.makedirs(folder, exist_ok=True)
+            with open(f"{folder}/{k:03d}.log", "w") as f:
+                f.writelines(f"{pod} {at + i}\n" for i in range(n))
+            at += n
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        rows = S.read_proxy_logs(spark, f"{tmp}/logs").orderBy("pod", "line_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [r.value for r in rows] == [f"a {i}" for i in range(732)] + [f"b {i}" for i in range(5)]
+    assert len({(r.pod, r.line_no) for r in rows}) == 737
