@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 
 import numpy as np
@@ -141,5 +142,33 @@ def chunks(texts: list[str | None], word_bytes: np.ndarray, lower: bool, most: i
         start = end
 
 
+def pieces(texts: list[str | None], word_bytes: np.ndarray, lower: bool, most: int = CHUNK_BYTES):
+    """(text index of every part, Chunk of the parts) over all texts; a longer text than ``most`` comes in parts that cut no word.
+
+    Parts of some texts share a chunk; a text's parts come in order. For what
+    depends on words alone: memory is that of one chunk, however long a text.
+    """
+    breaks = re.compile("[" + re.escape("".join(chr(i) for i in range(128) if not word_bytes[i])) + "]")
+    parts, owner, size = [], [], 0
+    for i, text in enumerate(texts):
+        at, n = 0, len(text or "")
+        while at < n or (at == 0 == n):
+            end = n
+            if n - at > most:
+                cut = breaks.search(text, at + most)
+                end = cut.end() if cut else n
+            if parts and size + end - at > most:
+                yield np.array(owner), Chunk(parts, word_bytes, lower)
+                parts, owner, size = [], [], 0
+            parts.append(text[at:end] if text else None)
+            owner.append(i)
+            size += end - at
+            if end >= n:
+                break
+            at = end
+    if parts:
+        yield np.array(owner), Chunk(parts, word_bytes, lower)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-import numpy as np
+import math
+import random
+import re
+import unicodedata
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.llm import langid
-from cohortlens.llm.common import LETTERS, Chunk, crc_mod, table
+from cohortlens.llm.common import LETTERS, crc_mod, pieces, table
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string"
@@ -20,27 +26,68 @@ def test_held_out_accuracy(spark):
     assert n > 100 and right > 0.95
 
 
-def test_word_scores_against_brute_force(spark):
-    rows = [(1, "aa bb aa", "x", "s"), (2, "bb cc", "y", "s"), (3, "", "y", "s"), (4, None, "x", "s"), (5, "zz", None, "s")]
-    model = langid.train(spark.createDataFrame(rows, SCHEMA))
-    assert model.langs == ["x", "y"]
-    got = model.word_scores(Chunk(["aa bb cc"], LETTERS, lower=True))
-    want = [[np.log10(2 / 3), -7.0], [np.log10(1 / 3), np.log10(1 / 2)], [-7.0, np.log10(1 / 2)]]
-    assert np.allclose(got, want, atol=1e-5)
-    # Unseen "ab" has no known 4-gram; its only known 3-gram would be "ab " or " ab": none, so 2-grams " a", "b ".
-    grams = {"x": [" aa ", " aa", "aa ", " a", "aa", "a "] * 2 + [" bb ", " bb", "bb ", " b", "bb", "b "],
-             "y": [" bb ", " bb", "bb ", " b", "bb", "b ", " cc ", " cc", "cc ", " c", "cc", "c "]}
-    want = []
-    for lang in ("x", "y"):
-        twos = [g for g in grams[lang] if len(g) == 2]
-        want.append(np.mean([np.log10(twos.count(g) / len(twos)) if g in twos else -7.0 for g in (" a", "b ")]))
-    assert np.allclose(model.word_scores(Chunk(["ab"], LETTERS, lower=True))[0], want, atol=1e-5)
+def brute(train, text):
+    """(label, score) by plain counting: words first, then the longest known n-grams of an unseen word."""
+    words, grams = {}, {}
+    cut = lambda w, k: [g for i in range(len(w) + 3 - k) if (g := f" {w} "[i:i + k]).strip()]
+    split = lambda t: re.findall("(?:[a-z]|[^\x00-\x7f])+", (t or "").lower())
+    for t, lang in train:
+        if lang is not None and t is not None:
+            for w in split(t):
+                words.setdefault(lang, Counter())[w] += 1
+                for k in range(1, 5):
+                    grams.setdefault((k, lang), Counter()).update(cut(w, k))
+    langs = sorted(words)
+    if not langs or not any(unicodedata.category(c)[0] == "L" for c in text or ""):
+        return "und", 0.0
+    log = lambda n, c: max(math.log10(n / sum(c.values())), -7.0) if n else -7.0
+    total = dict.fromkeys(langs, 0.0)
+    for w in split(text):
+        for k in range(5):
+            units = [w] if k == 0 else cut(w, 5 - k)
+            table = {x: words[x] if k == 0 else grams.get((5 - k, x), Counter()) for x in langs}
+            known = [u for u in units if any(table[x][u] for x in langs)]
+            if known:
+                break
+        for x in langs:
+            total[x] += sum(log(table[x][u], table[x]) for u in known) / len(known) if known else -7.0
+    best = max(langs, key=lambda x: (total[x], [-ord(c) for c in x]))
+    return best, 1 / sum(10 ** (total[x] - total[best]) for x in langs)
+
+
+@pytest.mark.parametrize("head", [1 << 20, 40, 0])
+def test_posterior_against_brute_force(spark, monkeypatch, head):
+    """Words from the broadcast head, from the join, and from n-grams give one posterior."""
+    monkeypatch.setattr(langid, "HEAD", head)
+    rng = random.Random(2)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(1, 6)))
+    own = {"x": [word("abcd") for _ in range(60)], "y": [word("cdef") for _ in range(60)], "z": [word("\u03b1\u03b2c\u00e9") for _ in range(60)]}
+    train = [(i, " ".join(rng.choices(own[x], k=rng.randint(0, 30))), x, "s") for i, x in enumerate("xyzxyzxxy" * 4)] + [(99, "qqq", None, "s"), (98, None, "x", "s")]
+    texts = [" ".join(rng.choice([rng.choice(own[rng.choice("xyz")]), word("abcdef\u03b1\u00e9w"), "Zz", "12"]) for _ in range(rng.randint(0, 12))) for _ in range(150)]
+    texts += [None, "", "\u00bd \u00b2 12", "\u2460", "\u0301", "\u03a9", "\u4e2d", "ab" * 30, "\u0394\u0391 CD", " ".join(own["y"]) * 40]
+    model = langid.train(spark.createDataFrame(train, SCHEMA))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, carry=["doc_id"]).collect()}
+    assert len(model.head.value.value) <= head and len(got) == len(texts)
+    for i, t in enumerate(texts):
+        label, score = brute([(r[1], r[2]) for r in train], t)
+        assert abs(got[i][1] - score) < 1e-4 and (got[i][0] == label or abs(score - 0.5) < 1e-4 or abs(score - 1 / 3) < 1e-4), (t, got[i], label, score)
+
+
+def test_long_texts_in_parts(spark, monkeypatch):
+    rows = [(1, "the cat and the dog " * 40 + "x" * 900, "en", "s"), (2, "le chat et le chien " * 40, "fr", "s")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    want = {r.word: r.scores for r in langid.train(docs).words.collect()}
+    monkeypatch.setattr("cohortlens.llm.common.CHUNK_BYTES", 64)
+    monkeypatch.setattr(pieces, "__defaults__", (64,))
+    assert {r.word: r.scores for r in langid.train(docs).words.collect()} == want
+    parts = list(pieces([r[1] for r in rows] + [None, ""], LETTERS, True, 64))
+    assert sum(len(c.starts) for _, c in parts) == 201 + 200 and max(len(c.data) for _, c in parts) < 1000 and {i for o, _ in parts for i in o} == {0, 1, 2, 3}
 
 
 def test_odd_rows(spark):
     rows = [(1, "the cat and the dog", "en", "s"), (2, "le chat et le chien", "fr", "s")]
     model = langid.train(spark.createDataFrame(rows, SCHEMA))
-    odd = [(None, "the dog", None, None), (3, None, "en", "a"), (4, "", "en", "a"), (5, "123 !? 45", "en", "a"),
+    odd = [(None, "the dog", None, None), (3, None, "en", "a"), (4, "", "en", "a"), (5, "123 !? 45 \u00bd\u00b2", "en", "a"),
            (6, "le chien " * 200_000, "fr", "a"), (6, "le chien " * 200_000, "fr", "a"), (7, "Ω", None, "a")]
     df = spark.createDataFrame(odd, SCHEMA).withColumn("lang_pred", F.lit("old")).withColumn("score", F.lit("old"))
     got = [(r.doc_id, r.lang_pred, r.score) for r in langid.predict(df, model).collect()]
@@ -61,24 +108,16 @@ def test_empty_tables(spark):
 
 
 def test_vocabulary_grows_with_the_words(spark, monkeypatch):
-    monkeypatch.setattr(langid, "BLOCK", 200_000)  # several blocks take turns
+    monkeypatch.setattr(langid, "HEAD", 50_000)  # most words are found by the join
     word = F.translate(F.substring(F.md5(F.concat_ws("|", "id", "i")), 1, 12), "0123456789", "ghijklmnop")
     docs = (spark.range(2000).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(300)))).withColumn("w", word)
             .groupBy("id").agg(F.array_join(F.collect_list("w"), " ").alias("text"))
             .select(F.col("id").alias("doc_id"), "text", F.concat(F.lit("l"), F.col("id") % 5).alias("lang"), F.lit("s").alias("source")))
     model = langid.train(docs)
-    assert sum(len(b.value[0]) for b in model.words) > 590_000 and len(model.words) > 1
+    assert model.words.count() > 590_000 and len(model.head.value.keys) <= 50_000
     # A language never learned: no word, no n-gram of it is known, so the posterior is even and the rows go.
     strange = spark.createDataFrame([(i, " ".join(chr(0x3B1 + (i * 7 + j * k) % 24) * 3 for j in range(30) for k in (1, 5)), None, "s") for i in range(50)], SCHEMA)
     assert {round(r.score, 6) for r in langid.predict(strange, model).collect()} == {0.2}
     assert langid.keep_identified(strange, model).count() == 0
     held = langid.predict(docs.limit(50), model, carry=["lang"])
     assert held.where("lang <> lang_pred").count() == 0
-
-
-def test_grams_are_characters(spark):
-    model = langid.train(spark.createDataFrame([(1, "\u03b1\u03b2\u03b3", "x", "s"), (2, "\u03b3\u03b4", "y", "s")], SCHEMA))
-    # No 4-gram of the unseen word is known; of its 3-grams the boundary with two letters is.
-    got = model.word_scores(Chunk(["\u03b1\u03b2\u03b5"], LETTERS, lower=True))[0]
-    threes = np.log10(1 / 3)  # " \u03b1\u03b2", one of three 3-grams of x
-    assert np.allclose(got, [threes, -7.0], atol=1e-5)
