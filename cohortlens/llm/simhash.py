@@ -28,7 +28,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
@@ -231,6 +231,12 @@ def _renamed(edges: DataFrame, parent: DataFrame, end: str) -> DataFrame:
     return edges.join(to, end, "left").select(F.coalesce("__to", end).alias(end), other).select("u", "v")
 
 
+def roots(values: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+    """(value, root) of every distinct fingerprint of ``values`` (column value): one root per linked component."""
+    found = components(links(values, distance, blocks))
+    return values.join(found.withColumnRenamed("node", "value"), "value", "left").select("value", F.coalesce("root", "value").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
     """(key, fingerprint long, component_id) of every row; ``component_id`` is the smallest key reachable over links.
@@ -240,22 +246,41 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """
     marked = materialise(fingerprints(docs, [key], text, shingle, "__fp").withColumnRenamed(key, "__key"), "fingerprints")
     lowest = materialise(marked.groupBy("__fp").agg(F.min("__key").alias("lowest")), "distinct")
-    roots = components(links(lowest.select(F.col("__fp").alias("value")), distance, blocks))
-    grouped = lowest.join(roots.withColumnRenamed("node", "__fp"), "__fp", "left").select(
-        "__fp", "lowest", F.coalesce("root", "__fp").alias("root"))
+    grouped = lowest.join(roots(lowest.select(F.col("__fp").alias("value")), distance, blocks).withColumnRenamed("value", "__fp"), "__fp")
     linked = grouped.groupBy("root").agg(F.min("lowest").alias("component_id"))
     named = materialise(grouped.join(linked, "root").select("__fp", "component_id"), "named")
     return marked.join(named, "__fp").select(F.col("__key").alias(key), F.col("__fp").alias("fingerprint"), "component_id")
 
 
+def _row_hash(docs: DataFrame) -> Column:
+    """64-bit hash of all columns; columns that hold maps count as their JSON text."""
+    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema])
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component: that of the smallest key; columns unchanged.
+    """One row of each component; columns unchanged.
 
-    Of rows that are equal in every column one stays. A row without a key
-    cannot be named by a component and always stays.
+    The row of the smallest key stays (rows without a key come last), among
+    rows of one key the one whose columns have the smallest hash; of rows equal
+    in every column one. Rows are named by (key, hash of all columns), so rows
+    that share a key are told apart. The rows that go are named and left out:
+    the texts are not shuffled while those are few.
     """
-    found = near_duplicates(docs, key, text)
-    winners = found.where(F.col("component_id") == F.col(key)).select(F.col(key).cast("string").alias("__winner")).distinct()
-    nulls = winners.sparkSession.range(1).select(F.lit("\0").alias("__winner"))
-    keyed = docs.withColumn("__winner", F.coalesce(docs[key].cast("string"), F.lit("\0")))
-    return keyed.join(winners.union(nulls), "__winner", "left_semi").dropDuplicates().select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = {"__key": docs[key], "__hash": _row_hash(docs)}
+    rows = materialise(fingerprints(docs.select(*[c.alias(n) for n, c in own.items()], F.col(f"`{text}`").alias("__body")), [*own], "__body", name="__fp")
+                       .groupBy("__fp", "__key", "__hash").agg(F.count("*").alias("n")), "rows")
+    rank = F.struct(F.col("__key").isNull().alias("none"), F.col("__key").alias("k"), F.col("__hash").alias("h"))
+    best = materialise(rows.groupBy("__fp").agg(F.min(rank).alias("best")), "best")
+    named = best.join(roots(best.select(F.col("__fp").alias("value"))).withColumnRenamed("value", "__fp"), "__fp")
+    winners = named.groupBy("root").agg(F.min("best").alias("best")).select("best.k", "best.h")
+    wins = winners["h"].eqNullSafe(rows["__hash"]) & winners["k"].eqNullSafe(rows["__key"])
+    out = rows.join(winners, wins, "left_anti").select("__key", "__hash")
+    repeated = materialise(rows.where("n > 1").join(winners, wins, "left_semi").select("__key", "__hash"), "repeated")
+    gone = materialise(out.unionByName(repeated), "gone").withColumnsRenamed({"__key": "__k", "__hash": "__h"})
+    marked = docs.withColumns(own)
+    stay = marked.join(gone, (F.col("__hash") == F.col("__h")) & F.col("__key").eqNullSafe(F.col("__k")), "left_anti")
+    if not repeated.isEmpty():
+        again = repeated.withColumnsRenamed({"__key": "__k", "__hash": "__h"})
+        stay = stay.unionByName(marked.join(again, (F.col("__hash") == F.col("__h")) & F.col("__key").eqNullSafe(F.col("__k")), "left_semi")
+                                .dropDuplicates(["__key", "__hash"]))
+    return stay.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -100,6 +100,24 @@ def test_odd_rows(spark):
     assert by[7][1] == by[8][1] == by[None][1] == 7
     kept = simhash.keep_one(df)
     assert kept.columns == df.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=lambda d: d or 0) == [None, 2, 3, 4, 7]
+    assert sorted((r.doc_id for r in kept.collect()), key=lambda d: d or 0) == [2, 3, 4, 7]
     none = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(none).count() == 0 and simhash.keep_one(none).count() == 0
+
+
+def test_keep_one_tells_rows_of_one_id_apart(spark):
+    a, b = "one two three four five six seven eight", "other words that are quite unlike those of the first"
+    rows = [(1, a, "s"), (2, a, "s"), (2, b, "s"), (2, b, "s"), (2, b, "t"), (None, a, "s"), (None, b, "u"), (None, "solo text without a twin in the table", "s"),
+            (None, "solo text without a twin in the table", "s")]
+    df = spark.createDataFrame(rows, SCHEMA + ", source string").withColumn("m", F.create_map(F.lit("k"), "source"))
+    got = [(r.doc_id, r.text, r.source) for r in simhash.keep_one(df).collect()]
+    assert len(got) == 3 and (1, a, "s") in got and (None, rows[7][1], "s") in got
+    assert {t for d, t, _ in got if d == 2} == {b}
+    assert sorted(simhash.keep_one(df.repartition(5)).drop("m").collect(), key=str) == sorted(simhash.keep_one(df).drop("m").collect(), key=str)
+
+
+def test_keep_one_of_many_equal_rows(spark):
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 < 2, "the same words in a third of all rows").otherwise(F.concat(F.lit("text number "), F.md5(F.col("id").cast("string")))).alias("text"))
+    got = simhash.keep_one(df).groupBy("text").count().collect()
+    want = brute_components([(i, brute_fingerprint(r.text)) for i, r in enumerate(df.select("text").distinct().collect())])
+    assert sum(r["count"] for r in got) == len(got) == len(set(want.values()))
