@@ -3,12 +3,14 @@
 A source's mean repetition rate is ``weight * target / size``: its share of the
 target bytes over the bytes it has. Every document draws its number of copies
 from the Poisson distribution with that mean by inverting the distribution
-function at a uniform number made of its id's hash and the seed, so a rerun and
-a lost executor draw alike, and a rate of 1.3 repeats every document once or
-more often in the mean without choosing any by hand. Documents are exploded by
-their count, and every copy is dealt to a partition by the hash of (id, copy) and
-a number of its row, and ordered by the former, which shuffles the whole output
-and spreads the rows of a repeated id.
+function at a uniform number made of the seed and the hash of its id and text,
+so a rerun and a lost executor draw alike, and a rate of 1.3 repeats every
+document once or more often in the mean without choosing any by hand. Rows that
+repeat id and text also take the number of the row in the stored table, so each
+draws for itself: an id, or a null, that holds a third of a source neither goes
+nor is repeated as one. Documents are exploded by their count, and every copy is
+dealt to a partition by the hash of its row and copy number, which shuffles
+the whole output.
 
 Rates above ``PIECE`` are drawn as a sum of independent Poisson numbers of equal
 rates up to ``PIECE`` (such a sum is Poisson with the whole rate), so the table
@@ -76,10 +78,11 @@ def _distribution(rate: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, step)["cdf"]
 
 
-def replicate(docs: DataFrame, rate: DataFrame, seed: int = 17, key: str = "doc_id", source: str = "source") -> DataFrame:
+def replicate(docs: DataFrame, rate: DataFrame, seed: int = 17, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """``docs`` with n_copies, copy_no (1 to n_copies) and shuffle_key, one row per copy, globally shuffled.
 
-    Rows that repeat an id draw the same number each. A null id hashes as the
+    Every row draws for itself: from its id and text, and if other rows have both
+    too from its number in the table as read. A null id or text hashes as the
     empty text. A rate of zero drops a source, as its weight demands.
     """
     clash = {"n_copies", "copy_no", "shuffle_key"}
@@ -87,24 +90,32 @@ def replicate(docs: DataFrame, rate: DataFrame, seed: int = 17, key: str = "doc_
     pieces = F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("int")
     table = materialise(rate.select("src", pieces.alias("__pieces"), _distribution(F.col("rate") / pieces).alias("__cdf")).withColumnRenamed("src", "__src"), "rates")
     ident = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], _source(source).alias("__src"), ident.alias("__id"),
+    body = F.md5(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary"))
+    again = materialise(docs.select(ident.alias("__i"), body.alias("__b")).groupBy("__i", "__b").agg(F.count("*").alias("__n")).where("__n > 1").drop("__n"), "repeated")
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], _source(source).alias("__src"), ident.alias("__id"), body.alias("__body"),
                        F.monotonically_increasing_id().alias("__row"))
+    number = F.lit(None).cast("long")
+    if not again.isEmpty():
+        rows = rows.join(again.withColumn("__again", F.lit(True)), (F.col("__id") == F.col("__i")) & (F.col("__body") == F.col("__b")), "left")
+        number = F.when(F.col("__again"), F.col("__row"))
+    # what makes a row: its id and text, and its number where that is not enough
+    rows = rows.withColumn("__who", F.concat_ws("|", "__id", "__body", number))
     # A row of the table holds some 700 bytes: an eighth of the usual bound. Beyond it the join is salted, so a hot source spreads.
     if table.count() <= BROADCAST_ROWS // 8:
         drawn = rows.join(F.broadcast(table), "__src")
     else:
         salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        drawn = rows.withColumn("__salt", F.pmod(F.xxhash64("__id"), F.lit(SALTS)).cast("int")).join(salted, ["__src", "__salt"])
+        drawn = rows.withColumn("__salt", F.pmod(F.xxhash64("__who"), F.lit(SALTS)).cast("int")).join(salted, ["__src", "__salt"])
     n = F.aggregate(F.sequence(F.lit(1), F.col("__pieces")), F.lit(0),
-                    lambda acc, j: acc + F.size(F.filter("__cdf", lambda c: c < uniform(F.lit(seed), F.col("__id"), j))))
+                    lambda acc, j: acc + F.size(F.filter("__cdf", lambda c: c < uniform(F.lit(seed), F.col("__who"), j))))
     counted = drawn.withColumn("n_copies", n).where("n_copies > 0")
     copies = counted.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
-    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit("order"), F.lit(seed), F.col("__id"), F.col("copy_no"))))
-    return (keyed.repartition("shuffle_key", "__row").sortWithinPartitions("shuffle_key")
+    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit("order"), F.lit(seed), F.col("__who"), F.col("copy_no"))))
+    return (keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
             .select(*[F.col(f"`{c}`") for c in kept], "n_copies", "copy_no", "shuffle_key"))
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, target_bytes: float | None = None, seed: int = 17,
         key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """``replicate`` at the rates that the weights demand."""
-    return replicate(docs, rates(docs, weights, target_bytes, source, text), seed, key, source)
+    return replicate(docs, rates(docs, weights, target_bytes, source, text), seed, key, source, text)

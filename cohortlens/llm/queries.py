@@ -65,7 +65,7 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    "shuffle_key", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
-# Mean rates of the test tables stay below mixing.PIECE, so one draw a document tells its count.
+# Mean rates of the test tables stay below mixing.PIECE, so one draw a document tells its count; no two rows share id and text.
 OP4_SQL = """
 WITH RECURSIVE s AS (
   SELECT source, sum(coalesce(strlen(text), 0) + 1)::DOUBLE AS bytes FROM documents GROUP BY source),
@@ -75,13 +75,13 @@ c AS (
   UNION ALL SELECT source, rate, k + 1, p * rate / (k + 1), cum + p * rate / (k + 1) FROM c WHERE k < 80),
 d AS (
   SELECT row_number() OVER () AS rid, doc_id, source, text,
-         ('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, '') || '|1'), 1, 13))::BIGINT / 4503599627370496.0 AS u
+         ('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) || '|1'), 1, 13))::BIGINT / 4503599627370496.0 AS u
   FROM documents),
 n AS (
   SELECT rid, any_value(doc_id) AS doc_id, any_value(d.source) AS source, any_value(text) AS text, count(*) AS n_copies
   FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source AND c.cum < d.u GROUP BY rid)
 SELECT doc_id, source, n_copies::BIGINT AS n_copies, copy_no::BIGINT AS copy_no,
-       md5('order|17|' || coalesce(doc_id::VARCHAR, '') || '|' || copy_no) AS shuffle_key, md5(coalesce(text, '')) AS text_md5
+       md5('order|17|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) || '|' || copy_no) AS shuffle_key, md5(coalesce(text, '')) AS text_md5
 FROM n, unnest(range(1, n_copies + 1)) t(copy_no)
 """
 

@@ -16,10 +16,11 @@ SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, source string, text string"
 
 
-def brute_count(rate, doc_id, seed=17):
+def brute_count(rate, doc_id, text, seed=17):
     pieces, n = max(math.ceil(rate / 16.0), 1), 0
+    who = f"{'' if doc_id is None else doc_id}|{hashlib.md5((text or '').encode()).hexdigest()}"
     for j in range(1, pieces + 1):
-        u = int(hashlib.md5(f"{seed}|{'' if doc_id is None else doc_id}|{j}".encode()).hexdigest()[:13], 16) / 2 ** 52
+        u = int(hashlib.md5(f"{seed}|{who}|{j}".encode()).hexdigest()[:13], 16) / 2 ** 52
         p = total = math.exp(-rate / pieces)
         k = 0
         while total < u and k < 81:
@@ -54,10 +55,11 @@ def test_counts_weights_and_odd_rows(spark, monkeypatch, bound):
     seen = {}
     for r in got.collect():
         seen.setdefault((r.doc_id, r.source), []).append((r.n_copies, r.copy_no))
-    for i, s, _ in set(rows) - {(5000, "dropped", "t")}:
-        n = brute_count(want[s], i) * sum(1 for x in rows if x[0] == i)
+    for i, s, t in set(rows) - {(5000, "dropped", "t"), (3, "a", "x" * 9)}:
+        n = brute_count(want[s], i, t)
         own = seen.get((i, s), [])
-        assert len(own) == n and (i == 3 or sorted(c for _, c in own) == list(range(1, n + 1)))
+        assert len(own) == n and sorted(c for _, c in own) == list(range(1, n + 1))
+    assert len(seen[3, "a"]) > 1  # two equal rows draw apart
     assert max(want.values()) > 16  # drawn in pieces
 
 
@@ -74,7 +76,7 @@ def test_order_is_shuffled_and_empty_tables(spark):
 
 
 def test_rows_of_one_id_spread_over_tasks(spark):
-    # A third of the rows has no id and another third one id; their copies share a shuffle key, not a task.
+    # A third of the rows has no id and another third one id, all with one text.
     docs = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.col("id")).when(F.col("id") % 3 == 1, 5).alias("doc_id"), F.lit("s").alias("source"), F.lit("t").alias("text"))
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -84,3 +86,12 @@ def test_rows_of_one_id_spread_over_tasks(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     assert len(sizes) > 4 and max(sizes) < 1.2 * sum(sizes) / len(sizes)
+
+
+def test_equal_rows_draw_for_themselves(spark):
+    docs = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, 5).alias("doc_id"), F.lit("s").alias("source"), F.when(F.col("id") % 4 < 2, "t").alias("text"))
+    out = mixing.replicate(docs, spark.createDataFrame([("=s", 0.7)], "src string, rate double"))
+    for r in out.groupBy("doc_id", "text").count().collect():
+        assert abs(r["count"] / 5000 - 0.7) < 0.06
+    assert out.groupBy("doc_id", "text").count().count() == 4
+    assert sorted(r.shuffle_key for r in out.collect()) == sorted(r.shuffle_key for r in mixing.replicate(docs, spark.createDataFrame([("=s", 0.7)], "src string, rate double")).collect())

@@ -62,7 +62,7 @@ def test_stages_against_brute_force(spark):
     for d in third:
         size[texts[d].source] = size.get(texts[d].source, 0) + len(texts[d].text.encode()) + 1
     total, weight = sum(size.values()), sum(v ** 0.5 for v in size.values())
-    want = sorted(d for d in third for _ in range(brute_count(size[texts[d].source] ** 0.5 / weight * total / size[texts[d].source], d)))
+    want = sorted(d for d in third for _ in range(brute_count(size[texts[d].source] ** 0.5 / weight * total / size[texts[d].source], d, texts[d].text)))
     copies = four.collect()
     assert four.columns == docs.columns and sorted(r.doc_id for r in copies) == want
     # 5. Equal bytes in order of the id.
