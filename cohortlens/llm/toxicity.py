@@ -16,11 +16,13 @@
    logistic link from its square root to the label gives the score. A passage is significant if its
    own ``E`` is at most ``MAX_E``.
 
-Counts are held in two hashed tables (``BUCKETS``, the smaller count of the
-two wins), so the model's size is fixed. At most about ``MAX_LABELS`` labelled
-rows are used for fitting, a share of the ids by their hash: the documented
-bound of the labelled sample. Counting, scoring and segments run
-inside Spark tasks. Words are runs of ASCII letters and non-ASCII characters of
+Units are told apart by a stored 64-bit key and counted exactly in Spark; the
+table grows with the distinct units of the labelled sample, and a unit that is
+not in it has no count. At most about ``MAX_LABELS`` labelled rows are used for
+fitting, a share of the ids by their hash: the documented bound of the labelled
+sample, and so of the table. A text counts once, however many labelled rows
+repeat it, as toxic if any of them is; counts depend on no batch and no file.
+Counting, scoring and segments run inside Spark tasks. Words are runs of ASCII letters and non-ASCII characters of
 the lower-cased text.
 """
 
@@ -33,10 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTERS, Chunk, chunks, crc_mod, hint_if_small, materialise, mix64
+from .common import LETTERS, Chunk, crc_mod, hint_if_small, materialise, mix64, pieces
 
-BUCKETS = 1 << 20
-TABLES = 2
+HELD = 1 << 20  # units a task counts before it passes them on
 PREFIXES = (3, 4, 5, 6)
 PRIOR = 4.0
 DRIFT = 2.0
@@ -48,28 +49,23 @@ MIN_SEGMENT = 0.2  # weaker segments are left out of the calibration
 
 
 def _units(chunk: Chunk) -> list[np.ndarray]:
-    """Hash of every word's prefixes (shortest first) and of the word itself."""
+    """Key of every word's prefixes (shortest first) and of the word itself."""
     return [*chunk.prefix_hashes(PREFIXES), chunk.word_hashes()]
 
 
-def _slots(h: np.ndarray, table: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return (mix64(h + np.uint64(0x9E3779B97F4A7C15 * (table + 1) % 2 ** 64)) % np.uint64(BUCKETS)).astype(np.int64)
-
-
 class Model:
-    """``counts[table, class, bucket]`` of documents; ``rate`` the share of toxic ones."""
-
-    def __init__(self, counts: np.ndarray, n_clean: int, n_toxic: int):
-        self.counts, self.n_clean, self.n_toxic = 0.0, 0, 0
-        self.add(counts, n_clean, n_toxic)
-        self.lam, self.k, self.slope, self.offset = 1.0, 0.1, 1.0, math.log(self.rate / (1 - self.rate))
+    """Sorted ``keys`` of units with the toxic and clean documents that hold each; ``rate`` the share of toxic ones."""
 
-    def add(self, counts: np.ndarray, n_clean: int, n_toxic: int) -> None:
-        self.counts = self.counts + counts
-        self.n_clean, self.n_toxic = self.n_clean + n_clean, self.n_toxic + n_toxic
+    def __init__(self, keys: np.ndarray, clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int):
+        self.keys, self.clean, self.toxic = keys, clean.astype(np.float32), toxic.astype(np.float32)
+        self.n_clean, self.n_toxic = n_clean, n_toxic
         self.empty = self.n_toxic == 0 or self.n_clean == 0
         self.rate = (self.n_toxic + 1.0) / (self.n_clean + self.n_toxic + 2.0)
+        self.lam, self.k, self.slope, self.offset = 1.0, 0.1, 1.0, math.log(self.rate / (1 - self.rate))
+
+    def calibrated_as(self, other: Model) -> Model:
+        self.lam, self.k, self.slope, self.offset = other.lam, other.k, other.slope, other.offset
+        return self
 
     @classmethod
     def of(cls, state: dict) -> Model:
@@ -78,19 +74,19 @@ class Model:
         return model
 
     def token_scores(self, chunk: Chunk) -> np.ndarray:
-        if self.empty:
+        if self.empty or not len(self.keys):
             return np.full(len(chunk.starts), -DROP)
-        p = np.full(len(chunk.starts), self.rate)
-        for h in _units(chunk):
-            n0 = n1 = None
-            for t in range(TABLES):
-                at = _slots(h, t)
-                c0, c1 = self.counts[t, 0, at], self.counts[t, 1, at]
-                less = None if n0 is None else c0 + c1 < n0 + n1
-                n0, n1 = (c0, c1) if less is None else (np.where(less, c0, n0), np.where(less, c1, n1))
+        units = _units(chunk)
+        _, first, where = np.unique(units[-1], return_index=True, return_inverse=True)  # each word of the chunk once
+        p = np.full(len(first), self.rate)
+        for h in units:
+            own = h[first]
+            at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
+            known = self.keys[at] == own
+            n0, n1 = np.where(known, self.clean[at], 0), np.where(known, self.toxic[at], 0)
             p = (n1 + PRIOR * p) / (n0 + n1 + PRIOR)
         odds = np.log(p / (1 - p)) - math.log(self.rate / (1 - self.rate)) - DRIFT
-        return np.maximum(odds, -DROP)
+        return np.maximum(odds, -DROP)[where]
 
     def bits(self, score, n):
         """``-ln E`` of segments scoring ``score`` in texts of ``n`` tokens."""
@@ -144,71 +140,115 @@ def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, text: str, label: str, key: str) -> DataFrame:
-    """(text, toxic, fold) of the labelled sample; it is small and counted, so the texts never shuffle."""
+    """(text, toxic, fold) of the labelled sample, every text once; it is small and counted, so the texts never shuffle."""
     # One label per id: the larger of contradicting ones. The sample takes a share of the ids by their hash.
     one = materialise(labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("__id"))
                       .agg(F.max(F.col(label).cast("int")).alias("toxic")), "labels")
     share = min(1.0, 0.95 * MAX_LABELS / max(one.count(), 1))
     few = hint_if_small(one.where(F.pmod(F.xxhash64("__id"), F.lit(1 << 30)) < int(share * (1 << 30))), MAX_LABELS)
-    return (docs.select(F.col(key).alias("__id"), F.col(text).alias("text"))
-            .join(few, "__id").withColumn("fold", F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(4))))
+    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    rows = docs.select(F.col(f"`{key}`").alias("__id"), body.alias("text")).withColumn("__md5", F.unhex(F.md5(F.col("text").cast("binary"))))
+    # Equal texts: the smallest id stands for all, with the larger of their labels; its fold goes by the text.
+    named = materialise(rows.select("__id", "__md5").join(few, "__id").groupBy("__md5").agg(F.min("__id").alias("__id"), F.max("toxic").alias("toxic")), "texts")
+    chosen = hint_if_small(named.withColumn("fold", F.pmod(F.xxhash64("__md5", F.lit(7)), F.lit(4))), MAX_LABELS)
+    return rows.join(chosen, ["__id", "__md5"]).select("text", "toxic", "fold")
 
 
 def _count_units(batches):
-    """Per task: documents of each class per hashed unit; equal texts of a batch count once."""
-    sums = np.zeros((TABLES, 2, BUCKETS), np.int64)
-    docs = np.zeros(2, np.int64)
+    """Per task: clean and toxic texts that hold each unit (fold and unit null: texts), passed on every ``HELD`` units."""
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    size, texts = 0, {}
+
+    def flush():
+        for fold, parts in held.items():
+            keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+            n = np.zeros((len(keys), 2), np.int64)
+            np.add.at(n, at, np.concatenate([c for _, c in parts]))
+            yield pa.record_batch({"fold": pa.array(np.full(len(keys), fold, np.int32)), "key": pa.array(keys.view(np.int64)), "n0": pa.array(n[:, 0]), "n1": pa.array(n[:, 1])})
+        held.clear()
+
     for batch in batches:
-        rows = dict(zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True))
-        for c in (0, 1):
-            texts = [t for t, toxic in rows.items() if int(bool(toxic)) == c]
-            docs[c] += len(texts)
-            for _, chunk in chunks(texts, LETTERS, lower=True):
-                owner = mix64(chunk.owners().astype(np.uint64))
-                for h in _units(chunk):
-                    h = h[np.unique(h ^ owner, return_index=True)[1]]  # once per text
-                    for t in range(TABLES):
-                        sums[t, c] += np.bincount(_slots(h, t), minlength=BUCKETS)
-    for t in range(TABLES):
-        hit = np.flatnonzero(sums[t].any(axis=0))
-        yield pa.record_batch({"tab": pa.array(np.full(len(hit), t, np.int32)), "bucket": pa.array(hit.astype(np.int32)),
-                               "n0": pa.array(sums[t, 0, hit]), "n1": pa.array(sums[t, 1, hit])})
-    yield pa.record_batch({"tab": pa.array([-1], pa.int32()), "bucket": pa.array([0], pa.int32()),
-                           "n0": pa.array(docs[:1]), "n1": pa.array(docs[1:])})
+        body, toxic = batch.column("text").to_pylist(), (batch.column("toxic").to_numpy() > 0).astype(np.int64)
+        folds = (batch.column("fold").to_numpy() == 0).astype(np.int64)  # the held fold is 1 here
+        for fold in (0, 1):
+            own = np.flatnonzero(folds == fold)
+            n = np.bincount(toxic[own], minlength=2)
+            texts[fold] = texts.get(fold, np.zeros(2, np.int64)) + n
+            seen: dict[int, np.ndarray] = {}  # units of a text whose parts lie in several chunks
+            for owner, chunk in pieces([body[i] for i in own], LETTERS, lower=True):
+                who = owner[chunk.owners()]
+                tag = mix64(who.astype(np.uint64))
+                for level, h in enumerate(_units(chunk)):
+                    at = np.unique(h ^ tag, return_index=True)[1]  # once per text
+                    h, of = h[at], who[at]
+                    last = of == owner[-1]
+                    if level in seen and seen[level][0] == owner[0]:
+                        again = (of == owner[0]) & np.isin(h, seen[level][1])
+                        h, of, last = h[~again], of[~again], last[~again]
+                        before = seen[level][1] if owner[0] == owner[-1] else np.empty(0, np.uint64)
+                    else:
+                        before = np.empty(0, np.uint64)
+                    seen[level] = (owner[-1], np.concatenate([before, h[last]]))
+                    keys, back = np.unique(h, return_inverse=True)
+                    c = np.zeros((len(keys), 2), np.int64)
+                    np.add.at(c, (back, toxic[own][of]), 1)
+                    held.setdefault(fold, []).append((keys, c))
+                    size += len(keys)
+                if size >= HELD:
+                    yield from flush()
+                    size = 0
+    yield from flush()
+    for fold, n in texts.items():
+        yield pa.record_batch({"fold": pa.array([fold], pa.int32()), "key": pa.array([None], pa.int64()), "n0": pa.array(n[:1]), "n1": pa.array(n[1:])})
 
 
 def _scan(batches, model):
     """(batch, tokens per text, segments per text) of every batch."""
     for batch in batches:
         texts = batch.column("__text").to_pylist()
-        size, found = np.zeros(len(texts), np.int64), []
-        for start, chunk in chunks(texts, LETTERS, lower=True):
+        size, found, open_text, held = np.zeros(len(texts), np.int64), [[] for _ in texts], None, []
+
+        def close(i, parts, found=found):
+            scores = parts[0] if len(parts) == 1 else np.concatenate(parts)
+            if (scores > 0).any():
+                found[i] = segments(scores)
+
+        for owner, chunk in pieces(texts, LETTERS, lower=True):
             scores = model.token_scores(chunk)
-            positive = np.concatenate([[0], np.cumsum(scores > 0)])
-            for i in range(len(chunk)):
-                lo, hi = chunk.first[i], chunk.first[i + 1]
-                found.append(segments(scores[lo:hi]) if positive[hi] > positive[lo] else [])
-            size[start:start + len(chunk)] = chunk.n_words
+            np.add.at(size, owner, chunk.n_words)
+            for part, i in enumerate(owner.tolist()):
+                if i != open_text:
+                    if open_text is not None:
+                        close(open_text, held)
+                    open_text, held = i, []
+                held.append(scores[chunk.first[part]:chunk.first[part + 1]])
+        if open_text is not None:
+            close(open_text, held)
         yield batch, size, found
 
 
-def _counts(rows: DataFrame) -> tuple[np.ndarray, int, int]:
-    """(counts, clean texts, toxic texts) of labelled rows."""
-    got = (rows.select("text", "toxic").mapInArrow(_count_units, "tab int, bucket int, n0 long, n1 long")
-           .groupBy("tab", "bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow())
-    tab, bucket, n0, n1 = (got.column(c).to_numpy() for c in ("tab", "bucket", "n0", "n1"))
-    counts = np.zeros((TABLES, 2, BUCKETS), np.float32)
-    for t in range(TABLES):
-        at = tab == t
-        counts[t, 0, bucket[at]], counts[t, 1, bucket[at]] = n0[at], n1[at]
-    return counts, int(n0[tab == -1].sum()), int(n1[tab == -1].sum())
+def _counts(rows: DataFrame) -> DataFrame:
+    """Stored (fold, key, n0, n1) of labelled rows; fold 1 is the held one, a null key counts the texts."""
+    return materialise(rows.mapInArrow(_count_units, "fold int, key long, n0 long, n1 long")
+                       .groupBy("fold", "key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "units")
+
+
+def _model(counts: DataFrame) -> Model:
+    """Model of stored counts; their number is bounded by the labelled sample."""
+    got = counts.groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    texts = got.where("key is null").first()
+    units = got.where("key is not null").toArrow()
+    keys = units.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return Model(keys[order], units.column("n0").to_numpy()[order], units.column("n1").to_numpy()[order], texts.n0 if texts else 0, texts.n1 if texts else 0)
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> Model:
     """Fit the log-odds on three of four folds of the labelled texts and the calibration on the fourth."""
     spark = docs.sparkSession
     rows = _labelled(docs, labels, text, label, key)
-    model = Model(*_counts(rows.where("fold <> 0")))
+    counts = _counts(rows)
+    model = _model(counts.where("fold = 0"))
     if model.empty:
         return model
     shared = spark.sparkContext.broadcast(vars(model))
@@ -222,8 +262,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
     out = (rows.where("fold = 0").select("toxic", F.col("text").alias("__text"))
            .mapInArrow(held, "toxic int, n long, segs array<double>").toArrow())
     _calibrate(model, out.column("toxic").to_numpy(), out.column("n").to_numpy(), out.column("segs").to_pylist())
-    model.add(*_counts(rows.where("fold = 0")))  # the calibrated model then learns from all rows
-    return model
+    return _model(counts).calibrated_as(model)  # the calibrated model then learns from all texts
 
 
 def _calibrate(model: Model, toxic: np.ndarray, n: np.ndarray, segs: list[list[float]]) -> None:
@@ -257,7 +296,8 @@ def score(docs: DataFrame, model: Model, carry: list[str], text: str = "text") -
     """``carry`` columns plus score (0 to 1), predicted, n_tokens, best_segment and passages.
 
     ``passages`` lists every significant segment as (start token, end token,
-    score, e_value). A null or empty text scores 0 and has no passage.
+    score, e_value). A null or empty text scores 0 and has no passage. Every row
+    gets a row; rows that repeat a text score alike.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 

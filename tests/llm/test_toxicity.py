@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import random
+import re
+from collections import Counter
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.llm import toxicity
-from cohortlens.llm.common import crc_mod, table
+from cohortlens.llm.common import LETTERS, Chunk, crc_mod, pieces, table
 
 SF = "/root/testdata/sf0.1"
 SCHEMA = "doc_id long, text string, lang string"
@@ -49,6 +54,69 @@ def _model(spark):
     return toxicity.train(spark.createDataFrame(clean + bad, SCHEMA), labels)
 
 
+def brute_counts(texts):
+    """Documents of each class per unit: prefixes of 3 to 6 bytes (the whole word if shorter) and the word, by length."""
+    out = Counter()
+    for t, toxic in texts.items():
+        words = set(re.findall("(?:[a-z]|[^\x00-\x7f])+", t.lower()))
+        for w in words:
+            out["w", w, toxic] += 1
+        for k in toxicity.PREFIXES:
+            for p in {w.encode()[:k] for w in words}:
+                out[k, p, toxic] += 1
+    return out
+
+
+@pytest.mark.parametrize("batch, most, held", [(10_000, 1 << 20, 1 << 20), (1, 1 << 20, 1), (3, 16, 50)])
+def test_counts_do_not_depend_on_batches(spark, monkeypatch, batch, most, held):
+    """Copies with contradicting labels, long texts in parts, any batch size: every text counts once, toxic if any copy is."""
+    monkeypatch.setattr(toxicity, "HELD", held)
+    monkeypatch.setattr(pieces, "__defaults__", (most,))
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abc\u00e9") for _ in range(rng.randint(1, 8)))
+    texts = [" ".join(word() for _ in range(rng.randint(0, 25))) for _ in range(60)]
+    rows = [(i, texts[rng.randrange(60)] if i >= 60 else texts[i]) for i in range(200)] + [(500, None)]
+    labels = [(i, rng.randint(0, 1)) for i in range(200) for _ in range(rng.choice([0, 1, 1, 2]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        marked = toxicity._labelled(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), "text", "toxic", "doc_id")
+        model = toxicity._model(toxicity._counts(marked))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    toxic = {}
+    for i, t in rows:
+        for d, x in labels:
+            if d == i:
+                toxic[t] = max(toxic.get(t, 0), x)
+    want = brute_counts(toxic)
+    assert (model.n_clean, model.n_toxic) == (sum(v == 0 for v in toxic.values()), sum(v == 1 for v in toxic.values()))
+    got = {int(k): (int(a), int(b)) for k, a, b in zip(model.keys, model.clean, model.toxic, strict=True)}
+    keys = {u[:2] for u in want}
+    assert len(got) == len(keys)
+    for kind, unit in keys:
+        chunk = Chunk([unit if kind == "w" else unit.decode("utf-8", "ignore")], LETTERS, lower=True)
+        if kind != "w" and unit.decode("utf-8", "ignore").encode() != unit:
+            continue  # a prefix that ends inside a character
+        h = chunk.word_hashes()[0] if kind == "w" else chunk.prefix_hashes((kind,))[0][0]
+        assert got[int(h)] == (want[kind, unit, 0], want[kind, unit, 1])
+
+
+def test_unseen_units_fall_to_their_prior(spark):
+    model = _model(spark)
+    scores = model.token_scores(Chunk(["xqzzy vilexyz vilewort"], LETTERS, lower=True))
+    assert scores[0] == max(-toxicity.DROP, -toxicity.DRIFT) and scores[2] >= scores[1] > scores[0]
+
+
+def test_a_long_text_in_parts_scores_as_whole(spark, monkeypatch):
+    model = _model(spark)
+    df = spark.createDataFrame([(1, "quiet river " * 50 + "vilewort vilewash vileness " * 3 + "stone lake " * 50, "en")], SCHEMA)
+    whole = toxicity.score(df, model, ["doc_id"]).first()
+    monkeypatch.setattr(pieces, "__defaults__", (32,))
+    parts = toxicity.score(df, model, ["doc_id"]).first()
+    assert parts == whole and [(p.start_token, p.end_token) for p in whole.passages] == [(100, 109)]
+
+
 def test_passages_and_odd_rows(spark):
     model = _model(spark)
     rows = [(1, "quiet river stone", "en"), (2, None, "en"), (3, "", None), (4, "stone " * 300_000, "en"), (None, "lake", "en"),
