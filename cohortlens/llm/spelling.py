@@ -2,14 +2,16 @@
 
 The shorter word of a pair (of two equally long ones, either) contributes two
 disjoint chunks, its halves. One edit touches at most one of them; the other
-stands in the other word, moved by one place at most. So the other word
-contributes its positional grams of the halves' lengths, those within one place
-of where such a half begins (the rest can join nothing). An equi-join on
-(length of the chunked word, which half, characters) meets exactly the pairs
-within shift one; the edit distance is verified inside the join.
-
-A chunk that more than ``SPLIT`` words share is dealt over several keys and
-the grams that meet it are repeated to each, so no task gets all its words.
+stands in the other word, moved by one place at most: by none before the edit,
+by the difference of the lengths behind it. So the other word contributes its
+positional grams of the halves' lengths at those places (grams elsewhere stand
+for no half). An equi-join on (length of the chunked word, which half,
+characters) meets the pairs within shift one; the edit distance is verified
+inside the join.
+
+A chunk that more than ``SPLIT`` words share is dealt over a grid of keys: its
+words over the rows and the grams that meet it over the columns, so a task
+compares at most about ``SPLIT`` words with as many.
 Chains of forms are followed by pointer doubling.
 """
 
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-SPLIT = 20_000  # words sharing a chunk before its key is dealt
+SPLIT = 2_000  # words sharing a chunk before its key is dealt
 PIECE = 1 << 16  # code points of a text that are matched at once
 # Fixed value: what the vocabulary's words consist of once A-Z are lower-cased.
 LETTERS = r"a-zÀ-ÿ"
@@ -63,16 +65,18 @@ def chunks(vocab: DataFrame) -> DataFrame:
 
 
 def grams(vocab: DataFrame, min_chars: int) -> DataFrame:
-    """Positional grams of every word that may meet a chunk of an equally long word, or of one a code point shorter, within shift one."""
+    """Positional grams of every word that may stand for a half of an equally long word, or of one a code point shorter.
+
+    A half before the edit keeps its place, one behind it moves by the
+    difference of the lengths, 0 or 1; grams elsewhere stand for no half.
+    """
     size = F.length("word")
     out = None
     for shorter in (0, 1):
         l = size - shorter  # noqa: E741
         half = F.floor(l / 2).cast("int")
         fits = l >= min_chars
-        places = [(0, F.lit(p), half, fits & (F.lit(p) + half <= size)) for p in (0, 1)]
-        places += [(1, half + p, l - half, fits & (half + p >= 0) & (half + p + l - half <= size)) for p in (-1, 0, 1)]
-        part = vocab.select("word", "n", F.explode(F.array_distinct(_keys(l, places))).alias("k")).select("word", "n", "k.*")
+        part = vocab.select("word", "n", F.explode(_keys(l, [(0, F.lit(0), half, fits), (1, half + shorter, l - half, fits)])).alias("k")).select("word", "n", "k.*")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -81,16 +85,19 @@ def near_pairs(vocab: DataFrame, min_chars: int = 5) -> DataFrame:
     """Stored (a, n_a, b, n_b): every unordered pair of distinct words exactly one edit apart, once."""
     key = ["l", "half", "gram"]
     short, long = chunks(vocab), grams(vocab, min_chars)
-    # Chunks of very many words: how many keys each is dealt over. Usually none, and then an empty relation.
-    dealt = materialise(short.groupBy(*key).agg(F.count("*").alias("words")).where(F.col("words") > SPLIT)
-                        .select(*key, F.ceil(F.col("words") / SPLIT).cast("int").alias("parts")), "hot_chunks")
-    if dealt.isEmpty():
-        a, b, on = short, long, key
-    else:
-        parts = F.coalesce("parts", F.lit(1))
-        a = short.join(dealt, key, "left").withColumn("deal", F.pmod(F.xxhash64("word"), parts).cast("int")).drop("parts")
-        b = long.join(dealt, key, "left").withColumn("deal", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
-        on = [*key, "deal"]
+    # Chunks of very many words are dealt over a grid of keys. Usually there are none.
+    hot = materialise(short.groupBy(*key).agg(F.count("*").alias("words")).where(F.col("words") > SPLIT), "hot_chunks")
+    a, b, on = short, long, key
+    if not hot.isEmpty():
+        dealt = materialise(hot.join(long.join(hot.select(*key), key).groupBy(*key).agg(F.count("*").alias("others")), key)
+                            .select(*key, F.ceil(F.col("words") / SPLIT).cast("int").alias("rows"), F.ceil(F.col("others") / SPLIT).cast("int").alias("columns")), "dealt")
+        one = F.lit(1)
+
+        def deal(side: DataFrame, own: str, other: str) -> DataFrame:
+            mine, all_of = F.pmod(F.xxhash64("word"), F.coalesce(own, one)).cast("int"), F.explode(F.sequence(F.lit(0), F.coalesce(other, one) - 1))
+            return side.join(dealt, key, "left").withColumn(f"in_{own}", mine).withColumn(f"in_{other}", all_of).drop("rows", "columns")
+
+        a, b, on = deal(short, "rows", "columns"), deal(long, "columns", "rows"), [*key, "in_rows", "in_columns"]
     a = a.withColumnsRenamed({"word": "a", "n": "n_a"})
     b = b.withColumnsRenamed({"word": "b", "n": "n_b", **{c: f"b_{c}" for c in on}})
     same = [F.col(c) == F.col(f"b_{c}") for c in on]
