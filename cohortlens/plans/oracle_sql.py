@@ -63,9 +63,8 @@ def pivot_sqls(altas_years, horas_years, house_altas_years) -> dict:
     out = {
         "partner_summary": _summary(False, altas_years, horas_years),
         "partner_filtered_summary": _summary(True, house_altas_years, horas_years),
-        "users_by_year_pivot": "select partner" + "".join(
-            f", count(distinct case when strftime(fecha_alta, '%Y') = '{y}' then userid end) as altas_{y}"
-            for y in altas_years) + " from f_usuarios group by partner",
+        "users_by_year_pivot": "select partner" + "".join(f", count_if(joined = '{y}') as altas_{y}" for y in altas_years)
+        + " from (select partner, userid, strftime(fecha_alta, '%Y') as joined from f_usuarios group by all) group by partner",
         "hours_by_year_pivot": "select partner" + "".join(
             f", sum(case when left(mes, 4) = '{y}' then {CENTI('horas')} else 0 end) / 100.0::DOUBLE as horas_{y}"
             for y in horas_years) + " from f_dedicacion group by partner",
@@ -77,11 +76,13 @@ def pivot_sqls(altas_years, horas_years, house_altas_years) -> dict:
 HOUSE_ALTAS_YEARS = ["1995", "1996", "2001"]
 SQL.update(pivot_sqls(ALTAS_YEARS, HORAS_YEARS, HOUSE_ALTAS_YEARS))
 
-YEAR_DISCOVERY = {
-    "altas": "select distinct strftime(fecha_alta, '%Y') from f_usuarios where fecha_alta is not null order by 1",
-    "horas": "select distinct left(mes, 4) from f_dedicacion order by 1",
-    "house": "select distinct strftime(fecha_alta, '%Y') from f_usuarios where fecha_alta is not null and lower(partner) = 'house' order by 1",
-}
+def _years(year: str, rows: str) -> str:
+    return f"select unnest(list_sort(list_distinct(list({year})))) from {rows}"
+
+
+_JOINED = "strftime(fecha_alta, '%Y')"
+YEAR_DISCOVERY = {"altas": _years(_JOINED, "f_usuarios"), "horas": _years("left(mes, 4)", "f_dedicacion"),
+                  "house": _years(f"case when lower(partner) = '{HOUSE}' then {_JOINED} end", "f_usuarios")}
 
 
 def discovered_pivot_sqls(con) -> dict:
@@ -110,15 +111,15 @@ for _name, _cols, _cond in [("partner_category", "partner, categoria", "true"),
  from (select {_cols}, userid, bool_or(aprobado) as passed from {_GRADED} where {_cond} group by all) group by all""")
 
 sql("certified_detail", """
-select userid, username, nombre_completo, email, people.partner, course_name, categoria, version, idioma, finalgrade, aprobado, fecha_nota
-from (select * exclude (partner) from f_certificaciones where aprobado) passed, f_usuarios people, dim_cursos
-where people.userid = passed.userid and dim_cursos.course_id = passed.course_id""".replace("select userid,", "select people.userid,"))
+select userid, username, nombre_completo, email, partner, course_name, categoria, version, idioma, finalgrade, aprobado, fecha_nota
+from f_usuarios join (select userid, course_id, finalgrade, aprobado, fecha_nota from f_certificaciones where aprobado) using (userid)
+join dim_cursos using (course_id)""")
 
 sql("inactive_partners", """
-select partner, cast(max(ultimo_acceso) as date) as ultimo_acceso,
- cast(datediff('day', cast(max(ultimo_acceso) as date), DATE '2001-08-28') as bigint) as dias_sin_actividad
-from f_usuarios where ultimo_acceso is not null group by partner
-having max(ultimo_acceso) < DATE '2001-08-28' - INTERVAL '30 days'""")
+select partner, seen::DATE as ultimo_acceso, (DATE '2001-08-28' - seen::DATE)::BIGINT as dias_sin_actividad
+from (select partner, ultimo_acceso as seen, row_number() over (partition by partner order by ultimo_acceso desc) as nth
+      from f_usuarios where ultimo_acceso is not null)
+where nth = 1 and seen + INTERVAL 30 DAY < TIMESTAMP '2001-08-28'""")
 
 sql("global_kpis", f"""
 select (select count(distinct partner) from f_usuarios) as partners,
@@ -135,14 +136,14 @@ select (select count(distinct partner) from f_usuarios) as partners,
  (select count(*) from tr_attendance_sessions) as sesiones""")
 
 sql("top_partners", f"""
-select partner, aprobados, total, {PCT1('aprobados', 'total')} as tasa from (
- select partner, count(*) filter (where aprobado) as aprobados, count(*) as total
- from f_certificaciones group by 1 order by aprobados desc, partner asc nulls last limit 10)""")
+with tally as (select partner, sum(aprobado::INT)::BIGINT as aprobados, count(*) as total from f_certificaciones group by partner)
+select *, {PCT1('aprobados', 'total')} as tasa from tally
+where (aprobados, coalesce(partner, '')) in (
+  select (aprobados, coalesce(partner, '')) from tally qualify row_number() over (order by -aprobados, partner nulls last) <= 10)""")
 
 sql("category_pass_rate", f"""
-select categoria, alumnos, aprobados, {PCT1('aprobados', 'alumnos')} as tasa from (
- select dc.categoria, count(distinct fc.userid) as alumnos, count(distinct case when fc.aprobado then fc.userid end) as aprobados
- from f_certificaciones fc join dim_cursos dc on dc.course_id = fc.course_id group by 1)""")
+select categoria, count(*) as alumnos, count_if(passed) as aprobados, {PCT1('count_if(passed)', 'count(*)')} as tasa
+from (select categoria, userid, bool_or(aprobado) as passed from {_GRADED} group by all) group by categoria""")
 
 sql("annual_evolution", f"""
 with c as (select strftime(fecha_nota, '%Y') as anio, count(*) filter (where aprobado) as aprobados from f_certificaciones group by 1),
