@@ -38,7 +38,7 @@ MAX_ORDER = 4
 PENALTY = 7.0  # -log10 frequency given to a language in which the unit was never seen
 UNDETERMINED = "und"
 MIN_SCORE = 0.3  # a document below it is rejected by ``keep_identified``
-HEAD = 1 << 20  # entries (word, language) of the broadcast table, some 24 bytes each
+HEAD = 1 << 18  # entries (word, language) of the broadcast table, some 24 bytes each
 HELD = 200_000  # words or n-grams a task counts before it passes them on
 BINS_PER_OCTAVE = 8  # of the counts among which the head's least count is chosen
 _GRAM_BASE = np.uint64(0x9E3779B97F4A7C15)
