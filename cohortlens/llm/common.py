@@ -19,19 +19,32 @@ cloudpickle.register_pickle_by_value(sys.modules[__package__])
 BROADCAST_ROWS = 500_000
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+BATCH_ROWS = 1_000  # rows of texts that go to a Python worker at once, where a step asks for it
+
+
+def materialise(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet under the shared checkpoint folder, read it back.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``, so a
     lost executor costs only the tasks it was running, never the table. It is
-    deleted when the application ends.
+    deleted when the application ends. ``batch_rows`` bounds the Arrow batches
+    of this write, for steps that send whole texts to Python.
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    rows = spark.conf.get(_ARROW_ROWS)
+    if batch_rows is not None:
+        spark.conf.set(_ARROW_ROWS, str(min(batch_rows, int(rows)) if int(rows) > 0 else batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ARROW_ROWS, rows)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def hint_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint for a *stored* narrow table whose counted rows are within the bound."""
     return F.broadcast(df) if df.count() <= rows else df

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LETTERS, Chunk, materialise, mix64, pieces
+from .common import BATCH_ROWS, LETTERS, Chunk, materialise, mix64, pieces
 
 MAX_ORDER = 4
 PENALTY = 7.0  # -log10 frequency given to a language in which the unit was never seen
@@ -207,7 +207,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     words = materialise(
         docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("lang is not null and text is not null")
         .mapInArrow(_count_words, "lang string, word string, n long")
-        .groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
+        .groupBy("lang", "word").agg(F.sum("n").alias("n")), "words", BATCH_ROWS)
     grams = materialise(
         words.mapInArrow(_count_grams, "lang string, unit_order int, key long, n long")
         .groupBy("lang", "unit_order", "key").agg(F.sum("n").alias("n")), "grams")
@@ -276,7 +276,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", label: str = "lan
     src = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("__text"))
     found = T.StructType.fromDDL("__sums array<double>, __letter boolean, __rest array<struct<word: string, n: bigint>>")
     schema = T.StructType([*docs.select(*[F.col(f"`{c}`") for c in kept]).schema, *found])
-    read = materialise(src.mapInArrow(_scan(model.head, len(langs), kept), schema).withColumn("__uid", F.monotonically_increasing_id()), "read")
+    read = materialise(src.mapInArrow(_scan(model.head, len(langs), kept), schema).withColumn("__uid", F.monotonically_increasing_id()), "read", BATCH_ROWS)
     rest = read.select("__uid", F.explode("__rest").alias("w")).select("__uid", "w.word", "w.n")
     scored = materialise(model.word_scores(rest.select("word").distinct()), "rest-scores")
     more = rest.join(scored, "word").groupBy("__uid").agg(F.array(*[F.sum(F.col("n") * F.col("scores")[j]) for j in range(len(langs))]).alias("__more"))
