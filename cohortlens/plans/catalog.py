@@ -770,8 +770,9 @@ def _source_classes(c: Ctx):
     fault.write.json(f"{base}/bulk")
     c.snap["cohort_members_ext"].select("cohortid", "userid").write.json(f"{base}/members")
     rows, asked = pl.first_answer([(n, *read_source(c.spark, f"{base}/{n}", schema)) for n in ("bulk", "standard", "members")], c.spark.createDataFrame([], schema))
-    return c.spark.createDataFrame(asked, "source string, outcome string").join(
-        rows.agg(F.lit("answered").alias("outcome"), F.count("*").alias("n"), F.count_distinct("cohortid").alias("cohorts")), "outcome", "left").fillna(0, ["n", "cohorts"])
+    passed = c.spark.createDataFrame([(*x, 0, 0) for x in asked[:-1]], "source string, outcome string, n long, cohorts long")
+    name, outcome = asked[-1]
+    return passed.unionByName(rows.agg(F.lit(name).alias("source"), F.lit(outcome).alias("outcome"), F.count("*").alias("n"), F.count_distinct("cohortid").alias("cohorts")))
 
 
 def _two_days(c: Ctx) -> str:
