@@ -103,6 +103,8 @@ def parse(page: str | None) -> list[Node]:
     """Nodes of a page in page order; node 0 is the root. Runs without a word are left out."""
     nodes = [Node("html", -1, 0, frozenset(), None, False)]
     stack, run, in_link = [0], None, 0
+    places: dict[str, list[int]] = {}  # where in the stack the open elements of every tag stand
+    unended = set()  # raw elements without an end tag in the rest of the page
     hidden, opened = "", Counter()  # the outermost hidden element, and the elements open in it with itself
     page = page or ""
     at, end = 0, len(page)
@@ -135,15 +137,17 @@ def parse(page: str | None) -> list[Node]:
         nonlocal in_link
         close_run()
         in_link = 0
+        for node in stack[i:]:
+            places[nodes[node].tag].pop()
         del stack[i:]
 
-    def find(tags: tuple, limit: tuple = ()) -> int:
-        for i in range(len(stack) - 1, 0, -1):
-            if nodes[stack[i]].tag in tags:
-                return i
-            if nodes[stack[i]].tag in limit:
-                return 0
-        return 0
+    def last(tags: tuple) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def find(tag: str, limit: tuple = ()) -> int:
+        """Place in the stack of the innermost open ``tag`` that no element of ``limit`` is inside of, or 0."""
+        i = last((tag,))
+        return i if i > last(limit) else 0
 
     while at < end:
         m = _TOKEN.search(page, at)
@@ -162,18 +166,20 @@ def parse(page: str | None) -> list[Node]:
                     hidden = hidden if opened[hidden] else ""
                     continue
                 # A hidden element ends with what it lies in.
-                if not (hidden != "template" and tag in ("svg", "math") or tag not in INLINE and find((tag,))):
+                if not (hidden != "template" and tag in ("svg", "math") or tag not in INLINE and find(tag)):
                     continue
                 hidden = ""
             if tag == "a":
                 in_link = 0
-            elif tag not in INLINE and (i := find((tag,))):
+            elif tag not in INLINE and (i := find(tag)):
                 pop_to(i)
             continue
         nodes[stack[-1]].tags += 1
         closed = m[3].rstrip().endswith("/")
         if tag in RAW:
-            stop = re.compile(f"</{tag}\\b[^>]*>?", re.I).search(page, at)
+            stop = None if tag in unended else re.compile(f"</{tag}\\b[^>]*>?", re.I).search(page, at)
+            if stop is None:
+                unended.add(tag)
             at = stop.end() if stop else at if closed else end
             continue
         if hidden:
@@ -195,9 +201,9 @@ def parse(page: str | None) -> list[Node]:
             continue
         if tag in ("html", "head", "body"):
             continue
-        if tag in CLOSES_P and (i := find(("p",), ("td", "th", "li", "div", "article", "section", "body"))):
+        if tag in CLOSES_P and (i := find("p", ("td", "th", "li", "div", "article", "section", "body"))):
             pop_to(i)
-        if tag in SAME and (i := find((tag,), SAME[tag])):
+        if tag in SAME and (i := find(tag, SAME[tag])):
             pop_to(i)
         close_run()
         groups = attribute_groups(m[3])
@@ -207,6 +213,7 @@ def parse(page: str | None) -> list[Node]:
         up = stack[-1]
         node = Node(tag, up, nodes[up].depth + 1, groups, int(y[1]) if y else None, False)
         nodes[up].children.append(len(nodes))
+        places.setdefault(tag, []).append(len(stack))
         stack.append(len(nodes))
         nodes.append(node)
     close_run()
@@ -217,45 +224,65 @@ _TAGS = ("div", "p", "h1", "h2", "h3", "li", "ul", "ol", "section", "article", "
 _WIDTH = len(_TAGS) + 3 * len(_NAMES) + 18
 
 
-def features(nodes: list[Node]) -> np.ndarray:
-    """One row per node: tag, attribute groups (own, nearest, any above), depth, siblings, subtree densities."""
-    n = len(nodes)
-    chars, links, words, runs, tags = (np.zeros(n) for _ in range(5))
-    punct, paragraphs = np.zeros(n), np.zeros(n)
-    for i in range(n - 1, -1, -1):  # a node's children lie behind it
-        v = nodes[i]
-        if v.run:
-            chars[i], links[i], words[i], runs[i] = len(v.text), v.links, v.text.count(" ") + 1, 1
-            punct[i] = v.text.count(".") + v.text.count(",")
-        tags[i] += v.tags
-        paragraphs[i] += v.tag == "p"
-        if v.parent >= 0:
-            for a in (chars, links, words, runs, tags, punct, paragraphs):
-                a[v.parent] += a[i]
-    x = np.zeros((n, _WIDTH))
-    g0, k = len(_TAGS), len(_NAMES)
-    near = np.zeros((n, k))
-    above = np.zeros((n, k))
-    total = max(chars[0], 1.0)
-    tags_of = [Counter(nodes[c].tag for c in v.children) for v in nodes]
+_TAG_NO = {t: i for i, t in enumerate(_TAGS)}
+
+
+def feature_blocks(nodes: list[Node], most: int = 1 << 15):
+    """Features of the nodes in page order, ``most`` rows at a time: memory is that of one block, however long a page.
+
+    One row per node: tag, attribute groups (own, nearest, any above), depth, siblings, subtree densities.
+    A subtree is a run of nodes, so its sums are differences of running sums.
+    """
+    n, k, g0 = len(nodes), len(_NAMES), len(_TAGS)
+    up = np.array([v.parent for v in nodes])
+    p = np.maximum(up, 0)
+    own, near, above, end = [0] * n, [0] * n, [0] * n, list(range(1, n + 1))
     for i, v in enumerate(nodes):
-        if v.tag in _TAGS:
-            x[i, _TAGS.index(v.tag)] = 1
-        own = np.zeros(k)
-        own[list(v.groups)] = 1
+        own[i] = near[i] = above[i] = sum(1 << g for g in v.groups)
         if v.parent >= 0:
-            near[i] = own if v.groups else near[v.parent]
-            above[i] = np.maximum(own, above[v.parent])
-        x[i, g0:g0 + k], x[i, g0 + k:g0 + 2 * k], x[i, g0 + 2 * k:g0 + 3 * k] = own, near[i], above[i]
-        up = nodes[v.parent] if v.parent >= 0 else v
-        siblings = up.children if v.parent >= 0 else [0]
-        same = tags_of[v.parent][v.tag] if v.parent >= 0 else 1
-        p = max(v.parent, 0)
-        x[i, g0 + 3 * k:] = (
-            v.depth, len(siblings), same, i / n, np.log1p(chars[i]), np.log1p(words[i]), links[i] / max(chars[i], 1.0), chars[i] / max(words[i], 1.0),
-            np.log1p(runs[i]), tags[i] / max(words[i], 1.0), punct[i] / max(words[i], 1.0), paragraphs[i], chars[i] / total, chars[i] / max(chars[p], 1.0),
-            links[p] / max(chars[p], 1.0), np.log1p(chars[p]), paragraphs[p], len(v.children))
-    return x
+            near[i] = near[i] or near[v.parent]
+            above[i] |= above[v.parent]
+    for i in range(n - 1, 0, -1):  # a node's children lie behind it
+        end[nodes[i].parent] = max(end[nodes[i].parent], end[i])
+    end, masks = np.array(end), [np.array(m) for m in (own, near, above)]
+
+    def below(values: list[int]) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(values)])
+        return (total[end] - total[:-1]).astype(float)
+
+    chars = below([len(v.text) for v in nodes])
+    links = below([v.links for v in nodes])
+    words = below([v.text.count(" ") + 1 if v.run else 0 for v in nodes])
+    runs = below([v.run for v in nodes])
+    tags = below([v.tags for v in nodes])
+    punct = below([v.text.count(".") + v.text.count(",") for v in nodes])
+    paragraphs = below([v.tag == "p" for v in nodes])
+    children = np.array([len(v.children) for v in nodes])
+    numbers = dict(_TAG_NO)
+    tag = np.array([numbers.setdefault(v.tag, len(numbers)) for v in nodes])
+    _, kind, of_kind = np.unique(up * len(numbers) + tag, return_inverse=True, return_counts=True)
+    same = of_kind[kind]
+    siblings = np.where(up >= 0, children[p], 1)
+    depth = np.array([v.depth for v in nodes])
+    for lo in range(0, n, most):
+        a = slice(lo, min(lo + most, n))
+        q, at = p[a], np.arange(lo, min(lo + most, n))
+        x = np.zeros((len(at), _WIDTH))
+        known = np.flatnonzero(tag[a] < g0)
+        x[known, tag[a][known]] = 1
+        for j, mask in enumerate(masks):
+            x[:, g0 + j * k:g0 + (j + 1) * k] = (mask[a, None] >> np.arange(k)) & 1
+        c, w = np.maximum(chars[a], 1.0), np.maximum(words[a], 1.0)
+        x[:, g0 + 3 * k:] = np.stack([
+            depth[a], siblings[a], same[a], at / n, np.log1p(chars[a]), np.log1p(words[a]), links[a] / c, chars[a] / w,
+            np.log1p(runs[a]), tags[a] / w, punct[a] / w, paragraphs[a], chars[a] / max(chars[0], 1.0), chars[a] / np.maximum(chars[q], 1.0),
+            links[q] / np.maximum(chars[q], 1.0), np.log1p(chars[q]), paragraphs[q], children[a]], axis=1)
+        yield x
+
+
+def features(nodes: list[Node]) -> np.ndarray:
+    """All rows of ``feature_blocks``."""
+    return np.concatenate(list(feature_blocks(nodes)))
 
 
 class Trees:
@@ -438,7 +465,7 @@ def train_pages(pages: list[str], seed: int = 5, whole: bool = False) -> Trees:
 
 def main_text(page: str | None, trees: Trees) -> str:
     nodes = parse(page)
-    keep = decode(nodes, trees.log_odds(features(nodes)))
+    keep = decode(nodes, np.concatenate([trees.log_odds(x) for x in feature_blocks(nodes)]))
     return "\n\n".join(v.text for v, ok in zip(nodes, keep, strict=True) if ok and v.run)
 
 
@@ -477,6 +504,20 @@ def train(pages: DataFrame, html: str = "html") -> Trees:
     return train_pages(named) if named else train_pages(_sample(pages, html, whole=True), whole=True)
 
 
+def _together(group: list[list[Node]], most: int = 1 << 15):
+    """Feature blocks of some pages, those of short pages joined up to about ``most`` rows."""
+    held, size = [], 0
+    for nodes in group:
+        for x in feature_blocks(nodes, most):
+            held.append(x)
+            size += len(x)
+            if size >= most:
+                yield np.concatenate(held)
+                held, size = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
 def extract(pages: DataFrame, trees: Trees, carry: list[str], html: str = "html") -> DataFrame:
     """``carry`` columns plus text and n_chars of every page."""
     shared = pages.sparkSession.sparkContext.broadcast((trees.feature, trees.cut, trees.leaf, trees.base))
@@ -489,7 +530,7 @@ def extract(pages: DataFrame, trees: Trees, carry: list[str], html: str = "html"
                 group.append(parse(page))
                 size += len(group[-1])
                 if size > 20_000 or len(out) + len(group) > batch.num_rows:
-                    odds = model.log_odds(np.concatenate([features(n) for n in group]))
+                    odds = np.concatenate([model.log_odds(x) for x in _together(group)])
                     for nodes in group:
                         keep = decode(nodes, odds[:len(nodes)])
                         odds = odds[len(nodes):]

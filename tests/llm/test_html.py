@@ -6,6 +6,7 @@ import html as stdlib_html
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -143,3 +144,29 @@ def test_end_tags_in_a_hidden_element_leave_outer_blocks_open():
     nodes = op.parse("<article><div><template><div><p>no</p></div></template>a</div><p>b</p></article>")
     tags = [(v.text, nodes[v.parent].tag, nodes[nodes[v.parent].parent].tag) for v in nodes if v.run]
     assert tags == [("a", "div", "article"), ("b", "p", "article")]
+
+
+@pytest.mark.parametrize("page, nodes", [
+    ("<div>" * 100_000 + "</section>" * 100_000, 100_001),
+    ("<p><td>" + "<foo>" * 50_000 + "<ul>" * 50_000, 100_003),
+    ("<script/>a" * 100_000, 2),
+    ("<p>some words</p>" * 50_000, 100_001),
+])
+def test_hostile_pages_take_linear_time(page, nodes):
+    start = time.process_time()
+    assert len(op.parse(page)) == nodes
+    assert time.process_time() - start < 30  # a scan of the stack per tag takes over an hour
+
+
+def test_features_in_blocks_are_the_same():
+    nodes = op.parse("<div class='menu'><ul><li>a, b.</li><li><a href=x>c</a></li></ul></div><article><h1>t</h1><p>x y z</p></article>" * 40)
+    whole = op.features(nodes)
+    blocks = list(op.feature_blocks(nodes, 7))
+    assert all(len(x) <= 7 for x in blocks) and np.array_equal(np.concatenate(blocks), whole)
+    # Subtree sums against a walk over the tree.
+    at = len(op._TAGS) + 3 * len(op.GROUPS)
+
+    def chars(i):
+        return len(nodes[i].text) + sum(chars(c) for c in nodes[i].children)
+
+    assert all(whole[i, at + 4] == np.log1p(chars(i)) for i in range(len(nodes)))
