@@ -71,3 +71,37 @@ def test_small_and_empty(spark):
     assert (one["size"], one.shard, one.slot) == (2, 0, 0)
     words = shard.shard(spark.createDataFrame([("b", "x"), ("a", "x"), (None, "x")], "doc_id string, text string"), 3)
     assert sorted((r.doc_id or "", r.shard) for r in words.collect()) == [("", 0), ("a", 1), ("b", 2)]
+
+
+def test_equal_rows_that_fill_ranges_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(shard, "RANGES_PER_SHARD", 8)
+    hot = spark.range(30_000).select(F.lit(5_000).cast("long").alias("doc_id"), F.lit("the same text again").alias("text"), F.col("id").cast("string").alias("source"))
+    null = spark.range(5_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), F.lit("n").alias("source"))
+    rest = spark.range(1_000).select("id", F.concat(F.lit("words "), F.col("id").cast("string")).alias("text"), F.lit("s").alias("source"))
+    docs = hot.union(null).union(rest).repartition(7)
+    narrow = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("k"), F.xxhash64("text").alias("tie"), shard.size_of(F.col("text")).alias("size"))
+    cuts = shard.splitters(narrow, 8)
+    spans = narrow.groupBy(shard._range_of(cuts, narrow).alias("r")).agg(F.sum("size").alias("s"), F.count_distinct("k", "tie").alias("kinds")).collect()
+    total = sum(r["s"] for r in spans)
+    assert all(r["kinds"] == 1 for r in spans if r["s"] > shard.OVERFULL * total / 64)
+    done = shard.shard(docs, 8)
+    got = done.select("doc_id", "size", "shard", "slot", "source").collect()
+    want = brute([(None, 1)] * 5_000 + [(i, len(f"words {i}") + 1) for i in range(1_000)] + [(5_000, 20)] * 30_000, 8)
+    plain = [(-1 if k is None else k, s, j, t) for k, s, j, t in want]
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r["size"], r.shard, r.slot) for r in got) == sorted(plain)
+    assert sorted(int(r.source) for r in got if r.source not in ("s", "n")) == list(range(30_000))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would put such small partitions together
+    try:
+        assert shard.shard(docs, 8).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 20_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_subdivision_goes_on_to_the_end(spark):
+    # Sizes grow by orders: the first splitters and several rounds after them leave overfull ranges.
+    rows = [(f"{i:06d}", i, 10 if i < 3000 else 10_000) for i in range(3100)]
+    narrow = spark.createDataFrame(rows, "k string, tie long, size long")
+    cuts = shard.splitters(narrow, 2)
+    spans = narrow.groupBy(shard._range_of(cuts, narrow).alias("r")).agg(F.sum("size").alias("s"), F.count("*").alias("n")).collect()
+    share = sum(r["s"] for r in spans) / (2 * shard.RANGES_PER_SHARD)
+    assert all(r["s"] <= shard.OVERFULL * share or r["n"] == 1 for r in spans)
