@@ -211,10 +211,12 @@ def _located(batches):
 
 
 def _assembled(batches):
-    """Payload bytes and digest of records given as their pieces joined by the magic."""
+    """Payload bytes and digest of records given as the pieces that lie between magics."""
+    magic = MAGIC.encode()
     for batch in batches:
         sizes, digests = [], []
-        for raw in batch.column("raw").to_pylist():
+        for pieces in batch.column("pieces"):
+            raw = magic.join(pieces.as_py())
             head, fields, length = _told(raw)
             size, digest = _payload(fields, raw[head:head + length]) if fields is not None else (None, None)
             sizes.append(size)
@@ -256,6 +258,29 @@ def reachable(candidates: DataFrame, bases: DataFrame) -> DataFrame:
     return placed.join(on, ["file", "block"]).where("tin <= e and e < tout").drop("e").dropDuplicates(["file", "pos"])
 
 
+def _owners(parts: DataFrame, bases: DataFrame, split: DataFrame) -> DataFrame:
+    """(file, block, rel, at, start) of every piece inside a record of ``split``, which do not overlap.
+
+    A piece belongs to the last record that starts at or before it, if that has
+    not ended: within a split by a window over positions, and what a split
+    begins in is the last record started in the splits of the file before it.
+    """
+    span = F.struct(F.col("pos").alias("start"), F.col("succ"))
+    last = split.groupBy("file", "block").agg(F.max(span).alias("own"))
+    before = F.last("own", ignorenulls=True).over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = (bases.join(hint_if_small(last), ["file", "block"], "left").withColumn("entered", before)
+              .where("own is not null or entered.succ > base").select("file", "block", "base", "entered"))
+    blocks = materialise(blocks, "split-blocks")
+    places = (parts.where("bytes is null").select("file", "block", "rel").join(hint_if_small(blocks), ["file", "block"])
+              .select("file", "block", "rel", (F.col("rel") + F.col("base")).alias("at"), "entered", F.lit(None).cast("struct<start:bigint,succ:bigint>").alias("own")))
+    starts = split.select("file", "block", F.lit(None).cast("long").alias("rel"), F.col("pos").alias("at"),
+                          F.lit(None).cast("struct<start:bigint,succ:bigint>").alias("entered"), span.alias("own"))
+    so_far = Window.partitionBy("file", "block").orderBy("at", F.col("rel").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    owner = F.coalesce(F.last("own", ignorenulls=True).over(so_far), F.col("entered"))
+    return (places.unionByName(starts).withColumn("owner", owner).where("rel is not null and at < owner.succ")
+            .select("file", "block", "rel", "at", F.col("owner.start").alias("start")))
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """(id, url, record_type, refers_to, header_digest, payload_bytes, payload_digest) of every record, ids as text.
 
@@ -270,19 +295,15 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     found = materialise(reachable(parts.where("bytes is null"), bases), "records")
     fields = ["id", "url", "record_type", "refers_to", "header_digest"]
     out = found.where("whole").select(*fields, "payload_bytes", "payload_digest")
-    split = found.where("not whole").select("file", "pos", "succ", *fields)
+    split = found.where("not whole").select("file", "block", "pos", "succ", *fields)
     if split.isEmpty():
         return out
     # Records that hold the magic inside: their pieces are fetched and joined, in order, per record.
     split = materialise(split, "split-records")
-    near = split.select("file", F.col("pos").alias("start"), "succ")
-    pieces = (_pieces(spark, path).mapInArrow(_located, "file string, block long, rel long, raw binary").join(hint_if_small(bases), ["file", "block"])
-              .withColumn("at", F.col("rel") + F.col("base")))
-    inside = pieces.join(hint_if_small(near), "file").where("at >= start and at < succ")
-    magic = F.lit(MAGIC).cast("binary")
+    matched = hint_if_small(materialise(_owners(parts, bases, split), "matched"))
+    inside = _pieces(spark, path).mapInArrow(_located, "file string, block long, rel long, raw binary").join(matched, ["file", "block", "rel"])
     ordered = F.array_sort(F.collect_list(F.struct("at", "raw")))
-    whole = (inside.groupBy("file", F.col("start").alias("pos")).agg(ordered.alias("p"))
-             .select("file", "pos", F.aggregate(F.slice("p", 2, F.size("p")), F.col("p")[0]["raw"], lambda a, x: F.concat(a, magic, x["raw"])).alias("raw")))
+    whole = inside.groupBy("file", F.col("start").alias("pos")).agg(ordered["raw"].alias("pieces"))
     told = whole.mapInArrow(_assembled, "file string, pos long, bytes_ long, digest_ string")
     more = split.join(told, ["file", "pos"]).select(*fields, F.col("bytes_").alias("payload_bytes"), F.col("digest_").alias("payload_digest"))
     return out.unionByName(more)

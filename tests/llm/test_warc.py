@@ -88,3 +88,20 @@ def test_broken_chain_ends_the_file(spark, tmp):
 
 def test_empty(spark):
     assert warc.archive(spark.createDataFrame([], PAGE)).count() == 0
+
+
+def test_many_records_that_hold_the_magic(spark):
+    rows = [(i, "u", f"page {i} " + f"WARC/1.0\r\nContent-Length: {i}\r\n\r\n" * (i % 7) + "end " * (i % 90)) for i in range(2_000)]
+    rows += [(5_000, "u", "WARC/1.0\r\n" * 20_000), (5_001, "u", "WARC/1.0\r\nContent-Length: 0\r\n\r\n\r\n\r\n" * 5_000)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    settings = {"spark.sql.files.maxPartitionBytes": "100k", "spark.sql.files.openCostInBytes": "64", "spark.sql.files.minPartitionNum": "1"}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        got = warc.archive(spark.createDataFrame(rows, PAGE).coalesce(1)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    want = [(i, len(h.encode()), hashlib.sha256(h.encode()).hexdigest()) for i, _, h in rows]
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest) for r in got) == want
