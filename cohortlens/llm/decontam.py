@@ -10,15 +10,20 @@ shingles; the shingle's place in the window fixes the candidate's start, which
 must lie in the text with the window's whole length; the candidate is then
 verified word by word.
 
-The documents never shuffle: windows, which come from the benchmark alone, are
-broadcast in blocks of at most ``BLOCK_ROWS`` rows, one pass over the documents
-a block. Only matches, document counts and item lists are exchanged. Native
+Shingles are 64-bit hashes; equal hashes of different shingles cost a candidate
+that the verification rejects. Whatever the size of the benchmark, the documents
+are split into words three times: to count the benchmark's shingles, to
+find candidates, and for the counts of the result. The first two keep only
+shingles whose bit is set in a bitmap of ``BITMAP_WORDS`` 64-bit words (8 MB, the
+one thing that every task gets). Candidates carry the at most 24 words that a
+window around their shingle can take, never the document. Windows are broadcast
+only if their measured bytes are within ``BROADCAST_BYTES``; otherwise candidates
+and windows meet in a merge join by shingle, whose hot keys AQE splits. Native
 functions only.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -28,7 +33,8 @@ from pyspark.sql.window import Window
 from .common import hint_if_small, materialise
 
 WINDOW = 13
-BLOCK_ROWS = 100_000
+BITMAP_WORDS = 1 << 20  # a power of two
+BROADCAST_BYTES = 32 << 20
 SHARE = 20  # contaminated if SHARE * hit words >= words
 _NO_WORD = "".join(chr(i) for i in range(128) if not chr(i).isalnum())
 
@@ -46,59 +52,76 @@ def windows(items: DataFrame, key: str = "item_id", text: str = "text", size: in
     return split.select("item_id", "w", at.alias("s")).select("item_id", F.slice("w", F.col("s"), F.lit(size)).alias("win")).distinct()
 
 
-def _positions(docs: DataFrame, keep: list) -> DataFrame:
-    """(kept columns, pos, w1, w2) of every document word, paired with its successor."""
-    out = docs.select(*keep, F.posexplode(F.arrays_zip(F.col("w"), F.slice("w", F.lit(2), F.size("w")))).alias("pos", "s"))
-    return out.select(*[c for c in out.columns if c != "s"], F.col("s.w").alias("w1"), F.col("s")["1"].alias("w2"))
+def _shingle(first: Column, second: Column | None = None) -> Column:
+    return F.xxhash64(first) if second is None else F.xxhash64(first, second)
 
 
-def _blocks(stored: DataFrame, *by: str) -> list[DataFrame]:
-    """The stored table in hash blocks, each small enough for a broadcast."""
-    n = -(-stored.count() // BLOCK_ROWS)
-    return [stored.where(F.pmod(F.xxhash64(*by), F.lit(n)) == i) if n > 1 else stored for i in range(n)]
+def _bit_word(sh: Column) -> Column:
+    return F.shiftright(sh.bitwiseAND(BITMAP_WORDS * 64 - 1), 6).cast("int")
 
 
-def _union(parts: list[DataFrame]) -> DataFrame | None:
-    return reduce(DataFrame.unionByName, parts) if parts else None
+def _bitmap(shingles: DataFrame) -> Column:
+    """One array of ``BITMAP_WORDS`` 64-bit words with a bit set for every ``sh``; stored, read as a scalar subquery."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("sh").bitwiseAND(63).cast("int"))
+    zeros = shingles.sparkSession.range(BITMAP_WORDS).select(F.col("id").cast("int").alias("i"), F.lit(0).cast("long").alias("v"))
+    filled = shingles.select(_bit_word(F.col("sh")).alias("i"), bit.alias("v")).unionByName(zeros).groupBy("i").agg(F.bit_or("v").alias("v"))
+    leaves = filled.groupBy(F.shiftright("i", 10).alias("p")).agg(F.array_sort(F.collect_list(F.struct("i", "v")))["v"].alias("part"))
+    one = leaves.agg(F.flatten(F.array_sort(F.collect_list(F.struct("p", "part")))["part"]).alias("bits"))
+    return materialise(one, "bitmap").scalar()
+
+
+def _bounded(stored: DataFrame) -> DataFrame:
+    """Broadcast hint for a stored table of windows (column win) within ``BROADCAST_BYTES`` (24 more a word, 64 a row), else a merge join."""
+    size = F.octet_length(F.concat_ws("", "win")).cast("long") + 24 * F.size("win") + 64
+    fits = stored.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first().n <= BROADCAST_BYTES
+    return F.broadcast(stored) if fits else stored.hint("merge")
+
+
+def _hits(docs: DataFrame, keep: list, wanted: DataFrame) -> DataFrame:
+    """(kept columns, w, pos, sh) of the document shingles whose bit is set by a stored table of windows (win, sh).
+
+    A shingle is a word and its successor; where windows of one word are wanted, each word is one too.
+    """
+    bits = _bitmap(wanted)
+    zipped = F.arrays_zip(F.col("w"), F.slice("w", F.lit(2), F.size("w")))
+    at = docs.select(*keep, "w", F.posexplode(zipped).alias("pos", "s"))
+
+    def told(sh: Column) -> Column:
+        return F.call_function("shiftright", F.get(bits, _bit_word(sh)), sh.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+
+    pair, single = _shingle(F.col("s.w"), F.col("s")["1"]), _shingle(F.col("s.w"))
+    paired = F.col("s")["1"].isNotNull() & told(pair)
+    if wanted.where(F.size("win") == 1).isEmpty():
+        return at.where(paired).select(*keep, "w", "pos", pair.alias("sh"))
+    both = F.array_compact(F.array(F.when(paired, pair), F.when(told(single), single)))
+    return at.where(paired | told(single)).select(*keep, "w", "pos", F.explode(both).alias("sh"))
 
 
 def prefixes(docs: DataFrame, wins: DataFrame) -> DataFrame:
-    """(win, off, w1, w2): the rarest shingle of every distinct window, by count over ``docs`` (column w)."""
-    distinct = wins.select("win").distinct()
+    """(win, off, sh): the rarest shingle of every distinct window, by count over ``docs`` (column w)."""
     last = F.greatest(F.size("win") - 1, F.lit(1))
-    shingles = distinct.select("win", F.explode(F.sequence(F.lit(0), last - 1)).alias("off")).select(
-        "win", "off", F.col("win")[F.col("off")].alias("w1"),
-        F.when(F.size("win") > 1, F.get("win", F.col("off") + 1)).alias("w2"))
+    word = F.col("win")[F.col("off")]
+    shingles = (wins.select("win").distinct().select("win", F.explode(F.sequence(F.lit(0), last - 1)).alias("off"))
+                .select("win", "off", F.when(F.size("win") > 1, _shingle(word, F.get("win", F.col("off") + 1))).otherwise(_shingle(word)).alias("sh")))
     shingles = materialise(shingles, "shingles")
-    wanted = materialise(shingles.select("w1", "w2").distinct(), "wanted")
-    counted = []
-    for part in _blocks(wanted, "w1", "w2"):
-        for want, on in ((part.where("w2 is not null"), ["w1", "w2"]), (part.where("w2 is null").select("w1"), ["w1"])):
-            if not want.isEmpty():
-                found = _positions(docs, []).select("w1", "w2").join(F.broadcast(want), on)
-                counted.append(found.groupBy(*on).count().select("w1", (F.col("w2") if "w2" in on else F.lit(None).cast("string")).alias("w2"), "count"))
-    if not counted:
-        return shingles.where("false")
     # Shingles that occur nowhere are absent here: the least such shingle rules its window out.
-    counts = materialise(_union(counted), "rarity")
-    ranked = (shingles.join(hint_if_small(counts), (shingles.w1 == counts.w1) & shingles.w2.eqNullSafe(counts.w2), "left")
-              .select("win", F.struct(F.coalesce("count", F.lit(0)).alias("n"), "off", shingles.w1.alias("w1"), shingles.w2.alias("w2")).alias("r"))
-              .groupBy("win").agg(F.min("r").alias("r")))
-    return ranked.where("r.n > 0").select("win", "r.off", "r.w1", "r.w2")
-
-
-def matches(docs: DataFrame, prefix: DataFrame, keep: list[str]) -> DataFrame | None:
-    """(kept columns, start, len, win) of every occurrence of a window in ``docs`` (column w); null if no window is left."""
-    parts = []
-    start, size = F.col("pos") - F.col("off"), F.size("win")
-    for part in _blocks(prefix, "win"):
-        for want, on in ((part.where("w2 is not null"), ["w1", "w2"]), (part.where("w2 is null").drop("w2"), ["w1"])):
-            if not want.isEmpty():
-                cand = _positions(docs, [*keep, "w"]).join(F.broadcast(want), on)
-                inside = (start >= 0) & (start + size <= F.size("w"))
-                same = F.slice("w", F.greatest(start, F.lit(0)) + 1, size) == F.col("win")
-                parts.append(cand.where(inside & same).select(*keep, start.alias("start"), size.alias("len"), "win"))
-    return _union(parts)
+    counts = _hits(docs, [], shingles).groupBy("sh").count()
+    counts = materialise(counts.join(shingles.select("sh").distinct(), "sh", "left_semi"), "rarity")
+    ranked = (shingles.join(hint_if_small(counts), "sh", "left")
+              .groupBy("win").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "off", "sh")).alias("r")))
+    return ranked.where("r.n > 0").select("win", "r.off", "r.sh")
+
+
+def matches(docs: DataFrame, prefix: DataFrame, keep: list[str], size: int = WINDOW) -> DataFrame:
+    """(kept columns, start, len, win) of every occurrence of a window of the stored ``prefix`` in ``docs`` (column w)."""
+    back = max(size - 2, 0)
+    begin = F.greatest(F.col("pos") - back, F.lit(0))
+    near = _hits(docs, keep, prefix).select(
+        *keep, "pos", "sh", F.size("w").alias("n"), begin.alias("begin"), F.slice("w", begin + 1, F.lit(back + size)).alias("near"))
+    start, length = F.col("pos") - F.col("off"), F.size("win")
+    inside = (start >= 0) & (start + length <= F.col("n"))
+    same = F.slice("near", F.greatest(start - F.col("begin"), F.lit(0)) + 1, length) == F.col("win")
+    return near.join(_bounded(prefix), "sh").where(inside & same).select(*keep, start.alias("start"), length.alias("len"), "win")
 
 
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
@@ -111,22 +134,17 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     base = docs.select(F.col(key).alias("__key"), F.xxhash64(F.col(text)).alias("__hash"), F.col(text).alias("__text"))
     split = base.select("__key", "__hash", words(F.col("__text")).alias("w"))
     wins = materialise(windows(items, item_key, item_text, size), "windows")
-    found = matches(split, materialise(prefixes(split, wins), "prefixes"), ["__key", "__hash"])
     doc = ["__key", "__hash"]
+    found = materialise(matches(split, materialise(prefixes(split, wins), "prefixes"), doc, size).distinct(), "matches")
     counted = base.select(*doc, F.size(words(F.col("__text"))).cast("long").alias("n_words"))
     no_items = F.array().cast("array<string>")
-    if found is None:
-        out = counted.select(F.col("__key").alias(key), F.col("__hash").alias("text_hash"), "n_words",
-                             F.lit(0).cast("long").alias("n_hit"), no_items.alias("items"))
-        return out.withColumn("contaminated", F.lit(False))
-    found = materialise(found.distinct(), "matches")
     # Words covered by the union of the matches: each start adds what reaches beyond all earlier ends.
     spans = found.groupBy(*doc, "start").agg(F.max("len").alias("len"))
     before = F.max(F.col("start") + F.col("len")).over(Window.partitionBy(*doc).orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     end = F.col("start") + F.col("len")
     hit = (spans.select(*doc, F.greatest(end - F.greatest("start", F.coalesce(before, F.lit(0))), F.lit(0)).alias("new"))
            .groupBy(*doc).agg(F.sum("new").cast("long").alias("n_hit")))
-    listed = (found.select(*doc, "win").distinct().join(hint_if_small(wins), "win")
+    listed = (found.select(*doc, "win").distinct().join(_bounded(wins), "win")
               .select(*doc, F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item")).distinct()
               .groupBy(*doc).agg(F.array_sort(F.collect_list("item")).alias("items")))
     told = hit.join(listed, (hit["__key"].eqNullSafe(listed["__key"])) & (hit["__hash"] == listed["__hash"])).select(

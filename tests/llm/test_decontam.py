@@ -42,9 +42,11 @@ def test_query_against_sql(spark):
     assert op7_decontaminate(spark, SF).where("contaminated").count() > 0
 
 
-@pytest.mark.parametrize("block", [1_000_000, 3])
-def test_small_against_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(decontam, "BLOCK_ROWS", block)
+@pytest.mark.parametrize("most, words", [(1 << 25, 1 << 12), (0, 1 << 12), (0, 1)])
+def test_small_against_brute_force(spark, monkeypatch, most, words):
+    """Broadcast and merge join; a bitmap of few bits, which passes nearly all shingles, changes nothing."""
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", most)
+    monkeypatch.setattr(decontam, "BITMAP_WORDS", words)
     letters = [chr(97 + i) for i in range(20)]
     items = [(1, " ".join(letters[:15])), (2, "One two"), (3, "solo"), (4, None), (5, "..."), (6, " ".join(letters[1:15])),
              (7, "the the the the the the the the the the the the the the"), (7, "solo"), (None, "É é two")]
@@ -71,3 +73,21 @@ def test_empty_tables(spark):
 def test_empty_digest(spark):
     row = op7_decontaminate(spark, SF).where("n_items = 0").first()
     assert row.items_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+@pytest.mark.parametrize("n_items", [1, 3_000])
+def test_passes_do_not_grow_with_the_benchmark(spark, monkeypatch, n_items):
+    """The documents are read three times whatever the items, windows joined by merge included."""
+    plans, store = [], decontam.materialise
+
+    def seen(df, *rest, **named):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, *rest, **named)
+
+    monkeypatch.setattr(decontam, "materialise", seen)
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 1 << 20)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    text = F.concat_ws(" ", *[F.md5(F.concat_ws(":", "id", F.lit(i))) for i in range(16)])
+    out = decontam.contamination(docs, spark.range(n_items).select(F.col("id").alias("item_id"), text.alias("text")))
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sum(p.count("documents.parquet") for p in plans) == 3
