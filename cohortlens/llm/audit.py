@@ -61,7 +61,8 @@ def cells(docs: DataFrame, labels: DataFrame, part: str = "source", key: str = "
     marked = (labels.groupBy(F.col("doc_id").alias("label_id")).agg(F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
               .where("label_id is not null and (good = 1 or toxic = 1)").withColumn("label_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
     rows = base.groupBy("part", "id", "hash", "bits").agg(F.count("*").alias("n")).withColumn("salt", F.pmod(F.xxhash64("hash", "part"), F.lit(SALTS)).cast("int"))
-    known = rows.where("id is not null").join(marked, (F.col("id") == F.col("label_id")) & (F.col("salt") == F.col("label_salt")), "left")
+    # The size of the labels is estimated without their copies, so a broadcast would bring many times that to the driver: merged instead.
+    known = rows.where("id is not null").join(marked.hint("merge"), (F.col("id") == F.col("label_id")) & (F.col("salt") == F.col("label_salt")), "left")
     counts = [F.col("n"), *[(F.col("n") * F.coalesce(F.col(c), F.lit(0))).alias(c) for c in _MEASURES[1:]]]
     tagged = materialise(known.select("part", "id", "hash", "bits", *counts)
                          .unionByName(rows.where("id is null").select("part", "id", "hash", "bits", "n", F.lit(0).cast("long").alias("good"), F.lit(0).cast("long").alias("toxic"))), "tagged")

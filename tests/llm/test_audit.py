@@ -80,6 +80,16 @@ def test_extra_columns_and_empty_tables(spark):
     assert audit.audit(docs, labels.limit(0)).agg(F.sum("good_lost")).first()[0] == 0
 
 
+def test_labels_are_not_broadcast(spark, monkeypatch, tmp):
+    """Copies of the labels stay out of the driver, however small the table looks."""
+    plans = {}
+    keep = audit.materialise
+    monkeypatch.setattr(audit, "materialise", lambda df, name: (plans.update({name: df._jdf.queryExecution().executedPlan().toString()}), keep(df, name))[1])
+    spark.createDataFrame([(1, 1, 0)], LABELS).write.parquet(f"{tmp}/labels")
+    audit.cells(spark.createDataFrame([(1, "a b", "s")], DOCS), spark.read.parquet(f"{tmp}/labels"))
+    assert "label_id" in plans["tagged"] and "SortMergeJoin" in plans["tagged"] and "Broadcast" not in plans["tagged"], plans["tagged"]
+
+
 def test_contractions():
     t = np.random.default_rng(1).integers(0, 50, (3, 2, 2, 2, 2, 2))
     got = audit.contract(t)
