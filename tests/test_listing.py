@@ -1,7 +1,11 @@
 import re
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from cohortlens.functions import rules as R
+from cohortlens.operators import legacy as listings
 from cohortlens.operators.legacy import Legacy
 from cohortlens.sources.snapshot import from_frames
 
@@ -40,3 +44,55 @@ def test_expanded_rows_are_not_shuffled_for_users_or_courses(spark):
     for plan in plans:
         above = plan[:re.search(r"Join \[cohortid#\d+L, _salt#\d+\]", plan).start()]
         assert "LeftOuter" in above and not re.search(r"Join \[(userid|courseid)#\d+L\], \[\w+#\d+L\], Inner", above), above
+
+
+def _nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from _nodes(plan.children().apply(i))
+
+
+def _wide(spark):
+    """40 users in one cohort of 30 courses; user u has a grade and an enrolment in course u % 30 only."""
+    frames = {
+        "users": ("id long, username string, email string, timecreated long", [(i, f"u-{i}-org", f"u{i}@x", i) for i in range(40)]),
+        "courses": ("id long, fullname string", [(i, f"course {i}") for i in range(30)]),
+        "cohorts": ("id long, name string, visible int", [(1, "Governance 14.6", 1)]),
+        "cohort_members_ext": ("cohortid long, userid long, timeadded long", [(1, i, 0) for i in range(40)]),
+        "enrol_cohort_course": ("id long, cohortid long, courseid long", [(i, 1, i) for i in range(30)]),
+        "user_grades": ("userid long, courseid long, graderaw double, gradedategraded long", [(i, i % 30, 90.0, 7) for i in range(40)]),
+    }
+    snap = from_frames(spark, **{k: spark.createDataFrame(rows, schema) for k, (schema, rows) in frames.items()})
+    return Legacy(snap, RULES, spark.createDataFrame([(i, i % 30, 500) for i in range(40)], "userid long, courseid long, timecreated long"))
+
+
+@pytest.mark.parametrize("name", ["student_grade_status", "enrolled_approved"])
+def test_rows_without_a_fact_are_not_shuffled(spark, name):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = getattr(_wide(spark), name)()
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 40 * 30 and sum(r.finalgrade == 90.0 for r in rows) == 40 == sum(r.userid % 30 == r.courseid and r.finalgrade == 90.0 for r in rows)
+    exchanges = [n for n in _nodes(plan) if n.nodeName() == "Exchange"]
+    sent = [n.metrics().apply("shuffleRecordsWritten").value() for n in exchanges if re.match(r"Exchange hashpartitioning\(userid#\d+L, courseid#\d+L, ", n.toString())]
+    assert len(sent) >= 2 and max(sent) <= 45, sent  # facts, and the expanded rows that have one; all 1,200 before
+    # both sides of the union read the same shuffles of members and courses
+    assert sum("hashpartitioning(cohortid" in n.toString().splitlines()[0] and "_salt" in n.toString().splitlines()[0] for n in exchanges) == 2
+
+
+@pytest.mark.parametrize("odd", ["one mark for all courses", "too many marks to carry"])
+def test_marks_do_not_change_the_rows(spark, monkeypatch, odd):
+    both = lambda: [sorted(map(repr, x.collect())) for x in (_legacy(spark).enrolled_approved(), _legacy(spark).student_grade_status(), _wide(spark).enrolled_approved())]
+    want = both()
+    if odd.startswith("one"):
+        monkeypatch.setattr(listings, "_mark", lambda course: F.lit(7).cast("short"))
+    else:
+        monkeypatch.setattr(listings, "MOST_MARKS", 0)
+    assert both() == want
