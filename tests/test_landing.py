@@ -59,3 +59,19 @@ def test_a_frame_given_as_a_function_is_made_once(spark):
     assert snap.has("courses") and not made
     assert snap.with_frames(cohorts=None)["courses"].dtypes == [("id", "bigint"), ("fullname", "string")]
     assert snap["courses"].count() == 1 and made == [1]
+
+
+def test_shuffle_files_go_when_a_dataset_has_landed(spark, tmp):
+    _tables(spark, f"{tmp}/in")
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    snap = td.materialised_snapshot(spark, f"{tmp}/in", f"{tmp}/snapshot")
+    setting, before = spark.conf.get(td._FILE_CLEANUP, None), shuffled()
+    snap["users"], snap["user_grades"], snap["cohort_members"]
+    assert shuffled() <= before
+    assert spark.conf.get(td._FILE_CLEANUP, None) == setting
+    assert snap["user_grades"].count() > 0
